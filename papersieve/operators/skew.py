@@ -1,0 +1,79 @@
+"""Joins of rows that may repeat a key without bound against one row per key."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# At most HEAVY_KEYS keys can each hold more than 1/HEAVY_KEYS of all rows. Those
+# travel as a broadcast of at most HEAVY_KEYS rows; what is left cannot be skewed
+# beyond max(HEAVY_MIN_ROWS, rows / HEAVY_KEYS) rows per key.
+HEAVY_KEYS = 1000
+HEAVY_MIN_ROWS = 100_000
+SALTS = 4096
+
+
+def heavy_keys(rows: DataFrame, key: str, min_rows: int | None = None) -> DataFrame:
+    """The most frequent keys, at most HEAVY_KEYS of them (counts combine map-side)."""
+    floor = HEAVY_MIN_ROWS if min_rows is None else min_rows
+    return (
+        rows.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count("*").alias("_rows"))
+        .filter(F.col("_rows") >= floor)
+        .orderBy(F.desc("_rows"), key)
+        .limit(HEAVY_KEYS)
+        .select(key)
+    )
+
+
+def lookup(
+    rows: DataFrame,
+    dim: DataFrame,
+    key: str,
+    *,
+    unique: str,
+    spread: bool = True,
+    min_rows: int | None = None,
+) -> DataFrame:
+    """Left join ``rows`` with ``dim`` (one row per ``key``) without a hot task.
+
+    Rows of heavy keys read their values from a small broadcast and enter the
+    shuffle under a salted key that matches nothing, so they spread evenly by
+    ``unique``. All other rows join in the usual way. ``spread=False`` is for
+    inputs whose row count is known to fit one task.
+    """
+    values = [c for c in dim.columns if c != key]
+    if not spread:
+        return rows.join(dim, key, "left")
+    heavy = heavy_keys(rows, key, min_rows)
+    heavy_dim = dim.join(F.broadcast(heavy), key, "left_semi")
+    routed = heavy.join(F.broadcast(heavy_dim), key, "left").select(
+        F.col(key).alias("_heavy"), *[F.col(c).alias(f"_heavy_{c}") for c in values]
+    )
+    salt = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(unique), F.lit(SALTS)).cast("string"))
+    tagged = rows.join(F.broadcast(routed), F.col(key) == F.col("_heavy"), "left").withColumn(
+        "_key", F.when(F.col("_heavy").isNull() & F.col(key).isNotNull(), F.col(key)).otherwise(salt)
+    )
+    plain = dim.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_plain_{c}") for c in values])
+    merged = tagged.join(plain, "_key", "left")
+    picked = [
+        F.when(F.col("_heavy").isNotNull(), F.col(f"_heavy_{c}"))
+        .otherwise(F.col(f"_plain_{c}"))
+        .alias(c)
+        for c in values
+    ]
+    return merged.select(*rows.columns, *picked)
+
+
+def mark(rows: DataFrame, keys: DataFrame, key: str, flag: str, **options) -> DataFrame:
+    """Add a boolean column telling whether ``key`` occurs in ``keys`` (distinct)."""
+    found = lookup(rows, keys.select(key).withColumn(flag, F.lit(True)), key, **options)
+    return found.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
+def exclude(rows: DataFrame, keys: DataFrame, key: str, **options) -> DataFrame:
+    """Rows whose ``key`` does not occur in ``keys`` (distinct); an anti join."""
+    if not options.get("spread", True):
+        return rows.join(keys.select(key), key, "left_anti")
+    return mark(rows, keys, key, "_found", **options).filter(~F.col("_found")).drop("_found")

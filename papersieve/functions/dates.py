@@ -105,7 +105,8 @@ def window_columns(
         )
         .when(mode == "this_month", month_start)
         .when(previous, F.add_months(month_start, -1))
-        .otherwise(F.coalesce(F.least(last, date_to), F.date_sub(date_to, lookback_days)))
+        .when(last.isNotNull(), F.least(last, date_to))
+        .otherwise(F.date_sub(date_to, lookback_days))
     )
     end = F.when(previous, F.date_sub(month_start, 1)).otherwise(date_to)
     return start, end

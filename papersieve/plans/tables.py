@@ -53,6 +53,10 @@ def _case(key: Column, *arms) -> Column:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records_of(table(spark, sf_dir, "documents"))
+
+
+def records_of(documents: DataFrame) -> DataFrame:
     """One record per document: repeated DOIs, repeated titles, dates of many forms."""
     doc = F.col("doc_id")
     lead = F.split_part(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit("."), F.lit(1))
@@ -84,7 +88,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(year, F.lit("."), month, F.lit(".7")),
         F.concat(month, F.lit(" Sep "), year),
     )
-    return table(spark, sf_dir, "documents").select(
+    return documents.select(
         doc.alias("ingest_seq"),
         F.when(doc % 2 == 0, F.lit("pubmed")).otherwise(F.lit("crossref")).alias("source"),
         F.when(doc % 2 == 0, (doc - doc % 6).cast("string")).otherwise(F.lit("")).alias("pmid"),

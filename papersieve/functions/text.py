@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -13,6 +13,13 @@ from pyspark.sql import functions as F
 # White space as str.strip() and str.split() see it. Spark's trim() only knows
 # the space character and Java's \s is ASCII, so the class is spelled out.
 SPACE = r"\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE_CHARACTERS = "".join(
+    chr(c)
+    for low, high in ((0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
+                      (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F),
+                      (0x3000, 0x3000))
+    for c in range(low, high + 1)
+)
 WORD = r"\p{L}\p{N}_"
 
 
@@ -22,7 +29,8 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def strip(col: Column) -> Column:
-    return F.regexp_replace(col, f"^[{SPACE}]+|[{SPACE}]+$", "")
+    """Trim white space of any kind; looks at the ends of the text only."""
+    return F.btrim(col, F.lit(SPACE_CHARACTERS))
 
 
 def blank_to_null(col: Column) -> Column:
@@ -73,19 +81,31 @@ def search_any(col: Column, patterns: Sequence[str]) -> Column:
     return search(col, "|".join(f"(?:{p})" for p in cleaned))
 
 
+def literals_pattern(terms: Iterable[str]) -> str:
+    """Pattern that is found where any of the terms occurs, as a prefix tree.
+
+    Terms with a common beginning share it, so a position of the text costs a
+    few character tests instead of one per term. Existence is all that counts:
+    behind a complete term nothing longer is tried.
+    """
+    heads: dict[str, list[str]] = {}
+    for term in terms:
+        heads.setdefault(term[:1], []).append(term[1:])
+    branches = [
+        escape_java(head) + ("" if "" in tails else literals_pattern(tails))
+        for head, tails in heads.items()
+    ]
+    return branches[0] if len(branches) == 1 else f"(?:{'|'.join(branches)})"
+
+
 def contains_any(col: Column, terms: Sequence[str]) -> Column:
     """True if any term occurs as a plain substring (both sides already folded)."""
-    hit = F.lit(False)
-    for term in reversed(terms):
-        hit = F.contains(col, F.lit(term)) | hit
-    return hit
+    return col.rlike(literals_pattern(terms)) if terms else F.lit(False)
 
 
 def starts_with_any(col: Column, prefixes: Sequence[str]) -> Column:
-    hit = F.lit(False)
-    for prefix in reversed([p for p in prefixes if p]):
-        hit = F.startswith(col, F.lit(prefix)) | hit
-    return hit
+    usable = [p for p in prefixes if p]
+    return col.rlike("^" + literals_pattern(usable)) if usable else F.lit(False)
 
 
 def word_count(col: Column) -> Column:
@@ -118,11 +138,14 @@ def keyword_hits(text: Column, keywords: Sequence[str]) -> Column:
     usable = [k for k in keywords if k.strip()]
     if not usable:
         return F.array().cast("array<string>")
-    padded = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
-    arms = [
-        F.when(F.contains(padded, F.lit(f" {k.lower().strip()} ")), F.lit(k)) for k in usable
-    ]
-    return F.array_compact(F.array(*arms))
+    listed = F.array(*[F.lit(k) for k in usable])
+    return let(
+        F.concat(F.lit(" "), F.lower(text), F.lit(" ")),
+        lambda padded: F.filter(
+            listed,
+            lambda k: F.contains(padded, F.concat(F.lit(" "), F.trim(F.lower(k)), F.lit(" "))),
+        ),
+    )
 
 
 def one_of(col: Column, domain: Sequence[str]) -> Column:

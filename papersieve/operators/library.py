@@ -52,12 +52,11 @@ def scan_library(
     candidates = metadata.filter(has_marker(title))
     if not all_years:
         candidates = candidates.filter(year_in_range(parse_year(F.col("year")), date_from, date_to))
-    candidates = candidates.filter(normalize_doi(F.col(on)) != "")
-    joined = library_with_metadata(master, candidates, on, unique)
     keep = [c for c in (SEQ,) if c in metadata.columns]
-    return joined.select(
+    # The record is complete before the join, so copies cost no further work.
+    prepared = candidates.select(
         *keep,
-        "_copy",
+        F.col(on).alias("_listed"),
         normalize_doi(F.col(on)).alias("doi"),
         title.alias("title"),
         F.lit("master_library").alias("source"),
@@ -68,4 +67,6 @@ def scan_library(
         F.lit("").alias("publication_types"),
         F.lit("").alias("abstract"),
         F.lit("true").alias("local_has_pdf"),
-    )
+    ).filter(F.col("doi") != "")
+    listed = master.select(F.col(on).alias("_listed"))
+    return library_with_metadata(listed, prepared, "_listed", unique).drop("_listed")

@@ -12,6 +12,16 @@ HEAVY_KEYS = 1000
 HEAVY_MIN_ROWS = 100_000
 SALTS = 4096
 
+# Inputs whose estimated size stays below this cannot overload a task whatever
+# their keys are; they join in the plain way.
+SMALL_BYTES = 1 << 30
+
+
+def is_large(df: DataFrame) -> bool:
+    """Could one task be overloaded by a hot key of ``df``? Judged by plan statistics."""
+    stats = df._jdf.queryExecution().optimizedPlan().stats()
+    return int(str(stats.sizeInBytes())) >= SMALL_BYTES
+
 
 def heavy_keys(rows: DataFrame, key: str, min_rows: int | None = None) -> DataFrame:
     """The most frequent keys, at most HEAVY_KEYS of them (counts combine map-side)."""
@@ -33,18 +43,19 @@ def lookup(
     key: str,
     *,
     unique: str,
-    spread: bool = True,
+    spread: bool | None = None,
     min_rows: int | None = None,
 ) -> DataFrame:
     """Left join ``rows`` with ``dim`` (one row per ``key``) without a hot task.
 
     Rows of heavy keys read their values from a small broadcast and enter the
     shuffle under a salted key that matches nothing, so they spread evenly by
-    ``unique``. All other rows join in the usual way. ``spread=False`` is for
-    inputs whose row count is known to fit one task.
+    ``unique``. All other rows join in the usual way. Finding the heavy keys
+    takes one pass over the key column, so it is done for large inputs only
+    (``spread=None``), or as the caller decides.
     """
     values = [c for c in dim.columns if c != key]
-    if not spread:
+    if not (is_large(rows) if spread is None else spread):
         return rows.join(dim, key, "left")
     heavy = heavy_keys(rows, key, min_rows)
     heavy_dim = dim.join(F.broadcast(heavy), key, "left_semi")
@@ -72,8 +83,11 @@ def mark(rows: DataFrame, keys: DataFrame, key: str, flag: str, **options) -> Da
     return found.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
-def exclude(rows: DataFrame, keys: DataFrame, key: str, **options) -> DataFrame:
+def exclude(
+    rows: DataFrame, keys: DataFrame, key: str, *, spread: bool | None = None, **options
+) -> DataFrame:
     """Rows whose ``key`` does not occur in ``keys`` (distinct); an anti join."""
-    if not options.get("spread", True):
+    if not (is_large(rows) if spread is None else spread):
         return rows.join(keys.select(key), key, "left_anti")
-    return mark(rows, keys, key, "_found", **options).filter(~F.col("_found")).drop("_found")
+    marked = mark(rows, keys, key, "_found", spread=True, **options)
+    return marked.filter(~F.col("_found")).drop("_found")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping
 
@@ -43,18 +44,22 @@ def record_text() -> Column:
     return F.concat_ws(" ", part("title"), part("abstract"))
 
 
-def _runs(subject: Column) -> Column:
-    folded = F.translate(F.lower(subject), "ſ", "s")
+def _folded(subject: Column) -> Column:
+    """Lower case, with the one letter outside ASCII that folds to an ASCII letter."""
+    return F.replace(F.lower(subject), F.lit("ſ"), F.lit("s"))
+
+
+def _runs(folded: Column) -> Column:
     return F.regexp_extract_all(folded, F.lit("([a-z0-9-]+)"), F.lit(1))
 
 
 def tags(subject: Column, aliases: Mapping[str, str]) -> Column:
     """Canonical names found in ``subject`` as an array, in alias rank order.
 
-    The dictionary travels as one literal array. A text is split once, its runs
-    are tested against a hash set of anchors, and only aliases whose anchor
-    occurs are confirmed by their pattern, so the cost per text hardly depends
-    on the number of aliases.
+    The dictionary travels as one literal array. A text is split once and its
+    runs are tested against a hash set of anchors, so the cost per text hardly
+    depends on the number of aliases. An alias that is a single run is then
+    certain; any other is confirmed as a substring and by its pattern.
     """
     if len(aliases) > LITERAL_ALIASES:
         raise ValueError(
@@ -62,31 +67,41 @@ def tags(subject: Column, aliases: Mapping[str, str]) -> Column:
         )
     ranked = [(a, c) for a, c in ranked_aliases(aliases) if anchor_of(a)]
     anchors = sorted({anchor_of(alias) for alias, _ in ranked})
-    dictionary = F.array(
-        *[
-            F.struct(
-                F.lit(anchor_of(alias)).alias("anchor"),
-                F.lit(alias_pattern(alias)).alias("pattern"),
-                F.lit(canonical).alias("canonical"),
-            )
-            for alias, canonical in ranked
-        ]
+    entries = [
+        {
+            "anchor": anchor_of(alias),
+            "alias": alias.lower(),
+            "pattern": None if anchor_of(alias) == alias.lower() else alias_pattern(alias),
+            "canonical": canonical,
+        }
+        for alias, canonical in ranked
+    ]
+    # One JSON literal, which the optimizer folds into a constant array.
+    dictionary = F.from_json(
+        F.lit(json.dumps(entries)),
+        "array<struct<anchor:string,alias:string,pattern:string,canonical:string>>",
     )
     none = F.array().cast("array<string>")
 
-    def confirm(subject: Column, found: Column) -> Column:
+    def confirm(subject: Column, folded: Column, found: Column) -> Column:
         confirmed = F.filter(
             dictionary,
             lambda entry: F.array_contains(found, entry["anchor"])
-            & F.rlike(subject, entry["pattern"]),
+            & (
+                entry["pattern"].isNull()
+                | (F.contains(folded, entry["alias"]) & F.rlike(subject, entry["pattern"]))
+            ),
         )
         return F.array_distinct(F.transform(confirmed, lambda entry: entry["canonical"]))
 
     return let(
         subject,
-        lambda t: let(
-            F.filter(_runs(t), lambda run: run.isin(anchors)),
-            lambda found: F.when(F.size(found) == 0, none).otherwise(confirm(t, found)),
+        lambda whole: let(
+            _folded(whole),
+            lambda folded: let(
+                F.array_distinct(F.filter(_runs(folded), lambda run: run.isin(anchors))),
+                lambda found: F.when(F.size(found) == 0, none).otherwise(confirm(whole, folded, found)),
+            ),
         ),
     )
 
@@ -100,27 +115,38 @@ def tag_with_table(records: DataFrame, aliases: DataFrame, column: str = "compou
     """The same tags for a dictionary of any size, given as ``(alias, canonical, rank)``.
 
     Runs of the texts meet the anchors in an equi join, which Spark broadcasts
-    only if the dictionary's size allows it; each candidate is confirmed on the
-    text and the hits of a record are put back in rank order. ``rank`` is the
-    position of the alias, longest first.
+    only if the dictionary's size allows it. Aliases of a single run are certain
+    then; the candidates of longer ones go back to the texts for confirmation.
+    ``rank`` is the position of the alias, longest first.
     """
     words = F.regexp_extract_all(F.lower("alias"), F.lit("([a-z0-9-]+)"), F.lit(1))
     longest = F.reduce(
         words, F.lit(""), lambda best, w: F.when(F.length(w) > F.length(best), w).otherwise(best)
     )
     quoted = F.regexp_replace("alias", r"([^0-9A-Za-z\x{80}-\x{10ffff}])", r"\\$1")
-    table = aliases.select(
-        longest.alias("anchor"),
-        F.concat(F.lit(f"(?iu)(?<![{GLUE}])"), quoted, F.lit(f"(?![{GLUE}])")).alias("pattern"),
-        "canonical",
-        "rank",
-    ).filter(F.col("anchor") != "")
+    pattern = F.concat(F.lit(f"(?iu)(?<![{GLUE}])"), quoted, F.lit(f"(?![{GLUE}])"))
+    table = (
+        aliases.select(F.lower("alias").alias("alias"), "canonical", "rank", longest.alias("anchor"), pattern.alias("pattern"))
+        .filter(F.col("anchor") != "")
+        .withColumn("single", F.col("anchor") == F.col("alias"))
+    )
     subject = records.select(SEQ, record_text().alias("_text"))
-    runs = subject.select(SEQ, F.explode(F.array_distinct(_runs(F.col("_text")))).alias("anchor"))
-    candidates = runs.join(table, "anchor").select(SEQ, "pattern", "canonical", "rank")
+    runs = subject.select(
+        SEQ, F.explode(F.array_distinct(_runs(_folded(F.col("_text"))))).alias("anchor")
+    )
+    certain = runs.join(table.filter("single"), "anchor").select(SEQ, "canonical", "rank")
+    open_ones = runs.join(table.filter("not single"), "anchor").select(
+        SEQ, "alias", "pattern", "canonical", "rank"
+    )
+    confirmed = (
+        open_ones.join(subject, SEQ)
+        .filter(
+            F.contains(_folded(F.col("_text")), F.col("alias")) & F.rlike("_text", F.col("pattern"))
+        )
+        .select(SEQ, "canonical", "rank")
+    )
     hits = (
-        candidates.join(subject, SEQ)
-        .filter(F.rlike("_text", F.col("pattern")))
+        certain.unionByName(confirmed)
         .groupBy(SEQ, "canonical")
         .agg(F.min("rank").alias("rank"))
         .groupBy(SEQ)

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import fill_cores
+
 # Phrases mixed into titles so that every rule meets cases that fire.
 LEADS = (
     "", "", "", "", "Recent ", "Review of ", "4-", "Correction: ", "", "Conference ",
@@ -53,13 +55,13 @@ def _case(key: Column, *arms) -> Column:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records_of(table(spark, sf_dir, "documents"))
+    return records_of(fill_cores(table(spark, sf_dir, "documents"), "doc_id"))
 
 
 def records_of(documents: DataFrame) -> DataFrame:
     """One record per document: repeated DOIs, repeated titles, dates of many forms."""
     doc = F.col("doc_id")
-    lead = F.split_part(F.split_part("text", F.lit("\n"), F.lit(1)), F.lit("."), F.lit(1))
+    lead = F.substring_index(F.substring_index("text", "\n", 1), ".", 1)
     size = F.length(lead)
     number = F.when(doc % 10 == 3, doc - 1).when(doc % 100 == 57, F.lit(7)).otherwise(doc)
     doi = (

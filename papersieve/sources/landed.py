@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,7 +93,7 @@ def parse_articles(table: DataFrame, raw: str = "raw", keep: tuple[str, ...] = (
     """Records of a table with one article element (XML text) per row.
 
     Mixed content and labelled abstract sections need a tree, which no built-in
-    keeps whole, so each batch of articles is parsed in an Arrow UDF. The DOI is
+    keeps whole, so batches of articles are parsed in Python. The DOI is
     taken from the article's own id list, never from its references. Articles
     that are not well-formed are dropped.
     """
@@ -135,16 +137,20 @@ def parse_articles(table: DataFrame, raw: str = "raw", keep: tuple[str, ...] = (
             "; ".join(inner(t) for t in types),
         )
 
-    @F.pandas_udf(ARTICLE_SCHEMA)
-    def parse(values: pd.Series) -> pd.DataFrame:
-        names = ["pmid", "doi", "title", "journal", "pub_date", "abstract", "publication_types"]
-        return pd.DataFrame([fields(v) for v in values], columns=names, dtype="object")
+    names = ["pmid", "doi", "title", "journal", "pub_date", "abstract", "publication_types"]
 
-    parsed = table.select(*keep, parse(F.col(raw)).alias("_a")).filter(F.col("_a.pmid").isNotNull())
-    columns = [
-        F.lit("pubmed").alias(c) if c == "source" else F.col(f"_a.{c}").alias(c) for c in BASE_COLUMNS
-    ]
-    return parsed.select(*keep, *columns)
+    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            parsed = pd.DataFrame([fields(v) for v in frame["_raw"]], columns=names, dtype="object")
+            out = pd.concat([frame[list(keep)].reset_index(drop=True), parsed], axis=1)
+            yield out[out["pmid"].notna()]
+
+    # A map over batches runs once per row; a UDF in a projection could be
+    # evaluated again for every filter on its result.
+    source = table.select(*keep, F.col(raw).alias("_raw"))
+    kept = [f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
+    parsed = source.mapInPandas(parse, ", ".join([*kept, ARTICLE_SCHEMA]))
+    return parsed.withColumn("source", F.lit("pubmed")).select(*keep, *BASE_COLUMNS)
 
 
 def read_articles(spark: SparkSession, path: str) -> DataFrame:

@@ -113,8 +113,8 @@ def parse_articles(table: DataFrame, raw: str = "raw", keep: tuple[str, ...] = (
         return ""
 
     def doi_of(article) -> str:
-        own = article.findall("./PubmedData/ArticleIdList/ArticleId")
-        own = own or [e for e in article.iter("ArticleId")]
+        cited = {e for refs in article.iter("ReferenceList") for e in refs.iter("ArticleId")}
+        own = (e for e in article.iter("ArticleId") if e not in cited)
         return next(((e.text or "").strip() for e in own if e.get("IdType") == "doi"), "")
 
     def sections(article) -> str:

@@ -89,7 +89,7 @@ def main(argv: list[str] | None = None) -> int:
             return 1
         out["search"] = runs.search_run(
             spark, cfg, track=args.track, source=args.source, date_from=args.date_from,
-            date_to=args.date_to, period=args.period,
+            date_to=args.date_to, period=args.period, resume=args.resume,
         )
     if args.command == "ai" or (args.command == "run" and ai):
         out["ai"] = runs.screen_run(spark, cfg, resume=args.resume)

@@ -128,9 +128,19 @@ def screening_order() -> list[Column]:
     return [track_rank(valid_track()), normalize_doi(text("doi")), F.col(SEQ)]
 
 
+def batch_index(records: DataFrame, size: int) -> DataFrame:
+    """``ingest_seq, row_index, batch_id`` in (track, DOI) order.
+
+    Only the sort keys are ordered and stored, not the texts.
+    """
+    rank, doi, seq = screening_order()
+    keys = records.select(SEQ, rank.alias("_rank"), doi.alias("_doi"))
+    return batches(keys, [F.col("_rank"), F.col("_doi"), seq], size).select(SEQ, "row_index", "batch_id")
+
+
 def screening_batches(records: DataFrame, size: int) -> DataFrame:
-    """Records with ``row_index`` and ``batch_id`` in (track, DOI) order."""
-    return batches(records, screening_order(), size)
+    """Records with their ``row_index`` and ``batch_id``."""
+    return records.join(batch_index(records, size), SEQ)
 
 
 def request_item() -> Column:

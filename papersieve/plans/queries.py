@@ -337,8 +337,7 @@ def query_signature(spark, sf):
 
 
 def screen_batches(spark, sf):
-    batched = screening.screening_batches(T.records(spark, sf), BATCH_SIZE)
-    return batched.select(SEQ, "row_index", "batch_id")
+    return screening.batch_index(T.records(spark, sf), BATCH_SIZE)
 
 
 def batch_payload(spark, sf):

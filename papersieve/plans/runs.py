@@ -11,11 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import advances_state, resolve_window
-from ..functions.identifiers import table_signature
+from ..functions.identifiers import query_signature, table_signature
 from ..functions.text import sanitize
 from ..lexicon import rule_aliases
 from ..operators import dedup, filters, history, library, ordering, overlay, screening, search
-from ..schema import AI_COLUMNS, BASE_COLUMNS, OUTPUT_COLUMNS, SEQ, TRACKS, text, with_columns_default
+from ..schema import (
+    AI_COLUMNS, BASE_COLUMNS, OUTPUT_COLUMNS, RECORD_SCHEMA, SEQ, TRACKS, text, with_columns_default,
+)
+from ..session import work_path
 from ..sinks import csv_output as sink
 from ..sources import api, landed
 from ..sources.csv_files import latest_run_file, read_csv
@@ -107,16 +110,37 @@ def _options(settings: Mapping) -> dict[str, str]:
     return out
 
 
-def pubmed_records(spark, queries, window, settings: Mapping) -> DataFrame:
+# Searches landed per job; a resumed run repeats at most one such group.
+SEARCHES_PER_JOB = 50
+
+
+def land(spark, source: str, queries, window, options: Mapping, folder: str, resume: bool) -> DataFrame:
+    """Answers of all searches as a stored table, in groups of searches.
+
+    The folder carries the signature of the searches and their window. A resumed
+    run takes the groups that are complete and asks only for the others, so no
+    answer is lost or requested twice.
+    """
+    start, end = str(window[0]), str(window[1])
+    base = f"{folder}/{source}/{query_signature(queries, start, end)}"
+    targets = []
+    for first in range(0, len(queries), SEARCHES_PER_JOB):
+        target = f"{base}/first={first}"
+        targets.append(target)
+        if resume and sink.exists(spark, f"{target}/_SUCCESS"):
+            continue
+        group = json.dumps(queries[first : first + SEARCHES_PER_JOB], ensure_ascii=False)
+        answers = spark.read.format(source).options(**options, queries=group, date_from=start, date_to=end).load()
+        placed = answers.withColumn("query_ord", F.col("query_ord") + first)
+        placed.write.mode("overwrite").parquet(target)
+    return spark.read.option("basePath", base).parquet(*targets)
+
+
+def pubmed_records(spark, queries, window, settings: Mapping, folder: str, resume: bool) -> DataFrame:
     """Articles of all searches; an id found twice is fetched once, at its first place."""
-    options = _options(settings)
-    found = (
-        spark.read.format("article_search")
-        .options(**options, queries=json.dumps(queries), date_from=str(window[0]), date_to=str(window[1]))
-        .load()
-    )
-    landed_ids = found.groupBy("pmid").agg(F.min(F.struct("query_ord", "position")).alias("place"))
-    numbered = ordering.number_rows(landed_ids, [F.col("place"), F.col("pmid")])
+    found = land(spark, "article_search", queries, window, _options(settings), folder, resume)
+    places = found.groupBy("pmid").agg(F.min(F.struct("query_ord", "position")).alias("place"))
+    numbered = ordering.number_rows(places, [F.col("place"), F.col("pmid")])
     cap = int(settings.get("max_pmids") or 0)
     if cap > 0:
         numbered = numbered.filter(F.col("row_index") < cap)
@@ -124,27 +148,24 @@ def pubmed_records(spark, queries, window, settings: Mapping) -> DataFrame:
     return landed.parse_articles(raw, keep=("row_index",))
 
 
-def crossref_records(spark, queries, window, settings: Mapping) -> DataFrame:
+def crossref_records(spark, queries, window, settings: Mapping, folder: str, resume: bool) -> DataFrame:
     """Works of all searches, the first per DOI."""
-    found = (
-        spark.read.format("work_search")
-        .options(**_options(settings), queries=json.dumps(queries), date_from=str(window[0]), date_to=str(window[1]))
-        .load()
-    )
+    found = land(spark, "work_search", queries, window, _options(settings), folder, resume)
     order = (F.col("query_ord").cast("long") * F.lit(1 << 40) + F.col("position")).alias("row_index")
     parsed = landed.parse_items(found.select(order, "raw"), keep=("row_index",))
     return dedup.keep_first(parsed, F.lower("doi"), "row_index")
 
 
-def fetch_records(spark: SparkSession, cfg: Mapping, tracks, source: str, window_of) -> DataFrame:
+def fetch_records(
+    spark: SparkSession, cfg: Mapping, tracks, source: str, window_of, resume: bool = False
+) -> DataFrame:
     """Records of all tracks and sources, numbered in (track, source, place) order.
 
-    Answers are stored before anything else happens: a request is made once.
+    The records are stored before anything else happens: a request is made once.
     """
     spark.dataSource.register(api.ArticleSearch)
     spark.dataSource.register(api.WorkSearch)
-    from ..session import work_path
-
+    landing = ((cfg.get("paths") or {}).get("state_dir") or "state").rstrip("/") + "/landing"
     parts = []
     for rank, track in enumerate(tracks):
         plan = []
@@ -156,14 +177,14 @@ def fetch_records(spark: SparkSession, cfg: Mapping, tracks, source: str, window
             plan.append((1, crossref_records, works, "crossref", search.crossref_settings(cfg, track)))
         for source_rank, reader, queries, name, settings in plan:
             path = work_path(spark, f"{track}-{name}")
-            rows = reader(spark, queries, window_of(name), settings)
+            rows = reader(spark, queries, window_of(name), settings, landing, resume)
             rows.select(
                 F.lit(rank).alias("_track"), F.lit(source_rank).alias("_source"), "row_index",
                 *BASE_COLUMNS, F.lit(track).alias("track"),
             ).write.parquet(path)
             parts.append(spark.read.parquet(path))
     if not parts:
-        return spark.createDataFrame([], f"{SEQ} long, " + ", ".join(f"{c} string" for c in (*BASE_COLUMNS, "track")))
+        return spark.createDataFrame([], RECORD_SCHEMA)
     together = reduce(DataFrame.unionByName, parts)
     order = [F.col("_track"), F.col("_source"), F.col("row_index")]
     return ordering.number_rows(together, order, SEQ).select(SEQ, *BASE_COLUMNS, "track")
@@ -211,6 +232,7 @@ def search_run(
     period: str | None = None,
     aliases=None,
     records: DataFrame | None = None,
+    resume: bool = False,
 ) -> dict:
     """Fetch (or take ``records``), curate, store as pending and write the run's files."""
     paths, search_cfg = cfg.get("paths") or {}, cfg.get("search") or {}
@@ -225,7 +247,7 @@ def search_run(
             period=period, lookback_days=lookback,
         )
 
-    fetched = records if records is not None else fetch_records(spark, cfg, tracks, source, window_of)
+    fetched = records if records is not None else fetch_records(spark, cfg, tracks, source, window_of, resume)
     done = curate_from_config(spark, fetched, cfg, aliases)
     stats = done.stats()
     if advances_state(search_cfg, period):

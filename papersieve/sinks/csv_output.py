@@ -71,7 +71,7 @@ def write_csv(table: DataFrame, path: str, bom: bool = True, mode: str = "errori
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
@@ -80,7 +80,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def run_dir(spark: SparkSession, output_dir: str, now: datetime, pattern: str = "%Y-%m-%d") -> str:
     """Folder of a run: the day, or day and time if the day already has a run."""
     path = f"{output_dir.rstrip('/')}/{now.strftime(pattern)}"
-    return f"{path}_{now.strftime('%H%M%S')}" if _exists(spark, path) else path
+    return f"{path}_{now.strftime('%H%M%S')}" if exists(spark, path) else path
 
 
 def write_run(
@@ -137,7 +137,7 @@ def write_text(spark: SparkSession, path: str, body: str) -> None:
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
-    if not _exists(spark, path):
+    if not exists(spark, path):
         return None
     return "\n".join(r["value"] for r in spark.read.text(path).collect())
 

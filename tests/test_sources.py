@@ -128,3 +128,42 @@ def test_point_lookup():
     known = lambda url, params: '{"message": {"DOI": "10.5/a"}}' if url.endswith("10.5/a") else ""
     assert json.loads(api.work_by_doi(" 10.5/a ", known))["DOI"] == "10.5/a"
     assert api.work_by_doi("10.5/zz", known) is None and api.work_by_doi("", known) is None
+
+
+def test_fetch_lands_and_resumes(spark, tmp_path):
+    from papersieve.plans import runs
+
+    replay = tmp_path / "answers"
+    replay.mkdir()
+    low, high = date(2024, 1, 1), date(2024, 2, 1)
+    for query, ids in (("q1", ["7", "8"]), ("q2", ["8", "9"])):
+        record_answer(replay, api.ARTICLE_SEARCH_URL, search_params(query, low, high, 0, 0),
+                      json.dumps({"esearchresult": {"count": "2"}}))
+        record_answer(replay, api.ARTICLE_SEARCH_URL, search_params(query, low, high, 0, 2),
+                      json.dumps({"esearchresult": {"idlist": ids}}))
+    record_answer(replay, api.ARTICLE_FETCH_URL, fetch_params(["7", "8", "9"]), f"<S>{article(7)}{article(8)}{article(9)}</S>")
+    common = {"query": "w1", "filter": "from-pub-date:2024-01-01,until-pub-date:2024-02-01,type:journal-article"}
+    work = {"DOI": "10.5555/W", "title": ["Work"]}
+    for params, message in (
+        ({"rows": 0, "select": "DOI"}, {"total-results": 2}),
+        ({"rows": 2, "cursor": "*", "select": api.WORK_FIELDS}, {"items": [work, {**work, "DOI": "10.5555/w"}]}),
+    ):
+        record_answer(replay, api.WORKS_URL, {**common, **params}, json.dumps({"message": message}))
+    cfg = {
+        "paths": {"state_dir": str(tmp_path / "state")},
+        "pubmed": {"use_keywords_from_code": False, "hybrid_queries": ["q1", "q2"], "batch_size": 2,
+                   "efetch_batch_size": 50, "replay": str(replay)},
+        "crossref": {"query_source": "manual", "queries": ["w1"], "replay": str(replay)},
+    }
+    fetch = lambda resume: runs.fetch_records(spark, cfg, ["hybrid"], "all", lambda _: (low, high), resume)
+    rows = fetch(False).orderBy("ingest_seq").collect()
+    assert [(r["ingest_seq"], r["source"], r["doi"], r["track"]) for r in rows] == [
+        (0, "pubmed", "10.5555/x7", "hybrid"), (1, "pubmed", "10.5555/x8", "hybrid"),
+        (2, "pubmed", "10.5555/x9", "hybrid"), (3, "crossref", "10.5555/W", "hybrid"),
+    ]
+    # The searches are complete: a resumed run needs none of their answers again.
+    for query in ("q1", "q2"):
+        (replay / api.ReplayTransport.name(api.ARTICLE_SEARCH_URL, search_params(query, low, high, 0, 2))).write_text("{}")
+    assert fetch(True).count() == 4
+    assert runs.fetch_records(spark, {"pubmed": {"use_keywords_from_code": False}, "crossref": {"enabled": False}},
+                              ["hybrid"], "all", lambda _: (low, high)).count() == 0

@@ -215,9 +215,9 @@ def alias_values() -> str:
 
 def tag_ctes(records: str = "records") -> str:
     return f"""
-texts AS (SELECT ingest_seq, concat_ws(' ', nullif(title, ''), nullif(abstract, '')) AS body FROM {records}),
+texts AS MATERIALIZED (SELECT *, lower(body) AS low FROM (SELECT ingest_seq, concat_ws(' ', nullif(title, ''), nullif(abstract, '')) AS body FROM {records})),
 hit AS (SELECT ingest_seq, canonical, min(rank) AS rank FROM texts JOIN {alias_values()}
-  ON contains(lower(body), alias) AND regexp_matches(body, pattern) GROUP BY ingest_seq, canonical),
+  ON contains(low, alias) AND regexp_matches(body, pattern) GROUP BY ingest_seq, canonical),
 tagged AS (SELECT ingest_seq, string_agg(canonical, ', ' ORDER BY rank) AS compounds FROM hit GROUP BY ingest_seq)"""
 
 

@@ -203,21 +203,23 @@ labels AS (SELECT k.ingest_seq, k.doi, CASE WHEN k.early IS NOT NULL THEN k.earl
 # --- tagging -----------------------------------------------------------------------------
 
 
-def alias_values() -> str:
-    ranked = tagging.ranked_aliases(Q.aliases())
+def alias_hits() -> str:
+    """One branch per alias, so that every pattern is a constant."""
     escape = lambda a: re.sub(r"([^0-9A-Za-z\u0080-\U0010ffff])", r"\\\1", a)
-    rows = ", ".join(
-        f"({rank}, {lit(alias)}, {lit(canonical)}, {lit('(?i)(?:^|[^a-zA-Z0-9-])' + escape(alias) + '(?:$|[^a-zA-Z0-9-])')})"
-        for rank, (alias, canonical) in enumerate(ranked)
-    )
-    return f"(VALUES {rows}) AS alias(rank, alias, canonical, pattern)"
+    branches = []
+    for rank, (alias, canonical) in enumerate(tagging.ranked_aliases(Q.aliases())):
+        pattern_ = f"(?i)(?:^|[^a-zA-Z0-9-]){escape(alias)}(?:$|[^a-zA-Z0-9-])"
+        branches.append(
+            f"SELECT ingest_seq, {lit(canonical)} AS canonical, {rank} AS rank FROM texts "
+            f"WHERE contains(low, {lit(alias)}) AND regexp_matches(body, {lit(pattern_)})"
+        )
+    return " UNION ALL ".join(branches)
 
 
 def tag_ctes(records: str = "records") -> str:
     return f"""
 texts AS MATERIALIZED (SELECT *, lower(body) AS low FROM (SELECT ingest_seq, concat_ws(' ', nullif(title, ''), nullif(abstract, '')) AS body FROM {records})),
-hit AS (SELECT ingest_seq, canonical, min(rank) AS rank FROM texts JOIN {alias_values()}
-  ON contains(low, alias) AND regexp_matches(body, pattern) GROUP BY ingest_seq, canonical),
+hit AS MATERIALIZED (SELECT ingest_seq, canonical, min(rank) AS rank FROM ({alias_hits()}) GROUP BY ingest_seq, canonical),
 tagged AS (SELECT ingest_seq, string_agg(canonical, ', ' ORDER BY rank) AS compounds FROM hit GROUP BY ingest_seq)"""
 
 

@@ -43,7 +43,9 @@ def parse_year(value: Column) -> Column:
     """Number in the first four characters, truncated to an integer, else null."""
     head = F.substring(strip(value.cast("string")), 1, 4)
     numeric = F.when(head.rlike(r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?$"), head)
-    return numeric.cast("double").cast("int")
+    # A number beyond the integers still compares as beyond any bound.
+    number = F.least(F.greatest(numeric.cast("double"), F.lit(-(2.0**31))), F.lit(2.0**31 - 1))
+    return F.when(numeric.isNotNull(), number.cast("int"))
 
 
 def leading_year(pub_date: Column) -> Column:

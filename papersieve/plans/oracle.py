@@ -548,6 +548,16 @@ def oracle_sql() -> dict[str, str]:
         "record_union": f"WITH {RECORDS} SELECT source, {strip('track')} AS track, count(*) AS n FROM records GROUP BY ALL",
         "json_record_parse": JSON_SQL,
         "xml_record_parse": xml_sql(),
+        "json_landed_scan": f"SELECT * EXCLUDE (page_id) FROM ({JSON_SQL})",
+        "xml_landed_scan": f"SELECT * EXCLUDE (ingest_seq) FROM ({xml_sql()})",
+        "track_files": f"""WITH {RECORDS} SELECT {resolved('track', "''")} AS track, doi, {sanitize('title')} AS title,
+            md5({sanitize('abstract')}) AS abstract_md5, pmid, '' AS missing, '2024-05-06 07:08:09' AS fetched_at FROM records""",
+        "key_results": f"WITH {merged_ctes()}, counts AS ("
+        + domain_counts(
+            "merged WHERE ai_pass = 'true' AND ai_rationale_zh <> 'batch_api_error_kept'",
+            resolved("track", "ai_category"),
+        )
+        + ") SELECT track, n, n AS file_rows FROM counts",
         "date_windows": WINDOWS_SQL,
         "month_segments": MONTHS_SQL,
         "segment_plan": SEGMENTS_SQL,

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +29,10 @@ from ..operators import (
     tagging,
 )
 from ..schema import SEQ, TRACKS, text
+from ..session import work_path
+from ..sinks import csv_output
 from ..sources import landed
+from ..sources.csv_files import read_csv
 from . import tables as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -546,6 +551,61 @@ def xml_record_parse(spark, sf):
     )
 
 
+def json_landed_scan(spark, sf):
+    """The items as landed answer pages, one page per line, read back from files."""
+    items = json_items(spark, sf)
+    pages = items.select(
+        F.concat(F.lit('{"message": {"total-results": 1, "items": ['), F.col("raw"), F.lit("]}}")).alias("value")
+    )
+    path = work_path(spark, "answers")
+    pages.write.text(path)
+    return landed.read_answers(spark, path)
+
+
+def xml_landed_scan(spark, sf):
+    """The articles as landed XML files, split at their end tags."""
+    path = work_path(spark, "articles")
+    xml_articles(spark, sf).select(F.col("raw").alias("value")).write.text(path)
+    return landed.read_articles(spark, path).select(
+        "source", "pmid", "doi", "title", "journal", "pub_date", "publication_types",
+        F.md5("abstract").alias("abstract_md5"),
+    )
+
+
+# --- outputs ----------------------------------------------------------------------------------------
+
+OUTPUT_TIME = datetime(2024, 5, 6, 7, 8, 9)
+
+
+def track_files(spark, sf):
+    """A run's CSV files per track, written and read back."""
+    columns = ["doi", "title", "abstract", "pmid", "missing"]
+    folder = csv_output.write_run(
+        T.records(spark, sf), work_path(spark, "output"), {"columns": columns}, OUTPUT_TIME
+    )
+    parts = [
+        read_csv(spark, f"{folder}/{name}").withColumn("track", F.lit(track))
+        for track, name in csv_output.TRACK_FILES.items()
+    ]
+    rows = reduce(DataFrame.unionByName, parts).fillna("")
+    return rows.select(
+        "track", "doi", "title", F.md5("abstract").alias("abstract_md5"), "pmid", "missing", "fetched_at"
+    )
+
+
+def key_results(spark, sf):
+    """Usable records per track as exported, with the counts of the summary."""
+    screened = _merged(spark, sf).select("track", "ai_category", "ai_pass", "ai_rationale_zh", "ai_compound")
+    summary = csv_output.export_key_results(screened, work_path(spark, "output"), "check")
+    parts = [
+        read_csv(spark, summary["files"][track]).groupBy().agg(F.count("*").alias("file_rows")).select(
+            F.lit(track).alias("track"), F.lit(n).cast("long").alias("n"), "file_rows"
+        )
+        for track, n in summary["by_track"].items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- windows --------------------------------------------------------------------------------------
 
 
@@ -632,7 +692,7 @@ def queries() -> dict[str, Query]:
         screen_batches, batch_payload, content_signature, table_signature, pending_batches,
         reply_parse, judgement_last_wins, judgement_merge, screening_stats, usable_by_track,
         repair_overlay, merge_outputs, record_union, json_record_parse, xml_record_parse,
-        date_windows, month_segments, segment_plan, search_pipeline, head_in_order,
+        json_landed_scan, xml_landed_scan, track_files, key_results, date_windows, month_segments, segment_plan, search_pipeline, head_in_order,
         incremental_ingest,
     ]
     return {fn.__name__: fn for fn in listed}

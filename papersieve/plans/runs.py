@@ -16,7 +16,8 @@ from ..functions.text import sanitize
 from ..lexicon import rule_aliases
 from ..operators import dedup, filters, history, library, ordering, overlay, screening, search
 from ..schema import (
-    AI_COLUMNS, BASE_COLUMNS, OUTPUT_COLUMNS, RECORD_SCHEMA, SEQ, TRACKS, text, with_columns_default,
+    AI_COLUMNS, BASE_COLUMNS, OUTPUT_COLUMNS, RECORD_SCHEMA, SEQ, TRACKS, adopt_columns, text,
+    with_columns_default,
 )
 from ..session import work_path
 from ..sinks import csv_output as sink
@@ -322,7 +323,8 @@ def import_library_run(
     rows = sink.output_table(fresh, [c for c in columns if c != "fetched_at"], None)
     base_path = latest_run_file(spark, output_dir, flat)
     if base_path:
-        merged = overlay.append_rows(read_csv(spark, base_path), rows, stamp)
+        base = adopt_columns(read_csv(spark, base_path), cfg.get("column_names"))
+        merged = overlay.append_rows(base, rows, stamp)
     else:
         merged = rows.withColumn("fetched_at", stamp)
     target = f"{output_dir.rstrip('/')}/{now.strftime(pattern)}"
@@ -339,7 +341,7 @@ def export_run(spark: SparkSession, cfg: Mapping, source: str | None = None, lab
     path = source or latest_run_file(spark, output_dir, pattern.split("%")[0] + "*.csv")
     if not path:
         raise FileNotFoundError(f"no output below {output_dir}")
-    table = read_csv(spark, path).fillna("")
+    table = adopt_columns(read_csv(spark, path).fillna(""), cfg.get("column_names"))
     return sink.export_key_results(with_columns_default(table, ("track", "ai_category", "ai_pass", "ai_rationale_zh")), output_dir, label, path)
 
 

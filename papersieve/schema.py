@@ -84,3 +84,19 @@ def with_columns_default(df: DataFrame, names, default: str = "") -> DataFrame:
     """Add the missing columns of ``names`` as constant strings."""
     missing = {n: F.lit(default) for n in names if n not in df.columns}
     return df.withColumns(missing) if missing else df
+
+
+def adopt_columns(df: DataFrame, names) -> DataFrame:
+    """Fill our columns from differently named ones of older files.
+
+    ``names`` maps the old name to ours; an old column only fills blank cells.
+    """
+    for old, ours in (names or {}).items():
+        if old not in df.columns:
+            continue
+        value = F.coalesce(F.col(f"`{old}`").cast("string"), F.lit(""))
+        if ours in df.columns:
+            own = text(ours)
+            value = F.when(own == "", value).otherwise(own)
+        df = df.withColumn(ours, value).drop(old)
+    return df

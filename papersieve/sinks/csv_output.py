@@ -13,7 +13,7 @@ from ..functions.text import sanitize
 from ..operators.classify import resolved_track
 from ..operators.counters import count_by_domain
 from ..operators.filters import is_usable
-from ..schema import MINIMAL_OUTPUT, TRACKS
+from ..schema import MINIMAL_OUTPUT, TRACKS, with_columns_default
 from ..session import work_path
 from ..sources.csv_files import BOM
 
@@ -98,7 +98,8 @@ def write_run(
     spark = records.sparkSession
     stored = work_path(spark, "run")
     write_partitioned(records, stored)
-    table = spark.read.schema(records.withColumn("bucket", F.lit("")).schema).parquet(stored)
+    layout = with_columns_default(records, ("track", "ai_category")).withColumn("bucket", F.lit(""))
+    table = spark.read.schema(layout.schema).parquet(stored)
     if not cfg.get("save_empty_result", False) and table.isEmpty():
         return None
     folder = run_dir(spark, output_dir, now, cfg.get("run_dir_pattern", "%Y-%m-%d"))
@@ -119,7 +120,8 @@ def write_run(
 
 def write_partitioned(records: DataFrame, path: str, mode: str = "overwrite") -> None:
     """All tracks in one pass, partitioned by track; the form to use for large runs."""
-    bucketed = records.withColumn("bucket", resolved_track())
+    named = with_columns_default(records, ("track", "ai_category"))
+    bucketed = named.withColumn("bucket", resolved_track())
     bucketed.write.mode(mode).partitionBy("bucket").parquet(path)
 
 

@@ -158,6 +158,14 @@ def test_repair_and_append(spark):
     assert merged.filter("extra = '' and fetched_at = 'now'").count() == 3
 
 
+def test_older_column_names(spark):
+    from papersieve.schema import adopt_columns
+
+    old = spark.createDataFrame([("", "hybrid", "x"), ("gce", "hybrid", None)], "track string, old_track string, old_cat string")
+    got = adopt_columns(old, {"old_track": "track", "old_cat": "ai_category", "none": "doi"})
+    assert [tuple(r) for r in got.collect()] == [("hybrid", "x"), ("gce", "")]
+
+
 def test_validation_and_preview(tmp_path):
     cfg = {"paths": {"master_csv": "/none.csv"}, "pubmed": {"email": "a@example.com"}, "crossref": {"mailto": "me@lab.org"},
            "ai_screening": {"enabled": True, "fail_if_missing_key": True, "api_key_env": "NO_SUCH_KEY"}}

@@ -144,6 +144,11 @@ def _greedy_tail(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.iloc[chosen]
 
 
+def _spreading(stored: DataFrame, key: str, spread: bool) -> dict:
+    """Join options: heavy keys come from a stored table, not from a plan in progress."""
+    return {"unique": SEQ, "spread": spread, "heavy": skew.heavy_keys(stored, key) if spread else None}
+
+
 def match(edges: DataFrame, cfg: DedupConfig) -> tuple[DataFrame, int]:
     """Accepted ``(ingest_seq, doi, second)`` of a candidate table, and rounds used.
 
@@ -161,10 +166,13 @@ def match(edges: DataFrame, cfg: DedupConfig) -> tuple[DataFrame, int]:
             break
         rounds += 1
         accepted = first_at_both_ends(edges)
+        spread = left > cfg.small_rows
+        # The accepted records serve several joins; a large set is stored first.
+        accepted = cut_lineage(accepted) if spread else accepted
         parts.append(accepted)
-        options = {"unique": SEQ, "spread": left > cfg.small_rows}
-        rest = skew.exclude(edges, accepted, "doi", **options)
-        rest = skew.exclude(rest, accepted, "second", **options)
+        rest = edges
+        for key in ("doi", "second"):
+            rest = skew.exclude(rest, accepted, key, **_spreading(edges, key, spread))
         edges = cut_lineage(rest.select(SEQ, "doi", "second"))
         left = edges.count()
         if len(parts) >= 16:
@@ -190,7 +198,7 @@ def deduplicate(
     edges = candidates.groupBy("doi", "second").agg(F.min(SEQ).alias(SEQ)).select(SEQ, "doi", "second")
     if known is not None:
         known = known.select("doi").distinct()
-        edges = skew.exclude(edges, known, "doi", unique=SEQ, spread=spread)
+        edges = skew.exclude(edges, known, "doi", **_spreading(keys, "doi", spread))
 
     two_keys = cfg.by_title or cfg.by_title_and_pub_date
     if two_keys:
@@ -202,9 +210,10 @@ def deduplicate(
     accepted = cut_lineage(accepted.select(SEQ, "doi", "second"))
 
     owners = accepted.select("doi", F.col(SEQ).alias("_doi_owner"))
-    labelled = skew.lookup(keys, owners, "doi", unique=SEQ, spread=spread)
+    by_doi = _spreading(keys, "doi", spread)
+    labelled = skew.lookup(keys, owners, "doi", **by_doi)
     if known is not None:
-        labelled = skew.mark(labelled, known, "doi", "_known", unique=SEQ, spread=spread)
+        labelled = skew.mark(labelled, known, "doi", "_known", **by_doi)
     else:
         labelled = labelled.withColumn("_known", F.lit(False))
     reason = (
@@ -217,7 +226,7 @@ def deduplicate(
         dated = accepted.join(keys.select(SEQ, F.col("pub").alias("_owner_pub")), SEQ).select(
             "second", "_owner_pub"
         )
-        labelled = skew.lookup(labelled, dated, "second", unique=SEQ, spread=spread)
+        labelled = skew.lookup(labelled, dated, "second", **_spreading(keys, "second", spread))
         reason = reason.when(
             (F.col("pub") != "") & (F.col("pub") == F.col("_owner_pub")), F.lit(TITLE_DATE)
         ).otherwise(F.lit(TITLE))

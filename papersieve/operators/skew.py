@@ -45,6 +45,7 @@ def lookup(
     unique: str,
     spread: bool | None = None,
     min_rows: int | None = None,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``rows`` with ``dim`` (one row per ``key``) without a hot task.
 
@@ -52,12 +53,14 @@ def lookup(
     shuffle under a salted key that matches nothing, so they spread evenly by
     ``unique``. All other rows join in the usual way. Finding the heavy keys
     takes one pass over the key column, so it is done for large inputs only
-    (``spread=None``), or as the caller decides.
+    (``spread=None``), or as the caller decides. A caller that has a stored table
+    with the same keys passes its ``heavy`` keys instead of having them counted
+    on ``rows``.
     """
     values = [c for c in dim.columns if c != key]
     if not (is_large(rows) if spread is None else spread):
         return rows.join(dim, key, "left")
-    heavy = heavy_keys(rows, key, min_rows)
+    heavy = heavy_keys(rows, key, min_rows) if heavy is None else heavy
     heavy_dim = dim.join(F.broadcast(heavy), key, "left_semi")
     routed = heavy.join(F.broadcast(heavy_dim), key, "left").select(
         F.col(key).alias("_heavy"), *[F.col(c).alias(f"_heavy_{c}") for c in values]

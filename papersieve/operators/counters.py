@@ -23,6 +23,19 @@ def kept_dropped(df: DataFrame, dropped: Column) -> DataFrame:
     )
 
 
+def title_counts(tagged: DataFrame, drop_failed: bool = True) -> DataFrame:
+    """One row of title filter counters of a table with hits and pass columns."""
+    hits, failed = F.col("title_filter_hits"), F.col("title_filter_pass") == "false"
+    dropped = failed if drop_failed else F.lit(False)
+    return tagged.agg(
+        F.count("*").alias("input"),
+        F.count_if(dropped).alias("dropped"),
+        F.count_if(~dropped).alias("kept"),
+        F.count_if(F.startswith(hits, F.lit("neg:"))).alias("tagged"),
+        F.count_if(F.contains(hits, F.lit("pos:missing"))).alias("positive_miss"),
+    )
+
+
 def drop_reason_counts(df: DataFrame, reason: Column) -> DataFrame:
     """Drop reasons with their counts, in alphabetical order; kept rows are left out."""
     counted = df.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))

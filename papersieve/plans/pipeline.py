@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import vocabulary as V
 from ..operators import counters, dedup, filters, history, tagging
 from ..schema import with_columns_default
 
@@ -20,18 +21,31 @@ class Curated:
     raw: DataFrame
     typed: DataFrame
     cleaned: DataFrame
+    titled: DataFrame
     outcome: dedup.Deduplicated
     cleaner: filters.CleanerConfig
+    title_cfg: filters.TitleFilterConfig
+    dropped_type: Column
 
     def stats(self) -> dict[str, int]:
         """Counters of all stages (a few scalars per stage)."""
         out = dict(self.outcome.stats())
-        types = counters.kept_dropped(self.raw, filters.type_excluded()).first()
+        types = counters.kept_dropped(self.raw, self.dropped_type).first()
         out.update({f"article_type_{k}": types[k] for k in ("input", "dropped", "kept")})
-        reasons = counters.drop_reason_counts(self.typed, filters.drop_reason(self.cleaner)).collect()
+        reasons = []
+        if self.cleaner.enabled:
+            reasons = counters.drop_reason_counts(self.typed, filters.drop_reason(self.cleaner)).collect()
+        dropped = sum(r["n"] for r in reasons)
+        out["literature_cleaner_input"] = types["kept"]
+        out["literature_cleaner_dropped"] = dropped
+        out["literature_cleaner_kept"] = types["kept"] - dropped
         out.update({f"literature_cleaner_drop_{r['reason']}": r["n"] for r in reasons})
+        out.update({f"title_filter_{k}": v for k, v in self.title_stats().items()})
         return out
 
+    def title_stats(self) -> dict[str, int]:
+        return counters.title_counts(self.titled, self.title_cfg.only_keep_passed).first().asDict()
+
 
 def curate(
     records: DataFrame,
@@ -55,11 +69,18 @@ def curate(
     cleaned = filters.clean(typed, cleaner)
     outcome = dedup.deduplicate(cleaned, known, dedup_cfg)
     kept = outcome.kept(cleaned)
-    titled = filters.filter_titles(kept, title_cfg or filters.TitleFilterConfig())
+    title_cfg = title_cfg or filters.TitleFilterConfig()
+    tagged_titles = filters.tag_title_keywords(kept, title_cfg)
+    titled = filters.filter_titles(kept, title_cfg)
     if local is not None:
         # DOIs are unique here, so the flag needs no protection against hot keys.
         flagged = history.flag_local(titled, local, spread=False)
     else:
         flagged = with_columns_default(titled, ["local_has_pdf"])
     tagged = tagging.tag_records(flagged, aliases) if aliases else flagged.withColumn("compounds", F.lit(""))
-    return Curated(tagged, records, typed, cleaned, outcome, cleaner)
+    dropped_type = F.lit(False)
+    if filter_types:
+        dropped_type = filters.type_excluded(type_patterns or V.TYPE_EXCLUDE_PATTERNS)
+    return Curated(
+        tagged, records, typed, cleaned, tagged_titles, outcome, cleaner, title_cfg, dropped_type
+    )

@@ -161,15 +161,7 @@ def title_filter_hits(spark, sf):
 def title_filter_stats(spark, sf):
     cfg = filters.TitleFilterConfig(enabled=True, require_positive=True, only_keep_passed=False)
     tagged = filters.tag_title_keywords(T.records(spark, sf), cfg)
-    hits = F.col("title_filter_hits")
-    failed = F.col("title_filter_pass") == "false"
-    return tagged.agg(
-        F.count("*").alias("input"),
-        F.count_if(failed).alias("dropped"),
-        F.count_if(~failed).alias("kept"),
-        F.count_if(F.startswith(hits, F.lit("neg:"))).alias("tagged"),
-        F.count_if(F.contains(hits, F.lit("pos:missing"))).alias("positive_miss"),
-    )
+    return counters.title_counts(tagged)
 
 
 def blank_query_elimination(spark, sf):

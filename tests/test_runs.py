@@ -65,6 +65,7 @@ def test_search_screen_export(spark, tmp_path):
     stats = out["stats"]
     assert (stats["total_raw"], stats["new_count"], stats["skipped_duplicate_in_batch"]) == (4, 3, 1)
     assert stats["article_type_dropped"] == 1 and stats["literature_cleaner_drop_title_prefix"] == 1
+    assert stats["literature_cleaner_kept"] == 4 and stats["title_filter_kept"] == 3
     assert sorted(os.path.basename(p) for p in glob.glob(out["output"] + "/*.csv")) == sorted(
         [*sink.TRACK_FILES.values(), "all.csv"]
     )

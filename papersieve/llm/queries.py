@@ -7,11 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import neighbours, url_filter
+from ..session import cut_lineage, work_path
+from . import neighbours, packing, token_files, url_filter
 from .base import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_path(spark, "token-ids")
+    documents = table(spark, sf_dir, "documents")
+    shards = cut_lineage(token_files.write(documents, folder, tokenizer_path("word_bpe_49k.json"), end_id=1))
+    return token_files.digest(token_files.read(spark, shards), token_files.starts(shards))
+
+
 URL_RULES = (
     ("block", "net", "/"),
     ("allow", "example.net", "/en/"),
@@ -64,6 +82,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_best_fit_packing": op1_best_fit_packing,
+        "op5_token_files": op5_token_files,
         "op6_url_filter": op6_url_filter,
         "op7_nearest_neighbours": op7_nearest_neighbours,
     }

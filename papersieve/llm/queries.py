@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, work_path
-from . import neighbours, packing, token_files, url_filter
+from . import language, neighbours, packing, quality, token_files, url_filter
 from .base import table
+from .sampling import fold
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -23,6 +24,22 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
+def _held_out(rows: DataFrame, folds: int, held: int) -> DataFrame:
+    out = F.coalesce(fold(F.col("doc_id"), folds) == held, F.lit(False))
+    return rows.select("doc_id", out.alias("held_out"), *[c for c in rows.columns if c != "doc_id"])
+
+
+def _trainable(rows: DataFrame, folds: int, held: int) -> DataFrame:
+    """The rows whose labels may be learned from."""
+    return rows.filter(fold(F.col("doc_id"), folds) != held)
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = quality.fit(documents, _trainable(table(spark, sf_dir, "labels"), 3, 1))
+    return _held_out(quality.score(documents, model), 3, 1)
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_path(spark, "token-ids")
     documents = table(spark, sf_dir, "documents")
@@ -38,6 +55,12 @@ URL_RULES = (
 )
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = language.fit(_trainable(documents, 5, 0))
+    return _held_out(language.identify(documents, model), 5, 0)
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
@@ -83,9 +106,11 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
+        "op2_quality_classifier": op2_quality_classifier,
         "op5_token_files": op5_token_files,
         "op6_url_filter": op6_url_filter,
         "op7_nearest_neighbours": op7_nearest_neighbours,
+        "op10_language_id": op10_language_id,
     }
 
 

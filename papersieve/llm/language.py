@@ -132,7 +132,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Mode
     truth = np.array([label[r[0]] for r in kept])
     z = np.array([(r[2] @ weights[r[1]] if len(r[1]) else 0) + bias for r in kept])
     loss = lambda t: -np.log(_softmax(z / t)[np.arange(len(kept)), truth] + 1e-12).mean()
-    heat = min((0.25, 0.5, 0.7, 1.0, 1.4, 2.0, 3.0), key=loss)
+    heat = min((0.7, 1.0, 1.4, 2.0, 3.0), key=loss)
     best = _softmax(z / heat)
     right = best.argmax(axis=1) == truth
     threshold = min(0.5, float(np.quantile(best.max(axis=1)[right], REJECT))) if right.any() else 0.0

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, work_path
-from . import language, neighbours, packing, quality, token_files, url_filter
+from . import language, neighbours, packing, quality, token_files, toxicity, url_filter
 from .base import table
 from .sampling import fold
 
@@ -55,6 +55,12 @@ URL_RULES = (
 )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    lexicon = toxicity.fit(documents, _trainable(table(spark, sf_dir, "labels"), 5, 0))
+    return _held_out(toxicity.score(documents, lexicon), 5, 0)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = language.fit(_trainable(documents, 5, 0))
@@ -110,6 +116,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_files": op5_token_files,
         "op6_url_filter": op6_url_filter,
         "op7_nearest_neighbours": op7_nearest_neighbours,
+        "op9_toxicity": op9_toxicity,
         "op10_language_id": op10_language_id,
     }
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, work_path
-from . import language, neighbours, packing, quality, token_files, toxicity, url_filter
+from . import decontamination, language, neighbours, packing, quality, token_files, toxicity, url_filter
 from .base import table
 from .sampling import fold
 
@@ -55,6 +55,36 @@ URL_RULES = (
 )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+    return found.drop("mark")
+
+
+OP8_SQL = f"""
+WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w
+  FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w
+  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item_id, array_to_string(w[i : i + 9], ' ') AS g, 10 AS n FROM iw, unnest(range(1, len(w) - 8)) AS t(i) WHERE len(w) >= 10
+  UNION SELECT item_id, array_to_string(w, ' '), len(w) FROM iw WHERE len(w) BETWEEN 1 AND 9),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (
+  SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS g FROM dw, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)),
+hits AS (SELECT p.doc_id, p.i, p.n, x.item_id FROM places p JOIN windows x ON p.g = x.g AND p.n = x.n),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw d LEFT JOIN hit_words h ON d.doc_id = h.doc_id LEFT JOIN hit_items t ON d.doc_id = t.doc_id
+"""
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     lexicon = toxicity.fit(documents, _trainable(table(spark, sf_dir, "labels"), 5, 0))
@@ -116,10 +146,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_files": op5_token_files,
         "op6_url_filter": op6_url_filter,
         "op7_nearest_neighbours": op7_nearest_neighbours,
+        "op8_decontamination": op8_decontamination,
         "op9_toxicity": op9_toxicity,
         "op10_language_id": op10_language_id,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filter": OP6_SQL, "op7_nearest_neighbours": OP7_SQL}
+    return {"op6_url_filter": OP6_SQL, "op7_nearest_neighbours": OP7_SQL, "op8_decontamination": OP8_SQL}

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, work_path
-from . import decontamination, html_text, language, neighbours, packing, quality, token_files, toxicity, url_filter
+from . import decontamination, html_text, jaccard_join, language, neighbours, packing, quality, token_files, toxicity, url_filter
 from .base import table
 from .sampling import fold
 
@@ -40,6 +40,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _held_out(quality.score(documents, model), 3, 1)
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -147,6 +151,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
         "op2_quality_classifier": op2_quality_classifier,
+        "op3_jaccard_join": op3_jaccard_join,
         "op4_html_text": op4_html_text,
         "op5_token_files": op5_token_files,
         "op6_url_filter": op6_url_filter,

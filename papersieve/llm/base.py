@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..session import cut_lineage
 
 # Most text bytes that a task handles at once; a longer single text is handled alone.
 SLICE_BYTES = 4 << 20
@@ -50,7 +53,21 @@ def _sizes(column: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def batch_of(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [c if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema
-    )
+def rows_where(rows: DataFrame, text: str, test: Callable[[pa.Array], np.ndarray], most: int = SLICE_BYTES) -> DataFrame:
+    """The rows, with all their columns, whose text passes a test that works on arrays of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text, most):
+            yield batch.filter(pa.array(test(batch.column(batch.schema.get_field_index(text))), pa.bool_()))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def without(rows: DataFrame, listed: DataFrame, key: str, most_bytes: int = 16 << 20) -> DataFrame:
+    """The rows whose ``key`` is not in the column ``key`` of ``listed``; a null key is in no list.
+
+    The list is sent to the rows where it takes at most ``most_bytes``, by its count; else both are shuffled by the key.
+    """
+    listed = cut_lineage(listed.select(F.col(key).alias("_listed")).filter("_listed is not null").distinct())
+    small = listed.count() * 32 <= most_bytes
+    return rows.join(F.broadcast(listed) if small else listed, rows[key] == F.col("_listed"), "left_anti")

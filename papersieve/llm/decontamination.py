@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .base import without
 
 SIZE = 10
 BROADCAST_BYTES = 64 << 20
@@ -118,19 +119,30 @@ def covered(spans: Column) -> Column:
     ).cast("long")
 
 
-def decontaminate(documents: DataFrame, items: DataFrame, size: int = SIZE) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated (and mark, a hash of the text) for each document row."""
-    documents = documents.select("doc_id", F.col("text").cast("string").alias("text"))
+def find_windows(documents: DataFrame, items: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """All occurrences, and (item_id, window_id)."""
     by_item = cut_lineage(item_windows(items, size))
     windows = cut_lineage(by_item.select("window").distinct().withColumn("window_id", F.monotonically_increasing_id()))
     vocabulary = windows.select(F.explode("window").alias("word")).distinct()
     index = cut_lineage(prefix_index(windows, _counted(documents, vocabulary)))
-    found = occurrences(documents, index, size)
+    return occurrences(documents, index, size), by_item.join(windows, "window").select("item_id", "window_id")
+
+
+def keep_clean(documents: DataFrame, items: DataFrame, size: int = SIZE) -> DataFrame:
+    """The rows, with all columns, that hold no window. Rows of one doc_id go together."""
+    texts = documents.select("doc_id", F.col("text").cast("string").alias("text"))
+    found, _ = find_windows(texts, items, size)
+    return without(documents, found.select("doc_id"), "doc_id")
+
+
+def decontaminate(documents: DataFrame, items: DataFrame, size: int = SIZE) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated (and mark, a hash of the text) for each document row."""
+    documents = documents.select("doc_id", F.col("text").cast("string").alias("text"))
+    found, named = find_windows(documents, items, size)
     spans = F.array_sort(F.collect_set(F.struct("start", "n")))
     per_doc = cut_lineage(
         found.groupBy("doc_id", "mark").agg(covered(spans).alias("n_hit"), F.collect_set("window_id").alias("windows"))
     )
-    named = by_item.join(windows, "window").select("item_id", "window_id")
     items_hit = per_doc.select("doc_id", "mark", F.explode("windows").alias("window_id")).join(named, "window_id")
     ids = F.sort_array(F.collect_set(F.col("item_id").cast("string")))
     items_hit = items_hit.groupBy("doc_id", "mark").agg(ids.alias("ids"))

@@ -89,3 +89,10 @@ class Encoder:
 def encoder(path: str) -> Encoder:
     """One encoder for each tokenizer file and Python worker."""
     return Encoder(path)
+
+
+def public_tokenizer(name: str) -> str:
+    """Where the installed file of a public tokenizer is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

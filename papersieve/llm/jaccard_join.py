@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .base import slices, text_buffers
+from .base import slices, text_buffers, without
 from .components import components
 from .hashing import LOWER, gram_hashes, mix, word_hashes, words
 from .partenum import signatures
@@ -244,3 +244,9 @@ def join(documents: DataFrame) -> DataFrame:
     rows = _texts(documents).mapInArrow(run, "doc long, n_shingles long")
     joined = rows.join(found, rows["doc"] == found["node"], "left")
     return joined.select(F.col("doc").alias("doc_id"), "n_shingles", F.coalesce("component", "doc").alias("component_id"))
+
+
+def keep_one(documents: DataFrame) -> DataFrame:
+    """The rows, with all columns, of the smallest doc_id of each component. Rows of one doc_id are one document."""
+    _, found = link_components(documents)
+    return without(documents, found.filter("node <> component").select(F.col("node").alias("doc_id")), "doc_id")

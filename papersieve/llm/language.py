@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import slices, text_buffers
+from .base import rows_where, slices, text_buffers
 from .sampling import sample_by_class
 
 BUCKETS = 1 << 15
@@ -95,6 +95,18 @@ class Model:
     def scores(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         return _softmax(self.logits(data, at))
 
+    def judge(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and whether it is rejected of each text."""
+        known = np.array([bool(t) and _LETTER.search(t) is not None for t in texts.to_pylist()], bool)
+        if not self.languages:
+            known[:] = False
+        best, score = np.zeros(len(texts), int), np.zeros(len(texts))
+        if known.any():
+            scores = self.scores(*text_buffers(texts))
+            best, score = scores.argmax(axis=1), np.where(known, scores.max(axis=1), 0.0)
+        names = [self.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
+        return names, score, ~known | (score < self.threshold)
+
 
 def _softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=-1, keepdims=True))
@@ -160,16 +172,7 @@ def identify(documents: DataFrame, model: Model, key: str = "doc_id", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "t", 1 << 20):
-            texts = batch["t"]
-            known = np.array([bool(t) and _LETTER.search(t) is not None for t in texts.to_pylist()])
-            if not model.languages:
-                known[:] = False
-            best, score = np.zeros(len(texts), int), np.zeros(len(texts))
-            if known.any():
-                scores = model.scores(*text_buffers(texts))
-                best, score = scores.argmax(axis=1), np.where(known, scores.max(axis=1), 0.0)
-            names = [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
-            rejected = ~known | (score < model.threshold)
+            names, score, rejected = model.judge(batch["t"])
             yield pa.RecordBatch.from_arrays(
                 [batch["k"], pa.array(names, pa.string()), pa.array(score), pa.array(rejected)],
                 ["k", "lang_pred", "score", "rejected"],
@@ -179,3 +182,7 @@ def identify(documents: DataFrame, model: Model, key: str = "doc_id", text: str
     out = rows.mapInArrow(run, f"k {kind}, lang_pred string, score double, rejected boolean")
     return out.withColumnRenamed("k", key)
 
+
+def keep_identified(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows, with all columns, whose language is not rejected."""
+    return rows_where(documents, text, lambda texts: ~model.judge(texts)[2], 1 << 20)

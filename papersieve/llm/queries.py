@@ -4,24 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, work_path
 from . import decontamination, html_text, jaccard_join, language, neighbours, packing, quality, token_files, toxicity, url_filter
 from .base import table
-from .sampling import fold
+from .encoding import public_tokenizer
+from .sampling import fold, outside_fold
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-def tokenizer_path(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), capacity=2048, end_id=0)
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizer("byte_bpe_50k.json"), capacity=2048, end_id=0)
 
 
 def _held_out(rows: DataFrame, folds: int, held: int) -> DataFrame:
@@ -29,14 +25,9 @@ def _held_out(rows: DataFrame, folds: int, held: int) -> DataFrame:
     return rows.select("doc_id", out.alias("held_out"), *[c for c in rows.columns if c != "doc_id"])
 
 
-def _trainable(rows: DataFrame, folds: int, held: int) -> DataFrame:
-    """The rows whose labels may be learned from."""
-    return rows.filter(fold(F.col("doc_id"), folds) != held)
-
-
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    model = quality.fit(documents, _trainable(table(spark, sf_dir, "labels"), 3, 1))
+    model = quality.fit(documents, outside_fold(table(spark, sf_dir, "labels"), 3, 1))
     return _held_out(quality.score(documents, model), 3, 1)
 
 
@@ -51,7 +42,7 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_path(spark, "token-ids")
     documents = table(spark, sf_dir, "documents")
-    shards = cut_lineage(token_files.write(documents, folder, tokenizer_path("word_bpe_49k.json"), end_id=1))
+    shards = cut_lineage(token_files.write(documents, folder, public_tokenizer("word_bpe_49k.json"), end_id=1))
     return token_files.digest(token_files.read(spark, shards), token_files.starts(shards))
 
 
@@ -95,13 +86,13 @@ FROM dw d LEFT JOIN hit_words h ON d.doc_id = h.doc_id LEFT JOIN hit_items t ON
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    lexicon = toxicity.fit(documents, _trainable(table(spark, sf_dir, "labels"), 5, 0))
+    lexicon = toxicity.fit(documents, outside_fold(table(spark, sf_dir, "labels"), 5, 0))
     return _held_out(toxicity.score(documents, lexicon), 5, 0)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    model = language.fit(_trainable(documents, 5, 0))
+    model = language.fit(outside_fold(documents, 5, 0))
     return _held_out(language.identify(documents, model), 5, 0)
 
 
@@ -147,6 +138,10 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
@@ -159,6 +154,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_toxicity": op9_toxicity,
         "op10_language_id": op10_language_id,
+        "pipeline": pipeline,
     }
 
 

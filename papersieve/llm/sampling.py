@@ -13,6 +13,11 @@ def fold(key: Column, folds: int) -> Column:
     return F.pmod(F.crc32(key.cast("string")), F.lit(folds))
 
 
+def outside_fold(rows: DataFrame, folds: int, held: int, key: str = "doc_id") -> DataFrame:
+    """The rows that may be learned from: not those of the held-out fold, nor those without an id."""
+    return rows.filter(fold(F.col(key), folds) != held)
+
+
 def sample_by_class(rows: DataFrame, key: str, label: str, most: int) -> DataFrame:
     """About ``most`` rows of each label, or all if there are fewer; the same ones in every run.
 

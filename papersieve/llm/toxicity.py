@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import slices
+from .base import rows_where, slices
 from .sampling import sample_by_class
 
 SAMPLE = 3000
@@ -267,6 +267,16 @@ def fit(
     return fit_curve(seen["total"].to_numpy(), seen["n"].to_numpy(float), seen["y"].to_numpy(), weights, exceptions)
 
 
+def keep_clean(documents: DataFrame, lexicon: Lexicon, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows, with all columns, whose score is below the threshold."""
+
+    def clean(texts: pa.Array) -> np.ndarray:
+        weighed = [lexicon.weigh(t) for t in texts.to_pylist()]
+        return lexicon.scores([w[0] for w in weighed], [w[1] for w in weighed]) < threshold
+
+    return rows_where(documents, text, clean)
+
+
 def score(documents: DataFrame, lexicon: Lexicon, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, score, predicted, n_words for each row."""
     kind = dict(documents.dtypes)[key]

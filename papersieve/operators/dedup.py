@@ -6,16 +6,16 @@ title; rejected records take nothing. That is the greedy maximal matching of a
 bipartite graph, which Blelloch, Fineman and Shun (2012) compute in parallel: in
 each round accept every record that is the first one left at both its ends,
 then drop all records that touch an accepted one. For inputs without an
-adversarial order the number of rounds grows with the logarithm of the input.
+adversarial order the number of rounds grows with the logarithm of the input; a chain in
+which each record depends on the one before takes a round for two of its records.
+Every round is the same distributed plan, whatever is left, and ends in a stored table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +24,7 @@ from ..functions.identifiers import is_valid_doi, normalize_doi
 from ..functions.text import normalize_title
 from ..schema import SEQ, text
 from ..session import cut_lineage
-from . import skew
+from . import joins
 
 KEPT = "kept"
 NO_DOI = "skipped_no_doi"
@@ -35,12 +35,6 @@ TITLE_DATE = "skipped_duplicate_title_date"
 TITLE = "skipped_duplicate_title"
 REASONS = (NO_DOI, INVALID_DOI, IN_BATCH, IN_MASTER, TITLE, TITLE_DATE)
 
-# Below this many rows no key can overload a task, so joins need no spreading.
-SMALL_ROWS = 1_000_000
-# What is left after a round may finish in one task if a count proves it small.
-TAIL_ROWS = 50_000
-LONG_TITLE = 64
-
 
 @dataclass(frozen=True)
 class DedupConfig:
@@ -49,8 +43,6 @@ class DedupConfig:
     skip_invalid_doi: bool = True
     by_title: bool = False
     by_title_and_pub_date: bool = False
-    tail_rows: int = TAIL_ROWS
-    small_rows: int = SMALL_ROWS
 
     @classmethod
     def from_dict(cls, cfg: dict | None) -> "DedupConfig":
@@ -89,18 +81,16 @@ class Deduplicated:
         return out
 
 
-def _short(value: Column) -> Column:
-    """Long titles travel as their digest; '#' never occurs in a normalised title."""
-    return F.when(F.length(value) > LONG_TITLE, F.concat(F.lit("#"), F.sha2(value, 256))).otherwise(
-        value
-    )
+def _digest(value: Column) -> Column:
+    """Titles travel as their digest; a blank title stays blank."""
+    return F.when(value == "", F.lit("")).otherwise(F.sha2(value, 256))
 
 
 def key_table(records: DataFrame, cfg: DedupConfig) -> DataFrame:
     """The narrow columns the decision needs: sequence, DOI, second key, date, early reason."""
     raw = text("doi")
     doi = normalize_doi(raw) if cfg.normalize_doi or cfg.strip_doi_prefix else raw
-    title = _short(normalize_title(text("title")))
+    title = _digest(normalize_title(text("title")))
     date = normalize_pub_date(text("pub_date"))
     own = F.concat(F.lit("#seq:"), F.col(SEQ).cast("string"))
     if cfg.by_title:
@@ -132,49 +122,20 @@ def first_at_both_ends(edges: DataFrame) -> DataFrame:
     return by_doi.join(by_second, SEQ).select(SEQ, "doi", "second")
 
 
-def _greedy_tail(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    taken_doi, taken_second = set(), set()
-    for frame in frames:
-        chosen = []
-        for position, (doi, second) in enumerate(zip(frame["doi"], frame["second"])):
-            if doi not in taken_doi and second not in taken_second:
-                taken_doi.add(doi)
-                taken_second.add(second)
-                chosen.append(position)
-        yield frame.iloc[chosen]
-
-
-def _spreading(stored: DataFrame, key: str, spread: bool) -> dict:
-    """Join options: heavy keys come from a stored table, not from a plan in progress."""
-    return {"unique": SEQ, "spread": spread, "heavy": skew.heavy_keys(stored, key) if spread else None}
-
-
-def match(edges: DataFrame, cfg: DedupConfig) -> tuple[DataFrame, int]:
+def match(edges: DataFrame) -> tuple[DataFrame, int]:
     """Accepted ``(ingest_seq, doi, second)`` of a candidate table, and rounds used.
 
-    Every round settles at least the first record left, so the loop ends. There
-    is no cap on rounds; once a count shows that at most ``tail_rows`` are left,
-    one task finishes them in order, which yields the same result.
+    Every round settles at least the first record left, so the loop ends; there is no cap on rounds.
     """
     parts: list[DataFrame] = []
     rounds = 0
-    left = edges.count()
-    while left:
-        if rounds and left <= cfg.tail_rows:
-            ordered = edges.coalesce(1).sortWithinPartitions(SEQ)
-            parts.append(ordered.mapInPandas(_greedy_tail, edges.schema))
-            break
+    while edges.head(1):
         rounds += 1
-        accepted = first_at_both_ends(edges)
-        spread = left > cfg.small_rows
-        # The accepted records serve several joins; a large set is stored first.
-        accepted = cut_lineage(accepted) if spread else accepted
+        accepted = cut_lineage(first_at_both_ends(edges))
         parts.append(accepted)
-        rest = edges
         for key in ("doi", "second"):
-            rest = skew.exclude(rest, accepted, key, **_spreading(edges, key, spread))
-        edges = cut_lineage(rest.select(SEQ, "doi", "second"))
-        left = edges.count()
+            edges = joins.exclude(edges, accepted, key)
+        edges = cut_lineage(edges.select(SEQ, "doi", "second"))
         if len(parts) >= 16:
             parts = [cut_lineage(reduce(DataFrame.unionByName, parts))]
     if not parts:
@@ -193,16 +154,15 @@ def deduplicate(
     """
     cfg = cfg or DedupConfig()
     keys = cut_lineage(key_table(records, cfg))
-    spread = keys.count() > cfg.small_rows
     candidates = keys.filter(F.col("early").isNull())
     edges = candidates.groupBy("doi", "second").agg(F.min(SEQ).alias(SEQ)).select(SEQ, "doi", "second")
     if known is not None:
         known = known.select("doi").distinct()
-        edges = skew.exclude(edges, known, "doi", **_spreading(keys, "doi", spread))
+        edges = joins.exclude(edges, known, "doi")
 
     two_keys = cfg.by_title or cfg.by_title_and_pub_date
     if two_keys:
-        accepted, rounds = match(cut_lineage(edges), cfg)
+        accepted, rounds = match(cut_lineage(edges))
     else:
         firsts = edges.groupBy("doi").agg(F.min(SEQ).alias(SEQ))
         accepted = firsts.withColumn("second", F.concat(F.lit("#seq:"), F.col(SEQ).cast("string")))
@@ -210,10 +170,9 @@ def deduplicate(
     accepted = cut_lineage(accepted.select(SEQ, "doi", "second"))
 
     owners = accepted.select("doi", F.col(SEQ).alias("_doi_owner"))
-    by_doi = _spreading(keys, "doi", spread)
-    labelled = skew.lookup(keys, owners, "doi", **by_doi)
+    labelled = joins.lookup(keys, owners, "doi")
     if known is not None:
-        labelled = skew.mark(labelled, known, "doi", "_known", **by_doi)
+        labelled = joins.mark(labelled, known, "doi", "_known")
     else:
         labelled = labelled.withColumn("_known", F.lit(False))
     reason = (
@@ -226,7 +185,7 @@ def deduplicate(
         dated = accepted.join(keys.select(SEQ, F.col("pub").alias("_owner_pub")), SEQ).select(
             "second", "_owner_pub"
         )
-        labelled = skew.lookup(labelled, dated, "second", **_spreading(keys, "second", spread))
+        labelled = joins.lookup(labelled, dated, "second")
         reason = reason.when(
             (F.col("pub") != "") & (F.col("pub") == F.col("_owner_pub")), F.lit(TITLE_DATE)
         ).otherwise(F.lit(TITLE))

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..functions.identifiers import normalize_doi
-from ..schema import SEQ, text
+from ..schema import text
 from ..sources.csv_files import doi_column, read_csv, run_files
-from . import skew
+from . import joins
 
 
 def empty_dois(spark: SparkSession) -> DataFrame:
@@ -73,17 +73,17 @@ def known_from_config(spark: SparkSession, paths: Mapping, dedup: Mapping) -> Da
     return union_dois(parts)
 
 
-def not_known(records: DataFrame, known: DataFrame, **options) -> DataFrame:
+def not_known(records: DataFrame, known: DataFrame) -> DataFrame:
     """Records with a DOI that is not known yet; repeated DOIs all stay."""
     keyed = records.withColumn("_doi", normalize_doi(text("doi"))).filter(F.col("_doi") != "")
     dim = known.select(F.col("doi").alias("_doi"))
-    return skew.exclude(keyed, dim, "_doi", unique=SEQ, **options).drop("_doi")
+    return joins.exclude(keyed, dim, "_doi").drop("_doi")
 
 
-def flag_local(records: DataFrame, known: DataFrame, column: str = "local_has_pdf", **options) -> DataFrame:
+def flag_local(records: DataFrame, known: DataFrame, column: str = "local_has_pdf") -> DataFrame:
     """Add 'true' or 'false': is the DOI in the local library?"""
     keyed = records.withColumn("_doi", normalize_doi(text("doi")))
     dim = known.select(F.col("doi").alias("_doi"))
-    marked = skew.mark(keyed, dim, "_doi", "_local", unique=SEQ, **options)
+    marked = joins.mark(keyed, dim, "_doi", "_local")
     flag = F.when(F.col("_local"), F.lit("true")).otherwise(F.lit("false"))
     return marked.withColumn(column, flag).drop("_doi", "_local")

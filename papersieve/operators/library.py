@@ -9,12 +9,11 @@ from ..functions.dates import parse_year, year_in_range
 from ..functions.identifiers import normalize_doi
 from ..functions.text import strip
 from ..schema import SEQ, text
-from . import skew
 from .classify import has_marker, track_of_title
 
 
-# A DOI listed more often than this gets its copies made by several tasks.
-COPIES_PER_ROW = 100_000
+# Copies of a listed DOI that one row makes; its other copies are made by other rows, which are dealt out.
+COPIES_PER_BLOCK = 100_000
 
 
 def library_with_metadata(
@@ -23,30 +22,19 @@ def library_with_metadata(
     """Inner join on the DOI as written; a DOI listed n times yields n rows.
 
     Only the DOI of the library list is used, so the list shrinks to one row per
-    DOI with its count before the join, and the copies are made afterwards. A
-    DOI that fills a third of the list therefore costs one row in the shuffle;
-    its copies are dealt out in blocks. With ``unique`` (a unique column of the
-    metadata) rows of a hot metadata DOI are spread as well.
+    DOI with its count before the join, and the copies are made afterwards: each match becomes
+    one row per block of copies, the blocks are dealt out, and then the copies are made. A
+    DOI that fills a third of the list costs one row in the join. ``unique`` (a unique column of the metadata) deals
+    the blocks of a frequent metadata DOI apart.
     """
     counted = master.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_copies"))
-    usable = metadata.filter(F.col(on).isNotNull())
-    usual = counted.filter(F.col("_copies") <= COPIES_PER_ROW)
-    if unique:
-        joined = skew.lookup(usable, usual, on, unique=unique).filter(F.col("_copies").isNotNull())
-    else:
-        joined = usable.join(usual, on)
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))
-    out = joined.withColumn("_copy", copies).drop("_copies")
-
-    # At most rows / COPIES_PER_ROW DOIs are listed more often.
-    often = counted.filter(F.col("_copies") > COPIES_PER_ROW)
-    last = F.floor((F.col("_copies") - 1) / COPIES_PER_ROW)
-    blocks = usable.join(often, on).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    dealt = blocks.repartition("_block", *([unique] if unique else [on]))
-    first = F.col("_block") * COPIES_PER_ROW + 1
-    numbers = F.sequence(first, F.least(first + (COPIES_PER_ROW - 1), F.col("_copies")))
-    many = dealt.withColumn("_copy", F.explode(numbers)).drop("_copies", "_block")
-    return out.unionByName(many)
+    joined = metadata.filter(F.col(on).isNotNull()).join(counted, on)
+    last = F.floor((F.col("_copies") - 1) / COPIES_PER_BLOCK)
+    blocks = joined.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    dealt = blocks.repartition("_block", unique or on)
+    first = F.col("_block") * COPIES_PER_BLOCK + 1
+    numbers = F.sequence(first, F.least(first + (COPIES_PER_BLOCK - 1), F.col("_copies")))
+    return dealt.withColumn("_copy", F.explode(numbers)).drop("_copies", "_block")
 
 
 def scan_library(

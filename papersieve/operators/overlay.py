@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.identifiers import is_valid_doi, normalize_doi
 from ..functions.text import sanitize
 from ..schema import SEQ, text
-from . import skew
+from . import joins
 from .dedup import keep_last
 
 # Which columns of a screened output replace those of the base rows.
@@ -27,7 +27,7 @@ def repair(base: DataFrame, screened: DataFrame, order: str = SEQ) -> DataFrame:
     lasts = keep_last(valid, F.col("_doi"), order)
     side = lasts.select("_doi", F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in names])
     keyed = base.withColumn("_doi", normalize_doi(text("doi"))).filter(F.col("_doi") != "")
-    joined = skew.lookup(keyed, side, "_doi", unique=SEQ)
+    joined = joins.lookup(keyed, side, "_doi")
 
     def cell(name: str) -> Column:
         old = F.col(name) if name in base.columns else F.lit("")

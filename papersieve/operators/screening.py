@@ -17,7 +17,7 @@ from .. import vocabulary as V
 from ..functions import text as X
 from ..functions.identifiers import list_signature, normalize_doi, table_signature
 from ..schema import AI_COLUMNS, SEQ, TRACKS, text, track_rank, with_columns_default
-from . import skew
+from . import joins
 from .classify import valid_track
 from .dedup import keep_last
 from .ordering import batches
@@ -320,7 +320,7 @@ def merge_judgements(
         side = open_only.unionByName(broken)
     base = [c for c in records.columns if c not in AI_COLUMNS]
     keyed = records.select(*base).withColumn("_doi", normalize_doi(text("doi")))
-    joined = skew.lookup(keyed, side, "_doi", unique=SEQ)
+    joined = joins.lookup(keyed, side, "_doi")
     found = F.coalesce(F.col("_judged"), F.lit(False))
     broken = F.coalesce(F.col("_failed"), F.lit(False))
     judged, kept = judgement_columns(found), failed_columns()

@@ -73,11 +73,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def fill_cores(df: DataFrame, key: str) -> DataFrame:
-    """Spread an input of fewer splits than cores before work that is heavy per row.
-
-    A large input has far more splits than there are cores and stays untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from papersieve.operators import dedup, skew
+from papersieve.operators import dedup, joins
 
 SCHEMA = "ingest_seq long, doi string, title string, pub_date string"
 FULL = dict(by_title=True, by_title_and_pub_date=True)
@@ -84,21 +84,26 @@ def test_equals_sequential(spark, seed, by_title, by_date):
     assert got == sequential(rows, known, by_title, by_date)
 
 
-def test_rounds_without_tail_and_with_spread_joins(spark, monkeypatch):
-    monkeypatch.setattr(skew, "HEAVY_MIN_ROWS", 5)
+def test_hot_doi_takes_several_rounds(spark):
     rows = random_rows(5, 500, hot=0.35)
     known = {"10.5555/1", "10.5555/2"}
-    got, result, _ = labels(spark, rows, sorted(known), tail_rows=0, small_rows=0, **FULL)
+    got, result, _ = labels(spark, rows, sorted(known), **FULL)
     assert got == sequential(rows, known, True, True)
     assert result.rounds > 1
 
 
-def test_long_chain_finishes_in_the_tail(spark):
+def test_long_chain_settles_two_rows_a_round(spark):
     # Each row shares a DOI with the one before and a title with the one after.
-    rows = [(i, f"10.5555/{i // 2}", f"chain {(i + 1) // 2}", "") for i in range(200)]
+    rows = [(i, f"10.5555/{i // 2}", f"chain {(i + 1) // 2}", "") for i in range(24)]
     got, result, _ = labels(spark, rows, **FULL)
     assert got == sequential(rows, set(), True, True)
-    assert result.rounds == 1
+    assert result.rounds >= 6
+
+
+def test_no_stage_of_the_labels_is_a_single_task(spark):
+    frame = spark.createDataFrame(random_rows(3, 200), SCHEMA).repartition(3)
+    plan = dedup.deduplicate(frame, None, dedup.DedupConfig(**FULL)).labels._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Coalesce" not in plan and "InPandas" not in plan
 
 
 def test_idempotent(spark):
@@ -113,20 +118,30 @@ def test_invalid_dois_can_stay(spark):
     assert got == {0: "kept", 1: dedup.IN_BATCH, 2: dedup.NO_DOI}
 
 
-def test_lookup_spreads_hot_keys(spark):
-    rows = spark.createDataFrame(
-        [(i, "hot" if i % 3 else f"k{i}") for i in range(300)] + [(1000, None), (1001, "absent")],
-        "ingest_seq long, key string",
-    )
-    dim = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", None)], "key string, v int")
-    plain = skew.lookup(rows, dim, "key", unique="ingest_seq", spread=False).collect()
-    spread = skew.lookup(rows, dim, "key", unique="ingest_seq", spread=True, min_rows=2).collect()
-    as_set = lambda found: {(r["ingest_seq"], r["key"], r["v"]) for r in found}
-    assert as_set(plain) == as_set(spread) and len(spread) == 302
-    left = skew.exclude(rows, dim.select("key"), "key", unique="ingest_seq", spread=True, min_rows=2)
-    assert {r["ingest_seq"] for r in left.collect()} == {
-        r["ingest_seq"] for r in skew.exclude(rows, dim, "key", unique="ingest_seq", spread=False).collect()
+def test_hot_key_is_split_by_the_planner(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
     }
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        rows = spark.range(40_000).selectExpr("id AS ingest_seq", "if(id % 3 = 0, concat('k', id), 'hot') AS key", "sha2(cast(id AS string), 256) AS pad")
+        dim = spark.createDataFrame([("hot", 1), ("k0", 2), ("k3", None)], "key string, v int")
+        found = joins.lookup(rows.repartition(8), dim, "key")
+        assert found.filter("v = 1").count() == 26_666
+        full = joins.lookup(rows.repartition(8), dim, "key")
+        full.collect()
+        assert "skew=true" in full._jdf.queryExecution().executedPlan().toString()
+        left = joins.exclude(rows.repartition(8), dim, "key")
+        assert left.count() == 40_000 - 26_666 - 2
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def test_keep_first_and_last(spark):

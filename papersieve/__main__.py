@@ -9,7 +9,7 @@ import sys
 from datetime import date
 
 from . import vocabulary as V
-from .functions.dates import resolve_window
+from .functions.dates import run_window
 from .operators import search
 from .schema import TRACKS
 
@@ -70,10 +70,15 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "check" or args.dry_run:
         for level, message in runs.validate(cfg, os.path.exists):
             print(f"{level}: {message}", file=sys.stderr)
-        window = resolve_window(
-            cfg.get("search") or {}, cli_from=args.date_from, cli_to=args.date_to, period=args.period
+        from .lexicon import search_term_table
+        from .session import build_session
+
+        spark = build_session()
+        window = run_window(
+            spark, cfg.get("search") or {}, date_from=args.date_from, date_to=args.date_to, period=args.period
         )
-        print("\n".join(runs.preview(cfg, search.resolve_tracks(args.track), window)))
+        terms = search_term_table(spark, (cfg.get("paths") or {}).get("search_term_table"))
+        print("\n".join(runs.preview(cfg, search.resolve_tracks(args.track), window, terms)))
         return 0
     from .session import build_session
 

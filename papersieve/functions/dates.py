@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..vocabulary import MONTH_ABBREVIATIONS
@@ -79,93 +79,79 @@ def join_date_parts(parts: Column) -> Column:
 
 
 # --- fetch windows ---------------------------------------------------------------
-
-WINDOW_MODES = ("explicit", "from_min_date", "rolling", "this_month", "prev_month", "incremental")
-PREVIOUS_MONTH_NAMES = ("prev_month", "previous_month", "last_month")
-
-
-def window_columns(
-    mode: Column,
-    date_to: Column,
-    *,
-    date_from: Column,
-    min_date_from: Column,
-    rolling_days: int = 730,
-    last_run: Column | None = None,
-    lookback_days: int = 30,
-) -> tuple[Column, Column]:
-    """Start and end of the fetch window for each row's mode and reference date."""
-    last = last_run if last_run is not None else F.lit(None).cast("date")
-    month_start = F.trunc(date_to, "month")
-    previous = mode.isin(*PREVIOUS_MONTH_NAMES)
-    start = (
-        F.when(mode == "explicit", date_from)
-        .when(mode == "from_min_date", min_date_from)
-        .when(
-            mode == "rolling",
-            F.least(F.date_sub(date_to, max(1, rolling_days)), min_date_from),
-        )
-        .when(mode == "this_month", month_start)
-        .when(previous, F.add_months(month_start, -1))
-        .when(last.isNotNull(), F.least(last, date_to))
-        .otherwise(F.date_sub(date_to, lookback_days))
-    )
-    end = F.when(previous, F.date_sub(month_start, 1)).otherwise(date_to)
-    return start, end
-
-
-def _as_date(value) -> date | None:
-    if value is None or not str(value).strip():
-        return None
-    return date.fromisoformat(str(value).strip())
-
-
-def resolve_window(
+#
+# A window is a start and an end rule. A rule is a date expression over the columns
+# date_from, date_to, min_date_from, last_run, rolling_days and lookback_days of a request.
+
+_MONTH = "trunc(date_to, 'MM')"
+WINDOW_RULES = {
+    "explicit": ("date_from", "date_to"),
+    "from_min_date": ("min_date_from", "date_to"),
+    "rolling": ("least(date_sub(date_to, greatest(1, rolling_days)), min_date_from)", "date_to"),
+    "this_month": (_MONTH, "date_to"),
+    "prev_month": (f"add_months({_MONTH}, -1)", f"date_sub({_MONTH}, 1)"),
+    "incremental": ("if(last_run IS NULL, date_sub(date_to, lookback_days), least(last_run, date_to))", "date_to"),
+}
+WINDOW_MODES = tuple(WINDOW_RULES)
+WINDOW_ALIASES = {"previous_month": "prev_month", "last_month": "prev_month"}
+# Columns a mode cannot do without.
+_NEEDS = {"explicit": "date_from", "from_min_date": "min_date_from"}
+_REQUEST = "mode string, date_from date, date_to date, min_date_from date, last_run date, rolling_days int, lookback_days int"
+
+
+def fetch_windows(requests: DataFrame) -> DataFrame:
+    """Add window_from and window_to to rows with the columns that the rules name; an unknown mode is incremental."""
+    names = F.create_map(*[F.lit(x) for pair in WINDOW_ALIASES.items() for x in pair])
+    mode = F.coalesce(F.element_at(names, F.col("mode")), F.col("mode"))
+    out = requests
+    for place, column in enumerate(("window_from", "window_to")):
+        rule = F.expr(WINDOW_RULES["incremental"][place])
+        for name in WINDOW_MODES[:-1]:
+            rule = F.when(mode == name, F.expr(WINDOW_RULES[name][place])).otherwise(rule)
+        out = out.withColumn(column, rule)
+    return out
+
+
+def window_mode(search: dict, period: str | None = None) -> str:
+    """Which mode a run has: the command line's period before the configured one."""
+    return next((str(m).strip().lower() for m in (period, search.get("date_range_mode")) if m), "explicit")
+
+
+def _day(value) -> date | None:
+    return date.fromisoformat(str(value).strip()) if value is not None and str(value).strip() else None
+
+
+def run_window(
+    spark: SparkSession,
     search: dict,
     *,
-    source: str = "crossref",
-    state: dict | None = None,
-    cli_from: date | None = None,
-    cli_to: date | None = None,
+    last_run: str | None = None,
+    date_from: date | None = None,
+    date_to: date | None = None,
     period: str | None = None,
     lookback_days: int = 30,
-    today: date | None = None,
 ) -> tuple[date, date]:
-    """Fetch window of one run from its configuration (a single driver-side value)."""
-    mode = (period or search.get("date_range_mode") or "explicit").strip().lower()
-    start = cli_from or _as_date(search.get("date_from"))
-    end = cli_to or _as_date(search.get("date_to")) or today or date.today()
-    if mode == "explicit":
-        if start is None:
-            raise ValueError("explicit date range needs date_from")
-        if start > end:
-            raise ValueError(f"date_from {start} lies after date_to {end}")
-        return start, end
-    if cli_from:
-        return cli_from, end
-    first = end.replace(day=1)
-    floor = _as_date(search.get("min_date_from"))
-    if mode == "from_min_date":
-        if floor is None:
-            raise ValueError("from_min_date needs min_date_from")
-        return floor, end
-    if mode == "rolling":
-        begin = end - timedelta(days=max(1, int(search.get("rolling_days", 730))))
-        return (min(begin, floor) if floor else begin), end
-    if mode == "this_month":
-        return first, end
-    if mode in PREVIOUS_MONTH_NAMES:
-        last = first - timedelta(days=1)
-        return last.replace(day=1), last
+    """The window of one run: its settings as a request of one row. A start given by the caller stands."""
+    mode = window_mode(search, period)
     try:
-        last_run = _as_date((state or {}).get(f"{source}_last_run"))
+        last = _day(last_run)
     except ValueError:
-        last_run = None
-    if last_run:
-        return min(last_run, end), end
-    return end - timedelta(days=lookback_days), end
-
-
-def advances_state(search: dict, period: str | None = None) -> bool:
-    """Only an incremental run moves the last-run date forward."""
-    return (period or search.get("date_range_mode") or "explicit").strip().lower() == "incremental"
+        last = None
+    request = {
+        "mode": mode,
+        "date_from": date_from or _day(search.get("date_from")),
+        "date_to": date_to or _day(search.get("date_to")) or date.today(),
+        "min_date_from": _day(search.get("min_date_from")),
+        "last_run": last,
+        "rolling_days": int(search.get("rolling_days", 730)),
+        "lookback_days": lookback_days,
+    }
+    if date_from is not None:
+        request["mode"] = "explicit"
+    missing = _NEEDS.get(request["mode"])
+    if missing and request[missing] is None:
+        raise ValueError(f"a window of mode {mode} needs {missing}")
+    found = fetch_windows(spark.createDataFrame([request], _REQUEST)).first()
+    if mode == "explicit" and found["window_from"] > found["window_to"]:
+        raise ValueError(f"the window begins {found['window_from']}, after its end {found['window_to']}")
+    return found["window_from"], found["window_to"]

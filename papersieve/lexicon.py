@@ -1,8 +1,7 @@
 """Term tables: search names by group, and tag aliases with their canonical name.
 
-Both are parameters. ``load_search_terms`` and ``load_aliases`` read a user's
-tables; ``rule_search_terms`` and ``rule_aliases`` build a default from naming
-rules (a parent compound, a position, a substituent, a stereo prefix).
+Both are parameters of any size: ``search_term_table`` and ``alias_table`` read a user's tables
+(paths ``search_term_table`` and ``alias_table`` of a configuration). Without a path a short starter list stands in.
 """
 
 from __future__ import annotations
@@ -12,32 +11,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Abbreviations of parents, substituents and common compounds.
-POSITION_PREFIXES = {"2": ("2-", "ortho-", "o-"), "3": ("3-", "meta-", "m-"), "4": ("4-", "para-", "p-")}
-PHE_SUBSTITUENTS = {
-    "fluoro": "F",
-    "chloro": "Cl",
-    "cyano": "CN",
-    "methyl": "Me",
-    "trifluoromethyl": "CF3",
-    "methoxy": "OMe",
-    "amino": "NH2",
-}
-TRP_SUBSTITUENTS = {"fluoro": "F", "methyl": "Me", "hydroxy": "OH"}
-TRP_POSITIONS = ("2", "5", "6", "7")
-SERINE_ETHERS = {
-    "methyl": "Me",
-    "acetyl": "Ac",
-    "benzyl": "Bzl",
-    "isopentyl": "iPen",
-    "propyl": "nPr",
-    "cyclopropyl": "cPr",
-    "cyclobutyl": "cBu",
-}
-RING_NAMES = {"cyclopropyl": "cPr", "cyclobutyl": "cBu", "cyclopentyl": "cPent", "cyclohexyl": "cHex"}
-ARYL_ALANINES = {"naphthyl": ("Nal", ("1", "2")), "pyridyl": ("Pal", ("2", "3", "4"))}
-# Stem names: compound, canonical name, search group.
-STEMS = (
+# Compound, canonical name, search group.
+STARTER = (
     ("ornithine", "Orn", "lysine"),
     ("dimethyllysine", "Lys(Me2)", "lysine"),
     ("diaminopropionic acid", "Dap", "lysine"),
@@ -84,54 +59,17 @@ GROUPS = (
     "lysine", "arginine", "aliphatic", "cyclic", "aromatic", "proline", "tryptophan", "serine",
     "peptoid", "amide", "beta", "gce",
 )
-GCE_HANDLES = {"azido": "N3", "benzoyl": "Bz", "acetyl": "Ac", "nitro": "NO2", "iodo": "I", "borono": "B(OH)2"}
 
 # A dictionary up to this size may be shipped as a literal with the plan.
 LITERAL_ALIASES = 5_000
 
 
-def _rule_entries() -> list[tuple[str, str, str]]:
-    """(name, canonical, group) from the naming rules, in group order."""
-    found: list[tuple[str, str, str]] = []
-    for name, canonical, group in STEMS:
-        found.append((name, canonical, group))
-        if not name.startswith(("alpha-", "beta-", "asymmetric", "symmetric", "3-", "asparagine")):
-            found.append((f"L-{name}", canonical, group))
-    for position, prefixes in POSITION_PREFIXES.items():
-        for substituent, symbol in PHE_SUBSTITUENTS.items():
-            for prefix in prefixes:
-                found.append((f"{prefix}{substituent}phenylalanine", f"{position}-{symbol}-Phe", "aromatic"))
-    for aryl, (symbol, positions) in ARYL_ALANINES.items():
-        for position in positions:
-            found.append((f"{position}-{aryl}alanine", f"{position}-{symbol}", "aromatic"))
-            found.append((f"3-({position}-{aryl})alanine", f"{position}-{symbol}", "aromatic"))
-    for position in TRP_POSITIONS:
-        for substituent, symbol in TRP_SUBSTITUENTS.items():
-            canonical = f"{position}-{symbol}-Trp"
-            found.append((f"{position}-{substituent}tryptophan", canonical, "tryptophan"))
-            found.append((f"{position}-{substituent}-L-tryptophan", canonical, "tryptophan"))
-    for ether, symbol in SERINE_ETHERS.items():
-        found.append((f"O-{ether}serine", f"Ser({symbol})", "serine"))
-        found.append((f"O-{ether}-L-serine", f"Ser({symbol})", "serine"))
-    for ring, symbol in RING_NAMES.items():
-        found.append((f"{ring}alanine", f"Ala({symbol})", "cyclic"))
-        found.append((f"{ring}glycine", f"Gly({symbol})", "cyclic"))
-        found.append((f"N-{ring}glycine", f"NGly({symbol})", "peptoid"))
-    for handle, symbol in GCE_HANDLES.items():
-        for prefix in POSITION_PREFIXES["4"]:
-            found.append((f"{prefix}{handle}phenylalanine", f"4-{symbol}-Phe", "gce"))
-    return sorted(found, key=lambda entry: GROUPS.index(entry[2]))
-
-
-def rule_search_terms() -> dict[str, list[str]]:
-    terms: dict[str, list[str]] = {group: [] for group in GROUPS}
-    for name, _, group in _rule_entries():
-        terms[group].append(name)
-    return terms
-
-
-def rule_aliases() -> dict[str, str]:
-    return {name.lower(): canonical for name, canonical, _ in _rule_entries()}
+def starter_terms() -> dict[str, list[str]]:
+    return {group: [name for name, _, own in STARTER if own == group] for group in GROUPS}
+
+
+def starter_aliases() -> dict[str, str]:
+    return {name.lower(): canonical for name, canonical, _ in STARTER}
 
 
 def load_search_terms(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
@@ -149,10 +87,25 @@ def load_aliases(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 
 def search_terms_frame(spark: SparkSession, terms: dict[str, Iterable[str]] | None = None) -> DataFrame:
     """Search names as a table ``(grp, grp_ord, ord, term)``."""
-    terms = terms or rule_search_terms()
+    terms = terms or starter_terms()
     rows = [
         (group, group_order, order, term)
         for group_order, (group, names) in enumerate(terms.items())
         for order, term in enumerate(names)
     ]
     return spark.createDataFrame(rows, "grp string, grp_ord int, ord int, term string")
+
+
+def search_term_table(spark: SparkSession, path: str | None) -> dict[str, list[str]]:
+    """Search names by group, in order (a configuration's size), from a user's table or the starter list."""
+    if not path:
+        return starter_terms()
+    out: dict[str, list[str]] = {}
+    for row in load_search_terms(spark, path).orderBy("ord").collect():
+        out.setdefault(row["grp"], []).append(row["term"])
+    return out
+
+
+def alias_table(spark: SparkSession, path: str | None) -> DataFrame | dict[str, str]:
+    """Aliases of a user's table, or the starter list."""
+    return load_aliases(spark, path) if path else starter_aliases()

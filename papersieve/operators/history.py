@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..functions.identifiers import normalize_doi
 from ..schema import text
-from ..sources.csv_files import doi_column, read_csv, run_files
+from ..session import is_missing
+from ..sources.csv_files import RUN_FILE_NAMES, doi_column, read_csv, run_files
 from . import joins
 
 
@@ -35,26 +36,35 @@ def union_dois(parts: Iterable[DataFrame]) -> DataFrame:
 
 
 def dois_of_csv(spark: SparkSession, path: str, preferred: str = "DOI") -> DataFrame:
-    """Known DOIs of one CSV source; an unreadable source counts as empty."""
+    """Known DOIs of one CSV source. A path that is not there and a table without a DOI column have none; any
+    other failure is raised, as an empty list would let duplicates through."""
     try:
         table = read_csv(spark, path)
-        return known_dois(table, F.col(f"`{doi_column(table.columns, preferred)}`"))
-    except (AnalysisException, KeyError):
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         return empty_dois(spark)
+    try:
+        name = doi_column(table.columns, preferred)
+    except KeyError:
+        return empty_dois(spark)
+    return known_dois(table, F.col(f"`{name}`"))
 
 
 def dois_of_runs(
-    spark: SparkSession, output_dir: str, pattern: str, preferred: str = "doi"
+    spark: SparkSession, output_dir: str, pattern: str, preferred: str = "doi", names: Iterable[str] = RUN_FILE_NAMES
 ) -> DataFrame:
     """Known DOIs of the files earlier runs wrote below ``output_dir``."""
-    paths = run_files(spark, output_dir, pattern)
+    paths = run_files(spark, output_dir, pattern, names)
     if not paths:
         return empty_dois(spark)
     return union_dois([dois_of_csv(spark, path, preferred) for path in paths])
 
 
-def known_from_config(spark: SparkSession, paths: Mapping, dedup: Mapping) -> DataFrame:
-    """Master list, extra lists and earlier outputs, each if switched on."""
+def known_from_config(
+    spark: SparkSession, paths: Mapping, dedup: Mapping, track_files: Mapping | None = None
+) -> DataFrame:
+    """Master list, extra lists and earlier outputs, each if switched on. ``track_files``: configured file names by track."""
     parts = [empty_dois(spark)]
     if dedup.get("use_master_csv", True) and paths.get("master_csv"):
         parts.append(dois_of_csv(spark, paths["master_csv"], paths.get("master_doi_column", "DOI")))
@@ -68,6 +78,7 @@ def known_from_config(spark: SparkSession, paths: Mapping, dedup: Mapping) -> Da
                 paths["output_dir"],
                 dedup.get("previous_output_glob", "new_dois_*.csv"),
                 dedup.get("previous_output_doi_column", "doi"),
+                {*RUN_FILE_NAMES, *(track_files or {}).values()},
             )
         )
     return union_dois(parts)

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from .. import vocabulary as V
 from ..functions import text as X
 from ..functions.identifiers import list_signature, normalize_doi, table_signature
 from ..schema import AI_COLUMNS, SEQ, TRACKS, text, track_rank, with_columns_default
+from ..session import is_missing
 from . import joins
 from .classify import valid_track
 from .dedup import keep_last
@@ -357,7 +359,9 @@ class JudgementStore:
     def _read(self, name: str, signature: str, schema: str) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(f"{self.path}/{name}/signature={signature}")
-        except Exception:
+        except AnalysisException as error:
+            if not is_missing(error):
+                raise
             return self.spark.createDataFrame([], schema)
 
     def judgements(self, signature: str) -> DataFrame:

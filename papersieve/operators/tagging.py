@@ -63,7 +63,7 @@ def tags(subject: Column, aliases: Mapping[str, str]) -> Column:
     """
     if len(aliases) > LITERAL_ALIASES:
         raise ValueError(
-            f"{len(aliases)} aliases are too many for a literal; use tag_with_table instead"
+            f"{len(aliases)} aliases are too many for a literal; use tag"
         )
     ranked = [(a, c) for a, c in ranked_aliases(aliases) if anchor_of(a)]
     anchors = sorted({anchor_of(alias) for alias, _ in ranked})
@@ -111,6 +111,21 @@ def tag_records(records: DataFrame, aliases: Mapping[str, str], column: str = "c
     return records.withColumn(column, F.array_join(tags(record_text(), aliases), ", "))
 
 
+def tag(records: DataFrame, aliases: Mapping[str, str] | DataFrame, column: str = "compounds") -> DataFrame:
+    """Add the tags of a dictionary of any size: a mapping, or a table ``(alias, canonical)``.
+
+    A mapping that is too big for a literal goes the way of a table, with the same tags.
+    """
+    if isinstance(aliases, DataFrame):
+        rank = F.struct((-F.length("alias")).alias("size"), F.lower("alias").alias("name"))
+        return tag_with_table(records, aliases.select("alias", "canonical", rank.alias("rank")), column)
+    if len(aliases) <= LITERAL_ALIASES:
+        return tag_records(records, aliases, column)
+    rows = [(alias, canonical, rank) for rank, (alias, canonical) in enumerate(ranked_aliases(aliases))]
+    table = records.sparkSession.createDataFrame(rows, "alias string, canonical string, rank int")
+    return tag_with_table(records, table, column)
+
+
 def tag_with_table(records: DataFrame, aliases: DataFrame, column: str = "compounds") -> DataFrame:
     """The same tags for a dictionary of any size, given as ``(alias, canonical, rank)``.
 

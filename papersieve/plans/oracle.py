@@ -512,7 +512,7 @@ def oracle_sql() -> dict[str, str]:
         "track_partition": _over(
             f"ingest_seq, {resolved('track', 'CASE WHEN ingest_seq % 2 = 0 THEN chr(72) || chr(121) || $$brid$$ ELSE $$neither$$ END')} AS bucket"
         ),
-        "track_counts": f"WITH {RECORDS} " + domain_counts("records WHERE contains(title, 'amino')", f"lower({strip('track')})"),
+        "track_counts": f"WITH {RECORDS} " + domain_counts("records", f"lower({strip('track')})"),
         "library_join": f"""WITH {RECORDS}, lib AS ({T.LIBRARY_SQL}) SELECT lib.doi AS "DOI", count(*) AS n, max(title) AS title
             FROM lib JOIN records ON lib.doi = 'https://doi.org/10.5555/LIB.' || ingest_seq GROUP BY lib.doi""",
         "library_import": f"WITH {library_ctes()} SELECT doi, title, source, track, journal, pub_date, local_has_pdf FROM fresh",
@@ -562,6 +562,6 @@ def oracle_sql() -> dict[str, str]:
         "month_segments": MONTHS_SQL,
         "segment_plan": SEGMENTS_SQL,
         "search_pipeline": pipeline_sql(),
-        "head_in_order": f"WITH {batch_ctes()} SELECT ingest_seq FROM batched WHERE nd <> '' ORDER BY row_index LIMIT 50",
+        "head_in_order": f"WITH {batch_ctes()} SELECT ingest_seq FROM batched ORDER BY row_index LIMIT 50",
         "incremental_ingest": f"WITH RECURSIVE {RECORDS}, {dedup_ctes('records', None)} SELECT l.ingest_seq, l.doi, r.title FROM labels l JOIN records r USING (ingest_seq) WHERE reason = 'kept'",
     }

@@ -57,7 +57,7 @@ def curate(
     cleaner: filters.CleanerConfig | None = None,
     dedup_cfg: dedup.DedupConfig | None = None,
     title_cfg: filters.TitleFilterConfig | None = None,
-    aliases: Mapping[str, str] | None = None,
+    aliases: Mapping[str, str] | DataFrame | None = None,
 ) -> Curated:
     """Types, cleaner, deduplication, title keywords, local flag, tags, in this order.
 
@@ -73,11 +73,10 @@ def curate(
     tagged_titles = filters.tag_title_keywords(kept, title_cfg)
     titled = filters.filter_titles(kept, title_cfg)
     if local is not None:
-        # DOIs are unique here, so the flag needs no protection against hot keys.
-        flagged = history.flag_local(titled, local, spread=False)
+        flagged = history.flag_local(titled, local)
     else:
         flagged = with_columns_default(titled, ["local_has_pdf"])
-    tagged = tagging.tag_records(flagged, aliases) if aliases else flagged.withColumn("compounds", F.lit(""))
+    tagged = tagging.tag(flagged, aliases) if aliases is not None else flagged.withColumn("compounds", F.lit(""))
     dropped_type = F.lit(False)
     if filter_types:
         dropped_type = filters.type_excluded(type_patterns or V.TYPE_EXCLUDE_PATTERNS)

@@ -13,7 +13,7 @@ from .. import vocabulary as V
 from ..functions import dates as D
 from ..functions import identifiers as I
 from ..functions import text as X
-from ..lexicon import rule_aliases
+from ..lexicon import starter_aliases
 from ..operators import (
     classify,
     counters,
@@ -67,7 +67,7 @@ OVERRIDES = {
 
 
 def aliases() -> dict[str, str]:
-    return {**rule_aliases(), **COMMON_ALIASES}
+    return {**starter_aliases(), **COMMON_ALIASES}
 
 
 def full_dedup() -> dedup.DedupConfig:
@@ -256,8 +256,7 @@ def track_partition(spark, sf):
 
 
 def track_counts(spark, sf):
-    rows = T.records(spark, sf).filter(F.contains("title", F.lit("amino")))
-    return counters.count_by_domain(rows, F.lower(X.strip(text("track"))))
+    return counters.count_by_domain(T.records(spark, sf), F.lower(X.strip(text("track"))))
 
 
 # --- library import --------------------------------------------------------------------
@@ -605,20 +604,14 @@ def date_windows(spark, sf):
     """Fetch window of every mode for every order date."""
     modes = [*D.WINDOW_MODES, "last_month"]
     dates = T.table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("date_to")).distinct()
-    rows = dates.withColumn("mode", F.explode(F.array(*[F.lit(m) for m in modes])))
     last_run = F.when(F.dayofmonth("date_to") % 2 == 0, F.date_add("date_to", F.dayofmonth("date_to") - 20))
-    start, end = D.window_columns(
-        F.col("mode"),
-        F.col("date_to"),
-        date_from=F.lit("1992-01-01").cast("date"),
-        min_date_from=F.lit("1995-06-15").cast("date"),
-        rolling_days=730,
-        last_run=last_run,
-    )
-    return rows.select(
-        "mode", "date_to", start.alias("window_from"), end.alias("window_to"),
-        F.when(F.col("mode") == "incremental", F.date_add(end, 1)).alias("next_run"),
+    requests = dates.select(
+        "date_to", F.explode(F.array(*[F.lit(m) for m in modes])).alias("mode"), last_run.alias("last_run"),
+        F.lit("1992-01-01").cast("date").alias("date_from"), F.lit("1995-06-15").cast("date").alias("min_date_from"),
+        F.lit(730).alias("rolling_days"), F.lit(30).alias("lookback_days"),
     )
+    next_run = F.when(F.col("mode") == "incremental", F.date_add("window_to", 1)).alias("next_run")
+    return D.fetch_windows(requests).select("mode", "date_to", "window_from", "window_to", next_run)
 
 
 def month_segments(spark, sf):
@@ -661,8 +654,7 @@ def search_pipeline(spark, sf):
 
 def head_in_order(spark, sf):
     """First rows of the screening order: the trial run's head-n."""
-    rows = T.records(spark, sf).filter(_norm() != "")
-    return ordering.head(rows, screening.screening_order(), 50).select(SEQ)
+    return ordering.head(T.records(spark, sf), screening.screening_order(), 50).select(SEQ)
 
 
 def incremental_ingest(spark, sf):

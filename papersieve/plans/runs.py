@@ -10,10 +10,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import advances_state, resolve_window
+from ..functions.dates import run_window, window_mode
 from ..functions.identifiers import query_signature, table_signature
 from ..functions.text import sanitize
-from ..lexicon import rule_aliases
+from ..lexicon import alias_table, search_term_table
 from ..operators import dedup, filters, history, library, ordering, overlay, screening, search
 from ..schema import (
     AI_COLUMNS, BASE_COLUMNS, OUTPUT_COLUMNS, RECORD_SCHEMA, SEQ, TRACKS, adopt_columns, text,
@@ -69,13 +69,13 @@ class RunState:
         sink.write_text(self.spark, f"{self.folder}/{PENDING_META}", json.dumps(info, ensure_ascii=False))
         return info
 
-    def load_pending(self) -> tuple[DataFrame, dict]:
+    def load_pending(self, allow_empty: bool = False) -> tuple[DataFrame, dict]:
         raw = sink.read_text(self.spark, f"{self.folder}/{PENDING_META}")
         if not raw:
             raise FileNotFoundError(f"no pending records below {self.folder}")
         info = json.loads(raw)
         records = self.spark.read.parquet(info["path"])
-        if records.isEmpty():
+        if not allow_empty and records.isEmpty():
             raise ValueError("the pending list is empty")
         info["signature"] = table_signature(records, text("doi")).first()["signature"]
         return records, info
@@ -167,15 +167,16 @@ def fetch_records(
     spark.dataSource.register(api.ArticleSearch)
     spark.dataSource.register(api.WorkSearch)
     landing = ((cfg.get("paths") or {}).get("state_dir") or "state").rstrip("/") + "/landing"
+    terms = search_term_table(spark, (cfg.get("paths") or {}).get("search_term_table"))
     parts = []
     for rank, track in enumerate(tracks):
         plan = []
-        pubmed = search.resolve_pubmed(cfg, track)
+        pubmed = search.searches(cfg, "pubmed", track, terms)
         if pubmed and source in ("all", "pubmed") and (cfg.get("pubmed") or {}).get("enabled", True):
             plan.append((0, pubmed_records, pubmed, "pubmed", cfg.get("pubmed") or {}))
-        works = search.resolve_crossref(cfg, track)
+        works = search.searches(cfg, "crossref", track, terms)
         if works and source in ("all", "crossref") and (cfg.get("crossref") or {}).get("enabled", True):
-            plan.append((1, crossref_records, works, "crossref", search.crossref_settings(cfg, track)))
+            plan.append((1, crossref_records, works, "crossref", search.track_settings(cfg, "crossref", track)))
         for source_rank, reader, queries, name, settings in plan:
             path = work_path(spark, f"{track}-{name}")
             rows = reader(spark, queries, window_of(name), settings, landing, resume)
@@ -199,14 +200,14 @@ def curate_from_config(spark: SparkSession, records: DataFrame, cfg: Mapping, al
         local = history.dois_of_csv(spark, paths["master_csv"], paths.get("master_doi_column", "DOI"))
     return curate(
         records,
-        known=history.known_from_config(spark, paths, dedup_cfg),
+        known=history.known_from_config(spark, paths, dedup_cfg, (cfg.get("output") or {}).get("track_filenames")),
         local=local,
         type_patterns=types.get("exclude_publication_type_patterns"),
         filter_types=bool(types.get("enabled", False)),
         cleaner=filters.CleanerConfig.from_dict(cfg.get("literature_cleaner")),
         dedup_cfg=dedup.DedupConfig.from_dict(dedup_cfg),
         title_cfg=filters.TitleFilterConfig.from_dict(cfg.get("title_filter")),
-        aliases=aliases if aliases is not None else rule_aliases(),
+        aliases=aliases if aliases is not None else alias_table(records.sparkSession, paths.get("alias_table")),
     )
 
 
@@ -243,15 +244,16 @@ def search_run(
 
     def window_of(name: str) -> tuple[date, date]:
         lookback = int((cfg.get(name) or {}).get("initial_lookback_days", 30))
-        return resolve_window(
-            search_cfg, source=name, state=state, cli_from=date_from, cli_to=date_to,
+        return run_window(
+            spark, search_cfg, last_run=state.get(f"{name}_last_run"), date_from=date_from, date_to=date_to,
             period=period, lookback_days=lookback,
         )
 
     fetched = records if records is not None else fetch_records(spark, cfg, tracks, source, window_of, resume)
     done = curate_from_config(spark, fetched, cfg, aliases)
     stats = done.stats()
-    if advances_state(search_cfg, period):
+    # Only an incremental run moves the last-run date forward.
+    if window_mode(search_cfg, period) == "incremental":
         for name in ("pubmed", "crossref"):
             if source in ("all", name) and (cfg.get(name) or {}).get("enabled", True):
                 state[f"{name}_last_run"] = (window_of(name)[1] + timedelta(days=1)).isoformat()
@@ -270,7 +272,10 @@ def screen_run(
     """Screen the pending records and write the run's files."""
     paths = cfg.get("paths") or {}
     keeper = RunState(spark, paths.get("state_dir") or "state")
-    records, info = keeper.load_pending()
+    records, info = keeper.load_pending(allow_empty=True)
+    if records.isEmpty():
+        # A run without new records has nothing to screen and writes no files.
+        return {"signature": info["signature"], "output": None}
     ai = screening.ScreeningConfig.from_dict(cfg.get("ai_screening"))
     store = screening.JudgementStore(spark, f"{keeper.folder}/screening")
     screened = screening.screen(records, ai, scorer, store=store, resume=resume)
@@ -347,19 +352,21 @@ def export_run(spark: SparkSession, cfg: Mapping, source: str | None = None, lab
 
 def repair_run(spark: SparkSession, csv_path: str, pending: DataFrame, target: str) -> int:
     """Rewrite an output: pending rows as the base, screened columns laid over them."""
-    table = read_csv(spark, csv_path).fillna("")
-    numbered = table.withColumn(SEQ, F.monotonically_increasing_id())
+    table = read_csv(spark, csv_path)
+    # Rows count in the order of the part files and of the lines in them; a file is read by one task.
+    place = F.struct(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"))
+    numbered = table.select("*", place.alias(SEQ)).fillna("")
     fixed = overlay.repair(pending, numbered)
     sink.write_csv(sink.output_table(fixed, table.columns, None), target)
     return fixed.count()
 
 
-def preview(cfg: Mapping, tracks, window: tuple[date, date]) -> list[str]:
+def preview(cfg: Mapping, tracks, window: tuple[date, date], terms: Mapping | None = None) -> list[str]:
     """What a run would search, without a request."""
     interval = float((cfg.get("crossref") or {}).get("request_interval_sec") or 1.0)
     lines = [f"window {window[0]} .. {window[1]}"]
     for track in tracks:
-        pubmed, works = search.resolve_pubmed(cfg, track), search.resolve_crossref(cfg, track)
+        pubmed, works = (search.searches(cfg, service, track, terms) for service in ("pubmed", "crossref"))
         lines.append(f"[{track}] pubmed {len(pubmed)} searches")
         lines.append(f"[{track}] crossref {len(works)} searches, about {len(works) * interval / 60:.1f} min")
         lines += [f"    {q}" for q in works[:3]]

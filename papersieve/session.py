@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job of this library wants. Sizes are per task, so they hold for
@@ -73,3 +74,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+def is_missing(error: AnalysisException) -> bool:
+    """Whether a read failed because nothing is there; any other failure must not pass for an empty table."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import fnmatch
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ RUN_FILE_NAMES = (
     "synthesis_fermentation.csv",
     "synthesis_chemical.csv",
     "synthesis_hybrid.csv",
+    "gce.csv",
     "all.csv",
 )
 DOI_COLUMN_NAMES = ("doi", "DOI", "Doi")
@@ -63,13 +64,15 @@ def _listing(spark: SparkSession, root: str) -> list[tuple[str, str, int]]:
     return sorted(found)
 
 
-def run_files(spark: SparkSession, output_dir: str, pattern: str) -> list[str]:
+def run_files(
+    spark: SparkSession, output_dir: str, pattern: str, names: Iterable[str] = RUN_FILE_NAMES
+) -> list[str]:
     """Files of earlier runs: the pattern at the top, else anywhere below; plus run files."""
     listing = _listing(spark, output_dir)
     root = output_dir.rstrip("/").split("/")[-1]
     top = [p for p, n, _ in listing if fnmatch.fnmatch(n, pattern) and p.split("/")[-2] == root]
     deep = [p for p, n, _ in listing if fnmatch.fnmatch(n, pattern)]
-    named = [p for p, n, _ in listing if n in RUN_FILE_NAMES]
+    named = [p for p, n, _ in listing if n in names]
     return list(dict.fromkeys([*(top or deep), *named]))
 
 

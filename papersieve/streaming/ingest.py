@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import dedup
 from ..operators.history import empty_dois
-from ..session import work_path
+from ..session import is_missing, work_path
 
 
 @dataclass(frozen=True)
@@ -29,7 +29,9 @@ class RecordStore:
     def known(self, before: int | None = None) -> DataFrame:
         try:
             stored = self.spark.read.parquet(self.path)
-        except AnalysisException:
+        except AnalysisException as error:
+            if not is_missing(error):
+                raise
             return empty_dois(self.spark)
         if before is not None:
             stored = stored.filter(F.col("batch") < before)

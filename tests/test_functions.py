@@ -106,21 +106,20 @@ def test_table_signature_ignores_order_and_repeats(spark):
     assert sign(one) == sign(two) != sign(other)
 
 
-def test_windows():
+def test_windows(spark):
     day = date(2024, 3, 15)
     base = {"date_to": "2024-03-15"}
-    window = lambda mode, **kw: D.resolve_window({**base, "date_range_mode": mode, **kw})
+    window = lambda mode, **kw: D.run_window(spark, {**base, "date_range_mode": mode, **kw})
     assert window("prev_month") == (date(2024, 2, 1), date(2024, 2, 29))
     assert window("this_month") == (date(2024, 3, 1), day)
     assert window("rolling", rolling_days=30, min_date_from="2024-01-01") == (date(2024, 1, 1), day)
     assert window("rolling", rolling_days=30) == (date(2024, 2, 14), day)
     assert window("from_min_date", min_date_from="2020-01-01") == (date(2020, 1, 1), day)
     assert window("incremental") == (date(2024, 2, 14), day)
-    state = {"crossref_last_run": "2024-03-10"}
-    assert D.resolve_window({**base, "date_range_mode": "incremental"}, state=state) == (date(2024, 3, 10), day)
+    assert D.run_window(spark, {**base, "date_range_mode": "incremental"}, last_run="2024-03-10") == (date(2024, 3, 10), day)
     with pytest.raises(ValueError):
         window("explicit")
     with pytest.raises(ValueError):
         window("explicit", date_from="2025-01-01")
-    assert D.resolve_window({**base, "date_range_mode": "rolling"}, cli_from=date(2024, 1, 1))[0] == date(2024, 1, 1)
-    assert D.advances_state({"date_range_mode": "incremental"}) and not D.advances_state({})
+    assert D.run_window(spark, {**base, "date_range_mode": "rolling"}, date_from=date(2024, 1, 1))[0] == date(2024, 1, 1)
+    assert D.window_mode({"date_range_mode": "incremental"}) == "incremental" and D.window_mode({}) == "explicit"

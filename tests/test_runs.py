@@ -147,6 +147,29 @@ def test_known_doi_sources(spark, tmp_path):
     assert latest_run_file(spark, str(tmp_path / "none"), "x*.csv") is None
 
 
+def test_all_track_files_of_earlier_runs_count(spark, tmp_path):
+    out = tmp_path / "out" / "run"
+    out.mkdir(parents=True)
+    (out / "gce.csv").write_text("doi,title\n10.5555/g,x\n")
+    (out / "mine.csv").write_text("doi,title\n10.5555/m,x\n")
+    paths = {"output_dir": str(tmp_path / "out")}
+    known = lambda files: {r["doi"] for r in history.known_from_config(spark, paths, {}, files).collect()}
+    assert known(None) == {"10.5555/g"} and known({"hybrid": "mine.csv"}) == {"10.5555/g", "10.5555/m"}
+
+
+def test_empty_run_and_repair_order(spark, tmp_path):
+    cfg = config(tmp_path)
+    runs.RunState(spark, cfg["paths"]["state_dir"]).save_pending(spark.createDataFrame([], SCHEMA), {})
+    assert runs.screen_run(spark, cfg)["output"] is None
+    csv = tmp_path / "screened.csv"
+    csv.mkdir()
+    (csv / "part-00000.csv").write_text("doi,title,ai_pass\n10.5555/a,t,first\n" + "".join(f"10.5555/z{i},t,x\n" for i in range(300)))
+    (csv / "part-00001.csv").write_text("doi,title,ai_pass\n10.5555/a,t,last\n")
+    pending = spark.createDataFrame([(0, "10.5555/a", "t", "old")], "ingest_seq long, doi string, title string, ai_pass string")
+    assert runs.repair_run(spark, str(csv), pending, str(tmp_path / "fixed.csv")) == 1
+    assert read_csv(spark, str(tmp_path / "fixed.csv")).first()["ai_pass"] == "last"
+
+
 def test_repair_and_append(spark):
     base = spark.createDataFrame([(0, "DOI:10.5555/A", "t", "old"), (1, "10.5555/b", "t", "old"), (2, "", "t", "old")],
                                  "ingest_seq long, doi string, title string, ai_pass string")

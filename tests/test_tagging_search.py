@@ -4,7 +4,7 @@ import re
 from pyspark.sql import functions as F
 
 from papersieve import vocabulary as V
-from papersieve.lexicon import GROUPS, rule_aliases, rule_search_terms, search_terms_frame
+from papersieve.lexicon import GROUPS, alias_table, search_term_table, search_terms_frame, starter_aliases, starter_terms
 from papersieve.operators import search, tagging
 from papersieve.schema import TRACKS
 
@@ -47,6 +47,11 @@ def test_literal_and_table_agree_with_plain_search(spark):
     table = spark.createDataFrame(ranked, "alias string, canonical string, rank int")
     joined = tagging.tag_with_table(records, table).orderBy("ingest_seq").collect()
     assert [r["compounds"] for r in joined] == want
+    by_table = tagging.tag(records, table.select("alias", "canonical")).orderBy("ingest_seq").collect()
+    assert [set(r["compounds"].split(", ")) for r in by_table] == [set(w.split(", ")) for w in want]
+    many = {**ALIASES, **{f"unused name {i}": "none" for i in range(6000)}}
+    big = tagging.tag(records, many).orderBy("ingest_seq").collect()
+    assert [r["compounds"] for r in big] == want
 
 
 def test_title_and_abstract_are_one_text(spark):
@@ -57,11 +62,13 @@ def test_title_and_abstract_are_one_text(spark):
     assert counts == {"Nva": 1, "D-lysine": 1, "ACPrC": 1}
 
 
-def test_rule_lexicon(spark):
-    aliases = rule_aliases()
-    assert aliases["4-fluorophenylalanine"] == aliases["p-fluorophenylalanine"] == "4-F-Phe"
-    assert aliases["l-norvaline"] == "Nva" and aliases["5-hydroxy-l-tryptophan"] == "5-OH-Trp"
-    terms = rule_search_terms()
+def test_term_tables(spark, tmp_path):
+    (tmp_path / "aliases.csv").write_text("alias,canonical\nL-Norvaline,Nva\nfoo,Foo\n")
+    (tmp_path / "terms.csv").write_text("grp,ord,term\nb,1,y\nb,0,x\na,2,z\n")
+    read = {r["alias"]: r["canonical"] for r in alias_table(spark, str(tmp_path / "aliases.csv")).collect()}
+    assert read == {"l-norvaline": "Nva", "foo": "Foo"} and alias_table(spark, None) == starter_aliases()
+    assert search_term_table(spark, str(tmp_path / "terms.csv")) == {"b": ["x", "y"], "a": ["z"]}
+    terms = starter_terms()
     assert list(terms) == list(GROUPS) and all(terms.values())
     table = search_terms_frame(spark)
     assert table.count() == sum(len(v) for v in terms.values())
@@ -91,12 +98,12 @@ def test_query_resolution():
     cfg = {"pubmed": {"pathway_queries": [" ", "a"], "queries": ["legacy"]},
            "crossref": {"rows": 5, "gce": {"enabled": False}, "hybrid": {"query_source": "manual", "queries": ["m", " "]},
                         "chemical": {"strategy": {"max_queries": 4}}}}
-    assert search.resolve_pubmed(cfg, "pathway") == ["a"]
-    assert search.resolve_pubmed({"pubmed": {"use_keywords_from_code": False, "queries": ["q"]}}, "hybrid") == ["q"]
-    assert search.resolve_pubmed({**cfg, "pubmed": {**cfg["pubmed"], "use_keywords_from_code": False}}, "hybrid") == []
-    assert search.resolve_crossref(cfg, "gce") == [] and search.resolve_crossref(cfg, "hybrid") == ["m"]
-    assert len(search.resolve_crossref(cfg, "chemical")) == 4
-    assert search.crossref_settings(cfg, "hybrid")["rows"] == 5
+    assert search.searches(cfg, "pubmed", "pathway") == ["a"]
+    assert search.searches({"pubmed": {"use_keywords_from_code": False, "queries": ["q"]}}, "pubmed", "hybrid") == ["q"]
+    assert search.searches({**cfg, "pubmed": {**cfg["pubmed"], "use_keywords_from_code": False}}, "pubmed", "hybrid") == []
+    assert search.searches(cfg, "crossref", "gce") == [] and search.searches(cfg, "crossref", "hybrid") == ["m"]
+    assert len(search.searches(cfg, "crossref", "chemical")) == 4
+    assert search.track_settings(cfg, "crossref", "hybrid")["rows"] == 5
     assert search.resolve_tracks(" GCE ") == ["gce"] and search.resolve_tracks(None) == list(TRACKS)
 
 

@@ -349,8 +349,8 @@ def screening_stats(merged: DataFrame, cfg: ScreeningConfig) -> DataFrame:
 class JudgementStore:
     """Judgements and failed DOIs of a record set, as Parquet below one folder.
 
-    Every call appends files of its own, so a run that dies loses only the
-    batches in flight; the next run screens what is missing.
+    A run that does not resume begins anew: what was stored before its beginning no longer counts. A
+    resumed run continues from the last beginning. Of a DOI's judgements and failures the latest counts.
     """
 
     def __init__(self, spark, path: str):
@@ -364,17 +364,30 @@ class JudgementStore:
                 raise
             return self.spark.createDataFrame([], schema)
 
+    def begin(self, signature: str, attempt: int) -> None:
+        """From now on only results of this attempt and later ones count."""
+        mark = self.spark.createDataFrame([(attempt,)], "attempt long")
+        mark.write.mode("append").parquet(f"{self.path}/begun/signature={signature}")
+
+    def clear(self, signature: str) -> None:
+        """Forget what is stored for a record set."""
+        self.begin(signature, time.time_ns())
+
+    def _current(self, name: str, signature: str, schema: str) -> DataFrame:
+        begun = self._read("begun", signature, "attempt long").agg(F.max("attempt")).first()[0] or 0
+        rows = self._read(name, signature, f"{schema}, attempt long")
+        return rows.filter(F.col("attempt") >= begun)
+
     def judgements(self, signature: str) -> DataFrame:
-        fields = ", ".join(f"{c} string" for c in REPLY_FIELDS)
-        return self._read("judgements", signature, f"{fields}, attempt long")
+        return self._current("judgements", signature, ", ".join(f"{c} string" for c in REPLY_FIELDS))
 
     def failed(self, signature: str) -> DataFrame:
-        return self._read("failed", signature, "doi string")
+        return self._current("failed", signature, "doi string")
 
     def append(self, signature: str, good: DataFrame, failed: DataFrame, attempt: int) -> None:
-        rows = good.select(*REPLY_FIELDS, F.lit(attempt).cast("long").alias("attempt"))
-        rows.write.mode("append").parquet(f"{self.path}/judgements/signature={signature}")
-        failed.write.mode("append").parquet(f"{self.path}/failed/signature={signature}")
+        stamp = F.lit(attempt).cast("long").alias("attempt")
+        good.select(*REPLY_FIELDS, stamp).write.mode("append").parquet(f"{self.path}/judgements/signature={signature}")
+        failed.select("doi", stamp).write.mode("append").parquet(f"{self.path}/failed/signature={signature}")
 
 
 def pending_requests(requests: DataFrame, done: DataFrame) -> DataFrame:
@@ -411,8 +424,11 @@ def screen(
     requests = payloads(screening_batches(records, cfg.batch_size))
     signature = table_signature(records, text("doi")).first()["signature"]
     store = store or JudgementStore(spark, work_path(spark, "judgements"))
-    if resume:
-        done = store.judgements(signature).select("doi").unionByName(store.failed(signature))
+    attempt = time.time_ns()
+    if not resume:
+        store.begin(signature, attempt)
+    else:
+        done = store.judgements(signature).select("doi").unionByName(store.failed(signature).select("doi"))
         requests = pending_requests(requests, done)
     replies = score(
         requests, scorer, cfg.prompts, workers=cfg.max_workers, interval=cfg.request_interval_sec
@@ -427,11 +443,10 @@ def screen(
         "_order", F.col("batch_id") * F.lit(1 << 20) + F.col("position").cast("long")
     )
     latest = keep_last(numbered, F.col("doi"), "_order")
-    attempt = time.time_ns()
     store.append(signature, latest, failed, attempt)
     judgements = store.judgements(signature)
     newest = judgements.groupBy("doi").agg(F.max("attempt").alias("attempt"))
     judgements = judgements.join(newest, ["doi", "attempt"], "left_semi").drop("attempt")
-    failures = store.failed(signature).distinct().join(judgements.select("doi"), "doi", "left_anti")
+    failures = store.failed(signature).select("doi").distinct().join(judgements.select("doi"), "doi", "left_anti")
     merged = merge_judgements(records, judgements, failures)
     return merged.filter(F.col("ai_pass") == "true") if cfg.only_keep_passed else merged

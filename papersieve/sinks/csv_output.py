@@ -6,7 +6,7 @@ import json
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import sanitize
@@ -147,11 +147,17 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 def export_key_results(
     screened: DataFrame, output_dir: str, label: str | None = None, source: str = ""
 ) -> dict:
-    """Usable records per track, all of them, and a summary with counts."""
+    """Usable records per track, all of them, and a summary with counts.
+
+    The input is read once: usable rows are stored by track, and every file is a pruned scan of that table.
+    """
     spark = screened.sparkSession
     now = datetime.now()
     folder = f"{output_dir.rstrip('/')}/key_results/{label or now.strftime('%Y-%m-%d_%H%M%S')}"
-    usable = screened.filter(is_usable()).withColumn("_bucket", resolved_track())
+    seen, path = Observation("input"), work_path(spark, "key-results")
+    marked = screened.observe(seen, F.count(F.lit(1)).alias("rows")).filter(is_usable()).withColumn("_bucket", resolved_track())
+    marked.write.partitionBy("_bucket").parquet(path)
+    usable = spark.read.schema(marked.schema).parquet(path)
     counts = {r["track"]: r["n"] for r in count_by_domain(usable, F.col("_bucket")).collect()}
     columns = list(screened.columns)
     files = {}
@@ -164,7 +170,7 @@ def export_key_results(
     summary = {
         "generated_at": now.isoformat(timespec="seconds"),
         "source_csv": source,
-        "total_input": screened.count(),
+        "total_input": seen.get["rows"],
         "total_usable": sum(counts.values()),
         "by_track": counts,
         "output_dir": folder,

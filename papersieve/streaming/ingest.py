@@ -9,12 +9,17 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..operators import dedup
-from ..operators.history import empty_dois
+from ..schema import SEQ
 from ..session import is_missing, work_path
 
 
+# What a deduplication looks at.
+KEY_COLUMNS = (SEQ, "doi", "title", "pub_date")
+
+
 @dataclass(frozen=True)
 class RecordStore:
     """Accepted records as Parquet, one folder per micro-batch.
@@ -26,16 +31,15 @@ class RecordStore:
     spark: SparkSession
     path: str
 
-    def known(self, before: int | None = None) -> DataFrame:
+    def accepted(self, schema: StructType, before: int) -> DataFrame:
+        """The key columns of the records that earlier micro-batches accepted."""
         try:
-            stored = self.spark.read.parquet(self.path)
+            stored = self.spark.read.parquet(self.path).filter(F.col("batch") < before)
         except AnalysisException as error:
             if not is_missing(error):
                 raise
-            return empty_dois(self.spark)
-        if before is not None:
-            stored = stored.filter(F.col("batch") < before)
-        return stored.select("doi").distinct()
+            return self.spark.createDataFrame([], schema).select(*KEY_COLUMNS)
+        return stored.select(*KEY_COLUMNS)
 
     def write(self, records: DataFrame, batch: int) -> None:
         records.write.mode("overwrite").parquet(f"{self.path}/batch={batch}")
@@ -60,8 +64,9 @@ def ingest(
 
     def step(batch: DataFrame, batch_id: int) -> None:
         records = prepare(batch)
-        outcome = dedup.deduplicate(records, store.known(before=batch_id), cfg)
-        store.write(outcome.kept(records), batch_id)
+        # What was accepted before is read first and accepted again, so its DOIs, titles and dates are taken.
+        keys = store.accepted(records.schema, batch_id).unionByName(records.select(*KEY_COLUMNS))
+        store.write(dedup.deduplicate(keys, None, cfg).kept(records), batch_id)
 
     return (
         stream.writeStream.foreachBatch(step)

@@ -104,6 +104,20 @@ def test_resume_screens_only_what_is_missing(spark, tmp_path):
     assert key(first) == key(again)
 
 
+def test_a_new_run_forgets_earlier_results(spark, tmp_path):
+    rows = records(spark, 6)
+    store = screening.JudgementStore(spark, str(tmp_path / "store"))
+    told = lambda found: sorted((r["doi"], r["ai_pass"], r["ai_rationale_zh"]) for r in found.collect())
+    first = told(screening.screen(rows, config(), judge, store=store))
+    silent = told(screening.screen(rows, config(), lambda system, payload: "[]", store=store))
+    assert {r[2] for r in silent if r[0]} == {"ai_missing_judgment"} and silent != first
+    resumed = told(screening.screen(rows, config(), judge, store=store, resume=True))
+    assert resumed == first
+    signature = screening.table_signature(rows, screening.text("doi")).first()["signature"]
+    store.clear(signature)
+    assert store.judgements(signature).isEmpty() and store.failed(signature).isEmpty()
+
+
 def test_off_and_without_key(spark, monkeypatch):
     monkeypatch.delenv("SCREENING_API_KEY", raising=False)
     off = screening.screen(records(spark), screening.ScreeningConfig(enabled=False)).first()

@@ -22,7 +22,10 @@ def test_later_files_meet_the_history(spark, tmp_path):
     arrive([(3, "10.5555/A", "three", ""), (4, "10.5555/b", "four", "")])
     assert drain() == [0, 2, 4]
     assert drain() == [0, 2, 4]
+    # A title of an earlier file is taken as well, as if all files were one batch.
+    arrive([(5, "10.5555/e", "TWO", ""), (6, "10.5555/f", "six", "")])
+    assert drain() == [0, 2, 4, 6]
     # A micro-batch that runs again replaces its own rows.
     again = spark.createDataFrame([(4, "10.5555/b", "four", "")], SCHEMA)
     store.write(again, 1)
-    assert sorted(r["ingest_seq"] for r in store.records().collect()) == [0, 2, 4]
+    assert sorted(r["ingest_seq"] for r in store.records().collect()) == [0, 2, 4, 6]

@@ -40,7 +40,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*|[^>]*)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NUMBER = re.compile(r"\d+")
 _WORD = re.compile(r"[a-z]+|\d+")
 _HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -56,10 +56,10 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 FURNITURE = frozenset("nav header footer aside form menu dialog search".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 FURNITURE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsbygoogle banner breadcrumb breadcrumbs byline comment comments commentlist "
+    "ad ads adv advert adverts advertisement advertising adsbygoogle banner breadcrumb breadcrumbs comment comments commentlist "
     "consent cookie cookies copyright disclaimer disqus footer footnav gdpr header masthead menu modal nav navbar navigation navigator "
     "newsletter notice notices notification overlay pager pagination popup promo promotion recommended related reply replies share "
-    "sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets".split()
+    "sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
 _CLOSES = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option"}}
 

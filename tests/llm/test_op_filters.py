@@ -131,6 +131,12 @@ def test_html_edge_cases(spark):
     assert html_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_attribute_values_are_not_attributes():
+    read = lambda html: html_text.Page(html).text_below(None)
+    assert read('<div style="overflow:hidden">kept</div>') == read("<div data-id='comments-x y'>kept</div>") == "kept"
+    assert read("<div hidden>gone</div>") == read('<p aria-hidden="true">gone</p>') == read("<div class='x' id=side-bar-ad>gone</div>") == ""
+
+
 def test_host_consensus_wins_over_a_page_of_its_own(spark):
     usual = "<body><div class='story'><p>%s</p></div><div class='box'><p>short</p></div></body>"
     odd = "<body><div class='story'><p>brief</p></div><div class='box'><p>a long box that beats the story of this very page by far</p></div></body>"

@@ -1,14 +1,16 @@
 """N-gram Jaccard join of documents by PartEnum signatures, and the components of its links.
 
-1. Count which shingles very many documents hold (a bounded list, see ``common_features``).
+1. Profile each document: the size of its shingle set and a sketch of it. Count which shingles very many documents
+   hold (a bounded list, see ``common_features``).
 2. Sign every document's shingle set (``partenum``): linked documents share a signature. Of equal sets that a task meets only
    the first signs in full, the others only as a whole set.
 3. Bring equal signatures together, sorted, and stream through them: the first document of a signature is its pivot. Nothing is
    gathered, however many documents share one.
-4. Verify each (pivot, document) pair once by exact intersection; frequent pivots are salted over several tasks.
+4. Verify each (pivot, document) pair once. Linked sets differ in at most (a + b) / 9 features, so their sizes and
+   sketches must be that near; pairs whose are get their texts and an exact intersection. Frequent pivots are salted over several tasks.
 5. Components of the links. Where the documents of a signature, its pivot aside, still belong to more than one
-   component, pairs among them are open. They are settled by a prefix join: shingles in order of rarity, the
-   rarest fifth of each document as join keys, with the length and positional bounds in the join condition, for pairs in
+   component, pairs among them are open. They are settled by a prefix join: shingles in one order, common ones last, the
+   first fifth of each document as join keys, with the length and positional bounds in the join condition, for pairs in
    different components only; the pairs found are verified as in 4. No link is lost: a linked pair shares a signature, so it is verified
    with the pivot, is already in one component, or is open.
 
@@ -33,14 +35,18 @@ from ..session import cut_lineage
 from .base import slices, text_buffers, without
 from .components import components
 from .hashing import LOWER, gram_hashes, mix, word_hashes, words
-from .partenum import signatures
+from .partenum import held, signatures
 
 WORDS = 5
 BROADCAST_BYTES = 16 << 20
 # Documents that one task verifies against one pivot.
 PER_SALT = 500
-# A shingle is common if this share of documents, or more, holds it.
-COMMON_SHARE = 200
+# A shingle is common if one in so many documents, or more, holds it.
+COMMON_SHARE = 4000
+# Shingles that a task counts before it passes on the frequent ones.
+COUNTED = 4_000_000
+# Counters of a sketch.
+BINS = 256
 # Whole-set signatures that a task remembers.
 SEEN_SETS = 200_000
 
@@ -73,22 +79,32 @@ def _texts(documents: DataFrame) -> DataFrame:
 def common_features(documents: DataFrame) -> np.ndarray:
     """Shingles that at least one in ``COMMON_SHARE`` documents holds, sorted.
 
-    Each slice of a task counts its documents' shingles and passes on those that half that share of them holds; the
-    counts are added up. The list holds at most ``COMMON_SHARE`` times the mean number of shingles, whatever the
+    Each task counts the shingles of some thousand documents at a time and passes on those that half that share of them
+    hold; the counts are added up. The list holds at most ``COMMON_SHARE`` times the mean number of shingles, whatever the
     number of documents. It only steers signatures: results do not depend on it.
     """
 
+    def counted(held: list[np.ndarray], n: int) -> pa.RecordBatch:
+        features, counts = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_counts=True)
+        kept = counts >= max(2, n // (2 * COMMON_SHARE))
+        return pa.RecordBatch.from_arrays([pa.array(features[kept].view(np.int64)), pa.array(counts[kept])], ["feature", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, n = [], 0, 0
         for batch in slices(batches, "text"):
-            found = np.concatenate([np.zeros(0, np.uint64), *shingle_sets(batch["text"])])
-            features, counts = np.unique(found, return_counts=True)
-            kept = counts >= max(2, batch.num_rows // (2 * COMMON_SHARE))
-            yield pa.RecordBatch.from_arrays([pa.array(features[kept].view(np.int64)), pa.array(counts[kept])], ["feature", "n"])
+            for features in shingle_sets(batch["text"]):
+                held.append(features)
+                size += len(features)
+            n += batch.num_rows
+            if size >= COUNTED:
+                yield counted(held, n)
+                held, size, n = [], 0, 0
+        yield counted(held, n)
 
     rows = _texts(documents)
     total = rows.count()
-    counted = rows.select("text").mapInArrow(run, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-    common = counted.filter(F.col("n") >= max(8, total // COMMON_SHARE)).select("feature").toPandas()["feature"]
+    added = rows.select("text").mapInArrow(run, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    common = added.filter(F.col("n") >= max(8, total // COMMON_SHARE)).select("feature").toPandas()["feature"]
     return np.sort(common.to_numpy(np.int64).view(np.uint64))
 
 
@@ -146,6 +162,40 @@ def buckets(sigs: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "sig long, doc long, pivot long, many boolean")
 
 
+def profiles(documents: DataFrame) -> DataFrame:
+    """(doc, size, sketch) of every row. A sketch counts the features in ``BINS`` equal ranges of the hash, up to 255."""
+    edges = np.arange(1, BINS, dtype=np.uint64) << np.uint64(64 - BINS.bit_length() + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            sizes, sketches = [], []
+            for features in shingle_sets(batch["text"]):
+                places = np.concatenate([[0], np.searchsorted(features, edges), [len(features)]])
+                sizes.append(len(features))
+                sketches.append(np.minimum(np.diff(places), 255).astype(np.uint8).tobytes())
+            yield pa.RecordBatch.from_arrays([batch["doc"], pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())], ["doc", "size", "sketch"])
+
+    return _texts(documents).mapInArrow(run, "doc long, size long, sketch binary")
+
+
+def plausible(pairs: DataFrame, profile: DataFrame) -> DataFrame:
+    """The pairs (pivot, doc) whose sizes and sketches do not rule a link out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sketch = lambda c: np.frombuffer(b"".join(batch[c].to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int16)  # noqa: B023, E731
+            most = (batch["x_size"].to_numpy() + batch["y_size"].to_numpy()) // 9
+            near = np.abs(sketch("x_sketch") - sketch("y_sketch")).sum(axis=1) <= most
+            yield pa.RecordBatch.from_arrays([batch["pivot"], batch["doc"]], ["pivot", "doc"]).filter(pa.array(near))
+
+    x = profile.select(F.col("doc").alias("pivot"), F.col("size").alias("x_size"), F.col("sketch").alias("x_sketch"))
+    y = profile.select("doc", F.col("size").alias("y_size"), F.col("sketch").alias("y_sketch"))
+    sized = pairs.join(x.drop("x_sketch"), "pivot").join(y.drop("y_sketch"), "doc")
+    sized = sized.filter(5 * F.least("x_size", "y_size") >= 4 * F.greatest("x_size", "y_size")).select("pivot", "doc")
+    rows = sized.distinct().join(x, "pivot").join(y, "doc")
+    return rows.mapInArrow(run, "pivot long, doc long").distinct()
+
+
 def _with_texts(documents: DataFrame, need: DataFrame, row_bytes: int) -> DataFrame:
     need = cut_lineage(need)
     small = need.count() * row_bytes <= BROADCAST_BYTES
@@ -192,23 +242,31 @@ def open_rows(shared: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(split.select("sig"), "sig", "left_semi").select("doc", "comp").distinct()
 
 
-def prefix_pairs(documents: DataFrame, rows: DataFrame) -> DataFrame:
-    """Distinct pairs (pivot, doc) of rows (doc, comp) in different components that may be linked."""
+def prefix_pairs(documents: DataFrame, rows: DataFrame, common: np.ndarray) -> DataFrame:
+    """Distinct pairs (pivot, doc) of rows (doc, comp) in different components that may be linked.
+
+    Any order of the shingles that all documents share will do; common ones come last, so that documents which
+    have little but a frequent passage in common seldom meet.
+    """
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            sets = list(shingle_sets(batch["text"]))
-            size = np.array([len(s) for s in sets])
-            spread = [np.repeat(batch[c].to_numpy(zero_copy_only=False), size) for c in ("doc", "comp")]
-            features = np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (*spread, np.repeat(size, size), features)], ["doc", "comp", "size", "feature"])
-
-    found = cut_lineage(_with_texts(documents, rows, 48).mapInArrow(explode, "doc long, comp long, size long, feature long"))
-    counts = found.groupBy("feature").agg(F.count("*").alias("df"))
-    ranked = found.join(counts, "feature").groupBy("doc", "comp", "size").agg(F.sort_array(F.collect_list(F.struct("df", "feature"))).alias("order"))
-    prefix = F.slice("order", 1, (F.col("size") - F.floor((4 * F.col("size") + 4) / 5) + 1).cast("int"))
-    keys = ranked.select("doc", "comp", "size", F.posexplode(prefix).alias("place", "key")).filter("key.df > 1")
-    keys = cut_lineage(keys.select("doc", "comp", "size", F.col("key.feature").alias("feature"), (F.col("size") - F.col("place")).alias("rest")))
+            keys, counts, sizes, rest = [], [], [], []
+            for features in shingle_sets(batch["text"]):
+                size = len(features)
+                frequent = held(features, common)
+                first = size - (4 * size + 4) // 5 + 1 if size else 0
+                keys.append(np.concatenate([features[~frequent], features[frequent]])[:first])
+                counts.append(first)
+                sizes.append(size)
+                rest.append(size - np.arange(first))
+            spread = lambda values: np.repeat(np.asarray(values), counts)  # noqa: B023, E731
+            docs, comps = (batch[c].to_numpy(zero_copy_only=False) for c in ("doc", "comp"))
+            columns = (spread(docs), spread(comps), spread(sizes), np.concatenate(keys).view(np.int64), np.concatenate(rest))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "comp", "size", "feature", "rest"])
+
+    keys = _with_texts(documents, rows, 48).mapInArrow(prefixes, "doc long, comp long, size long, feature long, rest long")
+    keys = cut_lineage(keys)
     x, y = keys.alias("x"), keys.alias("y")
     need = 4 * (F.col("x.size") + F.col("y.size"))
     close = (
@@ -222,26 +280,22 @@ def prefix_pairs(documents: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def link_components(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The links found (a, b), which connect whatever is linked, and (node, component) of linked documents."""
-    shared = cut_lineage(buckets(signed(documents, common_features(documents))))
+    """The profiles of all rows, and (node, component) of linked documents."""
+    profile = cut_lineage(profiles(documents))
+    common = common_features(documents)
+    shared = cut_lineage(buckets(signed(documents, common)))
     pairs = cut_lineage(shared.filter("doc <> pivot").select("pivot", "doc").distinct())
-    links = cut_lineage(verify(documents, pairs))
+    links = cut_lineage(verify(documents, cut_lineage(plausible(pairs, profile))))
     found = components(links)
-    more = cut_lineage(prefix_pairs(documents, open_rows(shared, found)).join(pairs, ["pivot", "doc"], "left_anti"))
-    links = cut_lineage(links.union(verify(documents, more)))
-    return links, components(links)
+    opened = prefix_pairs(documents, open_rows(shared, found), common).join(pairs, ["pivot", "doc"], "left_anti")
+    more = cut_lineage(plausible(cut_lineage(opened), profile))
+    return profile, components(links.union(verify(documents, more)))
 
 
 def join(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of documents."""
-    _, found = link_components(documents)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            sizes = pa.array([len(s) for s in shingle_sets(batch["text"])], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch["doc"], sizes], ["doc", "n_shingles"])
-
-    rows = _texts(documents).mapInArrow(run, "doc long, n_shingles long")
+    profile, found = link_components(documents)
+    rows = profile.select("doc", F.col("size").alias("n_shingles"))
     joined = rows.join(found, rows["doc"] == found["node"], "left")
     return joined.select(F.col("doc").alias("doc_id"), "n_shingles", F.coalesce("component", "doc").alias("component_id"))
 

@@ -63,7 +63,7 @@ def signatures(features: np.ndarray, common: np.ndarray | None = None) -> np.nda
     out = []
     for cut in range(SCHEMES):
         if cut == 0:
-            keys = features if common is None or not len(common) else features[~_held(features, common)]
+            keys = features if common is None else features[~held(features, common)]
         else:
             keys = mix(features + np.uint64(cut))
         keys = np.sort(keys)
@@ -75,7 +75,10 @@ def signatures(features: np.ndarray, common: np.ndarray | None = None) -> np.nda
     return np.concatenate(out)
 
 
-def _held(features: np.ndarray, common: np.ndarray) -> np.ndarray:
+def held(features: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """Which features are in a sorted list."""
+    if len(common) == 0:
+        return np.zeros(len(features), bool)
     return common[np.minimum(np.searchsorted(common, features), len(common) - 1)] == features
 
 

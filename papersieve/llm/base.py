@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 # Most text bytes that a task handles at once; a longer single text is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -3,13 +3,18 @@
 Each page is read into blocks of text, every one under its path of containers. A container's path is
 generalised to tags with their classes, digits as ``N``. Blocks inside menus, headers, footers, sidebars,
 notices, adverts, forms and reader comments, told by tag, role, class or id, are furniture. A page scores
-its containers by the text that stands directly in them (and half of it for the container around), less links.
-Spark adds the shares up per host and path; the path with most of them wins the host. Pages are then read again
-and give the blocks below the winning path, or, where they lack it, below their own best container.
+its containers by the text that stands directly in them (half of it for the container around, a quarter for the next),
+less links. Spark adds the shares of all paths up per host; the path with most of them wins the host.
 
-Scores are whole numbers, so votes do not depend on the order of addition. Votes are added up per batch
+The article is more than the winning container. All of the outermost ``article`` around it belongs to it, and what stands
+beside or above it up to the outermost ``article`` or ``main``, or up to the whole page where there is neither. Such text beside is
+taken in units (a child container, or the text directly in a container around); left out are units of links, and units where
+one same text stands on more than half of the host's pages that have it, and on ``REPEATS`` at least. Pages without the winning path
+start from their own best container.
+
+Scores are whole numbers, so votes do not depend on the order of addition. Votes and repeated units are added up per batch
 before they are shuffled: a host with a third of all pages sends a few rows from each task. The
-winners (a host and a path each) are sent to the pages where they take at most ``BROADCAST_BYTES``, and joined by shuffle otherwise.
+winners (a host, a path and its repeated units) are sent to the pages where they take at most ``BROADCAST_BYTES``, and joined by shuffle otherwise.
 
 Defined cases: null or empty html gives an empty text; pages without url vote under the empty host; a page without any text
 outside furniture gives an empty text; unclosed and stray tags are closed or skipped as browsers do;
@@ -20,7 +25,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
@@ -32,8 +38,8 @@ from .base import slices
 from .url_filter import host_of
 
 BROADCAST_BYTES = 64 << 20
-# Containers of a page that may vote, best first.
-VOTES = 5
+# Pages of a host that must repeat a text beside the article before it counts as furniture.
+REPEATS = 3
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -78,6 +84,7 @@ class Page:
 
     def __init__(self, html: str | None):
         self.paths: list[str] = []  # of each container, in page order
+        self.tags: list[str] = []
         self.parents: list[int] = []
         self.blocks: list[tuple[int, str, int]] = []
         self._stack: list[tuple[str, bool, int]] = [("", False, -1)]  # tag, furniture, innermost container
@@ -103,6 +110,7 @@ class Page:
             names = ".".join(sorted(_NUMBER.sub("N", attributes.get("class", "")).split()))
             above = self.paths[container] + ">" if container >= 0 else ""
             self.paths.append(above + tag + ("." + names if names else ""))
+            self.tags.append(tag)
             self.parents.append(container)
             container = len(self.paths) - 1
         self._stack.append((tag, furniture, container))
@@ -158,28 +166,81 @@ class Page:
         """Whole-number scores of container paths."""
         out: Counter = Counter()
         for container, text, links in self.blocks:
-            value = 2 * max(0, len(text) - 2 * links)
-            if container >= 0:
+            value = 4 * max(0, len(text) - 2 * links)
+            while container >= 0 and value:
                 out[self.paths[container]] += value
-                if self.parents[container] >= 0:
-                    out[self.paths[self.parents[container]]] += value // 2
+                container, value = self.parents[container], value // 2
         return out
 
     def votes(self) -> list[tuple[str, int]]:
-        """The best paths with their shares in thousandths."""
-        best = sorted(self.scores().items(), key=lambda x: (-x[1], x[0]))[:VOTES]
+        """The container paths, best first, with their shares in thousandths."""
+        best = sorted(self.scores().items(), key=lambda x: (-x[1], x[0]))
         total = sum(v for _, v in best)
-        return [(path, 1000 * value // total) for path, value in best if value] if total else []
+        return [(path, 1000 * value // total) for path, value in best if value]
+
+    def _start(self, path: str | None) -> str | None:
+        if path in self.paths:
+            return path
+        own = self.votes()
+        return own[0][0] if own else None
 
-    def text_below(self, path: str | None) -> str:
-        """The blocks below the containers with this path, or below the page's own best one; all blocks if it has none."""
-        if path not in self.paths:
-            own = self.votes()
-            path = own[0][0] if own else None
+    def _below(self, path: str) -> list[bool]:
         inside = [False] * len(self.paths)
         for i, own in enumerate(self.paths):
             inside[i] = own == path or (self.parents[i] >= 0 and inside[self.parents[i]])
-        return "\n".join(text for container, text, _ in self.blocks if path is None or (container >= 0 and inside[container]))
+        return inside
+
+    def parts(self, path: str) -> tuple[list[int], dict[str, list[int]]]:
+        """Blocks (by number) of the article around the containers with this path, and of each unit of text beside it."""
+        at, chain = self.paths.index(path), []
+        while at >= 0:
+            chain.append(at)
+            at = self.parents[at]
+        articles = [i for i in chain if self.tags[i] == "article"]
+        ends = [i for i in chain if self.tags[i] in ("article", "main")]
+        whole, top = (articles or chain[:1])[-1], ends[-1] if ends else -1
+        inside = self._below(self.paths[whole])
+        within = self._below(self.paths[top]) if ends else [True] * len(self.paths)
+        around = {self.paths[i] for i in chain if top <= i < whole}
+        units = [""] * len(self.paths)
+        for i, own in enumerate(self.paths):
+            above = self.parents[i]
+            if own in around:
+                units[i] = own + " direct"
+            elif above < 0 or self.paths[above] in around:
+                units[i] = own
+            else:
+                units[i] = units[above]
+        core: list[int] = []
+        beside: dict[str, list[int]] = {}
+        for number, (container, _, _) in enumerate(self.blocks):
+            if container >= 0 and inside[container]:
+                core.append(number)
+            elif within[container] if container >= 0 else not ends:
+                beside.setdefault(units[container] if container >= 0 else " direct", []).append(number)
+        kept = {}
+        for unit, numbers in beside.items():
+            if sum(len(self.blocks[n][1]) - 2 * self.blocks[n][2] for n in numbers) > 0:
+                kept[unit] = numbers
+        return core, kept
+
+    def beside(self, path: str | None) -> list[tuple[str, int]]:
+        """Each unit of text beside the article with a digest of its text."""
+        start = self._start(path)
+        if start is None:
+            return []
+        digest = lambda numbers: blake2b("\n".join(self.blocks[n][1] for n in numbers).encode("utf-8", "replace"), digest_size=8).digest()
+        return [(unit, int.from_bytes(digest(numbers), "big", signed=True)) for unit, numbers in self.parts(start)[1].items()]
+
+    def text_below(self, path: str | None, repeated: Iterable[str] = ()) -> str:
+        """The article around the containers with this path, or around the page's own best one; all blocks if it has none."""
+        start = self._start(path)
+        if start is None:
+            return "\n".join(text for _, text, _ in self.blocks)
+        core, units = self.parts(start)
+        gone = set(repeated or ())
+        numbers = core + [n for unit, found in units.items() if unit not in gone for n in found]
+        return "\n".join(self.blocks[n][1] for n in sorted(numbers))
 
 
 def winning_paths(pages: DataFrame) -> DataFrame:
@@ -201,15 +262,42 @@ def winning_paths(pages: DataFrame) -> DataFrame:
     return votes.groupBy("host").agg(first)
 
 
+def _size(winners: DataFrame, *more) -> int:
+    return winners.select(F.sum(sum(more, F.octet_length("host") + F.octet_length("path") + 64)).alias("b")).first()["b"] or 0
+
+
+def repeated_units(pages: DataFrame, winners: DataFrame) -> DataFrame:
+    """(host, repeated): units beside the article where most of a host's pages say the same."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "html"):
+            tally: Counter = Counter()
+            for host, html, path in zip(*(part[c].to_pylist() for c in ("host", "html", "path"))):
+                for unit, digest in Page(html).beside(path):
+                    tally[host, unit, digest] += 1
+            rows = [(*key, n) for key, n in tally.items()]
+            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in rows], schema)
+
+    schema = pa.schema([("host", pa.string()), ("unit", pa.string()), ("digest", pa.int64()), ("n", pa.int64())])
+    rows = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
+    joined = rows.join(F.broadcast(winners) if _size(winners) <= BROADCAST_BYTES else winners, "host", "left")
+    said = joined.mapInArrow(read, "host string, unit string, digest long, n long")
+    texts = said.groupBy("host", "unit", "digest").agg(F.sum("n").alias("n"))
+    units = texts.groupBy("host", "unit").agg(F.max("n").alias("most"), F.sum("n").alias("pages"))
+    same = units.filter((F.col("most") >= REPEATS) & (2 * F.col("most") > F.col("pages")))
+    return same.groupBy("host").agg(F.collect_list("unit").alias("repeated"))
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for each row of pages."""
     winners = cut_lineage(winning_paths(pages))
-    size = winners.select(F.sum(F.octet_length("host") + F.octet_length("path") + 64).alias("b")).first()["b"] or 0
+    winners = cut_lineage(winners.join(repeated_units(pages, winners), "host", "left"))
+    size = _size(winners, F.coalesce(F.octet_length(F.array_join("repeated", " ")), F.lit(0)))
     kind = dict(pages.dtypes)["page_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "html"):
-            texts = [Page(h).text_below(p) for h, p in zip(part["html"].to_pylist(), part["path"].to_pylist())]
+            texts = [Page(h).text_below(*p) for h, *p in zip(*(part[c].to_pylist() for c in ("html", "path", "repeated")))]
             sizes = pa.array([len(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [part["page_id"], part["url"], pa.array(texts, pa.string()), sizes], ["page_id", "url", "text", "n_chars"]
@@ -218,4 +306,4 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     rows = rows.withColumn("host", host_of(F.col("url")))
     joined = rows.join(F.broadcast(winners) if size <= BROADCAST_BYTES else winners, "host", "left")
-    return joined.select("page_id", "url", "html", "path").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "path", "repeated").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")

@@ -144,6 +144,26 @@ def test_host_consensus_wins_over_a_page_of_its_own(spark):
     assert extracted(spark, rows)[9] == ("brief", 5)
 
 
+def test_article_text_beside_the_winning_container_is_kept(spark):
+    body = "".join(f"<p>{'body text %d ' % i * 9}</p>" for i in range(20))
+    lead = "<h1>Heading %d</h1><div class='body'>BODY</div><p>Closing %d</p>".replace("BODY", body)
+    sections = "<section class='a'>BODY</section><section class='b'><div><p>Second part %d</p></div></section>".replace("BODY", body)
+    rows = []
+    for i in range(4):
+        rows += [(i, f"http://h/{i}", f"<body><div class='x'>Site motto</div><article>{lead % (i, i)}</article></body>")]
+        rows += [(10 + i, f"http://s/{i}", f"<body><main><article>{sections % i}</article></main></body>")]
+        rows += [(20 + i, f"http://d/{i}", f"<body><div class='motto'>Site motto</div><div class='post'>{lead % (i, i)}</div><div class='links'><a href='/'>Text {i}</a></div></body>")]
+        rows += [(30 + i, f"http://e/{i}", f"<body><div class='motto'>Site motto</div><div class='post'>{sections % i}</div></body>")]
+    got = extracted(spark, rows)
+    for i in range(4):
+        for page in (i, 20 + i):
+            lines = got[page][0].split("\n")
+            assert (lines[0], len(lines), lines[-1]) == (f"Heading {i}", 22, f"Closing {i}")
+        for page in (10 + i, 30 + i):
+            lines = got[page][0].split("\n")
+            assert (len(lines), lines[-1]) == (21, f"Second part {i}")
+
+
 def test_articles_equal_a_plain_pattern(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}

@@ -2,7 +2,8 @@
 
 Each page is read into blocks of text, every one under its path of containers. A container's path is
 generalised to tags with their classes, digits as ``N``. Blocks inside menus, headers, footers, sidebars,
-notices, adverts, forms and reader comments, told by tag, role, class or id, are furniture. A page scores
+notices, adverts, forms and reader comments, told by tag, role, class or id, are furniture. A word in a class or id
+(or a form) is no sign of furniture on a page where it holds most of the text: see ``Page._freed``. A page scores
 its containers by the text that stands directly in them (half of it for the container around, a quarter for the next),
 less links. Spark adds the shares of all paths up per host; the path with most of them wins the host.
 
@@ -23,6 +24,7 @@ repeated rows are read one by one; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -40,6 +42,8 @@ from .url_filter import host_of
 BROADCAST_BYTES = 64 << 20
 # Pages of a host that must repeat a text beside the article before it counts as furniture.
 REPEATS = 3
+# Text that a plain furniture name must hold, besides nearly all of its page, to be no furniture; one part in REST is the most outside.
+LEAST_TEXT, REST = 200, 20
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -59,7 +63,7 @@ BLOCKS = CONTAINERS | frozenset(
 UNREAD = frozenset("script style noscript template iframe object svg math textarea title head select button canvas audio video".split())
 OPAQUE = frozenset("script style textarea title iframe noscript".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-FURNITURE = frozenset("nav header footer aside form menu dialog search".split())
+FURNITURE = frozenset("nav header footer aside menu dialog search".split())
 FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 FURNITURE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsbygoogle banner breadcrumb breadcrumbs comment comments commentlist "
@@ -70,42 +74,109 @@ FURNITURE_WORDS = frozenset(
 _CLOSES = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "tr": {"tr"}, "option": {"option"}}
 
 
+# Before a furniture word: the name tells what else the container holds.
+LINKING_WORDS = frozenset("has have with without no and plus".split())
+# Names that begin with these mean the thing itself, whatever follows.
+OWN_WORDS = frozenset(
+    "ad ads advert comment comments commentlist consent cookie cookies disqus gdpr newsletter promo recommended related reply replies share sharing social".split()
+)
+NO_MARKS: frozenset[tuple[str, bool]] = frozenset()
+
+
 def _is_furniture(tag: str, attributes: dict[str, str]) -> bool:
+    """Told by tag, role or state, whatever it holds."""
     if tag in FURNITURE or attributes.get("role", "").lower() in FURNITURE_ROLES:
         return True
-    if tag in ("html", "body"):
-        return False
-    named = _HUMP.sub(" ", f"{attributes.get('class', '')} {attributes.get('id', '')}").lower()
-    return "hidden" in attributes or attributes.get("aria-hidden") == "true" or any(w in FURNITURE_WORDS for w in _WORD.findall(named))
+    return tag not in ("html", "body") and ("hidden" in attributes or attributes.get("aria-hidden") == "true")
+
+
+@functools.lru_cache(maxsize=4096)
+def _marks(tag: str, names: str) -> frozenset[tuple[str, bool]]:
+    """The names up to each furniture word in them, and whether they mean just that."""
+    out = {("form", False)} if tag == "form" else set()
+    for name in names.split() if tag not in ("html", "body") else ():
+        words = _WORD.findall(_HUMP.sub(" ", name).lower())
+        for i, word in enumerate(words):
+            if word in FURNITURE_WORDS:
+                last = all(w.isdigit() for w in words[i + 1 :])
+                linked = i > 0 and words[i - 1] in LINKING_WORDS
+                plain = not linked and not word.startswith("widget") and (last or (i == 0 and word in OWN_WORDS))
+                out.add(("-".join(words[: i + 1]) + ("" if last else "-"), plain))
+    return frozenset(out)
 
 
 class Page:
     """The blocks of a page: (containers around it, text, characters in links)."""
 
     def __init__(self, html: str | None):
+        self._ignored = NO_MARKS
+        self._begin()
+        self._read(html or "")
+        self._ignored = self._freed() if self._marked else NO_MARKS
+        if self._ignored:
+            self._begin()
+            self._read(html or "")
+
+    def _begin(self) -> None:
         self.paths: list[str] = []  # of each container, in page order
         self.tags: list[str] = []
         self.parents: list[int] = []
         self.blocks: list[tuple[int, str, int]] = []
-        self._stack: list[tuple[str, bool, int]] = [("", False, -1)]  # tag, furniture, innermost container
+        # tag, furniture whatever it holds, furniture, marks, in an article or main without marks, innermost container
+        self._stack: list[tuple[str, bool, bool, frozenset, bool, int]] = [("", False, False, NO_MARKS, False, -1)]
         self._text: list[str] = []
         self._links = 0
         self._in_link = 0
-        self._read(html or "")
+        # Characters outside links: of the page, in unmarked article or main, and by mark (all, in unmarked article or main).
+        self._total = self._clean = 0
+        self._marked: Counter = Counter()
+        self._marked_clean: Counter = Counter()
+        self._around: dict[str, list[tuple[frozenset, frozenset]]] = {"article": [], "main": []}
+
+    def _freed(self) -> frozenset[tuple[str, bool]]:
+        """The marks that are no sign of furniture on this page.
+
+        A mark that holds more than half of the page's text; one that means just that (``comments``, ``side-ad``) only if
+        it holds all but a little. Where an unmarked article or main has text, only text in it counts. Else the page's only
+        main or article frees the marks around it.
+        """
+        has_article = self._clean and REST * self._clean >= self._total
+        held = self._marked_clean if has_article else self._marked
+        freed = set()
+        for mark in self._marked:
+            n = held[mark]
+            if mark[1]:
+                enough = n >= LEAST_TEXT and REST * (self._total - n) <= n
+            else:
+                enough = 2 * n > self._total
+            if enough:
+                freed.add(mark)
+        if not has_article:
+            for tag, found in self._around.items():
+                if len(found) == 1:
+                    above, own = found[0]
+                    freed |= {mark for mark in above if not mark[1]} | (own if tag == "main" else NO_MARKS)
+        return frozenset(freed)
 
     def _flush(self) -> None:
         if self._text:
             text = " ".join(unescape("".join(self._text)).split())
             if text:
-                self.blocks.append((self._stack[-1][2], text, min(self._links, len(text))))
+                self.blocks.append((self._stack[-1][5], text, min(self._links, len(text))))
         self._text, self._links = [], 0
 
     def _open(self, tag: str, raw: str) -> None:
         while self._stack[-1][0] in _CLOSES and tag in _CLOSES[self._stack[-1][0]]:
             self._stack.pop()
         attributes = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(raw)} if "=" in raw or "hidden" in raw else {}
-        _, furniture, container = self._stack[-1]
-        furniture = furniture or _is_furniture(tag, attributes)
+        _, closed, furniture, marks, clean, container = self._stack[-1]
+        closed = closed or _is_furniture(tag, attributes)
+        own = _marks(tag, f"{attributes.get('class', '')} {attributes.get('id', '')}") if attributes or tag == "form" else NO_MARKS
+        furniture = furniture or closed or not own <= self._ignored
+        if tag in self._around and not closed:
+            self._around[tag].append((marks, own))
+        marks = marks | own if own else marks
+        clean = clean or (tag in self._around and not marks)
         if tag in CONTAINERS:
             names = ".".join(sorted(_NUMBER.sub("N", attributes.get("class", "")).split()))
             above = self.paths[container] + ">" if container >= 0 else ""
@@ -113,7 +184,7 @@ class Page:
             self.tags.append(tag)
             self.parents.append(container)
             container = len(self.paths) - 1
-        self._stack.append((tag, furniture, container))
+        self._stack.append((tag, closed, furniture, marks, clean, container))
 
     def _close(self, tag: str) -> None:
         for place in range(len(self._stack) - 1, 0, -1):
@@ -122,7 +193,17 @@ class Page:
                 return
 
     def _say(self, text: str) -> None:
-        if not self._stack[-1][1]:
+        _, closed, furniture, marks, clean, _ = self._stack[-1]
+        if not closed and not self._in_link:
+            n = len(text.strip())
+            self._total += n
+            if clean and not marks:
+                self._clean += n
+            for mark in marks:
+                self._marked[mark] += n
+                if clean:
+                    self._marked_clean[mark] += n
+        if not furniture:
             self._text.append(text)
             if self._in_link:
                 self._links += len(text)
@@ -197,7 +278,7 @@ class Page:
             chain.append(at)
             at = self.parents[at]
         articles = [i for i in chain if self.tags[i] == "article"]
-        ends = [i for i in chain if self.tags[i] in ("article", "main")]
+        ends = [i for i in chain if self.tags[i] in self._around]
         whole, top = (articles or chain[:1])[-1], ends[-1] if ends else -1
         inside = self._below(self.paths[whole])
         within = self._below(self.paths[top]) if ends else [True] * len(self.paths)

@@ -137,6 +137,22 @@ def test_attribute_values_are_not_attributes():
     assert read("<div hidden>gone</div>") == read('<p aria-hidden="true">gone</p>') == read("<div class='x' id=side-bar-ad>gone</div>") == ""
 
 
+def test_wrappers_named_after_furniture_are_read():
+    read = lambda html: html_text.Page(html).text_below(None)
+    text, side = "article text " * 30, "<div class='sidebar'><p>beside it</p></div><section id='comments'><p>nice</p></section>"
+    want = text.strip()
+    for wrapper in ("div class='content has-sidebar'", "main class='article-with-comments'", "form action='/x'", "div class='newsletter'"):
+        tag = wrapper.split()[0]
+        assert read(f"<body><header>Top</header><{wrapper}><p>{text}</p>{side}</{tag}></body>") == want, wrapper
+    widget = "<div class='elementor-widget elementor-widget-%s'><div class='elementor-widget-container'>%s</div></div>"
+    parts = widget % ("heading", "<h1>Head</h1>") + (widget % ("text-editor", f"<p>{text}</p>")) * 2
+    assert read(f"<body>{parts}{side}</body>") == f"Head\n{want}\n{want}"
+    assert read("<body><div class='sidebar-wrap'><article><p>short</p></article></div><div><a href='/'>x</a></div></body>") == "short"
+    long = f"<section id='comments'><article class='comment'><p>{text * 9}</p></article></section>"
+    assert read(f"<body><article><p>{text}</p></article>{long}</body>") == want
+    assert read(f"<body><div class='post'><p>{text}</p></div><div class='cookie-consent'><p>{text * 3}</p></div></body>") == want
+
+
 def test_host_consensus_wins_over_a_page_of_its_own(spark):
     usual = "<body><div class='story'><p>%s</p></div><div class='box'><p>short</p></div></body>"
     odd = "<body><div class='story'><p>brief</p></div><div class='box'><p>a long box that beats the story of this very page by far</p></div></body>"

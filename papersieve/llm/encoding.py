@@ -3,7 +3,8 @@
 Both vocabularies split a text at white space before anything else, so a run of blanks with the
 word behind it has the same ids wherever it stands. Each run is encoded once and remembered;
 a text is then a join of remembered byte strings. A text with a blank other than
-space and newline, where Python's and the tokenizer's ideas of white space could differ, is encoded whole.
+space and newline, where Python's and the tokenizer's ideas of white space could differ, is encoded whole,
+and so is a text that holds an added token of the file (``<|endoftext|>``), which gets that token's id.
 New runs that are one word of Latin letters with plain marks behind go straight to the
 library's BPE model; all others go through the whole tokenizer.
 """
@@ -39,7 +40,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.lowers = self.tokenizer.normalizer is not None
         self.runs = re.compile(r"[^ \n]+" if self.lowers else r"[ \n]*[^ \n]+|[ \n]+").findall
@@ -70,7 +71,7 @@ class Encoder:
         """The ids of a whole text (null: none)."""
         if not text:
             return b""
-        if _OTHER_BLANK.search(text):
+        if _OTHER_BLANK.search(text) or any(token in text for token in self.added):
             return self.whole(text)
         if len(self.memo) > MEMO_RUNS:
             self.memo.clear()

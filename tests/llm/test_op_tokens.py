@@ -7,6 +7,7 @@ from collections import defaultdict
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from tokenizers import Tokenizer
 
 from papersieve.llm import packing, token_files
 from papersieve.llm.encoding import encoder, public_tokenizer
@@ -30,6 +31,16 @@ def test_encoder_equals_the_library(text):
         assert encoder(path).encode(f"<|endoftext|> {text}") == library_ids(path, f"<|endoftext|> {text}")
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "foo", " ", "\n", "É.", "<|", "\t"]), max_size=9))
+def test_encoder_equals_an_untouched_tokenizer(parts):
+    text = "".join(parts)
+    for path in (BYTES, WORDS):
+        own = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+        assert encoder(path).encode(text) == np.array(own, "<u4").tobytes()
+    assert np.frombuffer(encoder(BYTES).encode("foo <|endoftext|> bar"), "<u4").tolist() == [21943, 220, 50256, 2318]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(0, 2**32 - 1) | st.integers(0, 300), max_size=700))
 def test_blocks_round_trip(ids):

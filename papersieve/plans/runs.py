@@ -118,12 +118,14 @@ SEARCHES_PER_JOB = 50
 def land(spark, source: str, queries, window, options: Mapping, folder: str, resume: bool) -> DataFrame:
     """Answers of all searches as a stored table, in groups of searches.
 
-    The folder carries the signature of the searches and their window. A resumed
-    run takes the groups that are complete and asks only for the others, so no
-    answer is lost or requested twice.
+    The folder carries the signature of the searches and their window, and the limit
+    of a search if one is set. A group is stored only if all of its searches gave all
+    of their results; otherwise the readers raise. A resumed run takes the groups that are
+    complete and asks only for the others, so no answer is lost or requested twice.
     """
     start, end = str(window[0]), str(window[1])
-    base = f"{folder}/{source}/{query_signature(queries, start, end)}"
+    limit = options.get("limit_per_query") or "all"
+    base = f"{folder}/{source}/{query_signature(queries, start, end)}-{limit}"
     targets = []
     for first in range(0, len(queries), SEARCHES_PER_JOB):
         target = f"{base}/first={first}"
@@ -138,7 +140,11 @@ def land(spark, source: str, queries, window, options: Mapping, folder: str, res
 
 
 def pubmed_records(spark, queries, window, settings: Mapping, folder: str, resume: bool) -> DataFrame:
-    """Articles of all searches; an id found twice is fetched once, at its first place."""
+    """Articles of all searches; an id found twice is fetched once, at its first place.
+
+    Ids that could not be fetched raise; with ``allow_gaps`` they are stored in the folder
+    ``article_gaps`` of the landing, and the run goes on.
+    """
     found = land(spark, "article_search", queries, window, _options(settings), folder, resume)
     places = found.groupBy("pmid").agg(F.min(F.struct("query_ord", "position")).alias("place"))
     numbered = ordering.number_rows(places, [F.col("place"), F.col("pmid")])
@@ -146,7 +152,17 @@ def pubmed_records(spark, queries, window, settings: Mapping, folder: str, resum
     if cap > 0:
         numbered = numbered.filter(F.col("row_index") < cap)
     raw = api.fetch_articles(numbered.select("row_index", "pmid"), settings, int(settings.get("workers") or 1))
-    return landed.parse_articles(raw, keep=("row_index",))
+    path = work_path(spark, "article-xml")
+    raw.write.parquet(path)
+    stored = spark.read.parquet(path)
+    gaps = stored.filter(F.col("gap").isNotNull()).select("row_index", "gap")
+    lost = gaps.count()
+    if lost and not settings.get("allow_gaps"):
+        some = ", ".join(r["gap"] for r in gaps.orderBy("row_index").limit(20).collect())
+        raise api.Incomplete(f"{lost} articles could not be fetched: {some}; pubmed.allow_gaps goes on without them")
+    if lost:
+        gaps.write.mode("overwrite").parquet(f"{folder}/article_gaps/{query_signature(queries, str(window[0]), str(window[1]))}")
+    return landed.parse_articles(stored.filter(F.col("raw").isNotNull()).drop("gap"), keep=("row_index",))
 
 
 def crossref_records(spark, queries, window, settings: Mapping, folder: str, resume: bool) -> DataFrame:

@@ -3,7 +3,9 @@
 ``spark.dataSource.register(ArticleSearch)`` and ``(WorkSearch)`` make them
 available as ``format("article_search")`` and ``format("work_search")``. Each
 reader pages through its own searches on the executors; the request interval is
-stretched by the number of partitions, so all readers together keep to it.
+stretched by the number of partitions, so all readers together keep to it. A search
+gives all of its results or raises: a failed or short page, an answer without the
+expected fields and a day over the service's limit end the read.
 """
 
 from __future__ import annotations
@@ -35,7 +37,6 @@ ARTICLE_INTERVAL, ARTICLE_INTERVAL_WITH_KEY = 0.34, 0.11
 WORKS_INTERVAL, WORKS_INTERVAL_WITH_MAIL = 1.0, 0.2
 PAGE_SIZE = 200
 FETCH_LIMIT = 200
-PAGES_PER_SEARCH = 20
 WORK_FIELDS = "DOI,title,container-title,published,published-print,published-online,type"
 QUERY_PARAMETERS = {
     "bibliographic": "query.bibliographic",
@@ -49,6 +50,10 @@ class Unavailable(Exception):
     """A request failed after all retries."""
 
 
+class Incomplete(Exception):
+    """A service answered with less than it announced, or holds more than it gives out."""
+
+
 @dataclass(frozen=True)
 class HttpTransport:
     """GET/POST with retries, back-off and pacing (standard library only)."""
@@ -173,32 +178,43 @@ class ArticleReader(_SearchReader):
             "retmax": size,
             "retmode": "json",
         }
-        return _json(call(ARTICLE_SEARCH_URL, params)).get("esearchresult", {})
+        answer = _json(call(ARTICLE_SEARCH_URL, params)).get("esearchresult", {})
+        wanted = "idlist" if size else "count"
+        if wanted not in answer:
+            raise Incomplete(f"{query} {start}..{end} at {offset}: no {wanted} in the answer {str(answer)[:200]}")
+        return answer
 
     def ids(self, call, query: str, start: date, end: date) -> Iterator[str]:
-        total = int(self._search(call, query, start, end, 0, 0).get("count", 0))
+        total = int(self._search(call, query, start, end, 0, 0)["count"])
         finer = split_range(start, end) if total > RESULT_LIMIT else []
         if len(finer) > 1:
             for low, high in finer:
                 yield from self.ids(call, query, low, high)
             return
-        reachable = min(total, RESULT_LIMIT)
-        for offset in range(0, reachable, self.page()):
-            try:
-                answer = self._search(call, query, start, end, offset, min(self.page(), reachable - offset))
-            except Unavailable:
-                continue
-            yield from answer.get("idlist", [])
+        if total > RESULT_LIMIT:
+            raise Incomplete(f"{query} {start}: {total} results in one day, the service gives out {RESULT_LIMIT}")
+        for offset in range(0, total, self.page()):
+            size = min(self.page(), total - offset)
+            found = self._search(call, query, start, end, offset, size)["idlist"]
+            if len(found) < size:
+                raise Incomplete(f"{query} {start}..{end} at {offset}: {len(found)} of {size} ids")
+            yield from found
+
 
+def article_elements(call, base: dict, pmids: list[str]) -> list[tuple[str, str | None]]:
+    """(id, article XML) of some ids; a failing request is halved down to single ids.
 
-def article_elements(call, base: dict, pmids: list[str]) -> list[tuple[str, str]]:
-    """(id, article XML) of some ids; a failing request is halved down to single ids."""
+    A single id that fails comes back without XML. Ids that a good answer leaves out are
+    not articles to the service and have no row.
+    """
     params = {**base, "id": ",".join(pmids), "rettype": "xml", "retmode": "xml"}
     try:
         root = ET.fromstring(call(ARTICLE_FETCH_URL, params, post=True))
+        if next(root.iter("ERROR"), None) is not None:
+            raise Unavailable(ARTICLE_FETCH_URL)
     except (Unavailable, ET.ParseError):
         if len(pmids) < 2:
-            return []
+            return [(pmid, None) for pmid in pmids]
         middle = len(pmids) // 2
         return article_elements(call, base, pmids[:middle]) + article_elements(call, base, pmids[middle:])
     found = root.iter("PubmedArticle")
@@ -206,8 +222,9 @@ def article_elements(call, base: dict, pmids: list[str]) -> list[tuple[str, str]
 
 
 def fetch_articles(ids: DataFrame, options: Mapping, workers: int = 1) -> DataFrame:
-    """Article XML of distinct ids ``(row_index, pmid)`` as ``(row_index, raw)``.
+    """Article XML of distinct ids ``(row_index, pmid)`` as ``(row_index, raw, gap)``.
 
+    An id that could not be fetched is a row without ``raw``, with the id as ``gap``.
     Ids travel in batches of ``efetch_batch_size``; ``workers`` tasks share the
     request rate.
     """
@@ -225,12 +242,12 @@ def fetch_articles(ids: DataFrame, options: Mapping, workers: int = 1) -> DataFr
             for _, group in frame.groupby("batch_id", sort=True):
                 index = dict(zip(group["pmid"], group["row_index"]))
                 got = article_elements(call, base, list(group["pmid"]))
-                rows = [(index[pmid], raw) for pmid, raw in got if pmid in index]
-                yield pd.DataFrame(rows, columns=["row_index", "raw"])
+                rows = [(index[pmid], raw, pmid if raw is None else None) for pmid, raw in got if pmid in index]
+                yield pd.DataFrame(rows, columns=["row_index", "raw", "gap"])
 
     batched = ids.withColumn("batch_id", F.floor(F.col("row_index") / size))
     placed = batched.repartition(workers, "batch_id").sortWithinPartitions("row_index")
-    return placed.mapInPandas(fetch, "row_index long, raw string")
+    return placed.mapInPandas(fetch, "row_index long, raw string, gap string")
 
 
 class WorkReader(_SearchReader):
@@ -242,21 +259,21 @@ class WorkReader(_SearchReader):
         )
         call = self.transport(interval, 3)
         rows = int(self.option("rows_per_query", PAGE_SIZE))
-        cap = int(self.option("limit_per_query", rows * PAGES_PER_SEARCH))
+        cap = self.option("limit_per_query")
         parameter = QUERY_PARAMETERS.get(str(self.option("query_param", "query")).lower(), "query")
         common = {parameter: partition.query, "filter": self.filters()}
         probe = _json(call(WORKS_URL, {**common, "rows": 0, "select": "DOI"})).get("message", {})
-        wanted = min(int(probe.get("total-results", 0)), cap)
+        if "total-results" not in probe:
+            raise Incomplete(f"{partition.query}: no total-results in the answer")
+        total = int(probe["total-results"])
+        wanted = total if cap is None else min(total, int(cap))
         position, cursor = 0, "*"
-        while position < wanted and cursor:
+        while position < wanted:
             params = {**common, "rows": min(rows, wanted - position), "cursor": cursor, "select": WORK_FIELDS}
-            try:
-                message = _json(call(WORKS_URL, params)).get("message", {})
-            except Unavailable:
-                return
+            message = _json(call(WORKS_URL, params)).get("message", {}) if cursor else {}
             items = message.get("items") or []
             if not items:
-                return
+                raise Incomplete(f"{partition.query}: {position} of {wanted} works")
             for item in items:
                 yield (partition.ordinal, position, json.dumps(item, ensure_ascii=False))
                 position += 1
@@ -283,7 +300,10 @@ class ArticleSearch(DataSource):
 
 
 class WorkSearch(DataSource):
-    """``queries`` (JSON list), ``date_from``, ``date_to``; rows hold item JSON."""
+    """``queries`` (JSON list), ``date_from``, ``date_to``; rows hold item JSON.
+
+    All works of a search, or the first ``limit_per_query`` where that is given.
+    """
 
     @classmethod
     def name(cls) -> str:

@@ -1,6 +1,7 @@
 import json
 from datetime import date, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from papersieve.operators import ranges
@@ -124,6 +125,69 @@ def test_work_search_follows_the_cursor(spark, tmp_path):
     assert [(r["doi"], r["title"]) for r in parsed] == [("10.5/0", "t0"), ("10.5/1", "t1"), ("10.5/2", "t2")]
 
 
+def article_ids(tmp_path, day, **options):
+    options = {"queries": '["q"]', "date_from": str(day), "date_to": str(day), "batch_size": "2", "replay": str(tmp_path), **options}
+    return [r[2] for r in api.ArticleReader(options).read(api.SearchPartition(0, "q"))]
+
+
+def test_article_search_raises_instead_of_losing_results(tmp_path):
+    day = date(2024, 1, 1)
+    say = lambda offset, size, answer: record_answer(
+        tmp_path, api.ARTICLE_SEARCH_URL, search_params("q", day, day, offset, size), json.dumps(answer))
+    say(0, 0, {})
+    with pytest.raises(api.Incomplete):
+        article_ids(tmp_path, day)
+    say(0, 0, {"esearchresult": {"count": str(ranges.RESULT_LIMIT + 1)}})
+    with pytest.raises(api.Incomplete, match="one day"):
+        article_ids(tmp_path, day)
+    say(0, 0, {"esearchresult": {"count": "3"}})
+    say(0, 2, {"esearchresult": {"idlist": ["1", "2"]}})
+    with pytest.raises(api.Unavailable):
+        article_ids(tmp_path, day)
+    say(2, 1, {"esearchresult": {"idlist": []}})
+    with pytest.raises(api.Incomplete, match="0 of 1"):
+        article_ids(tmp_path, day)
+    say(2, 1, {"esearchresult": {"idlist": ["3"]}})
+    assert article_ids(tmp_path, day) == ["1", "2", "3"]
+
+
+def test_work_search_takes_all_pages_or_raises(tmp_path):
+    options = {"queries": '["q"]', "date_from": "2024-01-01", "date_to": "2024-02-01", "rows_per_query": "1", "replay": str(tmp_path)}
+    common = {"query": "q", "filter": "from-pub-date:2024-01-01,until-pub-date:2024-02-01,type:journal-article"}
+    say = lambda params, message: record_answer(tmp_path, api.WORKS_URL, {**common, **params}, json.dumps({"message": message}))
+    page = lambda cursor: {"rows": 1, "cursor": cursor, "select": api.WORK_FIELDS}
+    found = lambda **more: list(api.WorkReader({**options, **more}).read(api.SearchPartition(0, "q")))
+    say({"rows": 0, "select": "DOI"}, {"total-results": 25})
+    for i in range(24):
+        say(page(f"n{i}" if i else "*"), {"items": [{"DOI": f"10.5/{i}"}], "next-cursor": f"n{i + 1}"})
+    with pytest.raises(api.Unavailable):
+        found()
+    say(page("n24"), {"items": []})
+    with pytest.raises(api.Incomplete, match="24 of 25"):
+        found()
+    say(page("n24"), {"items": [{"DOI": "10.5/24"}]})
+    assert len(found()) == 25 and len(found(limit_per_query="7")) == 7
+
+
+def test_failing_ids_and_searches_end_a_run(spark, tmp_path):
+    from papersieve.plans import runs
+
+    day = date(2024, 1, 1)
+    record_answer(tmp_path, api.ARTICLE_SEARCH_URL, search_params("q", day, day, 0, 0), json.dumps({"esearchresult": {"count": "2"}}))
+    settings = {"replay": str(tmp_path), "batch_size": 2, "efetch_batch_size": 2}
+    spark.dataSource.register(api.ArticleSearch)
+    read = lambda **more: runs.pubmed_records(spark, ["q"], (day, day), {**settings, **more}, str(tmp_path / "landing"), True)
+    with pytest.raises(Exception, match="Unavailable"):
+        read()
+    record_answer(tmp_path, api.ARTICLE_SEARCH_URL, search_params("q", day, day, 0, 2), json.dumps({"esearchresult": {"idlist": ["1", "2"]}}))
+    record_answer(tmp_path, api.ARTICLE_FETCH_URL, fetch_params(["1"]), f"<S>{article(1)}</S>")
+    record_answer(tmp_path, api.ARTICLE_FETCH_URL, fetch_params(["2"]), "<S><ERROR>no</ERROR></S>")
+    with pytest.raises(api.Incomplete, match="1 articles could not be fetched: 2"):
+        read()
+    assert [r["doi"] for r in read(allow_gaps=True).collect()] == ["10.5555/x1"]
+    assert [r["gap"] for r in spark.read.parquet(str(tmp_path / "landing" / "article_gaps" / "*")).collect()] == ["2"]
+
+
 def test_point_lookup():
     known = lambda url, params: '{"message": {"DOI": "10.5/a"}}' if url.endswith("10.5/a") else ""
     assert json.loads(api.work_by_doi(" 10.5/a ", known))["DOI"] == "10.5/a"

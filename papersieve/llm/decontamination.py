@@ -24,10 +24,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .base import without
 
 SIZE = 10
 BROADCAST_BYTES = 64 << 20
+# Contaminated documents (id, or hash of the text) that are sent to all tasks at most.
+LISTED_BYTES = 16 << 20
 # Everything ASCII but digits and small letters, after lower-casing.
 _GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -129,10 +130,15 @@ def find_windows(documents: DataFrame, items: DataFrame, size: int) -> tuple[Dat
 
 
 def keep_clean(documents: DataFrame, items: DataFrame, size: int = SIZE) -> DataFrame:
-    """The rows, with all columns, that hold no window. Rows of one doc_id go together."""
+    """The rows, with all columns, that hold no window. Rows of one doc_id go together, rows without one each by its text."""
     texts = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     found, _ = find_windows(texts, items, size)
-    return without(documents, found.select("doc_id"), "doc_id")
+    mark = F.when(F.col("doc_id").isNull(), F.col("mark")).alias("_mark")
+    listed = cut_lineage(found.select(F.col("doc_id").alias("_id"), mark).distinct())
+    small = listed.count() * 48 <= LISTED_BYTES
+    own = F.when(documents["doc_id"].isNull(), F.xxhash64(documents["text"].cast("string")))
+    same = documents["doc_id"].eqNullSafe(F.col("_id")) & own.eqNullSafe(F.col("_mark"))
+    return documents.join(F.broadcast(listed) if small else listed, same, "left_anti")
 
 
 def decontaminate(documents: DataFrame, items: DataFrame, size: int = SIZE) -> DataFrame:

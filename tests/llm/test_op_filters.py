@@ -227,6 +227,16 @@ def test_decontamination_equals_brute_force(spark, monkeypatch, limit):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {w[0] for w in want} - dirty
 
 
+@pytest.mark.parametrize("limit", [decontamination.LISTED_BYTES, -1])
+def test_contaminated_rows_without_id_go(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontamination, "LISTED_BYTES", limit)
+    rows = [(None, "x a b c y"), (None, "clean"), (None, None), (1, "A b c"), (1, "same id"), (2, "a c b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    kept = [tuple(r) for r in decontamination.keep_clean(docs, bench).collect()]
+    assert sorted(kept, key=str) == sorted([rows[1], rows[2], rows[5]], key=str)
+
+
 def test_decontamination_of_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     bench = spark.createDataFrame([], "item_id long, text string")

@@ -29,7 +29,10 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 MOST_BITS = 1 << 27
-_WORD = 64
+# A byte of a level holds so many bits: it is one ASCII character, which built-in functions turn into a number.
+_BYTE = 7
+# Bits that one row of the table from which a level is filled holds.
+_WORD = 8 * _BYTE
 
 
 def host_of(url: Column) -> Column:
@@ -48,7 +51,9 @@ def _rest(url: Column) -> Column:
 
 @dataclass(frozen=True)
 class Level:
-    words: tuple[int, ...]
+    """One Bloom filter. Its bits are a single binary literal, shared by all tests of the level."""
+
+    data: bytearray
     bits: int
     hashes: int
     seed: int
@@ -59,11 +64,10 @@ class Level:
         return [F.pmod(a + b * i, F.lit(self.bits)) for i in range(self.hashes)]
 
     def passes(self, key: Column) -> Column:
-        words = F.lit(list(self.words))
-        out = F.lit(True)
+        data, out = F.lit(self.data), F.lit(True)
         for place in self.places(key):
-            word = F.element_at(words, (F.floor(place / _WORD) + 1).cast("int"))
-            out = out & (F.getbit(word, (place % _WORD).cast("int")) == 1)
+            byte = F.substring(data, F.floor(place / _BYTE).cast("int") + 1, F.lit(1))
+            out = out & (F.getbit(F.ascii(byte.cast("string")), (place % _BYTE).cast("int")) == 1)
         return out
 
 
@@ -73,14 +77,15 @@ def fill_level(keys: DataFrame, count: int, rate: float, seed: int) -> Level:
     bits = -(-max(4 * _WORD, math.ceil(1.45 * count * hashes)) // _WORD) * _WORD
     if bits > MOST_BITS:
         raise ValueError(f"{count} listed keys need {bits} bits; at most {MOST_BITS} are sent out")
-    level = Level((), bits, hashes, seed)
+    level = Level(bytearray(), bits, hashes, seed)
     place = keys.select(F.explode(F.array(*level.places(F.col("key")))).alias("at"))
-    bit = F.expr("shiftleft(1L, cast(at % 64 as int))")
-    filled = place.groupBy(F.floor(F.col("at") / _WORD).alias("word")).agg(F.bit_or(bit).alias("value")).collect()
-    words = [0] * (bits // _WORD)
-    for row in filled:
-        words[row["word"]] = row["value"]
-    return Level(tuple(words), bits, hashes, seed)
+    bit = F.expr(f"shiftleft(1L, cast(at % {_WORD} as int))")
+    filled = place.groupBy(F.floor(F.col("at") / _WORD).alias("word")).agg(F.bit_or(bit).alias("value"))
+    data = bytearray(bits // _BYTE)
+    for row in filled.toLocalIterator():
+        for i in range(8):
+            data[8 * row["word"] + i] = row["value"] >> _BYTE * i & 127
+    return Level(data, bits, hashes, seed)
 
 
 @dataclass(frozen=True)

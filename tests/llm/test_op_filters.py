@@ -60,6 +60,16 @@ def test_many_rules_equal_brute_force(spark):
         assert got[i][2:] == (best[2], best[3]), url
 
 
+@pytest.mark.parametrize("n", [1, 3, 5000])
+def test_few_and_thousands_of_rules(spark, n):
+    rules = [("block" if i % 3 else "allow", f"h{i}", "/" if i % 2 else "/a/") for i in range(n)]
+    urls = [f"http://x.h{i}/a/{i}" for i in range(0, 7000, 5)]
+    got = judged(spark, urls, rules)
+    for k, i in enumerate(range(0, 7000, 5)):
+        rule = f"h{i}" + ("/" if i % 2 else "/a/") if i < n else None
+        assert got[k][2:] == (rule, "block" if i < n and i % 3 else "allow")
+
+
 def test_cascade_is_exact_over_its_universe(spark):
     universe = spark.range(3000).selectExpr("concat('k', id) AS key")
     listed = spark.range(0, 3000, 7).selectExpr("concat('k', id) AS key")

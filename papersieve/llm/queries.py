@@ -9,7 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage, work_path
-from . import decontamination, html_text, jaccard_join, language, neighbours, packing, quality, token_files, toxicity, url_filter
+from . import (
+    decontamination,
+    html_text,
+    jaccard_join,
+    language,
+    neighbours,
+    packing,
+    periodic,
+    quality,
+    spelling,
+    token_files,
+    toxicity,
+    url_filter,
+    warc,
+)
 from .base import table
 from .encoding import public_tokenizer
 from .sampling import fold, outside_fold
@@ -138,6 +152,52 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.collapse(periodic.planted(table(spark, sf_dir, "documents")))
+    line = lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    best = found.withColumn("_best", periodic.strongest(F.col("runs")))
+    part = lambda name: F.col(f"_best.{name}").alias(name)
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        part("start"),
+        part("length"),
+        part("period"),
+        F.expr("1000 * _best.length div _best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captured = warc.capture(table(spark, sf_dir, "pages"), work_path(spark, "warc-captured"))
+    records = warc.resolve(warc.deduplicate(captured, work_path(spark, "warc"), least=100))
+    return records.select(
+        F.col("key").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to_key").cast("long").alias("refers_to"),
+    )
+
+
+OP12_SQL = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY payload_digest ORDER BY page_id) AS place,
+    first_value(page_id) OVER (PARTITION BY payload_digest ORDER BY page_id) AS original FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND place > 1 THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND place > 1 THEN original END AS refers_to FROM r
+"""
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.damaged(spelling.letter_runs(table(spark, sf_dir, "documents")))
+    return spelling.group(spelling.vocabulary(words))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -154,9 +214,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_decontamination": op8_decontamination,
         "op9_toxicity": op9_toxicity,
         "op10_language_id": op10_language_id,
+        "op11_periodic_runs": op11_periodic_runs,
+        "op12_warc": op12_warc,
+        "op13_spelling_variants": op13_spelling_variants,
         "pipeline": pipeline,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_url_filter": OP6_SQL, "op7_nearest_neighbours": OP7_SQL, "op8_decontamination": OP8_SQL}
+    return {"op6_url_filter": OP6_SQL, "op7_nearest_neighbours": OP7_SQL, "op8_decontamination": OP8_SQL, "op12_warc": OP12_SQL}

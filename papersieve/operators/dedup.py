@@ -6,16 +6,20 @@ title; rejected records take nothing. That is the greedy maximal matching of a
 bipartite graph, which Blelloch, Fineman and Shun (2012) compute in parallel: in
 each round accept every record that is the first one left at both its ends,
 then drop all records that touch an accepted one. For inputs without an
-adversarial order the number of rounds grows with the logarithm of the input; a chain in
-which each record depends on the one before takes a round for two of its records.
-Every round is the same distributed plan, whatever is left, and ends in a stored table.
+adversarial order the number of rounds grows with the logarithm of the input. A chain in
+which each record depends on the one before would take a round for two of its records: what is left
+after ``ROUNDS`` rounds is therefore cut into its connected components. Components of at most ``IN_ORDER`` records are
+finished in order, each in one task that keeps the keys taken, spread over all tasks; larger ones go on in rounds.
+Every round ends in a stored table.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +29,11 @@ from ..functions.text import normalize_title
 from ..schema import SEQ, text
 from ..session import cut_lineage
 from . import joins
+from .components import components
+
+# Rounds before what is left is cut into components, and records of a component that one task finishes.
+ROUNDS = 4
+IN_ORDER = 1_000_000
 
 KEPT = "kept"
 NO_DOI = "skipped_no_doi"
@@ -122,6 +131,38 @@ def first_at_both_ends(edges: DataFrame) -> DataFrame:
     return by_doi.join(by_second, SEQ).select(SEQ, "doi", "second")
 
 
+def finish_in_order(edges: DataFrame) -> DataFrame:
+    """Accepted records of components (``component`` column), each read in order by one task."""
+    schema = edges.select(SEQ, "doi", "second").schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        component, dois, seconds = None, set(), set()
+        for batch in batches:
+            taken = []
+            for own, doi, second in zip(*(batch[c].to_pylist() for c in ("component", "doi", "second"))):
+                if own != component:
+                    component, dois, seconds = own, set(), set()
+                taken.append(doi not in dois and second not in seconds)
+                if taken[-1]:
+                    dois.add(doi)
+                    seconds.add(second)
+            yield batch.select(schema.names).filter(pa.array(taken, pa.bool_()))
+
+    return edges.repartition("component").sortWithinPartitions("component", SEQ).mapInArrow(run, schema)
+
+
+def by_component(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Records that are left, with their component: those of components that a task can finish, and the others."""
+    arcs = []
+    for key in ("doi", "second"):
+        first = edges.groupBy(key).agg(F.min(SEQ).alias("b"))
+        arcs.append(joins.lookup(edges, first, key).select(F.col(SEQ).alias("a"), "b"))
+    found = components(arcs[0].union(arcs[1])).withColumnRenamed("node", SEQ)
+    placed = cut_lineage(edges.join(found, SEQ, "left").withColumn("component", F.coalesce("component", SEQ)))
+    large = placed.groupBy("component").count().filter(F.col("count") > IN_ORDER).select("component")
+    return joins.exclude(placed, large, "component"), placed.join(large, "component", "left_semi")
+
+
 def match(edges: DataFrame) -> tuple[DataFrame, int]:
     """Accepted ``(ingest_seq, doi, second)`` of a candidate table, and rounds used.
 
@@ -131,6 +172,11 @@ def match(edges: DataFrame) -> tuple[DataFrame, int]:
     rounds = 0
     while edges.head(1):
         rounds += 1
+        if rounds % (ROUNDS + 1) == 0:
+            small, large = by_component(edges)
+            parts.append(cut_lineage(finish_in_order(small)))
+            edges = cut_lineage(large.select(SEQ, "doi", "second"))
+            continue
         accepted = cut_lineage(first_at_both_ends(edges))
         parts.append(accepted)
         for key in ("doi", "second"):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Mapping
 from datetime import date, datetime, timedelta
 from functools import reduce
@@ -21,6 +22,7 @@ from ..schema import (
 )
 from ..session import work_path
 from ..sinks import csv_output as sink
+from ..sinks import units
 from ..sources import api, landed
 from ..sources.csv_files import latest_run_file, read_csv
 from .pipeline import Curated, curate
@@ -111,32 +113,39 @@ def _options(settings: Mapping) -> dict[str, str]:
     return out
 
 
-# Searches landed per job; a resumed run repeats at most one such group.
-SEARCHES_PER_JOB = 50
+# Rows of the landed segments of each source.
+LANDED = {"article_search": "query_ord int, position long, pmid string", "work_search": "query_ord int, position long, raw string"}
+PLAN = "plan.json"
 
 
 def land(spark, source: str, queries, window, options: Mapping, folder: str, resume: bool) -> DataFrame:
-    """Answers of all searches as a stored table, in groups of searches.
+    """Answers of all searches as a stored table, landed segment by segment.
 
-    The folder carries the signature of the searches and their window, and the limit
-    of a search if one is set. A group is stored only if all of its searches gave all
-    of their results; otherwise the readers raise. A resumed run takes the groups that are
-    complete and asks only for the others, so no answer is lost or requested twice.
+    The folder carries the signature of the searches and their window, and the limit of a search if one is set. A run plans once
+    and stores the plan; each segment of it is read by its own task and is landed once all of its results have come, whatever becomes of
+    the others; the run raises when all others are done. A resumed run takes up the last plan and asks only for the segments that are not there; another run begins anew.
     """
     start, end = str(window[0]), str(window[1])
     limit = options.get("limit_per_query") or "all"
     base = f"{folder}/{source}/{query_signature(queries, start, end)}-{limit}"
-    targets = []
-    for first in range(0, len(queries), SEARCHES_PER_JOB):
-        target = f"{base}/first={first}"
-        targets.append(target)
-        if resume and sink.exists(spark, f"{target}/_SUCCESS"):
-            continue
-        group = json.dumps(queries[first : first + SEARCHES_PER_JOB], ensure_ascii=False)
-        answers = spark.read.format(source).options(**options, queries=group, date_from=start, date_to=end).load()
-        placed = answers.withColumn("query_ord", F.col("query_ord") + first)
-        placed.write.mode("overwrite").parquet(target)
-    return spark.read.option("basePath", base).parquet(*targets)
+    attempts = units.folders(spark, base)
+    if resume and attempts:
+        attempt = max(attempts)
+        plan = json.loads(sink.read_text(spark, f"{base}/{attempt}/{PLAN}"))
+    else:
+        attempt = f"attempt-{time.time_ns()}"
+        reader = api.READERS[source]({**options, "queries": json.dumps(queries, ensure_ascii=False), "date_from": start, "date_to": end})
+        plan = [segment.to_dict() for segment in reader.plan()]
+        sink.write_text(spark, f"{base}/{attempt}/{PLAN}", json.dumps(plan, ensure_ascii=False))
+    segments = f"{base}/{attempt}/segments"
+    there = units.landed(spark, segments)
+    missing = [s for s in plan if api.SearchPartition.from_dict(s).unit not in there]
+    if missing:
+        at_once = min(len(missing), int(options.get("concurrency") or spark.sparkContext.defaultParallelism))
+        asked = {**options, "segments": json.dumps(missing, ensure_ascii=False), "concurrency": str(at_once), "keep_going": "true"}
+        answers = spark.read.format(source).options(**asked).load()
+        units.land(answers.select("unit", "unit_rows", "error", *units.names(LANDED[source])), segments)
+    return units.read(spark, segments, LANDED[source])
 
 
 def pubmed_records(spark, queries, window, settings: Mapping, folder: str, resume: bool) -> DataFrame:
@@ -151,7 +160,7 @@ def pubmed_records(spark, queries, window, settings: Mapping, folder: str, resum
     cap = int(settings.get("max_pmids") or 0)
     if cap > 0:
         numbered = numbered.filter(F.col("row_index") < cap)
-    raw = api.fetch_articles(numbered.select("row_index", "pmid"), settings, int(settings.get("workers") or 1))
+    raw = api.fetch_articles(numbered.select("row_index", "pmid"), settings, int(settings.get("workers") or 0) or None)
     path = work_path(spark, "article-xml")
     raw.write.parquet(path)
     stored = spark.read.parquet(path)
@@ -180,8 +189,7 @@ def fetch_records(
 
     The records are stored before anything else happens: a request is made once.
     """
-    spark.dataSource.register(api.ArticleSearch)
-    spark.dataSource.register(api.WorkSearch)
+    api.register(spark)
     landing = ((cfg.get("paths") or {}).get("state_dir") or "state").rstrip("/") + "/landing"
     terms = search_term_table(spark, (cfg.get("paths") or {}).get("search_term_table"))
     parts = []

@@ -21,6 +21,7 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 

@@ -1,11 +1,15 @@
-"""Search APIs as Spark data sources: one input partition per search.
-
-``spark.dataSource.register(ArticleSearch)`` and ``(WorkSearch)`` make them
-available as ``format("article_search")`` and ``format("work_search")``. Each
-reader pages through its own searches on the executors; the request interval is
-stretched by the number of partitions, so all readers together keep to it. A search
-gives all of its results or raises: a failed or short page, an answer without the
-expected fields and a day over the service's limit end the read.
+"""Search APIs as Spark data sources: one input partition per search and date segment.
+
+``register(spark)`` makes them available as ``format("article_search")`` and ``format("work_search")``, for batches and
+streams. Planning asks the service for counts and cuts each search into segments that the service gives out
+whole; a plan can be stored and given back as the option ``segments``. Each task pages through one segment on the
+executors; the request interval is stretched by the number of partitions that may run at once, so all readers together keep to it. A
+segment gives all of its results or raises: a failed or short page, an answer without the expected fields and a day over the service's
+limit end the read.
+
+Filters on ``query_ord``, ``published`` and ``type`` go to the service or to the plan; those on dates and types are checked by
+Spark again, because services treat incomplete dates in their own way. As a stream, a source's offset is the last day that was
+read, so Spark's checkpoint holds the watermark of the searches.
 """
 
 from __future__ import annotations
@@ -18,14 +22,26 @@ import urllib.error
 import urllib.parse
 import urllib.request
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator, Mapping
-from dataclasses import dataclass
-from datetime import date
+from collections.abc import Iterable, Iterator, Mapping
+from dataclasses import asdict, dataclass, replace
+from datetime import date, timedelta
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    DataSourceStreamReader,
+    EqualTo,
+    Filter,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
+    InputPartition,
+    LessThan,
+    LessThanOrEqual,
+)
 
 from ..operators.ranges import RESULT_LIMIT, split_range
 
@@ -113,33 +129,107 @@ def _json(text: str) -> dict:
 
 @dataclass
 class SearchPartition(InputPartition):
+    """A date segment of a search. ``total``: results it holds (None: not planned yet), ``first``: results of the search before it."""
+
     ordinal: int
     query: str
+    start: date | None = None
+    end: date | None = None
+    first: int = 0
+    total: int | None = None
+
+    @property
+    def unit(self) -> str:
+        """A name for what the segment lands."""
+        return f"{self.ordinal:06d}-{self.start}-{self.end}"
+
+    def to_dict(self) -> dict:
+        return {**asdict(self), "start": str(self.start), "end": str(self.end)}
+
+    @classmethod
+    def from_dict(cls, fields: Mapping) -> "SearchPartition":
+        return cls(**{**fields, "start": date.fromisoformat(fields["start"]), "end": date.fromisoformat(fields["end"])})
 
 
 class _SearchReader(DataSourceReader):
-    """Shared by both services: options, partitions, pacing."""
+    """Shared by both services: options, plan, pushed filters, pacing."""
+
+    intervals: tuple[float, float]
+    key_option: str
+    retries: int
+    data_columns: int
 
     def __init__(self, options: dict):
-        self.queries = json.loads(options["queries"])
-        self.start = date.fromisoformat(options["date_from"])
-        self.end = date.fromisoformat(options["date_to"])
+        self.queries = json.loads(options["queries"]) if "queries" in options else []
+        self.start = date.fromisoformat(options["date_from"]) if "date_from" in options else date.min
+        self.end = date.fromisoformat(options["date_to"]) if "date_to" in options else date.max
         self.options = dict(options)
+        self.ordinals = set(range(len(self.queries)))
 
     def partitions(self) -> list[InputPartition]:
-        return [SearchPartition(i, q) for i, q in enumerate(self.queries)]
+        """The stored segments of the option ``segments``, or a fresh plan."""
+        stored = self.option("segments")
+        if stored is not None:
+            return [s for s in map(SearchPartition.from_dict, json.loads(stored)) if s.ordinal in self.ordinals or not self.queries]
+        return self.plan()
+
+    def plan(self) -> list[SearchPartition]:
+        """Segments of all searches, in order, without empty ones."""
+        call = self.transport(1)
+        return [s for i, q in enumerate(self.queries) if i in self.ordinals for s in self.segments(call, SearchPartition(i, q, self.start, self.end))]
+
+    def segments(self, call, whole: SearchPartition) -> Iterator[SearchPartition]:
+        raise NotImplementedError
+
+    def read(self, partition: SearchPartition | None) -> Iterator[tuple]:
+        """The rows of a partition; Spark reads None where a plan has none."""
+        if partition is None:
+            return
+        call = self.transport(self.concurrent())
+        if partition.total is not None:
+            yield from self.whole(call, partition)
+            return
+        own = replace(partition, start=partition.start or self.start, end=partition.end or self.end)
+        for segment in self.segments(call, own):
+            yield from self.whole(call, segment)
+
+    def rows(self, call, segment: SearchPartition) -> Iterator[tuple]:
+        raise NotImplementedError
+
+    def whole(self, call, segment: SearchPartition) -> Iterator[tuple]:
+        """The rows of a segment; where the option ``keep_going`` is set, a failure is its last row and does not raise."""
+        try:
+            yield from self.rows(call, segment)
+        except (Unavailable, Incomplete) as error:
+            if not self.option("keep_going"):
+                raise
+            yield (segment.ordinal, None, *[None] * self.data_columns, segment.unit, segment.total, f"{type(error).__name__}: {error}")
+
+    def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
+        for one in filters:
+            if getattr(one, "attribute", None) == ("query_ord",) and isinstance(one, (EqualTo, In)):
+                self.ordinals &= {one.value} if isinstance(one, EqualTo) else set(one.value)
+            else:
+                self.push(one)
+                yield one
+
+    def push(self, one: Filter) -> None:
+        """Let the service leave out what the filter does; Spark checks it again."""
 
     def option(self, name: str, default=None):
         value = self.options.get(name.lower(), self.options.get(name))
         return default if value in (None, "") else value
 
-    def transport(self, interval: float, retries: int):
+    def concurrent(self) -> int:
+        """Segments that may be read at once."""
+        return max(1, int(self.option("concurrency", len(self.queries) or 1)))
+
+    def transport(self, concurrent: int):
         folder = self.option("replay")
         if folder:
             return ReplayTransport(folder)
-        # The fetch runs on as many tasks as there are searches at most.
-        concurrent = min(len(self.queries), int(self.option("concurrency", len(self.queries) or 1)))
-        return HttpTransport(interval * max(1, concurrent), retries, agent=self.agent())
+        interval = float(self.option("interval", self.intervals[1] if self.option(self.key_option) else self.intervals[0]))
+        return HttpTransport(interval * concurrent, self.retries, agent=self.agent())
 
     def agent(self) -> str:
         mail = self.option("mailto") or self.option("email")
@@ -147,15 +237,10 @@ class _SearchReader(DataSourceReader):
 
 
 class ArticleReader(_SearchReader):
-    """Searches article ids in date ranges; ranges over the limit are split."""
+    """Searches article ids; a range over the service's limit is cut into finer ones."""
 
-    def read(self, partition: SearchPartition) -> Iterator[tuple]:
-        interval = float(
-            self.option("interval", ARTICLE_INTERVAL_WITH_KEY if self.option("api_key") else ARTICLE_INTERVAL)
-        )
-        call = self.transport(interval, 5)
-        for position, pmid in enumerate(self.ids(call, partition.query, self.start, self.end)):
-            yield (partition.ordinal, position, pmid)
+    intervals, key_option, retries = (ARTICLE_INTERVAL, ARTICLE_INTERVAL_WITH_KEY), "api_key", 5
+    data_columns = 1
 
     def page(self) -> int:
         return int(self.option("batch_size", PAGE_SIZE))
@@ -167,13 +252,13 @@ class ArticleReader(_SearchReader):
                 base[name] = self.option(name)
         return base
 
-    def _search(self, call, query: str, start: date, end: date, offset: int, size: int) -> dict:
+    def _search(self, call, segment: SearchPartition, offset: int, size: int) -> dict:
         params = {
             **self._base(),
-            "term": query,
+            "term": segment.query,
             "datetype": "pdat",
-            "mindate": start.strftime("%Y/%m/%d"),
-            "maxdate": end.strftime("%Y/%m/%d"),
+            "mindate": segment.start.strftime("%Y/%m/%d"),
+            "maxdate": segment.end.strftime("%Y/%m/%d"),
             "retstart": offset,
             "retmax": size,
             "retmode": "json",
@@ -181,24 +266,32 @@ class ArticleReader(_SearchReader):
         answer = _json(call(ARTICLE_SEARCH_URL, params)).get("esearchresult", {})
         wanted = "idlist" if size else "count"
         if wanted not in answer:
-            raise Incomplete(f"{query} {start}..{end} at {offset}: no {wanted} in the answer {str(answer)[:200]}")
+            raise Incomplete(f"{segment.query} {segment.start}..{segment.end} at {offset}: no {wanted} in the answer {str(answer)[:200]}")
         return answer
 
-    def ids(self, call, query: str, start: date, end: date) -> Iterator[str]:
-        total = int(self._search(call, query, start, end, 0, 0)["count"])
-        finer = split_range(start, end) if total > RESULT_LIMIT else []
-        if len(finer) > 1:
-            for low, high in finer:
-                yield from self.ids(call, query, low, high)
-            return
-        if total > RESULT_LIMIT:
-            raise Incomplete(f"{query} {start}: {total} results in one day, the service gives out {RESULT_LIMIT}")
-        for offset in range(0, total, self.page()):
-            size = min(self.page(), total - offset)
-            found = self._search(call, query, start, end, offset, size)["idlist"]
+    def segments(self, call, whole: SearchPartition) -> Iterator[SearchPartition]:
+        first, todo = whole.first, [(whole.start, whole.end)]
+        while todo:
+            low, high = todo.pop()
+            segment = replace(whole, start=low, end=high, first=first)
+            total = int(self._search(call, segment, 0, 0)["count"])
+            finer = split_range(low, high) if total > RESULT_LIMIT else []
+            if len(finer) > 1:
+                todo.extend(reversed(finer))
+            elif total > RESULT_LIMIT:
+                raise Incomplete(f"{whole.query} {low}: {total} results in one day, the service gives out {RESULT_LIMIT}")
+            elif total:
+                yield replace(segment, total=total)
+                first += total
+
+    def rows(self, call, segment: SearchPartition) -> Iterator[tuple]:
+        for offset in range(0, segment.total, self.page()):
+            size = min(self.page(), segment.total - offset)
+            found = self._search(call, segment, offset, size)["idlist"]
             if len(found) < size:
-                raise Incomplete(f"{query} {start}..{end} at {offset}: {len(found)} of {size} ids")
-            yield from found
+                raise Incomplete(f"{segment.query} {segment.start}..{segment.end} at {offset}: {len(found)} of {size} ids")
+            for i, pmid in enumerate(found):
+                yield (segment.ordinal, segment.first + offset + i, pmid, segment.unit, segment.total, None)
 
 
 def article_elements(call, base: dict, pmids: list[str]) -> list[tuple[str, str | None]]:
@@ -221,13 +314,14 @@ def article_elements(call, base: dict, pmids: list[str]) -> list[tuple[str, str
     return [(node.findtext(".//PMID") or "", ET.tostring(node, encoding="unicode")) for node in found]
 
 
-def fetch_articles(ids: DataFrame, options: Mapping, workers: int = 1) -> DataFrame:
+def fetch_articles(ids: DataFrame, options: Mapping, workers: int | None = None) -> DataFrame:
     """Article XML of distinct ids ``(row_index, pmid)`` as ``(row_index, raw, gap)``.
 
     An id that could not be fetched is a row without ``raw``, with the id as ``gap``.
-    Ids travel in batches of ``efetch_batch_size``; ``workers`` tasks share the
+    Ids travel in batches of ``efetch_batch_size``; ``workers`` tasks (all that run at once by default) share the
     request rate.
     """
+    workers = workers or max(1, ids.sparkSession.sparkContext.defaultParallelism)
     size = int(options.get("efetch_batch_size") or min(int(options.get("batch_size") or PAGE_SIZE), FETCH_LIMIT))
     base = {"db": "pubmed", "tool": "papersieve"}
     base.update({k: options[k] for k in ("email", "api_key") if options.get(k)})
@@ -250,57 +344,141 @@ def fetch_articles(ids: DataFrame, options: Mapping, workers: int = 1) -> DataFr
     return placed.mapInPandas(fetch, "row_index long, raw string, gap string")
 
 
+def published_day(item: Mapping) -> date | None:
+    """The publication day of an item; a missing month or day counts as the first."""
+    for name in ("published", "published-print", "published-online"):
+        parts = ((item.get(name) or {}).get("date-parts") or [[]])[0] or []
+        if parts and parts[0]:
+            try:
+                return date(int(parts[0]), *(int(p or 1) for p in (*parts[1:3], 1, 1)[:2]))
+            except (TypeError, ValueError):
+                return None
+    return None
+
+
 class WorkReader(_SearchReader):
-    """Pages through works with a cursor; date, type and field selection go to the service."""
-
-    def read(self, partition: SearchPartition) -> Iterator[tuple]:
-        interval = float(
-            self.option("interval", WORKS_INTERVAL_WITH_MAIL if self.option("mailto") else WORKS_INTERVAL)
-        )
-        call = self.transport(interval, 3)
-        rows = int(self.option("rows_per_query", PAGE_SIZE))
-        cap = self.option("limit_per_query")
+    """Pages through works with a cursor; date, type and field selection go to the service.
+
+    With ``segment_rows`` a search of more works is cut into date segments, if their counts add up to the whole;
+    the order of works is then that of the segments.
+    """
+
+    intervals, key_option, retries = (WORKS_INTERVAL, WORKS_INTERVAL_WITH_MAIL), "mailto", 3
+    data_columns = 3
+
+    def __init__(self, options: dict):
+        super().__init__(options)
+        self.types = json.loads(self.option("filter_types", '["journal-article"]'))
+
+    def push(self, one: Filter) -> None:
+        name, value = getattr(one, "attribute", None), getattr(one, "value", None)
+        if name == ("type",) and isinstance(one, (EqualTo, In)):
+            wanted = {value} if isinstance(one, EqualTo) else set(value)
+            self.types = [t for t in self.types if t in wanted] if self.types else sorted(wanted)
+            if not self.types:
+                self.ordinals = set()
+        elif name == ("published",):
+            if isinstance(one, (GreaterThan, GreaterThanOrEqual, EqualTo)):
+                self.start = max(self.start, value + timedelta(days=isinstance(one, GreaterThan)))
+            if isinstance(one, (LessThan, LessThanOrEqual, EqualTo)):
+                self.end = min(self.end, value - timedelta(days=isinstance(one, LessThan)))
+            if self.start > self.end:
+                self.ordinals = set()
+
+    def _common(self, segment: SearchPartition) -> dict:
         parameter = QUERY_PARAMETERS.get(str(self.option("query_param", "query")).lower(), "query")
-        common = {parameter: partition.query, "filter": self.filters()}
-        probe = _json(call(WORKS_URL, {**common, "rows": 0, "select": "DOI"})).get("message", {})
+        parts = [f"from-pub-date:{segment.start}", f"until-pub-date:{segment.end}"]
+        return {parameter: segment.query, "filter": ",".join(parts + [f"type:{t}" for t in self.types])}
+
+    def _count(self, call, segment: SearchPartition) -> int:
+        probe = _json(call(WORKS_URL, {**self._common(segment), "rows": 0, "select": "DOI"})).get("message", {})
         if "total-results" not in probe:
-            raise Incomplete(f"{partition.query}: no total-results in the answer")
-        total = int(probe["total-results"])
-        wanted = total if cap is None else min(total, int(cap))
-        position, cursor = 0, "*"
-        while position < wanted:
-            params = {**common, "rows": min(rows, wanted - position), "cursor": cursor, "select": WORK_FIELDS}
+            raise Incomplete(f"{segment.query}: no total-results in the answer")
+        return int(probe["total-results"])
+
+    def segments(self, call, whole: SearchPartition) -> Iterator[SearchPartition]:
+        cap, most = self.option("limit_per_query"), self.option("segment_rows")
+        total = self._count(call, whole)
+        parts = [replace(whole, total=total if cap is None else min(total, int(cap)))]
+        if most is not None and cap is None:
+            parts = self._finer(call, parts[0], int(most))
+        first = whole.first
+        for part in parts:
+            if part.total:
+                yield replace(part, first=first)
+                first += part.total
+
+    def _finer(self, call, segment: SearchPartition, most: int) -> list[SearchPartition]:
+        ranges = split_range(segment.start, segment.end)
+        if segment.total <= most or len(ranges) < 2:
+            return [segment]
+        parts = [replace(segment, start=low, end=high) for low, high in ranges]
+        parts = [replace(part, total=self._count(call, part)) for part in parts]
+        if sum(part.total for part in parts) != segment.total:
+            return [segment]
+        return [finer for part in parts for finer in self._finer(call, part, most)]
+
+    def rows(self, call, segment: SearchPartition) -> Iterator[tuple]:
+        size, position, cursor = int(self.option("rows_per_query", PAGE_SIZE)), 0, "*"
+        while position < segment.total:
+            params = {**self._common(segment), "rows": min(size, segment.total - position), "cursor": cursor, "select": WORK_FIELDS}
             message = _json(call(WORKS_URL, params)).get("message", {}) if cursor else {}
             items = message.get("items") or []
             if not items:
-                raise Incomplete(f"{partition.query}: {position} of {wanted} works")
+                raise Incomplete(f"{segment.query}: {position} of {segment.total} works")
             for item in items:
-                yield (partition.ordinal, position, json.dumps(item, ensure_ascii=False))
+                raw = json.dumps(item, ensure_ascii=False)
+                yield (segment.ordinal, segment.first + position, raw, published_day(item), item.get("type"), segment.unit, segment.total, None)
                 position += 1
             cursor = message.get("next-cursor", "")
 
-    def filters(self) -> str:
-        types = json.loads(self.option("filter_types", '["journal-article"]'))
-        parts = [f"from-pub-date:{self.start}", f"until-pub-date:{self.end}"]
-        return ",".join(parts + [f"type:{t}" for t in types])
+
+class _SearchStream(DataSourceStreamReader):
+    """New days of all searches. The offset is the last day that was read; ``overlap_days`` days before it are read again."""
+
+    def __init__(self, reader: type[_SearchReader], options: dict):
+        self.reader, self.options = reader, dict(options)
+
+    def initialOffset(self) -> dict:
+        return {"day": str(date.fromisoformat(self.options["date_from"]) - timedelta(days=1))}
+
+    def latestOffset(self) -> dict:
+        """The day ``date_to``, or yesterday: a day is read when it is over."""
+        return {"day": self.options.get("date_to") or str(date.today() - timedelta(days=1))}
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        overlap = timedelta(days=int(self.options.get("overlap_days") or 0))
+        begin = date.fromisoformat(self.options["date_from"])
+        low = max(begin, date.fromisoformat(start["day"]) + timedelta(days=1) - overlap)
+        return self.reader({**self.options, "date_from": str(low), "date_to": end["day"]}).plan() if str(low) <= end["day"] else []
+
+    def read(self, partition: SearchPartition | None) -> Iterator[tuple]:
+        return self.reader(self.options).read(partition)
+
+    def commit(self, end: dict) -> None:
+        """Spark's checkpoint remembers the day."""
 
 
 class ArticleSearch(DataSource):
-    """``queries`` (JSON list), ``date_from``, ``date_to``; rows hold article ids."""
+    """``queries`` (JSON list), ``date_from``, ``date_to``; rows hold article ids, and the name and size of their segment."""
 
     @classmethod
     def name(cls) -> str:
         return "article_search"
 
     def schema(self) -> str:
-        return "query_ord int, position long, pmid string"
+        return "query_ord int, position long, pmid string, unit string, unit_rows long, error string"
 
     def reader(self, schema) -> ArticleReader:
         return ArticleReader(self.options)
 
+    def streamReader(self, schema) -> _SearchStream:
+        return _SearchStream(ArticleReader, self.options)
+
 
 class WorkSearch(DataSource):
-    """``queries`` (JSON list), ``date_from``, ``date_to``; rows hold item JSON.
+    """``queries`` (JSON list), ``date_from``, ``date_to``; rows hold item JSON, the day of publication and the type, and
+    the name and size of their segment.
 
     All works of a search, or the first ``limit_per_query`` where that is given.
     """
@@ -310,11 +488,24 @@ class WorkSearch(DataSource):
         return "work_search"
 
     def schema(self) -> str:
-        return "query_ord int, position long, raw string"
+        return "query_ord int, position long, raw string, published date, type string, unit string, unit_rows long, error string"
 
     def reader(self, schema) -> WorkReader:
         return WorkReader(self.options)
 
+    def streamReader(self, schema) -> _SearchStream:
+        return _SearchStream(WorkReader, self.options)
+
+
+READERS = {"article_search": ArticleReader, "work_search": WorkReader}
+
+
+def register(spark: SparkSession) -> None:
+    """Make both sources available; Spark hands filters to Python sources only where this setting is on."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(ArticleSearch)
+    spark.dataSource.register(WorkSearch)
+
 
 def work_by_doi(doi: str, transport=None) -> str | None:
     """Item JSON of one DOI, or None if the service does not know it."""

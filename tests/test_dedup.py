@@ -92,12 +92,24 @@ def test_hot_doi_takes_several_rounds(spark):
     assert result.rounds > 1
 
 
-def test_long_chain_settles_two_rows_a_round(spark):
+def chain(n, start=0):
     # Each row shares a DOI with the one before and a title with the one after.
-    rows = [(i, f"10.5555/{i // 2}", f"chain {(i + 1) // 2}", "") for i in range(24)]
+    return [(start + i, f"10.5555/{start}.{i // 2}", f"chain {start} {(i + 1) // 2}", "") for i in range(n)]
+
+
+def test_long_chains_end_in_few_rounds(spark):
+    rows = chain(10_000) + chain(30, 20_000) + [(30_000 + r[0], *r[1:]) for r in random_rows(4, 300)]
+    got, result, _ = labels(spark, rows, **FULL)
+    assert got == sequential(rows, set(), True, True)
+    assert result.rounds < 10
+
+
+def test_large_components_go_on_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "IN_ORDER", 8)
+    rows = chain(26) + chain(6, 100)
     got, result, _ = labels(spark, rows, **FULL)
     assert got == sequential(rows, set(), True, True)
-    assert result.rounds >= 6
+    assert result.rounds > 5
 
 
 def test_no_stage_of_the_labels_is_a_single_task(spark):

@@ -188,6 +188,119 @@ def test_failing_ids_and_searches_end_a_run(spark, tmp_path):
     assert [r["gap"] for r in spark.read.parquet(str(tmp_path / "landing" / "article_gaps" / "*")).collect()] == ["2"]
 
 
+def articles_of(tmp_path, query, low, high, ids, pages=True):
+    record_answer(tmp_path, api.ARTICLE_SEARCH_URL, search_params(query, low, high, 0, 0), json.dumps({"esearchresult": {"count": str(len(ids))}}))
+    if pages and ids:
+        record_answer(tmp_path, api.ARTICLE_SEARCH_URL, search_params(query, low, high, 0, len(ids)), json.dumps({"esearchresult": {"idlist": ids}}))
+
+
+def test_a_plan_has_a_partition_for_each_segment(spark, tmp_path):
+    low, high = date(2024, 1, 1), date(2024, 2, 29)
+    record_answer(tmp_path, api.ARTICLE_SEARCH_URL, search_params("big", low, high, 0, 0), json.dumps({"esearchresult": {"count": "12000"}}))
+    articles_of(tmp_path, "big", low, date(2024, 1, 31), [str(i) for i in range(3)])
+    articles_of(tmp_path, "big", date(2024, 2, 1), high, ["9"])
+    articles_of(tmp_path, "none", low, high, [])
+    articles_of(tmp_path, "small", low, high, ["9", "8"])
+    options = {"queries": json.dumps(["big", "none", "small"]), "date_from": str(low), "date_to": str(high), "replay": str(tmp_path)}
+    plan = api.ArticleReader(options).plan()
+    assert [(s.ordinal, s.start.day, s.end.month, s.first, s.total) for s in plan] == [(0, 1, 1, 0, 3), (0, 1, 2, 3, 1), (2, 1, 2, 0, 2)]
+    assert [api.SearchPartition.from_dict(json.loads(json.dumps(s.to_dict()))) for s in plan] == plan
+    api.register(spark)
+    found = spark.read.format("article_search").options(**options).load()
+    assert found.rdd.getNumPartitions() == 3
+    one = found.filter("query_ord = 2")
+    assert one.rdd.getNumPartitions() == 1 and sorted(r["pmid"] for r in one.collect()) == ["8", "9"]
+
+
+def test_a_resumed_run_repeats_only_the_failed_segment(spark, tmp_path):
+    from papersieve.plans import runs
+
+    replay, day = tmp_path / "answers", date(2024, 1, 1)
+    replay.mkdir()
+    for query, pages in (("q1", True), ("q2", False), ("q3", True)):
+        articles_of(replay, query, day, day, [query + "a", query + "b"], pages)
+    api.register(spark)
+    land = lambda resume: runs.land(
+        spark, "article_search", ["q1", "q2", "q3"], (day, day), {"replay": str(replay)}, str(tmp_path / "landing"), resume)
+    with pytest.raises(Exception, match="Unavailable"):
+        land(False)
+    (attempt,) = (tmp_path / "landing").glob("article_search/*/attempt-*/segments")
+    assert sorted(p.name[:6] for p in attempt.glob("*.parquet")) == ["000000", "000002"]
+    # Everything that is there already, counts included, is not asked for again.
+    for path in list(replay.iterdir()):
+        path.write_text("{}")
+    record_answer(replay, api.ARTICLE_SEARCH_URL, search_params("q2", day, day, 0, 2), json.dumps({"esearchresult": {"idlist": ["x", "y"]}}))
+    got = land(True).orderBy("query_ord", "position").collect()
+    assert [tuple(r) for r in got] == [(0, 0, "q1a"), (0, 1, "q1b"), (1, 0, "x"), (1, 1, "y"), (2, 0, "q3a"), (2, 1, "q3b")]
+    with pytest.raises(api.Incomplete):
+        land(False)
+
+
+def say_works(folder, low, high, items, types=("journal-article",), query="w", rows=200):
+    common = {"query": query, "filter": ",".join([f"from-pub-date:{low}", f"until-pub-date:{high}", *(f"type:{t}" for t in types)])}
+    answer = lambda params, message: record_answer(folder, api.WORKS_URL, {**common, **params}, json.dumps({"message": message}))
+    answer({"rows": 0, "select": "DOI"}, {"total-results": len(items)})
+    if items:
+        answer({"rows": min(rows, len(items)), "cursor": "*", "select": api.WORK_FIELDS}, {"items": items})
+
+
+def work(doi, day, kind="journal-article"):
+    return {"DOI": doi, "published": {"date-parts": [[int(x) for x in day.split("-")]]}, "type": kind}
+
+
+def test_filters_on_dates_and_types_go_to_the_service(spark, tmp_path):
+    items = [work("10.5/a", "2024-01-05"), work("10.5/b", "2024-02-10", "book"), work("10.5/c", "2024-02-20"), {"DOI": "10.5/d"}, work("10.5/e", "2024")]
+    both = ["journal-article", "book"]
+    whole, pushed = tmp_path / "whole", tmp_path / "pushed"
+    whole.mkdir()
+    pushed.mkdir()
+    say_works(whole, "2024-01-01", "2024-12-31", items, both)
+    # The service may give out more than was asked for; Spark checks again.
+    say_works(pushed, "2024-02-01", "2024-02-28", items[1:4], ["book"])
+    api.register(spark)
+    options = {"queries": '["w", "other"]', "date_from": "2024-01-01", "date_to": "2024-12-31", "filter_types": json.dumps(both)}
+    read = lambda folder: spark.read.format("work_search").options(**options, replay=str(folder)).load()
+    wanted = "query_ord = 0 and published >= date'2024-02-01' and published < date'2024-02-29' and type = 'book'"
+    got = read(pushed).filter(wanted)
+    assert [r["raw"] for r in got.collect()] == [json.dumps(items[1])]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "query_ord" not in plan.split("Filter")[1].split("BatchScan")[0].split("(")[1], plan
+    say_works(whole, "2024-01-01", "2024-12-31", [], both, "other")
+    unpushed = read(whole).collect()
+    same = [r["raw"] for r in unpushed if r["query_ord"] == 0 and r["published"] and date(2024, 2, 1) <= r["published"] < date(2024, 2, 29) and r["type"] == "book"]
+    assert same == [r["raw"] for r in got.collect()]
+    assert [r["published"] for r in unpushed] == [date(2024, 1, 5), date(2024, 2, 10), date(2024, 2, 20), None, date(2024, 1, 1)]
+    assert read(pushed).filter("query_ord = 0 and type = 'dataset'").count() == 0
+    assert read(pushed).filter("query_ord = 0 and published > date'2025-06-01'").count() == 0
+
+
+def test_works_are_cut_into_segments_that_add_up(tmp_path):
+    items = [work(f"10.5/{i}", "2024-01-05") for i in range(3)] + [work("10.5/x", "2024-02-05")]
+    say_works(tmp_path, "2024-01-01", "2024-02-29", items)
+    say_works(tmp_path, "2024-01-01", "2024-01-31", items[:3])
+    say_works(tmp_path, "2024-02-01", "2024-02-29", items[3:])
+    options = {"queries": '["w"]', "date_from": "2024-01-01", "date_to": "2024-02-29", "replay": str(tmp_path)}
+    plan = lambda **more: [(str(s.start), s.first, s.total) for s in api.WorkReader({**options, **more}).plan()]
+    assert plan() == [("2024-01-01", 0, 4)] == plan(segment_rows="3", limit_per_query="9")
+    assert plan(segment_rows="3") == [("2024-01-01", 0, 3), ("2024-02-01", 3, 1)]
+    rows = [r for s in api.WorkReader({**options, "segment_rows": "3"}).plan() for r in api.WorkReader(options).read(s)]
+    assert [(r[1], json.loads(r[2])) for r in rows] == list(enumerate(items))
+    say_works(tmp_path, "2024-02-01", "2024-02-29", [])
+    assert plan(segment_rows="3") == [("2024-01-01", 0, 4)]
+
+
+def test_units_are_landed_whole(spark, tmp_path):
+    from papersieve.sinks import units
+
+    rows = [("a", 2, None, 1), ("a", 2, None, 2), ("c", 2, None, 4), ("d", 1, "down", None), ("b", 1, None, 3)]
+    frame = spark.createDataFrame(rows, "unit string, unit_rows long, error string, v int").coalesce(1)
+    with pytest.raises(Exception, match="2 units are missing: c: 1 of 2 rows; d: down"):
+        units.land(frame, str(tmp_path / "u"))
+    assert units.landed(spark, str(tmp_path / "u")) == {"a", "b"} and units.read(spark, str(tmp_path / "none"), "v int").count() == 0
+    units.land(frame.filter("unit = 'a'").withColumn("v", F.col("v") * 10), str(tmp_path / "u"))
+    assert sorted(r["v"] for r in units.read(spark, str(tmp_path / "u"), "v int").collect()) == [3, 10, 20]
+
+
 def test_point_lookup():
     known = lambda url, params: '{"message": {"DOI": "10.5/a"}}' if url.endswith("10.5/a") else ""
     assert json.loads(api.work_by_doi(" 10.5/a ", known))["DOI"] == "10.5/a"
@@ -229,5 +342,6 @@ def test_fetch_lands_and_resumes(spark, tmp_path):
     for query in ("q1", "q2"):
         (replay / api.ReplayTransport.name(api.ARTICLE_SEARCH_URL, search_params(query, low, high, 0, 2))).write_text("{}")
     assert fetch(True).count() == 4
+    assert len(list((tmp_path / "state" / "landing").glob("article_search/*/attempt-*"))) == 1
     assert runs.fetch_records(spark, {"pubmed": {"use_keywords_from_code": False}, "crossref": {"enabled": False}},
                               ["hybrid"], "all", lambda _: (low, high)).count() == 0

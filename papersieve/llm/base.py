@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +21,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release_memory() -> None:
+    """Give memory that is free, but still held by the allocators of Arrow and the C library, back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches that releases memory when its task ends: Python workers outlive tasks and steps."""
+
+    @functools.wraps(run)
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return tidied
+
+
 def text_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts and where each begins (null: empty)."""
     texts = texts.cast(pa.large_string())
@@ -60,7 +83,7 @@ def rows_where(rows: DataFrame, text: str, test: Callable[[pa.Array], np.ndarray
         for batch in slices(batches, text, most):
             yield batch.filter(pa.array(test(batch.column(batch.schema.get_field_index(text))), pa.bool_()))
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(tidy(run), rows.schema)
 
 
 def without(rows: DataFrame, listed: DataFrame, key: str, most_bytes: int = 16 << 20) -> DataFrame:

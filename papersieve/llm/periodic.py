@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import slices, text_buffers
+from .base import slices, text_buffers, tidy
 from .hashing import mix, word_hashes, words
 
 LEAST, EXPONENT = 24, 3
@@ -251,7 +251,7 @@ def collapse(documents: DataFrame, key: str = "doc_id", text: str = "text", leas
             )
 
     rows = documents.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
-    return rows.mapInArrow(run, f"k {kind}, n_words bigint, runs {RUNS}, collapsed string").withColumnRenamed("k", key)
+    return rows.mapInArrow(tidy(run), f"k {kind}, n_words bigint, runs {RUNS}, collapsed string").withColumnRenamed("k", key)
 
 
 def strongest(runs: Column) -> Column:

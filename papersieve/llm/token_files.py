@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .base import slices
+from .base import slices, tidy
 from .encoding import encoder
 
 MAGIC = b"PFORIDS1"
@@ -198,7 +198,7 @@ def write(documents: DataFrame, folder: str, tokenizer_path: str, end_id: int =
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ordered = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id")
-    return ordered.mapInArrow(run, "shard string, docs long, ids long, path string")
+    return ordered.mapInArrow(tidy(run), "shard string, docs long, ids long, path string")
 
 
 def read(spark: SparkSession, shards: DataFrame) -> DataFrame:
@@ -228,7 +228,7 @@ def read(spark: SparkSession, shards: DataFrame) -> DataFrame:
                     )
 
     files = max(1, shards.count())
-    return shards.select("shard", "path").repartition(min(files, 100_000), "shard").mapInArrow(run, schema)
+    return shards.select("shard", "path").repartition(min(files, 100_000), "shard").mapInArrow(tidy(run), schema)
 
 
 def starts(shards: DataFrame) -> DataFrame:

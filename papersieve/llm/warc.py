@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import cut_lineage
-from .base import slices
+from .base import slices, tidy
 
 # Compressed bytes after which a file is closed.
 FILE_BYTES = 32 << 20
@@ -184,7 +184,7 @@ def capture(pages: DataFrame, folder: str, key: str = "page_id", url: str = "url
         yield writer.rows()
 
     columns = [F.col(key).cast("string").alias("k"), F.col(url).cast("string").alias("u"), F.col(payload).cast("binary").alias("p")]
-    return cut_lineage(pages.select(*columns).mapInArrow(run, FILES))
+    return cut_lineage(pages.select(*columns).mapInArrow(tidy(run), FILES))
 
 
 def _read(file: str) -> Iterator[tuple[dict[str, str], bytes, str, int]]:
@@ -205,6 +205,10 @@ def _read(file: str) -> Iterator[tuple[dict[str, str], bytes, str, int]]:
         yield fields, payload, digest, size
 
 
+def _tasks(files: DataFrame) -> int:
+    return max(1, min(files.count(), 100_000))
+
+
 def headers(files: DataFrame) -> DataFrame:
     """A row for each record of the files: ``HEADERS``. Payloads of responses are checked against their digests."""
 
@@ -225,8 +229,7 @@ def headers(files: DataFrame) -> DataFrame:
         if rows:
             yield made()
 
-    tasks = max(1, min(files.count(), 100_000))
-    return files.select("file").repartition(tasks, "file").mapInArrow(run, HEADERS)
+    return files.select("file").repartition(_tasks(files), "file").mapInArrow(tidy(run), HEADERS)
 
 
 def originals(heads: DataFrame, least: int, key_type: str) -> DataFrame:
@@ -270,8 +273,8 @@ def deduplicate(files: DataFrame, folder: str, least: int = LEAST_REVISIT, key_t
         writer.close()
         yield writer.rows()
 
-    ordered = planned.repartition("file").sortWithinPartitions("file", "number")
-    return cut_lineage(ordered.mapInArrow(run, FILES))
+    ordered = planned.repartition(_tasks(files), "file").sortWithinPartitions("file", "number")
+    return cut_lineage(ordered.mapInArrow(tidy(run), FILES))
 
 
 def resolve(files: DataFrame) -> DataFrame:

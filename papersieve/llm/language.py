@@ -3,18 +3,17 @@
 A text is lower-cased, everything but letters becomes a blank, and its byte pairs and triples are
 hashed into ``BUCKETS`` rows of an embedding table. The mean of the rows goes through a linear
 softmax. Both are trained together by stochastic gradient descent in numpy, on about ``SAMPLE``
-documents of each language. A fifth of the sample is kept from training; on it a temperature and
+documents of each language and ``SAMPLE_IN_ALL`` at most. A fifth of the sample is kept from training; on it a temperature and
 a rejection threshold are calibrated: the ``REJECT`` quantile of the scores of rightly recognised texts,
 at most one half. As everything is linear, the product of both tables is what scoring looks up.
 
-Defined cases: a null text or one without any letter is ``und`` with score 0 and rejected; without training
+Defined cases: a null text or one without any letter (``str.isalpha``: ½ and Ⅷ are none) is ``und`` with score 0 and rejected; without training
 rows every text is ``und``; texts of any length are read whole; repeated rows are scored one by
 one; other columns are not read.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,18 +23,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import rows_where, slices, text_buffers
+from .base import rows_where, slices, text_buffers, tidy
 from .sampling import sample_by_class
 
 BUCKETS = 1 << 15
 WIDTH = 16
-# Documents of each language that training may take (in expectation).
-SAMPLE = 1000
+# Documents of each language that training may take (in expectation), and of all languages together.
+SAMPLE, SAMPLE_IN_ALL = 1000, 50_000
 EPOCHS = 8
 REJECT = 0.001
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+# Bytes of text times languages whose weights are looked up at once.
+STEP = 1 << 22
 _PLAIN = np.full(256, 0x20, np.uint8)
 _PLAIN[ord("a") : ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
 _PLAIN[ord("A") : ord("Z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -80,6 +80,20 @@ class Model:
     threshold: float
 
     def logits(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Texts are taken in groups of ``STEP`` bytes by languages; a longer text is counted by bucket, slice by slice."""
+        out = np.zeros((len(at) - 1, len(self.languages)))
+        step = max(1 << 12, STEP // max(1, len(self.languages)))
+        text = 0
+        while text < len(out):
+            end = max(text + 1, int(np.searchsorted(at, at[text] + step, "right")) - 1)
+            if at[end] - at[text] > step:
+                out[text] = self._long(data[at[text] : at[end]], step)
+            else:
+                out[text:end] = self._short(data[at[text] : at[end]], at[text : end + 1] - at[text])
+            text = end
+        return out + self.bias
+
+    def _short(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         total = np.zeros((len(at) - 1, len(self.languages)))
         count = np.zeros(len(at) - 1)
         for n, bucket in subwords(data):
@@ -90,14 +104,23 @@ class Model:
                 values = np.concatenate([self.weights[bucket], np.zeros((1, len(self.languages)))])
                 total[own] += np.add.reduceat(values, edges, axis=0)[::2]
                 count[own] += last[own] - first[own]
-        return total / np.maximum(count, 1)[:, None] + self.bias
+        return total / np.maximum(count, 1)[:, None]
+
+    def _long(self, data: np.ndarray, step: int) -> np.ndarray:
+        counts = np.zeros(BUCKETS, np.int64)
+        for begin in range(0, len(data), step):
+            # A byte before the slice tells whether its first one belongs to a capital, two behind complete its subwords.
+            lead = min(begin, 1)
+            for _, bucket in subwords(data[begin - lead : begin + step + 2]):
+                counts += np.bincount(bucket[lead : lead + step], minlength=BUCKETS)
+        return counts @ self.weights / max(1, int(counts.sum()))
 
     def scores(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
         return _softmax(self.logits(data, at))
 
     def judge(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and whether it is rejected of each text."""
-        known = np.array([bool(t) and _LETTER.search(t) is not None for t in texts.to_pylist()], bool)
+        known = np.array([bool(t) and any(map(str.isalpha, t)) for t in texts.to_pylist()], bool)
         if not self.languages:
             known[:] = False
         best, score = np.zeros(len(texts), int), np.zeros(len(texts))
@@ -152,16 +175,16 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Mode
 
 
 def fit(documents: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", most: int = SAMPLE) -> Model:
-    """Train on the rows given (all of them may be learned from); about ``most`` for each language."""
+    """Train on the rows given (all of them may be learned from); about ``most`` for each language, ``SAMPLE_IN_ALL`` in all."""
     rows = documents.select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
-    rows = sample_by_class(rows.filter("l is not null and t is not null"), "k", "l", most)
+    rows = sample_by_class(rows.filter("l is not null and t is not null"), "k", "l", most, SAMPLE_IN_ALL)
 
     def features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             made = [sparse(t) for t in frame["t"]]
             yield pd.DataFrame({"k": frame["k"], "l": frame["l"], "b": [m[0] for m in made], "s": [m[1] for m in made]})
 
-    found = rows.mapInPandas(features, f"k {dict(rows.dtypes)['k']}, l string, b array<int>, s array<float>").toPandas()
+    found = rows.mapInPandas(tidy(features), f"k {dict(rows.dtypes)['k']}, l string, b array<int>, s array<float>").toPandas()
     found = found.sort_values(["l", "k"])
     return train([(r.l, np.asarray(r.b, np.int64), np.asarray(r.s, np.float64)) for r in found.itertuples()])
 
@@ -179,7 +202,7 @@ def identify(documents: DataFrame, model: Model, key: str = "doc_id", text: str
             )
 
     rows = documents.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
-    out = rows.mapInArrow(run, f"k {kind}, lang_pred string, score double, rejected boolean")
+    out = rows.mapInArrow(tidy(run), f"k {kind}, lang_pred string, score double, rejected boolean")
     return out.withColumnRenamed("k", key)
 
 

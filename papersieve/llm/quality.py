@@ -23,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import slices, text_buffers
+from ..session import cut_lineage
+from .base import slices, text_buffers, tidy
 from .hashing import LOWER, mix, word_hashes
-from .sampling import sample_by_class
+from .sampling import one_text, sampled_labels
 
 BUCKETS = 1 << 16
 # Labelled documents of each label that training may take (in expectation).
@@ -155,17 +156,16 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", key: st
 
     The sampled ids are joined by broadcast: ``most`` bounds them.
     """
-    marked = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).filter("y in (0, 1) and k is not null")
+    marked = labels.select(F.col(label).cast("int").alias("y")).filter(f"y in (0, 1) and {key} is not null")
     counts = {r["y"]: r["count"] for r in marked.groupBy("y").count().collect()}
-    chosen = sample_by_class(marked, "k", "y", most)
-    rows = documents.select(F.col(key).alias("k"), F.col("text").alias("t")).join(F.broadcast(chosen), "k")
+    rows = one_text(documents, cut_lineage(sampled_labels(labels, label, key, most)), key, "text")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             made = [sparse(t) for t in frame["t"]]
             yield pd.DataFrame({"k": frame["k"], "y": frame["y"], "b": [m[0] for m in made], "v": [m[1] for m in made]})
 
-    found = rows.mapInPandas(run, f"k {dict(rows.dtypes)['k']}, y int, b array<int>, v array<float>").toPandas()
+    found = rows.mapInPandas(tidy(run), f"k {dict(rows.dtypes)['k']}, y int, b array<int>, v array<float>").toPandas()
     found = found.sort_values(["k", "y"])
     data = [(int(r.y), np.asarray(r.b, np.int64), np.asarray(r.v, np.float64)) for r in found.itertuples()]
     return train(data, counts.get(1, 0) / max(1, sum(counts.values())))
@@ -183,4 +183,4 @@ def score(documents: DataFrame, model: Model, key: str = "doc_id", text: str = "
             )
 
     rows = documents.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
-    return rows.mapInArrow(run, f"k {kind}, score double, predicted int").withColumnRenamed("k", key)
+    return rows.mapInArrow(tidy(run), f"k {kind}, score double, predicted int").withColumnRenamed("k", key)

@@ -32,8 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import rows_where, slices
-from .sampling import sample_by_class
+from ..session import cut_lineage
+from .base import rows_where, slices, tidy
+from .sampling import one_text, sampled_labels
 
 SAMPLE = 3000
 ENTRIES = 20_000
@@ -221,13 +222,12 @@ def fit(
     The sampled ids (bounded by ``most``) are joined by broadcast; of the documents, only counts per candidate,
     the toxic documents' candidates and one number of hits and words a document reach the driver.
     """
-    marked = labels.select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).filter("y in (0, 1) and k is not null")
-    chosen = sample_by_class(marked, "k", "y", most)
+    chosen = cut_lineage(sampled_labels(labels, label, key, most))
     sizes = {r["y"]: r["count"] for r in chosen.groupBy("y").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
         return Lexicon({}, exceptions)
-    rows = documents.select(F.col(key).alias("k"), F.col("text").cast("string").alias("t")).join(F.broadcast(chosen), "k")
+    rows = cut_lineage(one_text(documents, chosen, key, "text"))
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -240,7 +240,7 @@ def fit(
     def odds(toxic, clean):
         return F.log((toxic + 0.5) / (n_toxic + 1.0)) - F.log((clean + 0.5) / (n_clean + 1.0))
 
-    tallied = rows.mapInPandas(count, "entry string, toxic long, clean long").groupBy("entry")
+    tallied = rows.mapInPandas(tidy(count), "entry string, toxic long, clean long").groupBy("entry")
     tallied = tallied.agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     weighed = tallied.filter(F.col("toxic") >= SUPPORT).withColumn("odds", odds(F.col("toxic"), F.col("clean")))
     top = weighed.filter(F.col("odds") >= LEAST_ODDS).orderBy(F.desc(F.col("odds") * F.col("toxic")), "entry").limit(ENTRIES)
@@ -251,7 +251,7 @@ def fit(
             pairs = {pair for text in frame["t"] for pair in neighbours_of(text, candidates)}
             yield pd.DataFrame(sorted(pairs), columns=["entry", "before"])
 
-    found = rows.filter("y = 1").mapInPandas(explain, "entry string, before string").distinct()
+    found = rows.filter("y = 1").mapInPandas(tidy(explain), "entry string, before string").distinct()
     neighbours: dict[str, set] = defaultdict(set)
     for entry, before in found.toPandas().itertuples(index=False):
         neighbours[entry].add(before)
@@ -263,7 +263,7 @@ def fit(
             weighed = [lexicon.weigh(t) for t in frame["t"]]
             yield pd.DataFrame({"y": frame["y"], "total": [w[0] for w in weighed], "n": [w[1] for w in weighed]})
 
-    seen = rows.mapInPandas(measure, "y int, total double, n long").toPandas().sort_values(["y", "total", "n"])
+    seen = rows.mapInPandas(tidy(measure), "y int, total double, n long").toPandas().sort_values(["y", "total", "n"])
     return fit_curve(seen["total"].to_numpy(), seen["n"].to_numpy(float), seen["y"].to_numpy(), weights, exceptions)
 
 
@@ -292,4 +292,4 @@ def score(documents: DataFrame, lexicon: Lexicon, key: str = "doc_id", text: str
             )
 
     rows = documents.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t"))
-    return rows.mapInArrow(run, f"k {kind}, score double, predicted int, n_words long").withColumnRenamed("k", key)
+    return rows.mapInArrow(tidy(run), f"k {kind}, score double, predicted int, n_words long").withColumnRenamed("k", key)

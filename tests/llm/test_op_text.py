@@ -8,7 +8,8 @@ import pyarrow as pa
 import pytest
 
 import corpus_pipeline
-from papersieve.llm import components, jaccard_join, language, packing, partenum, quality, queries, toxicity
+from papersieve.llm import components, jaccard_join, language, packing, partenum, quality, queries, sampling, toxicity
+from papersieve.llm.base import text_buffers
 from papersieve.llm.encoding import public_tokenizer
 from papersieve.llm.sampling import fold, outside_fold
 
@@ -128,6 +129,30 @@ def test_language_on_held_out_rows(spark):
     assert (found["lang_pred"] == found["lang"]).mean() > 0.97 and found["rejected"].mean() < 0.02
 
 
+def test_language_of_odd_numbers_long_texts_and_many_languages(spark, monkeypatch):
+    documents, _ = labelled(spark)
+    model = language.fit(documents)
+    names, score, rejected = model.judge(pa.array(["½ ²", "Ⅷ ⅳ", "١٢٣", "_ -", "ª", None]))
+    assert names[:4] == ["und"] * 4 and names[4] != "und" and names[5] == "und" and score[0] == 0.0
+    text = documents.filter("lang = 'de'").first()["text"]
+    texts = pa.array([text, text * 40, "É" * 3001, "x", text[:50]])
+    whole = model.scores(*text_buffers(texts))
+    monkeypatch.setattr(language, "STEP", 1 << 13)
+    assert np.allclose(whole, model.scores(*text_buffers(texts)))
+    many = language.Model(tuple(f"l{i:03d}" for i in range(200)), np.random.default_rng(1).normal(size=(language.BUCKETS, 200)), np.zeros(200), 0.0)
+    assert len(many.judge(pa.array([text * 500, "a"]))[0]) == 2
+
+
+def test_samples_take_an_id_once(spark):
+    documents = spark.createDataFrame([(i % 7, f"text {i}", "en") for i in range(70)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i % 7, i % 2) for i in range(70)], "doc_id long, quality int")
+    chosen = sampling.sampled_labels(labels, "quality", "doc_id", 1000)
+    rows = sampling.one_text(documents, chosen, "doc_id", "text").collect()
+    assert sorted((r["k"], r["y"], r["t"]) for r in rows) == [(i, 1, min(f"text {j}" for j in range(i, 70, 7))) for i in range(7)]
+    some = sampling.sample_by_class(documents.select("doc_id", "lang"), "doc_id", "lang", 100, 3)
+    assert some.count() <= 7
+
+
 def test_toxicity_on_held_out_english(spark):
     documents, labels = labelled(spark)
     found = queries.op9_toxicity(spark, SF_DIR).join(labels, "doc_id").join(documents.select("doc_id", "lang"), "doc_id").toPandas()

@@ -13,13 +13,15 @@ taken in units (a child container, or the text directly in a container around);
 one same text stands on more than half of the host's pages that have it, and on ``REPEATS`` at least. Pages without the winning path
 start from their own best container.
 
-Scores are whole numbers, so votes do not depend on the order of addition. Votes and repeated units are added up per batch
-before they are shuffled: a host with a third of all pages sends a few rows from each task. The
+Scores are whole numbers, so votes do not depend on the order of addition. Votes are added up per batch
+before they are shuffled: a host with a third of all pages sends a few rows from each task. Of repeated units a row per different page
+goes, spread over all tasks by its content. The
 winners (a host, a path and its repeated units) are sent to the pages where they take at most ``BROADCAST_BYTES``, and joined by shuffle otherwise.
 
 Defined cases: null or empty html gives an empty text; pages without url vote under the empty host; a page without any text
 outside furniture gives an empty text; unclosed and stray tags are closed or skipped as browsers do;
-repeated rows are read one by one; other columns are not read.
+a header, wherever it stands (within the article too), is left out with what it holds; nesting and unclosed elements of any number take time
+and memory in proportion; repeated rows are read one by one and do not change each other's text; other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,12 +38,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .base import slices
+from .base import slices, tidy
 from .url_filter import host_of
 
 BROADCAST_BYTES = 64 << 20
-# Pages of a host that must repeat a text beside the article before it counts as furniture.
+# Pages of a host with different other text that must repeat a text beside the article before it counts as furniture.
 REPEATS = 3
+# Characters of a path that are kept as they are.
+LONG_PATH = 512
 # Text that a plain furniture name must hold, besides nearly all of its page, to be no furniture; one part in REST is the most outside.
 LEAST_TEXT, REST = 200, 20
 
@@ -105,6 +109,15 @@ def _marks(tag: str, names: str) -> frozenset[tuple[str, bool]]:
     return frozenset(out)
 
 
+def _short(path: str) -> str:
+    """The path, or a digest in place of a long one: equal paths stay equal, and deep nesting takes no more room per container."""
+    return path if len(path) <= LONG_PATH else "#" + blake2b(path.encode("utf-8", "replace"), digest_size=16).hexdigest()
+
+
+def _digest(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
 class Page:
     """The blocks of a page: (containers around it, text, characters in links)."""
 
@@ -119,6 +132,8 @@ class Page:
 
     def _begin(self) -> None:
         self.paths: list[str] = []  # of each container, in page order
+        self._opened: Counter = Counter()  # how often each tag stands on the stack
+        self._endless: set[str] = set()  # ends that do not come any more
         self.tags: list[str] = []
         self.parents: list[int] = []
         self.blocks: list[tuple[int, str, int]] = []
@@ -167,7 +182,7 @@ class Page:
 
     def _open(self, tag: str, raw: str) -> None:
         while self._stack[-1][0] in _CLOSES and tag in _CLOSES[self._stack[-1][0]]:
-            self._stack.pop()
+            self._opened[self._stack.pop()[0]] -= 1
         attributes = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(raw)} if "=" in raw or "hidden" in raw else {}
         _, closed, furniture, marks, clean, container = self._stack[-1]
         closed = closed or _is_furniture(tag, attributes)
@@ -179,18 +194,19 @@ class Page:
         clean = clean or (tag in self._around and not marks)
         if tag in CONTAINERS:
             names = ".".join(sorted(_NUMBER.sub("N", attributes.get("class", "")).split()))
-            above = self.paths[container] + ">" if container >= 0 else ""
-            self.paths.append(above + tag + ("." + names if names else ""))
+            above = _short(self.paths[container]) + ">" if container >= 0 else ""
+            self.paths.append(above + tag + ("." + _short(names) if names else ""))
             self.tags.append(tag)
             self.parents.append(container)
             container = len(self.paths) - 1
         self._stack.append((tag, closed, furniture, marks, clean, container))
+        self._opened[tag] += 1
 
     def _close(self, tag: str) -> None:
-        for place in range(len(self._stack) - 1, 0, -1):
-            if self._stack[place][0] == tag:
-                del self._stack[place:]
-                return
+        last = "" if self._opened[tag] else tag
+        while last != tag:
+            last = self._stack.pop()[0]
+            self._opened[last] -= 1
 
     def _say(self, text: str) -> None:
         _, closed, furniture, marks, clean, _ = self._stack[-1]
@@ -235,13 +251,20 @@ class Page:
             self._say(html[at:])
         self._flush()
 
-    @staticmethod
-    def _skip(html: str, tag: str, at: int) -> int:
+    def _skip(self, html: str, tag: str, at: int) -> int:
         """Behind the end of an element that is not read; an unclosed head ends where the body begins."""
-        end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+        end = self._find(html, f"</{tag}", rf"</{tag}\s*>", at)
         if end is None and tag == "head":
-            end = re.compile(r"(?=<body)|</head\s*>", re.I).search(html, at)
-        return end.end() if end else (at if tag not in OPAQUE else len(html))
+            end = self._find(html, "<body", r"(?=<body)", at)
+        return end if end is not None else (at if tag not in OPAQUE else len(html))
+
+    def _find(self, html: str, name: str, pattern: str, at: int) -> int | None:
+        """Where the pattern's next match ends; once there is none, nothing is searched any more."""
+        found = None if name in self._endless else re.compile(pattern, re.I).search(html, at)
+        if found is None:
+            self._endless.add(name)
+            return None
+        return found.end()
 
     def scores(self) -> Counter:
         """Whole-number scores of container paths."""
@@ -305,13 +328,16 @@ class Page:
                 kept[unit] = numbers
         return core, kept
 
-    def beside(self, path: str | None) -> list[tuple[str, int]]:
-        """Each unit of text beside the article with a digest of its text."""
+    def beside(self, path: str | None) -> list[tuple[str, int, int]]:
+        """Each unit of text beside the article, with digests of its text and of all other text: the article and the other units."""
         start = self._start(path)
         if start is None:
             return []
-        digest = lambda numbers: blake2b("\n".join(self.blocks[n][1] for n in numbers).encode("utf-8", "replace"), digest_size=8).digest()
-        return [(unit, int.from_bytes(digest(numbers), "big", signed=True)) for unit, numbers in self.parts(start)[1].items()]
+        core, units = self.parts(start)
+        texts = {unit: "\n".join(self.blocks[n][1] for n in numbers) for unit, numbers in [("", core), *units.items()]}
+        named = {unit: _digest(f"{unit}\n{text}") for unit, text in texts.items()}
+        whole = sum(named.values())
+        return [(unit, _digest(texts[unit]), (whole - named[unit]) % (1 << 63)) for unit in units]
 
     def text_below(self, path: str | None, repeated: Iterable[str] = ()) -> str:
         """The article around the containers with this path, or around the page's own best one; all blocks if it has none."""
@@ -338,7 +364,7 @@ def winning_paths(pages: DataFrame) -> DataFrame:
 
     schema = pa.schema([("host", pa.string()), ("path", pa.string()), ("votes", pa.int64())])
     rows = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
-    votes = rows.mapInArrow(vote, "host string, path string, votes long").groupBy("host", "path").agg(F.sum("votes").alias("votes"))
+    votes = rows.mapInArrow(tidy(vote), "host string, path string, votes long").groupBy("host", "path").agg(F.sum("votes").alias("votes"))
     first = F.max_by("path", F.struct("votes", F.col("path"))).alias("path")
     return votes.groupBy("host").agg(first)
 
@@ -348,25 +374,23 @@ def _size(winners: DataFrame, *more) -> int:
 
 
 def repeated_units(pages: DataFrame, winners: DataFrame) -> DataFrame:
-    """(host, repeated): units beside the article where most of a host's pages say the same."""
+    """(host, repeated): units beside the article where most of a host's different pages, copies aside, have the same."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "html"):
-            tally: Counter = Counter()
+            rows: set[tuple] = set()
             for host, html, path in zip(*(part[c].to_pylist() for c in ("host", "html", "path"))):
-                for unit, digest in Page(html).beside(path):
-                    tally[host, unit, digest] += 1
-            rows = [(*key, n) for key, n in tally.items()]
+                rows.update((host, *found) for found in Page(html).beside(path))
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in rows], schema)
 
-    schema = pa.schema([("host", pa.string()), ("unit", pa.string()), ("digest", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("host", pa.string()), ("unit", pa.string()), ("digest", pa.int64()), ("others", pa.int64())])
     rows = pages.select(host_of(F.col("url")).alias("host"), F.col("html").cast("string").alias("html"))
     joined = rows.join(F.broadcast(winners) if _size(winners) <= BROADCAST_BYTES else winners, "host", "left")
-    said = joined.mapInArrow(read, "host string, unit string, digest long, n long")
-    texts = said.groupBy("host", "unit", "digest").agg(F.sum("n").alias("n"))
+    said = joined.mapInArrow(tidy(read), "host string, unit string, digest long, others long").distinct()
+    texts = said.groupBy("host", "unit", "digest").agg(F.count("*").alias("n"))
     units = texts.groupBy("host", "unit").agg(F.max("n").alias("most"), F.sum("n").alias("pages"))
     same = units.filter((F.col("most") >= REPEATS) & (2 * F.col("most") > F.col("pages")))
-    return same.groupBy("host").agg(F.collect_list("unit").alias("repeated"))
+    return same.groupBy("host").agg(F.sort_array(F.collect_list("unit")).alias("repeated"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -387,4 +411,4 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     rows = rows.withColumn("host", host_of(F.col("url")))
     joined = rows.join(F.broadcast(winners) if size <= BROADCAST_BYTES else winners, "host", "left")
-    return joined.select("page_id", "url", "html", "path", "repeated").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
+    return joined.select("page_id", "url", "html", "path", "repeated").mapInArrow(tidy(run), f"page_id {kind}, url string, text string, n_chars long")

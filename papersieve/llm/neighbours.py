@@ -1,36 +1,44 @@
 """Nearest neighbours by a block matrix join of int8 product tiles.
 
-Queries and candidates are dealt into blocks by a hash of their id; every query block meets every
-candidate block in one tile. A tile multiplies the int8 codes (exact whole-number products) and
+Queries and candidates are dealt on a grid: each query into one of the grid's rows, each candidate into one of its columns, by a stored row
+number, so that a row or column holds its share whatever the ids are. The grid has about ``CELLS_PER_TASK`` cells for each task that runs at once, with
+about as many rows as columns: a row of the table is shipped once for each cell of its line, the root of the number of tasks. Only where a
+grid row would hold more than ``MOST_QUERIES`` queries there are more rows.
+
+A cell keeps its queries and streams its candidates past them in tiles. A tile multiplies the int8 codes (exact whole-number products) and
 bounds the error of each product by the norms of what quantising cut off:
 
     |q.c - a.b| <= |q| * |c - b| + |q - a| * |b|      (a, b: what the codes stand for)
 
 Pairs whose upper bound does not reach the k-th best lower bound or the k-th score so far are
 dropped, the others are recomputed from the original vectors in double precision and kept in one
-heap of k per query. Each task merges the tiles it has into one heap per query; a last
-merge ranks what the tasks kept. No pair is lost: the bound is safe, so results are exact.
+heap of k per query. A last merge ranks what the cells kept; each task passes on at most k rows per query. No pair is lost:
+the bound is safe, so results are exact.
 
-Memory of a task: one query block and one candidate block, and ``k`` results for each query of a
-block. Vectors that are null, zero, or hold null or non-finite components take no part; vectors
-meet only vectors of the same length. A query does not meet rows of its own id. Repeated rows
-count one by one; ties go to the smaller id. Fewer candidates than ``k``: all of them.
+Memory of a task: a grid row's queries with ``k`` results for each, and one block of candidates. Vectors that are null, zero, or hold null or
+non-finite components take no part; vectors meet only vectors of the same length. A query does not meet rows of its own id. Repeated rows
+count one by one; the results of query rows with one id are ranked together; ties go to the smaller id. Fewer candidates than ``k``: all of them.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-QUERIES_PER_BLOCK = 512
-ROWS_PER_BLOCK = 4096
-# Tasks that share one query block's tiles.
-SPREAD = 6
+from ..session import cut_lineage
+from .base import tidy
+
+# Sides of a tile.
+QUERIES_PER_BLOCK, ROWS_PER_BLOCK = 512, 4096
+# Queries that a cell keeps.
+MOST_QUERIES = 1 << 16
+CELLS_PER_TASK = 2
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -43,11 +51,23 @@ def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
     ).select("id", "v", F.size("v").alias("dim"))
 
 
-def _blocks(rows: DataFrame, size: int, name: str) -> tuple[DataFrame, int]:
-    """Deal rows into ceil(n / size) blocks by a hash of the id."""
-    n = max(1, -(-rows.count() // size))
-    dealt = rows.withColumn(name, F.pmod(F.xxhash64("id"), F.lit(n)))
-    return dealt.groupBy("dim", name).agg(F.collect_list(F.struct("id", "v")).alias("rows")), n
+def grid(tasks: int, queries: int) -> tuple[int, int]:
+    """Rows and columns of the grid."""
+    side = math.isqrt(max(1, CELLS_PER_TASK * tasks) - 1) + 1
+    return max(side, -(-queries // MOST_QUERIES)), side
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """The rows with a stored number each, which a lost task reads again."""
+    return cut_lineage(rows.withColumn("number", F.monotonically_increasing_id()))
+
+
+def _dealt(rows: DataFrame, own: int, cell: Column, other: int, role: int) -> DataFrame:
+    """Each row once for each of the ``other`` lines that cross its own."""
+    line = F.pmod(F.xxhash64("number"), F.lit(own)).cast("int").alias("line")
+    crossed = F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias("cross")
+    out = rows.select("id", "v", "dim", line, crossed)
+    return out.select("dim", cell.cast("int").alias("cell"), F.lit(role).alias("role"), "id", "v")
 
 
 def quantise(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -68,12 +88,6 @@ def exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _read(struct_list: pa.ListScalar, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    rows = struct_list.values
-    ids = rows.field("id").to_numpy(zero_copy_only=False)
-    return ids, rows.field("v").flatten().to_numpy(zero_copy_only=False).reshape(len(ids), dim)
-
-
 def _tile(q_ids, q, coded_q, c_ids, c, k: int, heaps: dict[int, list]) -> None:
     codes_q, scale_q, norm_q, _, rest_q = coded_q
     codes_c, scale_c, _, stands_c, rest_c = quantise(c)
@@ -99,28 +113,65 @@ def _tile(q_ids, q, coded_q, c_ids, c, k: int, heaps: dict[int, list]) -> None:
                 heapq.heapreplace(heaps[i], entry)
 
 
-def _search(k: int):
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+class _Cell:
+    """The queries of a cell and the candidates that wait for the next tile."""
 
-    def emit(ids, heaps):
-        rows = [(int(ids[i]), -other, score) for i, heap in heaps.items() for score, other in heap]
-        columns = list(zip(*rows)) if rows else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, schema)], schema=schema)
+    def __init__(self, k: int):
+        self.k, self.queries, self.waiting, self.n, self.blocks = k, [], [], 0, []
 
+    def ask(self, ids: np.ndarray, v: np.ndarray) -> None:
+        self.queries.append((ids, v))
+
+    def offer(self, ids: np.ndarray, v: np.ndarray) -> None:
+        self.waiting.append((ids, v))
+        self.n += len(ids)
+        if self.n >= ROWS_PER_BLOCK:
+            self.multiply()
+
+    def multiply(self) -> None:
+        if self.queries:
+            ids, v = (np.concatenate(x) for x in zip(*self.queries))
+            for at in range(0, len(ids), QUERIES_PER_BLOCK):
+                own = slice(at, at + QUERIES_PER_BLOCK)
+                self.blocks.append((ids[own], v[own], quantise(v[own]), {j: [] for j in range(len(ids[own]))}))
+            self.queries = []
+        if self.waiting and self.blocks:
+            ids, v = (np.concatenate(x) for x in zip(*self.waiting))
+            for at in range(0, len(ids), ROWS_PER_BLOCK):
+                for q_ids, q, coded, heaps in self.blocks:
+                    _tile(q_ids, q, coded, ids[at : at + ROWS_PER_BLOCK], v[at : at + ROWS_PER_BLOCK], self.k, heaps)
+        self.waiting, self.n = [], 0
+
+    def found(self) -> Iterator[pa.RecordBatch]:
+        self.multiply()
+        for ids, _, _, heaps in self.blocks:
+            rows = [(int(ids[i]), -other, score) for i, heap in heaps.items() for score, other in heap]
+            columns = list(zip(*rows)) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, _FOUND)], schema=_FOUND)
+
+
+_FOUND = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+
+
+def _search(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = None
+        at, cell = None, None
         for batch in batches:
-            for i in range(batch.num_rows):
-                dim, block = batch["dim"][i].as_py(), batch["q_block"][i].as_py()
-                if at != (dim, block):
-                    if at is not None:
-                        yield emit(q_ids, heaps)  # noqa: F821
-                    at = (dim, block)
-                    q_ids, q = _read(batch["queries"][i], dim)
-                    coded, heaps = quantise(q), {j: [] for j in range(len(q_ids))}
-                _tile(q_ids, q, coded, *_read(batch["rows"][i], dim), k, heaps)
-        if at is not None:
-            yield emit(q_ids, heaps)
+            if batch.num_rows == 0:
+                continue
+            keys = np.stack([batch[c].to_numpy() for c in ("dim", "cell", "role")])
+            ids, flat = batch["id"].to_numpy(), batch["v"].flatten().to_numpy()
+            place = np.concatenate([[0], np.cumsum(keys[0])])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)]):
+                dim, number, role = keys[:, a].tolist()
+                if at != (dim, number):
+                    if cell is not None:
+                        yield from cell.found()
+                    at, cell = (dim, number), _Cell(k)
+                (cell.offer if role else cell.ask)(ids[a:b], flat[place[a] : place[b]].reshape(b - a, dim))
+        if cell is not None:
+            yield from cell.found()
 
     return run
 
@@ -130,18 +181,13 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int, key: str = "vec_i
 
     Returns query_id, rank (from 1), vec_id, score.
     """
-    asked, n_asked = _blocks(usable(queries, key, vector), QUERIES_PER_BLOCK, "q_block")
-    held, _ = _blocks(usable(candidates, key, vector), ROWS_PER_BLOCK, "c_block")
-    share = F.pmod(F.col("c_block"), F.lit(SPREAD)).alias("share")
-    held = held.select("dim", share, "rows", F.explode(F.sequence(F.lit(0), F.lit(n_asked - 1))).alias("block"))
-    held = held.withColumn("block", F.col("block").cast("long"))
-    asked = asked.select(
-        "dim", F.col("q_block").alias("block"), F.col("rows").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("share")
-    ).withColumn("share", F.col("share").cast("long"))
-    tiles = held.join(asked.hint("shuffle_merge"), ["dim", "block", "share"])
-    tiles = tiles.select("dim", F.concat_ws("-", "block", "share").alias("q_block"), "queries", "rows")
-    tiles = tiles.sortWithinPartitions("dim", "q_block")
-    found = tiles.mapInArrow(_search(k), "query_id long, vec_id long, score double")
+    asked, held = _numbered(usable(queries, key, vector)), _numbered(usable(candidates, key, vector))
+    rows, columns = grid(queries.sparkSession.sparkContext.defaultParallelism, asked.count())
+    cells = _dealt(asked, rows, F.col("line") * columns + F.col("cross"), columns, 0).union(
+        _dealt(held, columns, F.col("cross") * columns + F.col("line"), rows, 1)
+    )
+    ordered = cells.repartition(rows * columns, "dim", "cell").sortWithinPartitions("dim", "cell", "role")
+    found = ordered.mapInArrow(tidy(_search(k)), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score"

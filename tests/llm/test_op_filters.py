@@ -4,6 +4,7 @@ import hashlib
 import html as html_lib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -166,10 +167,28 @@ def test_wrappers_named_after_furniture_are_read():
 def test_host_consensus_wins_over_a_page_of_its_own(spark):
     usual = "<body><div class='story'><p>%s</p></div><div class='box'><p>short</p></div></body>"
     odd = "<body><div class='story'><p>brief</p></div><div class='box'><p>a long box that beats the story of this very page by far</p></div></body>"
-    rows = [(i, f"http://h/{i}", usual % ("long story " * 9)) for i in range(5)] + [(9, "http://h/9", odd)]
+    rows = [(i, f"http://h/{i}", usual % (f"long story {i} " * 9)) for i in range(5)] + [(9, "http://h/9", odd)]
     assert extracted(spark, rows)[9] == ("brief", 5)
 
 
+def test_copies_of_a_page_do_not_change_its_text(spark):
+    page = "<main><h1>Title %s</h1><p>lead</p><div class=body>" + "<p>body text of the article</p>" * 20 + "</div><p>closing</p></main>"
+    want = "\n".join(["Title x", "lead", *["body text of the article"] * 20, "closing"])
+    for copies in range(1, 6):
+        got = extracted(spark, [(i, f"http://h/{i}", page % "x") for i in range(copies)])
+        assert {text for text, _ in got.values()} == {want}
+    headed = "<article><header><h1>Title</h1></header><p>text of an article</p></article>"
+    assert extracted(spark, [(1, "http://h/", headed)])[1][0] == "text of an article"
+
+
+def test_deep_and_unclosed_pages_take_little(spark):
+    texts = ["<div>" * 50_000 + "text here", "<div>a b" * 50_000, "<p>t<svg>" * 50_000, "<button>x" * 50_000, "<div>" * 20_000 + "</td>" * 50_000]
+    begun = time.time()
+    got = [html_text.Page(t).text_below(None) for t in texts]
+    assert got[0] == "text here" and got[1].split("\n") == ["a b"] * 50_000 and time.time() - begun < 20
+    assert max(map(len, html_text.Page(texts[1]).paths)) < 2 * html_text.LONG_PATH
+
+
 def test_article_text_beside_the_winning_container_is_kept(spark):
     body = "".join(f"<p>{'body text %d ' % i * 9}</p>" for i in range(20))
     lead = "<h1>Heading %d</h1><div class='body'>BODY</div><p>Closing %d</p>".replace("BODY", body)
@@ -190,6 +209,23 @@ def test_article_text_beside_the_winning_container_is_kept(spark):
             assert (len(lines), lines[-1]) == (21, f"Second part {i}")
 
 
+def test_repeated_hot_id_and_grid(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(5, rng.normal(size=4).tolist()) for _ in range(150)] + [(i, rng.normal(size=4).tolist()) for i in range(300)] + [(5, [1.0, 2.0, 3.0, 4.0])] * 50
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(neighbours, "MOST_QUERIES", 16)
+    monkeypatch.setattr(neighbours, "ROWS_PER_BLOCK", 64)
+    assert neighbours.grid(8, 100) == (7, 4)
+    found = neighbours.nearest(table.filter("vec_id % 20 = 0 or vec_id = 5"), table, k=6)
+    got = {}
+    for r in found.orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+    for q in {i for i, _ in rows if i % 20 == 0 or i == 5}:
+        pairs = [(sum(a * b for a, b in zip(v, w)), i) for qq, v in rows if qq == q for i, w in rows if i != q]
+        want = sorted(pairs, key=lambda p: (-p[0], p[1]))[:6]
+        assert [i for _, i in got[q]] == [i for _, i in want] and np.allclose([s for s, _ in got[q]], [s for s, _ in want])
+
+
 def test_articles_equal_a_plain_pattern(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     got = {r["page_id"]: r["text"] for r in html_text.extract(pages).collect()}

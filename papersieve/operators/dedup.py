@@ -32,7 +32,7 @@ from . import joins
 from .components import components
 
 # Rounds before what is left is cut into components, and records of a component that one task finishes.
-ROUNDS = 4
+ROUNDS = 8
 IN_ORDER = 1_000_000
 
 KEPT = "kept"

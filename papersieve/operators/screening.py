@@ -9,7 +9,7 @@ import urllib.request
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +18,8 @@ from .. import vocabulary as V
 from ..functions import text as X
 from ..functions.identifiers import list_signature, normalize_doi, table_signature
 from ..schema import AI_COLUMNS, SEQ, TRACKS, text, track_rank, with_columns_default
-from ..session import is_missing
+from ..session import cut_lineage, is_missing, work_path
+from ..sinks import units
 from . import joins
 from .classify import valid_track
 from .dedup import keep_last
@@ -27,18 +28,18 @@ from .ordering import batches
 # A scorer turns (system prompt, payload) into the reply text of one batch.
 Scorer = Callable[[str, str], str]
 
-# Fields of a request item with their length limits (0 = whole),
+# Fields of a request item with the setting that may limit their length,
 # fields of a reply item, schema of the stored judgements.
 REQUEST_FIELDS = (
-    ("doi", 0),
-    ("title", 800),
-    ("journal", 0),
-    ("pub_date", 0),
-    ("source", 0),
-    ("track", 0),
-    ("pmid", 0),
-    ("publication_types", 500),
-    ("abstract", 3500),
+    ("doi", None),
+    ("title", "title_limit"),
+    ("journal", None),
+    ("pub_date", None),
+    ("source", None),
+    ("track", None),
+    ("pmid", None),
+    ("publication_types", "types_limit"),
+    ("abstract", "abstract_limit"),
 )
 REPLY_FIELDS = (
     "doi",
@@ -82,8 +83,15 @@ class ScreeningConfig:
     batch_size: int = 6
     only_keep_passed: bool = True
     keep_on_batch_error: bool = True
-    max_workers: int = 1
+    # Tasks that ask at once (0: all that can run), and seconds between any two requests of them all.
+    max_workers: int = 0
     request_interval_sec: float = 0.4
+    # Batches whose replies are landed together.
+    batches_per_group: int = 10
+    # Characters of a field that are sent (0: the whole field).
+    title_limit: int = 0
+    types_limit: int = 0
+    abstract_limit: int = 0
     model: str = "gpt-4o-mini"
     api_base: str = "https://api.openai.com/v1"
     api_key: str = ""
@@ -96,12 +104,14 @@ class ScreeningConfig:
         cfg = cfg or {}
         names = [
             "enabled", "batch_size", "only_keep_passed", "keep_on_batch_error", "max_workers",
-            "request_interval_sec", "model", "api_base", "api_key", "api_key_env", "fail_if_missing_key",
+            "request_interval_sec", "model", "api_base", "api_key", "api_key_env", "fail_if_missing_key", "batches_per_group",
+            "title_limit", "types_limit", "abstract_limit",
         ]
         values = {n: cfg[n] for n in names if cfg.get(n) is not None}
         values["enabled"] = bool(cfg.get("enabled", False))
         values["batch_size"] = max(1, int(values.get("batch_size", 6)))
-        values["max_workers"] = max(1, int(values.get("max_workers", 1)))
+        values["max_workers"] = max(0, int(values.get("max_workers", 0)))
+        values["batches_per_group"] = max(1, int(values.get("batches_per_group", 10)))
         values["prompts"] = {
             k: v for k, v in cfg.items() if k.startswith(("system_prompt", "extra_instructions"))
         }
@@ -145,15 +155,16 @@ def screening_batches(records: DataFrame, size: int) -> DataFrame:
     return records.join(batch_index(records, size), SEQ)
 
 
-def request_item() -> Column:
-    def cell(name: str, limit: int) -> Column:
+def request_item(cfg: ScreeningConfig) -> Column:
+    def cell(name: str, setting: str | None) -> Column:
+        limit = getattr(cfg, setting) if setting else 0
         value = X.truncate(F.col(name), limit) if limit else X.sanitize(F.col(name))
         return value.alias(name)
 
-    return F.struct(*[cell(name, limit) for name, limit in REQUEST_FIELDS])
+    return F.struct(*[cell(name, setting) for name, setting in REQUEST_FIELDS])
 
 
-def payloads(batched: DataFrame) -> DataFrame:
+def payloads(batched: DataFrame, cfg: ScreeningConfig = ScreeningConfig()) -> DataFrame:
     """One row per batch: first track, DOIs, signature, JSON payload.
 
     A batch has ``batch_size`` rows, so the list it collects is bounded.
@@ -162,7 +173,7 @@ def payloads(batched: DataFrame) -> DataFrame:
         F.col("row_index"),
         valid_track().alias("track"),
         normalize_doi(text("doi")).alias("doi"),
-        request_item().alias("item"),
+        request_item(cfg).alias("item"),
     )
     listed = batched.groupBy("batch_id").agg(F.array_sort(F.collect_list(entry)).alias("_rows"))
     dois = F.filter(F.transform("_rows", lambda r: r["doi"]), lambda d: d != "")
@@ -209,53 +220,130 @@ class ChatScorer:
         return ((choices[0].get("message") or {}).get("content") or "").strip()
 
 
-def score(
-    requests: DataFrame, scorer: Scorer, prompts: Mapping[str, str] | None = None,
-    *, workers: int = 1, interval: float = 0.0,
-) -> DataFrame:
-    """Call the scorer once per batch; ``reply`` is null where it failed."""
+class ScorerDown(Exception):
+    """Raised by a scorer that cannot answer any more: its group of batches is not landed, and a resumed run asks again."""
+
+
+REPLIES = "batch_id long, dois array<string>, signature string, attempt long, reply string"
+_REPLIES = pa.schema([
+    ("batch_id", pa.int64()), ("dois", pa.list_(pa.field("element", pa.string()))), ("signature", pa.string()),
+    ("attempt", pa.int64()), ("reply", pa.string()),
+])
+
+
+def reply_sink(scorer: Scorer, prompts: Mapping[str, str] | None, workers: int, interval: float) -> type[units.UnitLanding]:
+    """A sink that asks the scorer for each request and lands the replies group by group.
+
+    A reply is null where the scorer failed for a batch. All ``workers`` tasks together keep to one request in ``interval`` seconds: each
+    begins its requests ``workers`` intervals apart, shifted by its number.
+    """
     prompt_of = {track: system_prompt(track, prompts) for track in (*TRACKS, "")}
 
-    def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            replies = []
-            for track, payload in zip(frame["track"], frame["payload"]):
+    class ReplyWriter(units.UnitWriter):
+        next_request = None
+
+        def pace(self) -> None:
+            from pyspark import TaskContext
+
+            now = time.monotonic()
+            if self.next_request is None:
+                self.next_request = now + interval * (TaskContext.get().partitionId() % workers)
+            time.sleep(max(0.0, self.next_request - now))
+            self.next_request = max(now, self.next_request) + interval * workers
+
+        def work(self, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for row in rows.to_pylist():
+                self.pace()
                 try:
-                    replies.append(scorer(prompt_of.get(track, prompt_of[""]), payload))
+                    reply = scorer(prompt_of.get(row["track"], prompt_of[""]), row["payload"])
+                except ScorerDown as error:
+                    raise units.UnitFailed(f"ScorerDown: {error}") from error
                 except Exception:
-                    replies.append(None)
-                time.sleep(interval)
-            yield frame[["batch_id", "dois", "signature"]].assign(reply=replies)
+                    reply = None
+                yield pa.RecordBatch.from_pylist([{**{n: row[n] for n in _REPLIES.names[:-1]}, "reply": reply}], _REPLIES)
 
-    spread = requests.select("batch_id", "dois", "signature", "track", "payload").repartition(
-        workers, "batch_id"
-    )
-    return spread.mapInPandas(
-        call, "batch_id long, dois array<string>, signature string, reply string"
+    class ReplyLanding(units.UnitLanding):
+        @classmethod
+        def name(cls) -> str:
+            return "reply_landing"
+
+        def writer(self, schema, overwrite: bool) -> ReplyWriter:
+            return ReplyWriter(self.options["path"])
+
+    return ReplyLanding
+
+
+def score(requests: DataFrame, scorer: Scorer, cfg: ScreeningConfig, path: str, attempt: int) -> None:
+    """Ask the scorer for all requests (see ``payloads``) and land the replies below ``path``.
+
+    Groups of ``batches_per_group`` batches are spread over all tasks; a group is landed as soon as it is
+    answered. Raises when all groups are done and some could not be answered.
+    """
+    group = F.floor(F.col("batch_id") / cfg.batches_per_group).cast("long")
+    grouped = cut_lineage(requests.withColumn("group", group))
+    sizes = grouped.groupBy("group").agg(F.count("*").alias("unit_rows"))
+    workers = max(1, min(sizes.count(), cfg.max_workers or requests.sparkSession.sparkContext.defaultParallelism))
+    named = grouped.join(sizes, "group").select(
+        F.format_string("%020d-%010d", F.lit(attempt), "group").alias("unit"), "unit_rows", F.lit(None).cast("string").alias("error"),
+        "batch_id", "dois", "signature", F.lit(attempt).cast("long").alias("attempt"), "track", "payload",
     )
+    dealt = named.repartition(workers, "unit").sortWithinPartitions("unit", "batch_id")
+    units.land(dealt, path, reply_sink(scorer, cfg.prompts, workers, cfg.request_interval_sec))
+
+
+# An object without objects in it, and a comma before its end.
+_FLAT_OBJECT, _LAST_COMMA = r"\{[^{}]*\}", r",\s*\}$"
+
+
+def reply_items(reply: Column) -> Column:
+    """The items of a reply as an array of JSON texts, null if there are none to be had.
+
+    A reply that is a JSON array is taken as it is. Any other is mended: what stands before the first bracket goes, and of the objects
+    behind it those that can be read on their own are taken, without a trailing comma. So text around the array, commas too many, an end
+    that is cut off and a broken object cost no more than that object.
+    """
+    body = X.strip_code_fence(reply)
+    strict = F.when(F.startswith(body, F.lit("[")), F.from_json(body, "array<string>"))
+    bracket, brace = F.instr(body, "["), F.instr(body, "{")
+    rest = F.when((bracket > 0) & ((brace == 0) | (bracket < brace)), F.substring(body, bracket, F.length(body)))
+    objects = F.transform(F.regexp_extract_all(rest, F.lit(_FLAT_OBJECT), F.lit(0)), lambda o: F.regexp_replace(o, _LAST_COMMA, "}"))
+    sound = F.filter(objects, lambda o: F.from_json(o, REPLY_SCHEMA)["doi"].isNotNull())
+    return F.coalesce(strict, F.when(F.size(sound) > 0, sound))
 
 
 def parse_replies(replies: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Judgement items of good replies, and the DOIs of failed batches.
 
-    The reply must be a JSON array; items that are no objects are ignored.
+    The reply must hold a JSON array (see ``reply_items``); items that are no objects are ignored.
     """
-    body = X.strip_code_fence(F.col("reply"))
-    items = F.when(F.startswith(body, F.lit("[")), F.from_json(body, "array<string>"))
-    parsed = replies.withColumn("_items", items)
-    failed = parsed.filter(F.col("_items").isNull()).select(
-        "batch_id", F.explode("dois").alias("doi")
-    )
+    parsed = replies.withColumn("_items", reply_items(F.col("reply")))
+    more = [c for c in ("attempt",) if c in replies.columns]
+    failed = parsed.filter(F.col("_items").isNull()).select("batch_id", *more, F.explode("dois").alias("doi"))
     objects = F.filter("_items", lambda raw: F.startswith(F.ltrim(raw), F.lit("{")))
     good = (
         parsed.filter(F.col("_items").isNotNull())
-        .select("batch_id", F.posexplode(objects).alias("position", "raw"))
+        .select("batch_id", *more, F.posexplode(objects).alias("position", "raw"))
         .withColumn("judgement", F.from_json("raw", REPLY_SCHEMA))
-        .select("batch_id", "position", "judgement.*")
+        .select("batch_id", *more, "position", "judgement.*")
         .withColumn("doi", normalize_doi(F.col("doi")))
         .filter(F.col("doi") != "")
     )
-    return good, failed.select("doi").distinct()
+    return good, failed.select("doi", *more).distinct()
+
+
+def reply_stats(replies: DataFrame) -> DataFrame:
+    """One row: batches answered, batches without a usable reply, mended replies, and objects lost in these."""
+    body = X.strip_code_fence(F.col("reply"))
+    strict = F.startswith(body, F.lit("[")) & F.from_json(body, "array<string>").isNotNull()
+    strict, items = F.coalesce(strict, F.lit(False)), reply_items(F.col("reply"))
+    mended = ~strict & items.isNotNull()
+    begun = F.length(body) - F.length(F.replace(body, F.lit("{"), F.lit("")))
+    return replies.agg(
+        F.count("*").alias("ai_batches"),
+        F.count_if(items.isNull()).alias("ai_errors"),
+        F.count_if(mended).alias("ai_mended"),
+        F.coalesce(F.sum(F.when(mended, begun - F.size(items))), F.lit(0)).cast("long").alias("ai_broken_items"),
+    )
 
 
 def last_judgement(judgements: DataFrame, order: str = SEQ) -> DataFrame:
@@ -347,25 +435,18 @@ def screening_stats(merged: DataFrame, cfg: ScreeningConfig) -> DataFrame:
 
 
 class JudgementStore:
-    """Judgements and failed DOIs of a record set, as Parquet below one folder.
+    """Replies to a record set, landed group by group below one folder, and the judgements and failures they hold.
 
     A run that does not resume begins anew: what was stored before its beginning no longer counts. A
-    resumed run continues from the last beginning. Of a DOI's judgements and failures the latest counts.
+    resumed run continues from the last beginning, with all groups that any attempt since then has landed. Of a DOI's judgements and
+    failures the latest counts.
     """
 
     def __init__(self, spark, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
-    def _read(self, name: str, signature: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}/signature={signature}")
-        except AnalysisException as error:
-            if not is_missing(error):
-                raise
-            return self.spark.createDataFrame([], schema)
-
     def begin(self, signature: str, attempt: int) -> None:
-        """From now on only results of this attempt and later ones count."""
+        """From now on only replies of this attempt and later ones count."""
         mark = self.spark.createDataFrame([(attempt,)], "attempt long")
         mark.write.mode("append").parquet(f"{self.path}/begun/signature={signature}")
 
@@ -373,21 +454,29 @@ class JudgementStore:
         """Forget what is stored for a record set."""
         self.begin(signature, time.time_ns())
 
-    def _current(self, name: str, signature: str, schema: str) -> DataFrame:
-        begun = self._read("begun", signature, "attempt long").agg(F.max("attempt")).first()[0] or 0
-        rows = self._read(name, signature, f"{schema}, attempt long")
-        return rows.filter(F.col("attempt") >= begun)
+    def _begun(self, signature: str) -> int:
+        try:
+            marks = self.spark.read.schema("attempt long").parquet(f"{self.path}/begun/signature={signature}")
+        except AnalysisException as error:
+            if not is_missing(error):
+                raise
+            return 0
+        return marks.agg(F.max("attempt")).first()[0] or 0
+
+    def replies_path(self, signature: str) -> str:
+        return f"{self.path}/replies/signature={signature}"
+
+    def replies(self, signature: str) -> DataFrame:
+        """The replies that count: batch_id, dois, signature, attempt, reply."""
+        return units.read(self.spark, self.replies_path(signature), REPLIES).filter(F.col("attempt") >= self._begun(signature))
 
     def judgements(self, signature: str) -> DataFrame:
-        return self._current("judgements", signature, ", ".join(f"{c} string" for c in REPLY_FIELDS))
+        good, _ = parse_replies(self.replies(signature))
+        return good
 
     def failed(self, signature: str) -> DataFrame:
-        return self._current("failed", signature, "doi string")
-
-    def append(self, signature: str, good: DataFrame, failed: DataFrame, attempt: int) -> None:
-        stamp = F.lit(attempt).cast("long").alias("attempt")
-        good.select(*REPLY_FIELDS, stamp).write.mode("append").parquet(f"{self.path}/judgements/signature={signature}")
-        failed.select("doi", stamp).write.mode("append").parquet(f"{self.path}/failed/signature={signature}")
+        _, failed = parse_replies(self.replies(signature))
+        return failed
 
 
 def pending_requests(requests: DataFrame, done: DataFrame) -> DataFrame:
@@ -418,35 +507,27 @@ def screen(
             constants["lit_type_zh"] = F.lit(V.TYPE_LABEL_DEFAULT)
             return out.withColumns(constants)
         scorer = ChatScorer(cfg.api_base, cfg.key(), cfg.model)
-    from ..session import work_path
-
     spark = records.sparkSession
-    requests = payloads(screening_batches(records, cfg.batch_size))
+    requests = payloads(screening_batches(records, cfg.batch_size), cfg)
     signature = table_signature(records, text("doi")).first()["signature"]
     store = store or JudgementStore(spark, work_path(spark, "judgements"))
     attempt = time.time_ns()
     if not resume:
         store.begin(signature, attempt)
     else:
-        done = store.judgements(signature).select("doi").unionByName(store.failed(signature).select("doi"))
+        done = store.judgements(signature).select("doi")
+        if cfg.keep_on_batch_error:
+            done = done.unionByName(store.failed(signature).select("doi"))
         requests = pending_requests(requests, done)
-    replies = score(
-        requests, scorer, cfg.prompts, workers=cfg.max_workers, interval=cfg.request_interval_sec
-    )
-    landed = work_path(spark, "replies")
-    replies.write.parquet(landed)
-    good, failed = parse_replies(spark.read.parquet(landed))
-    if not cfg.keep_on_batch_error:
-        failed = failed.limit(0)
-    # A later line of the same run wins; batches are disjoint in their DOIs.
-    numbered = good.withColumn(
-        "_order", F.col("batch_id") * F.lit(1 << 20) + F.col("position").cast("long")
-    )
-    latest = keep_last(numbered, F.col("doi"), "_order")
-    store.append(signature, latest, failed, attempt)
-    judgements = store.judgements(signature)
-    newest = judgements.groupBy("doi").agg(F.max("attempt").alias("attempt"))
-    judgements = judgements.join(newest, ["doi", "attempt"], "left_semi").drop("attempt")
-    failures = store.failed(signature).select("doi").distinct().join(judgements.select("doi"), "doi", "left_anti")
-    merged = merge_judgements(records, judgements, failures)
+    score(requests, scorer, cfg, store.replies_path(signature), attempt)
+    # The latest attempt wins, then the later line; batches of an attempt are disjoint in their DOIs.
+    place = F.struct("attempt", "batch_id", "position")
+    latest = store.judgements(signature).groupBy("doi").agg(
+        F.max_by(F.struct(*[c for c in REPLY_FIELDS if c != "doi"]), place).alias("found")
+    ).select("doi", "found.*")
+    latest = cut_lineage(latest)
+    failures = None
+    if cfg.keep_on_batch_error:
+        failures = store.failed(signature).select("doi").distinct().join(latest.select("doi"), "doi", "left_anti")
+    merged = merge_judgements(records, latest, failures)
     return merged.filter(F.col("ai_pass") == "true") if cfg.only_keep_passed else merged

@@ -283,9 +283,7 @@ batched AS (SELECT *, row_index // {Q.BATCH_SIZE} AS batch_id FROM numbered)"""
 
 
 def request_struct() -> str:
-    cells = ", ".join(
-        f"{name} := {f'substring({sanitize(name)}, 1, {n})' if n else sanitize(name)}" for name, n in REQUEST_FIELDS
-    )
+    cells = ", ".join(f"{name} := {sanitize(name)}" for name, _ in REQUEST_FIELDS)
     return f"struct_pack({cells})"
 
 
@@ -424,8 +422,8 @@ UNION ALL SELECT track, CAST(ord AS BIGINT), query, '150' FROM everything WHERE
 def replies_sql() -> str:
     return """WITH l AS (SELECT doc_id, '10.5555/doc.' || doc_id AS doi, quality, toxic FROM labels)
 SELECT doi, 'judged' AS state, 'review' AS article_type, CASE WHEN quality = 1 THEN 'true' ELSE 'false' END AS pass_filter,
-  CAST(toxic AS VARCHAR) AS domain_relevant FROM l WHERE doc_id % 4 IN (0, 1)
-UNION ALL SELECT doi, 'failed', '', '', '' FROM l WHERE doc_id % 4 IN (2, 3)"""
+  CAST(toxic AS VARCHAR) AS domain_relevant FROM l WHERE doc_id % 8 NOT IN (2, 3)
+UNION ALL SELECT doi, 'failed', '', '', '' FROM l WHERE doc_id % 8 IN (2, 3)"""
 
 
 def pipeline_sql() -> str:
@@ -532,6 +530,12 @@ def oracle_sql() -> dict[str, str]:
         "pending_batches": f"""WITH {batch_ctes()} SELECT DISTINCT batch_id FROM batched
             WHERE nd <> '' AND nd NOT IN (SELECT nd FROM ranked WHERE track NOT IN ('chemical', 'GCE '))""",
         "reply_parse": replies_sql(),
+        "reply_stats": """SELECT count(*) AS ai_batches, count(*) FILTER (WHERE doc_id % 8 IN (2, 3)) AS ai_errors,
+            count(*) FILTER (WHERE doc_id % 8 > 3) AS ai_mended, count(*) FILTER (WHERE doc_id % 8 IN (5, 6)) AS ai_broken_items FROM labels""",
+        "screening_resume": f"""WITH {RECORDS}, firsts AS (SELECT * FROM records WHERE {nd} <> ''
+            QUALIFY row_number() OVER (PARTITION BY {nd} ORDER BY ingest_seq) = 1)
+            SELECT ingest_seq, 'title of ' || length({sanitize('title')}) AS ai_article_type,
+            CASE WHEN length({sanitize('abstract')}) % 2 = 0 THEN 'true' ELSE 'false' END AS ai_pass, '' AS ai_rationale_zh FROM firsts""",
         "judgement_last_wins": f"""SELECT doi, ingest_seq, pass_filter, rationale_zh FROM ({T.JUDGEMENTS_SQL})
             QUALIFY row_number() OVER (PARTITION BY doi ORDER BY ingest_seq DESC) = 1""",
         "judgement_merge": f"WITH {merged_ctes()} SELECT * EXCLUDE (track) FROM merged",

@@ -358,7 +358,7 @@ def pending_batches(spark, sf):
 
 
 def _replies(spark, sf):
-    """Replies to one request per labelled document: fenced, plain, broken or no array."""
+    """Replies to one request per labelled document: fenced, plain, no array, broken, and four that can be mended."""
     label = F.col("doc_id")
     item = F.to_json(
         F.struct(
@@ -368,13 +368,15 @@ def _replies(spark, sf):
             F.col("toxic").alias("domain_relevant"),
         )
     )
-    array = F.concat(F.lit("[7, "), item, F.lit(', "x"]'))
-    reply = (
-        F.when(label % 4 == 0, F.concat(F.lit("```json\n"), array, F.lit("\n```")))
-        .when(label % 4 == 1, array)
-        .when(label % 4 == 2, item)
-        .otherwise(F.lit("[{broken"))
-    )
+    said = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    array = said("[7, ", item, ', "x"]')
+    kinds = [
+        said("```json\n", array, "\n```"), array, item, F.lit("[{broken"), said("Here you are:\n[", item, ",\n] Done."),
+        said("[", item, ', {"doi": "10.5/cut'), said("[", item, ', {"doi" 10.5}, 7]'), said("[", F.regexp_replace(item, r"\}$", ", }"), "]"),
+    ]
+    reply = F.lit(None).cast("string")
+    for kind, value in enumerate(kinds):
+        reply = F.when(label % len(kinds) == kind, value).otherwise(reply)
     return T.table(spark, sf, "labels").select(
         label.alias("batch_id"),
         F.array(F.concat(F.lit("10.5555/doc."), label.cast("string"))).alias("dois"),
@@ -382,6 +384,43 @@ def _replies(spark, sf):
     )
 
 
+def reply_stats(spark, sf):
+    return screening.reply_stats(_replies(spark, sf))
+
+
+def _judge(down: bool):
+    """A scorer that judges by the length of title and abstract, and may be out of order for some requests."""
+
+    def judge(system: str, payload: str) -> str:
+        import json
+
+        items = json.loads(payload)
+        if down and any(len(item["abstract"]) % 41 == 0 for item in items):
+            raise screening.ScorerDown("out of order")
+        return json.dumps(
+            [{"doi": i["doi"], "article_type": f"title of {len(i['title'])}", "pass_filter": len(i["abstract"]) % 2 == 0} for i in items]
+        )
+
+    return judge
+
+
+def screening_resume(spark, sf):
+    """A screening run whose scorer goes down for some groups, resumed with one that works."""
+    from ..session import work_path
+
+    cfg = screening.ScreeningConfig(batch_size=BATCH_SIZE, only_keep_passed=False, request_interval_sec=0.0, batches_per_group=2)
+    store = screening.JudgementStore(spark, work_path(spark, "screening"))
+    # Records of one DOI have one judgement, so only the first of each is screened.
+    records = dedup.keep_first(T.records(spark, sf).filter(I.normalize_doi(text("doi")) != ""), I.normalize_doi(text("doi")))
+    try:
+        screening.screen(records, cfg, _judge(True), store=store)
+    except Exception as failure:
+        if "ScorerDown" not in str(failure):
+            raise
+    resumed = screening.screen(records, cfg, _judge(False), store=store, resume=True)
+    return resumed.select(SEQ, "ai_article_type", "ai_pass", "ai_rationale_zh")
+
+
 def reply_parse(spark, sf):
     good, failed = screening.parse_replies(_replies(spark, sf))
     judged = good.select(
@@ -674,7 +713,7 @@ def queries() -> dict[str, Query]:
         track_classify, track_partition, track_counts, library_join, library_import,
         library_import_counts, query_pairs, query_build_capped, query_blocks, query_signature,
         screen_batches, batch_payload, content_signature, table_signature, pending_batches,
-        reply_parse, judgement_last_wins, judgement_merge, screening_stats, usable_by_track,
+        reply_parse, reply_stats, screening_resume, judgement_last_wins, judgement_merge, screening_stats, usable_by_track,
         repair_overlay, merge_outputs, record_union, json_record_parse, xml_record_parse,
         json_landed_scan, xml_landed_scan, track_files, key_results, date_windows, month_segments, segment_plan, search_pipeline, head_in_order,
         incremental_ingest,

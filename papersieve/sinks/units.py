@@ -34,6 +34,10 @@ class IncompleteUnits(Exception):
     """Some units ended before all of their rows had come."""
 
 
+class UnitFailed(Exception):
+    """Work on a unit cannot go on."""
+
+
 class _OpenUnit:
     """The file of the unit that is being written."""
 
@@ -69,9 +73,15 @@ class _OpenUnit:
 
 
 class UnitWriter(DataSourceArrowWriter):
+    """Lands rows as they come, or what ``work`` makes of them."""
+
     def __init__(self, path: str):
         self.path = path
 
+    def work(self, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """What is landed for some rows of a unit, as many rows as came; an ``UnitFailed`` ends the unit."""
+        yield rows
+
     def write(self, iterator: Iterator[pa.RecordBatch]) -> UnitsLanded:
         unit, error, done, failed = None, None, [], []
 
@@ -89,8 +99,11 @@ class UnitWriter(DataSourceArrowWriter):
                     finish()
                     unit, error = _OpenUnit(self.path, names[a], counts[a]), None
                 error = error or next((e for e in errors[a:b] if e is not None), None)
-                if error is None:
-                    unit.write(data.slice(a, b - a))
+                try:
+                    for made in self.work(data.slice(a, b - a)) if error is None else ():
+                        unit.write(made)
+                except UnitFailed as failure:
+                    error = str(failure)
         finish()
         return UnitsLanded(tuple(done), tuple(failed))
 
@@ -111,10 +124,10 @@ class UnitLanding(DataSource):
         return UnitWriter(self.options["path"])
 
 
-def land(rows: DataFrame, path: str) -> None:
-    """Land the rows (unit, unit_rows, error, data) below ``path``."""
-    rows.sparkSession.dataSource.register(UnitLanding)
-    rows.write.format("unit_landing").option("path", path).mode("append").save()
+def land(rows: DataFrame, path: str, sink: type[UnitLanding] = UnitLanding) -> None:
+    """Land the rows (unit, unit_rows, error, data), or what the sink makes of them, below ``path``."""
+    rows.sparkSession.dataSource.register(sink)
+    rows.write.format(sink.name()).option("path", path).mode("append").save()
 
 
 def folders(spark: SparkSession, path: str) -> list[str]:

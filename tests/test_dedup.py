@@ -106,10 +106,11 @@ def test_long_chains_end_in_few_rounds(spark):
 
 def test_large_components_go_on_in_rounds(spark, monkeypatch):
     monkeypatch.setattr(dedup, "IN_ORDER", 8)
+    monkeypatch.setattr(dedup, "ROUNDS", 3)
     rows = chain(26) + chain(6, 100)
     got, result, _ = labels(spark, rows, **FULL)
     assert got == sequential(rows, set(), True, True)
-    assert result.rounds > 5
+    assert result.rounds > 4
 
 
 def test_no_stage_of_the_labels_is_a_single_task(spark):

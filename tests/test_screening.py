@@ -1,4 +1,6 @@
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -118,6 +120,73 @@ def test_a_new_run_forgets_earlier_results(spark, tmp_path):
     assert store.judgements(signature).isEmpty() and store.failed(signature).isEmpty()
 
 
+def test_a_dying_scorer_keeps_finished_groups(spark, tmp_path):
+    rows, log = records(spark, 40), tmp_path / "calls"
+    log.mkdir()
+    store = screening.JudgementStore(spark, str(tmp_path / "store"))
+    cfg = config(batches_per_group=2)
+
+    def dying(down):
+        def ask(system, payload):
+            dois = [item["doi"] for item in json.loads(payload)]
+            (log / f"{dois[0][-3:]}-{time.time_ns()}").write_text("")
+            if down and "10.5555/020" in dois:
+                raise screening.ScorerDown("out of quota")
+            return json.dumps([{"doi": d, "pass_filter": True} for d in dois])
+
+        return ask
+
+    with pytest.raises(Exception, match="1 units are missing: .*ScorerDown: out of quota"):
+        screening.screen(rows, cfg, dying(True), store=store).count()
+    signature = screening.table_signature(rows, screening.text("doi")).first()["signature"]
+    done = store.replies(signature).count()
+    assert done == 8
+    asked = len(list(log.iterdir()))
+    again = screening.screen(rows, cfg, dying(False), store=store, resume=True).collect()
+    assert len(again) == 40 and {r["ai_pass"] for r in again} == {"true"}
+    assert len(list(log.iterdir())) - asked == 2 and store.replies(signature).count() == 10
+
+
+def test_tasks_share_the_request_rate(spark, tmp_path):
+    log = tmp_path / "calls"
+    log.mkdir()
+
+    def ask(system, payload):
+        (log / f"{time.time_ns()}-{os.getpid()}").write_text("")
+        return "[]"
+
+    cfg = screening.ScreeningConfig(batch_size=1, only_keep_passed=False, request_interval_sec=0.1, batches_per_group=2)
+    screening.screen(records(spark, 30), cfg, ask).count()
+    calls = sorted(tuple(map(int, p.name.split("-"))) for p in log.iterdir())
+    seconds = (calls[-1][0] - calls[0][0]) / 1e9
+    assert len(calls) == 30 and len({pid for _, pid in calls}) > 1
+    # 4 tasks of at most 10 requests, 0.4 s apart; all together no more than 10 a second beyond the first of each task.
+    assert seconds >= 0.1 * (30 - 4) * 0.9
+
+
+@pytest.mark.parametrize("reply, dois, state", [
+    ('[{"doi": "10.5555/a"}, {"doi": "10.5555/b"}]', ["a", "b"], (0, 0, 0)),
+    ('Sure: [{"doi": "10.5555/a", "rationale_zh": "x, y"}, {"doi": "10.5555/b",},] Bye', ["a", "b"], (0, 1, 0)),
+    ('```\n[{"doi": "10.5555/a"}, {"doi": "10.5555/b", "compound', ["a"], (0, 1, 1)),
+    ('[{"doi": "10.5555/a"}, {doi 1}, {"doi": "10.5555/c"}]', ["a", "c"], (0, 1, 1)),
+    ('{"doi": "10.5555/a"}', None, (1, 0, 0)), ("", None, (1, 0, 0)), (None, None, (1, 0, 0)), ("[]", [], (0, 0, 0)), ("no", None, (1, 0, 0)), ("[{x", None, (1, 0, 0)),
+])
+def test_replies_are_mended(spark, reply, dois, state):
+    frame = spark.createDataFrame([(1, ["10.5555/z"], reply)], "batch_id long, dois array<string>, reply string")
+    good, failed = screening.parse_replies(frame)
+    assert [r["doi"] for r in good.orderBy("position").collect()] == [f"10.5555/{d}" for d in dois or []]
+    assert failed.count() == (dois is None)
+    row = screening.reply_stats(frame).first()
+    assert (row["ai_batches"], row["ai_errors"], row["ai_mended"], row["ai_broken_items"]) == (1, *state)
+
+
+def test_field_limits_are_settings(spark):
+    long = spark.createDataFrame([(0, "s", "", "10.5555/a", "t" * 900, "j", "2024", "a" * 5000, "p" * 600, "hybrid")], SCHEMA)
+    item = lambda **kw: json.loads(screening.payloads(screening.screening_batches(long, 4), config(**kw)).first()["payload"])[0]
+    assert [len(item()[c]) for c in ("title", "abstract", "publication_types")] == [900, 5000, 600]
+    assert [len(item(title_limit=800, abstract_limit=3500, types_limit=500)[c]) for c in ("title", "abstract", "publication_types")] == [800, 3500, 500]
+
+
 def test_off_and_without_key(spark, monkeypatch):
     monkeypatch.delenv("SCREENING_API_KEY", raising=False)
     off = screening.screen(records(spark), screening.ScreeningConfig(enabled=False)).first()

@@ -10,8 +10,7 @@
    sketches must be that near; pairs whose are get their texts and an exact intersection. Frequent pivots are salted over several tasks.
 5. Components of the links. Where the documents of a signature, its pivot aside, still belong to more than one
    component, pairs among them are open. They are settled by a prefix join: shingles in one order, common ones last, the
-   first fifth of each document as join keys, with the length and positional bounds in the join condition, for pairs in
-   different components only; the pairs found are verified as in 4. No link is lost: a linked pair shares a signature, so it is verified
+   first fifth of each document as join keys, with the length and positional bounds and the parities (``parities``) in the join condition, for pairs in different components only; the pairs found are verified as in 4. No link is lost: a linked pair shares a signature, so it is verified
    with the pivot, is already in one component, or is open.
 
 Texts are joined to the pairs by doc_id: the pairs are sent to the texts where they take at most ``BROADCAST_BYTES``, by their count, and
@@ -28,11 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .base import slices, text_buffers, without
+from .base import slices, text_buffers, tidy, without
 from .components import components
 from .hashing import LOWER, gram_hashes, mix, word_hashes, words
 from .partenum import held, signatures
@@ -40,13 +39,15 @@ from .partenum import held, signatures
 WORDS = 5
 BROADCAST_BYTES = 16 << 20
 # Documents that one task verifies against one pivot.
-PER_SALT = 500
+PER_SALT = 120
 # A shingle is common if one in so many documents, or more, holds it.
 COMMON_SHARE = 4000
 # Shingles that a task counts before it passes on the frequent ones.
 COUNTED = 4_000_000
 # Counters of a sketch.
 BINS = 256
+# Parity bits of sets of up to so many features, as (features, bits); larger sets have the last number of bits.
+PARITY_BITS = ((600, 512), (2400, 2048), (1 << 62, 8192))
 # Whole-set signatures that a task remembers.
 SEEN_SETS = 200_000
 
@@ -67,6 +68,21 @@ def shingle_sets(texts: pa.Array, n: int = WORDS) -> Iterator[np.ndarray]:
             yield np.zeros(0, np.uint64)
 
 
+def parities(features: np.ndarray) -> np.ndarray:
+    """Bits that tell whether the features with each remainder are an odd number, as 64-bit numbers.
+
+    Two sets differ in at least as many features as their parities in bits.
+    """
+    bits = next(bits for most, bits in PARITY_BITS if len(features) <= most)
+    counts = np.bincount((features & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits(counts.astype(np.uint8) & 1).view(np.int64)
+
+
+def folded(parity: np.ndarray) -> np.ndarray:
+    """The parities for a quarter of the remainders."""
+    return np.bitwise_xor.reduce(parity.reshape(4, -1), axis=0)
+
+
 def linked(x: np.ndarray, y: np.ndarray) -> bool:
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both > 0 and 100 * both >= 80 * (len(x) + len(y) - both)
@@ -103,7 +119,7 @@ def common_features(documents: DataFrame) -> np.ndarray:
 
     rows = _texts(documents)
     total = rows.count()
-    added = rows.select("text").mapInArrow(run, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    added = rows.select("text").mapInArrow(tidy(run), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
     common = added.filter(F.col("n") >= max(8, total // COMMON_SHARE)).select("feature").toPandas()["feature"]
     return np.sort(common.to_numpy(np.int64).view(np.uint64))
 
@@ -129,7 +145,7 @@ def signed(documents: DataFrame, common: np.ndarray) -> DataFrame:
             if sigs:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(docs))], ["sig", "doc"])
 
-    return _texts(documents).filter("doc is not null").mapInArrow(run, "sig long, doc long")
+    return _texts(documents).filter("doc is not null").mapInArrow(tidy(run), "sig long, doc long")
 
 
 def buckets(sigs: DataFrame) -> DataFrame:
@@ -159,7 +175,7 @@ def buckets(sigs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(a[out]) for a in (sig, doc, pivot, many)], ["sig", "doc", "pivot", "many"])
 
     ordered = sigs.repartition("sig").sortWithinPartitions("sig", "doc")
-    return ordered.mapInArrow(run, "sig long, doc long, pivot long, many boolean")
+    return ordered.mapInArrow(tidy(run), "sig long, doc long, pivot long, many boolean")
 
 
 def profiles(documents: DataFrame) -> DataFrame:
@@ -175,7 +191,7 @@ def profiles(documents: DataFrame) -> DataFrame:
                 sketches.append(np.minimum(np.diff(places), 255).astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays([batch["doc"], pa.array(sizes, pa.int64()), pa.array(sketches, pa.binary())], ["doc", "size", "sketch"])
 
-    return _texts(documents).mapInArrow(run, "doc long, size long, sketch binary")
+    return _texts(documents).mapInArrow(tidy(run), "doc long, size long, sketch binary")
 
 
 def plausible(pairs: DataFrame, profile: DataFrame) -> DataFrame:
@@ -193,7 +209,7 @@ def plausible(pairs: DataFrame, profile: DataFrame) -> DataFrame:
     sized = pairs.join(x.drop("x_sketch"), "pivot").join(y.drop("y_sketch"), "doc")
     sized = sized.filter(5 * F.least("x_size", "y_size") >= 4 * F.greatest("x_size", "y_size")).select("pivot", "doc")
     rows = sized.distinct().join(x, "pivot").join(y, "doc")
-    return rows.mapInArrow(run, "pivot long, doc long").distinct()
+    return rows.mapInArrow(tidy(run), "pivot long, doc long").distinct()
 
 
 def _with_texts(documents: DataFrame, need: DataFrame, row_bytes: int) -> DataFrame:
@@ -230,7 +246,7 @@ def verify(documents: DataFrame, pairs: DataFrame) -> DataFrame:
 
     rows = _with_texts(documents, members.union(pivots), 64)
     ordered = rows.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "role")
-    return ordered.mapInArrow(run, "a long, b long")
+    return ordered.mapInArrow(tidy(run), "a long, b long")
 
 
 def open_rows(shared: DataFrame, found: DataFrame) -> DataFrame:
@@ -246,12 +262,14 @@ def prefix_pairs(documents: DataFrame, rows: DataFrame, common: np.ndarray) -> D
     """Distinct pairs (pivot, doc) of rows (doc, comp) in different components that may be linked.
 
     Any order of the shingles that all documents share will do; common ones come last, so that documents which
-    have little but a frequent passage in common seldom meet.
+    have little but a frequent passage in common seldom meet. Linked sets differ in at most (a + b) / 9 features, and so in no more
+    parities; unlike sets differ in more, and leave no row although they share a prefix. Sizes of linked sets are within a quarter of each other,
+    so their numbers of bits are equal or a step apart, for which the longer one is folded.
     """
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            keys, counts, sizes, rest = [], [], [], []
+            keys, counts, sizes, rest, odd = [], [], [], [], []
             for features in shingle_sets(batch["text"]):
                 size = len(features)
                 frequent = held(features, common)
@@ -260,21 +278,32 @@ def prefix_pairs(documents: DataFrame, rows: DataFrame, common: np.ndarray) -> D
                 counts.append(first)
                 sizes.append(size)
                 rest.append(size - np.arange(first))
-            spread = lambda values: np.repeat(np.asarray(values), counts)  # noqa: B023, E731
+                odd.append(parities(features))
+            own = np.repeat(np.arange(len(sizes)), counts)
             docs, comps = (batch[c].to_numpy(zero_copy_only=False) for c in ("doc", "comp"))
-            columns = (spread(docs), spread(comps), spread(sizes), np.concatenate(keys).view(np.int64), np.concatenate(rest))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc", "comp", "size", "feature", "rest"])
+            columns = [docs[own], comps[own], np.array(sizes)[own], np.concatenate(keys).view(np.int64), np.concatenate(rest)]
+            columns = [pa.array(c, pa.int64()) for c in columns]
+            columns += [pa.array(bits, pa.list_(pa.int64())).take(pa.array(own)) for bits in (odd, [folded(o) for o in odd])]
+            yield pa.RecordBatch.from_arrays(columns, ["doc", "comp", "size", "feature", "rest", "odd", "folded"])
 
-    keys = _with_texts(documents, rows, 48).mapInArrow(prefixes, "doc long, comp long, size long, feature long, rest long")
-    keys = cut_lineage(keys)
+    schema = "doc long, comp long, size long, feature long, rest long, odd array<long>, folded array<long>"
+    keys = cut_lineage(_with_texts(documents, rows, 48).mapInArrow(tidy(prefixes), schema))
     x, y = keys.alias("x"), keys.alias("y")
-    need = 4 * (F.col("x.size") + F.col("y.size"))
+    both = F.col("x.size") + F.col("y.size")
+
+    def different(a: str, b: str) -> Column:
+        bits = F.zip_with(a, b, lambda v, w: F.bit_count(v.bitwiseXOR(w)))
+        return F.aggregate(bits, F.lit(0), lambda total, n: total + n)
+
+    larger = F.size("x.odd") - F.size("y.odd")
+    least = F.when(larger > 0, different("x.folded", "y.odd")).when(larger < 0, different("x.odd", "y.folded"))
     close = (
         (F.col("x.feature") == F.col("y.feature"))
         & (F.col("x.doc") < F.col("y.doc"))
         & (F.col("x.comp") != F.col("y.comp"))
         & (5 * F.least("x.size", "y.size") >= 4 * F.greatest("x.size", "y.size"))
-        & (9 * F.least("x.rest", "y.rest") >= need)
+        & (9 * F.least("x.rest", "y.rest") >= 4 * both)
+        & (9 * least.otherwise(different("x.odd", "y.odd")) <= both)
     )
     return x.join(y, close).select(F.col("x.doc").alias("pivot"), F.col("y.doc").alias("doc")).distinct()
 

@@ -6,13 +6,14 @@
 3. Generate the whole neighbourhood of each reduced word: itself, every replaced, deleted and inserted symbol, each distinct string
    once. It has about 2 * length * SYMBOLS strings, where the full alphabet would need twelve times as many. Strings are told by 64-bit sums
    of one random number for each (place, symbol), so a whole neighbourhood takes a few additions per string in numpy.
+   A Bloom filter of the reduced vocabulary, of ``MOST_BITS`` bits at most, is sent to all tasks; strings that it does not know are no word and
+   are not passed on. It only spares rows: where it is full, more strings are passed on.
 4. Join the neighbourhoods with the reduced vocabulary and keep pairs whose original words differ by exactly one edit; this test is part
    of the join, so pairs that meet only in the reduced alphabet leave no rows.
 5. A word's form is its most frequent near word, if that is ``RATIO`` times as frequent; its root is the end of the forms. As
    each form is ``RATIO`` times as frequent as the one before, chains are short, and doubling the steps ends after a few joins.
 
-The vocabulary is sent to the neighbourhoods where it takes at most ``BROADCAST_BYTES``, by its count; both sides are shuffled by the
-string's number otherwise. Words are counted per task before any shuffle. No word's neighbours are gathered: counts and the
+Both sides of the join are shuffled by the string's number, at every size. Words are counted per task before any shuffle. No word's neighbours are gathered: counts and the
 best form are partial aggregates.
 
 Defined cases: null, empty and blank texts have no word; a null key counts as an empty string where words are damaged; repeated rows count
@@ -31,13 +32,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .base import tidy
 from .hashing import mix
 
 LEAST_LENGTH, LEAST_COUNT, RATIO = 7, 2, 10
 SYMBOLS = 8
-BROADCAST_BYTES = 16 << 20
-# Strings that a task passes on at once.
-_EMITTED = 1 << 16
+# Bits of the filter for each word, and in all.
+WORD_BITS, MOST_BITS = 32, 1 << 28
+# Bits of the filter that a task returns as one row.
+_PIECE = 1 << 22
+# Strings that a task makes at once.
+_MADE = 1 << 18
 
 
 def letter_runs(documents: DataFrame, least: int = LEAST_LENGTH, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -113,11 +118,11 @@ def neighbourhood(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _by_length(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-    """Rows of a batch with words of one length, as many as give about ``_EMITTED`` strings."""
+    """Rows of a batch with words of one length, as many as give about ``_MADE`` strings."""
     lengths = np.array([len(w) for w in batch["word"].to_pylist()])
     for n in np.unique(lengths):
         own = np.flatnonzero(lengths == n)
-        step = max(1, _EMITTED // (2 * int(n) * SYMBOLS))
+        step = max(1, _MADE // (2 * int(n) * SYMBOLS))
         for at in range(0, len(own), step):
             yield own[at : at + step]
 
@@ -135,18 +140,58 @@ def _mapped(rows: DataFrame, schema: str, keys) -> DataFrame:
                 part = part.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), part["word"], part["n"]], ["key", "a", "b"])
 
-    return rows.select("word", "n").mapInArrow(run, schema)
+    return rows.select("word", "n").mapInArrow(tidy(run), schema)
+
+
+def key_filter(keys: DataFrame, count: int) -> np.ndarray:
+    """A Bloom filter with two bits for each ``key``, as 64-bit words. Tasks fill it piece by piece."""
+    bits = 1 << 16
+    while bits < min(MOST_BITS, WORD_BITS * count):
+        bits *= 2
+    piece = min(bits, _PIECE)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces: dict[int, np.ndarray] = {}
+        for batch in batches:
+            at = batch["at"].to_numpy()
+            for number in np.unique(at // piece).tolist():
+                own = pieces.setdefault(number, np.zeros(piece // 8, np.uint8))
+                place = at[at // piece == number] % piece
+                np.bitwise_or.at(own, place >> 3, (1 << (place & 7)).astype(np.uint8))
+        yield pa.RecordBatch.from_pydict({"number": pa.array(list(pieces), pa.int64()), "bits": [p.tobytes() for p in pieces.values()]})
+
+    places = [f"key & {bits - 1}L", f"shiftrightunsigned(key, 32) & {bits - 1}L"]
+    at = keys.select(F.explode(F.array(*map(F.expr, places))).alias("at"))
+    filled = at.repartition(bits // piece, F.expr(f"at div {piece}")).mapInArrow(tidy(fill), "number bigint, bits binary")
+    out = np.zeros(bits // 8, np.uint8)
+    for row in filled.toLocalIterator():
+        out[row["number"] * (piece // 8) : (row["number"] + 1) * (piece // 8)] = np.frombuffer(row["bits"], np.uint8)
+    return out.view(np.uint64)
+
+
+def passes(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys a filter may hold."""
+    mask, out = np.uint64(64 * len(known) - 1), np.ones(len(keys), bool)
+    for at in (keys & mask, (keys >> np.uint64(32)) & mask):
+        out &= (known[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
+    return out
 
 
 def near_pairs(vocabulary: DataFrame) -> DataFrame:
     """(word, n, near, near_n): each word with each word one edit away from it."""
-    made = _mapped(vocabulary, "key bigint, word string, n bigint", neighbourhood)
     held = _mapped(vocabulary, "key bigint, near string, near_n bigint", lambda s: (np.arange(len(s)), reduced_key(s)))
     held = cut_lineage(held)
-    size = held.select(F.sum(F.octet_length("near") + 32).alias("b")).first()["b"] or 0
-    held = F.broadcast(held) if size <= BROADCAST_BYTES else held
+    known = vocabulary.sparkSession.sparkContext.broadcast(key_filter(held.select("key"), held.count()))
+
+    def known_neighbours(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        words, keys = neighbourhood(symbols)
+        kept = passes(known.value, keys)
+        return words[kept], keys[kept]
+
+    made = cut_lineage(_mapped(vocabulary, "key bigint, word string, n bigint", known_neighbours))
+    known.destroy()
     one_edit = (F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1)
-    return made.join(held, (made["key"] == held["key"]) & one_edit).select("word", "n", "near", "near_n")
+    return made.join(held.hint("merge"), (made["key"] == held["key"]) & one_edit).select("word", "n", "near", "near_n")
 
 
 def forms(vocabulary: DataFrame, ratio: int = RATIO) -> DataFrame:

@@ -210,11 +210,18 @@ def test_spelling_edge_cases(spark, monkeypatch):
     want = brute_variants(rows)
     assert {tuple(r) for r in spelling.group(words).collect()} == want
     assert ("chaineddd", "chainedd", "chained") in {r[:3] for r in want}
-    monkeypatch.setattr(spelling, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(spelling, "MOST_BITS", 64)
     assert {tuple(r) for r in spelling.group(words).collect()} == want
     assert spelling.group(words.limit(0)).count() == 0
 
 
+def test_filter_knows_all_keys(spark):
+    keys = mix(np.arange(3000, dtype=np.uint64)).view(np.int64)
+    known = spelling.key_filter(spark.createDataFrame([(int(k),) for k in keys], "key long"), len(keys))
+    assert spelling.passes(known, keys.view(np.uint64)).all()
+    assert spelling.passes(known, mix(np.arange(10_000, 30_000, dtype=np.uint64))).mean() < 0.02
+
+
 def test_neighbourhoods_are_whole_and_hold_each_string_once():
     rng = random.Random(2)
     for n in (1, 2, 5, 8):

@@ -104,6 +104,36 @@ def test_linked_sets_share_a_signature():
                 assert len(np.intersect1d(partenum.signatures(a, held), partenum.signatures(b, held)))
 
 
+def test_parities_bound_the_difference(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PARITY_BITS", ((20, 512), (80, 2048), (1 << 62, 8192)))
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        pool = rng.integers(0, 2**64 - 1, 400, dtype=np.uint64)
+        a, b = np.unique(pool[: rng.integers(1, 200)]), np.unique(pool[rng.integers(0, 30) : rng.integers(31, 200)])
+        x, y = jaccard_join.parities(a), jaccard_join.parities(b)
+        while len(x) != len(y):
+            x, y = (jaccard_join.folded(x), y) if len(x) > len(y) else (x, jaccard_join.folded(y))
+        assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= len(np.setxor1d(a, b))
+    same = np.unique(pool)
+    assert (jaccard_join.parities(same) == jaccard_join.parities(same.copy())).all()
+
+
+def test_family_just_below_the_threshold(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PARITY_BITS", ((40, 512), (70, 2048), (1 << 62, 8192)))
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(80)]
+    rows = []
+    for i in range(60):
+        words = list(base)
+        for k in rng.sample(range(0, 80, 6), 1 + (i % 3 == 0)):
+            words[k] = f"x{i}.{k}"
+        rows.append((i, " ".join(words + [f"tail{i % 6}.{k}" for k in range(i % 7)])))
+    want = components_by_hand(rows)
+    assert 1 < len(set(want.values())) < 60
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in jaccard_join.join(table).collect()} == want
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 130)] + [(200, 201), (201, 200), (300, 300)]
     found = components.components(spark.createDataFrame(links, "a long, b long"))

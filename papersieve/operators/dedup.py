@@ -15,7 +15,7 @@ Every round ends in a stored table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -95,8 +95,8 @@ def _digest(value: Column) -> Column:
     return F.when(value == "", F.lit("")).otherwise(F.sha2(value, 256))
 
 
-def key_table(records: DataFrame, cfg: DedupConfig) -> DataFrame:
-    """The narrow columns the decision needs: sequence, DOI, second key, date, early reason."""
+def key_table(records: DataFrame, cfg: DedupConfig, more: Sequence[str] = ()) -> DataFrame:
+    """The narrow columns the decision needs: sequence, DOI, second key, date, early reason; and ``more`` columns."""
     raw = text("doi")
     doi = normalize_doi(raw) if cfg.normalize_doi or cfg.strip_doi_prefix else raw
     title = _digest(normalize_title(text("title")))
@@ -114,9 +114,9 @@ def key_table(records: DataFrame, cfg: DedupConfig) -> DataFrame:
     if cfg.skip_invalid_doi:
         early = early.when(~is_valid_doi(F.col("doi")), F.lit(INVALID_DOI))
     return (
-        records.select(SEQ, raw.alias("_raw"), doi.alias("doi"), title.alias("_title"), date.alias("pub"))
+        records.select(SEQ, raw.alias("_raw"), doi.alias("doi"), title.alias("_title"), date.alias("pub"), *more)
         .withColumns({"second": second, "early": early})
-        .select(SEQ, "doi", "second", "pub", "early")
+        .select(SEQ, "doi", "second", "pub", "early", *more)
     )
 
 
@@ -199,7 +199,11 @@ def deduplicate(
     a key, so they leave before the matching starts.
     """
     cfg = cfg or DedupConfig()
-    keys = cut_lineage(key_table(records, cfg))
+    return deduplicate_keys(cut_lineage(key_table(records, cfg)), known, cfg)
+
+
+def deduplicate_keys(keys: DataFrame, known: DataFrame | None, cfg: DedupConfig) -> Deduplicated:
+    """The same for the key table of the records (see ``key_table``), which is read several times and should be stored."""
     candidates = keys.filter(F.col("early").isNull())
     edges = candidates.groupBy("doi", "second").agg(F.min(SEQ).alias(SEQ)).select(SEQ, "doi", "second")
     if known is not None:

@@ -31,6 +31,13 @@ def filter_types(
 # --- record cleaner ------------------------------------------------------------
 
 
+# The cleaner's drop reasons in the order of its rules.
+DROP_REASONS = (
+    "non_journal_article", "title_prefix", "title_regex", "nanozyme_in_title", "conference_keyword", "doi_pattern",
+    "numeric_title_start", "short_title", "cover_suffix", "pub_year_before_min",
+)
+
+
 @dataclass(frozen=True)
 class CleanerRules:
     """Rules of the record cleaner; an empty list falls back to the default list."""

@@ -56,8 +56,8 @@ def _runs(folded: Column) -> Column:
 def tags(subject: Column, aliases: Mapping[str, str]) -> Column:
     """Canonical names found in ``subject`` as an array, in alias rank order.
 
-    The dictionary travels as one literal array. A text is split once and its
-    runs are tested against a hash set of anchors, so the cost per text hardly
+    The dictionary travels as one literal index from anchors to their aliases. A text is split once and its
+    runs are tested against a hash set of anchors; only the aliases of anchors that occur are looked at, so the cost per text hardly
     depends on the number of aliases. An alias that is a single run is then
     certain; any other is confirmed as a substring and by its pattern.
     """
@@ -65,34 +65,28 @@ def tags(subject: Column, aliases: Mapping[str, str]) -> Column:
         raise ValueError(
             f"{len(aliases)} aliases are too many for a literal; use tag"
         )
-    ranked = [(a, c) for a, c in ranked_aliases(aliases) if anchor_of(a)]
-    anchors = sorted({anchor_of(alias) for alias, _ in ranked})
-    entries = [
-        {
-            "anchor": anchor_of(alias),
-            "alias": alias.lower(),
-            "pattern": None if anchor_of(alias) == alias.lower() else alias_pattern(alias),
-            "canonical": canonical,
-        }
-        for alias, canonical in ranked
-    ]
-    # One JSON literal, which the optimizer folds into a constant array.
+    index: dict[str, list[dict]] = {}
+    for rank, (alias, canonical) in enumerate(ranked_aliases(aliases)):
+        anchor = anchor_of(alias)
+        if anchor:
+            pattern = None if anchor == alias.lower() else alias_pattern(alias)
+            index.setdefault(anchor, []).append({"rank": rank, "alias": alias.lower(), "pattern": pattern, "canonical": canonical})
+    anchors = sorted(index)
+    # One JSON literal, which the optimizer folds into a constant map.
     dictionary = F.from_json(
-        F.lit(json.dumps(entries)),
-        "array<struct<anchor:string,alias:string,pattern:string,canonical:string>>",
+        F.lit(json.dumps(index)),
+        "map<string,array<struct<rank:int,alias:string,pattern:string,canonical:string>>>",
     )
     none = F.array().cast("array<string>")
 
     def confirm(subject: Column, folded: Column, found: Column) -> Column:
+        entries = F.flatten(F.transform(found, lambda run: F.element_at(dictionary, run)))
         confirmed = F.filter(
-            dictionary,
-            lambda entry: F.array_contains(found, entry["anchor"])
-            & (
-                entry["pattern"].isNull()
-                | (F.contains(folded, entry["alias"]) & F.rlike(subject, entry["pattern"]))
-            ),
+            entries,
+            lambda entry: entry["pattern"].isNull()
+            | (F.contains(folded, entry["alias"]) & F.rlike(subject, entry["pattern"])),
         )
-        return F.array_distinct(F.transform(confirmed, lambda entry: entry["canonical"]))
+        return F.array_distinct(F.transform(F.array_sort(confirmed), lambda entry: entry["canonical"]))
 
     return let(
         subject,

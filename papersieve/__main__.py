@@ -1,4 +1,4 @@
-"""Command line: ``python -m papersieve run|search|ai|import-library|export|keywords``."""
+"""Command line: ``python -m papersieve run|search|ai|trial|import-library|repair|export|clear|keywords|check``."""
 
 from __future__ import annotations
 
@@ -52,9 +52,12 @@ def parser() -> argparse.ArgumentParser:
     common.add_argument("--all-years", action="store_true")
     common.add_argument("--skip-ai", action="store_true")
     common.add_argument("--reset-state", action="store_true")
+    common.add_argument("--output-dir", help="folder of the outputs, in place of the configured one")
+    common.add_argument("--rows", type=int, default=6, help="records of a trial")
+    common.add_argument("--target", help="where repair writes its output")
     main_parser = argparse.ArgumentParser(prog="papersieve", description=__doc__)
     commands = main_parser.add_subparsers(dest="command", required=True)
-    for name in ("run", "search", "ai", "import-library", "export", "keywords", "check"):
+    for name in ("run", "search", "ai", "trial", "import-library", "repair", "export", "clear", "keywords", "check"):
         commands.add_parser(name, parents=[common])
     return main_parser
 
@@ -87,6 +90,25 @@ def main(argv: list[str] | None = None) -> int:
         cfg["ai_screening"] = {**(cfg.get("ai_screening") or {}), "enabled": True}
     if args.reset_state:
         runs.RunState(spark, (cfg.get("paths") or {}).get("state_dir") or "state").reset()
+    if args.output_dir:
+        cfg["paths"] = {**(cfg.get("paths") or {}), "output_dir": args.output_dir}
+    keeper = runs.RunState(spark, (cfg.get("paths") or {}).get("state_dir") or "state")
+    if args.command == "clear":
+        from .operators.screening import JudgementStore
+
+        _, info = keeper.load_pending(allow_empty=True)
+        JudgementStore(spark, f"{keeper.folder}/screening").clear(info["signature"])
+        print(json.dumps({"cleared": info["signature"]}))
+        return 0
+    if args.command == "trial":
+        print(json.dumps(runs.trial_run(spark, cfg, args.rows), ensure_ascii=False, indent=2))
+        return 0
+    if args.command == "repair":
+        if not args.input or not args.target:
+            raise SystemExit("repair needs --input and --target")
+        pending, _ = keeper.load_pending()
+        print(json.dumps({"rows": runs.repair_run(spark, args.input, pending, args.target), "output": args.target}))
+        return 0
     ai = bool((cfg.get("ai_screening") or {}).get("enabled", False))
     out: dict = {}
     if args.command in ("run", "search"):

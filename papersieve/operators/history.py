@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.identifiers import normalize_doi
 from ..schema import text
 from ..session import is_missing
-from ..sources.csv_files import RUN_FILE_NAMES, doi_column, read_csv, run_files
+from ..sources.csv_files import RUN_FILE_NAMES, doi_column, read_by_layout, read_csv, run_files
 from . import joins
 
 
@@ -44,21 +44,27 @@ def dois_of_csv(spark: SparkSession, path: str, preferred: str = "DOI") -> DataF
         if not is_missing(error):
             raise
         return empty_dois(spark)
+    return dois_of_table(table, preferred)
+
+
+def dois_of_table(table: DataFrame, preferred: str) -> DataFrame:
+    """Known DOIs of a table; one without a DOI column has none."""
     try:
         name = doi_column(table.columns, preferred)
     except KeyError:
-        return empty_dois(spark)
+        return empty_dois(table.sparkSession)
     return known_dois(table, F.col(f"`{name}`"))
 
 
 def dois_of_runs(
     spark: SparkSession, output_dir: str, pattern: str, preferred: str = "doi", names: Iterable[str] = RUN_FILE_NAMES
 ) -> DataFrame:
-    """Known DOIs of the files earlier runs wrote below ``output_dir``."""
+    """Known DOIs of the files earlier runs wrote below ``output_dir``: one scan for each order of columns among them."""
     paths = run_files(spark, output_dir, pattern, names)
     if not paths:
         return empty_dois(spark)
-    return union_dois([dois_of_csv(spark, path, preferred) for path in paths])
+    tables = read_by_layout(spark, paths)
+    return union_dois([empty_dois(spark), *(dois_of_table(t, preferred) for t in tables)])
 
 
 def known_from_config(

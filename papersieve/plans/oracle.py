@@ -405,16 +405,18 @@ FROM seg s JOIN daily d ON d.query = s.query AND d.day BETWEEN s.a AND s.b GROUP
 
 
 def capped_sql() -> str:
-    tracks = [t for t in TRACKS if t in V.SEARCH_GROUPS]
     rows = []
-    for track in tracks:
+    for track in TRACKS:
         tail = [f"{term} {signal}" for term in V.GENERIC_TERMS for signal in V.METHOD_SIGNALS[track]]
         tail += list(V.HYBRID_EXTRA_QUERIES) if track == "hybrid" else []
+        tail = list(V.METHOD_SIGNALS[track]) if track == "gce" else tail
         rows += [f"('{track}', {i}, {lit(q)})" for i, q in enumerate(tail)]
     return f"""WITH names AS (SELECT p_partkey AS ord, p_name AS query FROM part),
+own AS (SELECT unnest({lits([t for t in TRACKS if t != 'gce'])}) AS track, ord, query FROM names
+  UNION ALL SELECT 'gce', row_number() OVER (ORDER BY ord) - 1, query FROM names WHERE ord % 7 = 0),
+size AS (SELECT track, max(ord) + 1 AS n FROM own GROUP BY track),
 tail(track, pos, query) AS (VALUES {', '.join(rows)}),
-everything AS (SELECT unnest({lits(tracks)}) AS track, ord, query FROM names
-  UNION ALL SELECT track, pos + (SELECT max(ord) + 1 FROM names), query FROM tail)
+everything AS (SELECT * FROM own UNION ALL SELECT track, pos + n, query FROM tail JOIN size USING (track))
 SELECT track, CAST(ord AS BIGINT) AS ord, query, 'none' AS cap FROM everything
 UNION ALL SELECT track, CAST(ord AS BIGINT), query, '150' FROM everything WHERE ord < 150"""
 

@@ -308,7 +308,8 @@ def query_pairs(spark, sf):
 
 
 def query_build_capped(spark, sf):
-    names = part_terms(spark, sf).select("ord", "term")
+    group = F.when(F.col("ord") % 7 == 0, F.lit("gce")).otherwise(F.lit("lysine"))
+    names = part_terms(spark, sf).select("ord", "term", group.alias("grp"))
     queries = search.crossref_query_frame(names, TRACKS)
     capped = search.crossref_query_frame(names, TRACKS, max_queries=150)
     return queries.withColumn("cap", F.lit("none")).unionByName(capped.withColumn("cap", F.lit("150")))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Mapping
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 from functools import reduce
 
@@ -24,7 +25,7 @@ from ..session import work_path
 from ..sinks import csv_output as sink
 from ..sinks import units
 from ..sources import api, landed
-from ..sources.csv_files import latest_run_file, read_csv
+from ..sources.csv_files import RUN_FILE_NAMES, latest_run_file, read_csv
 from .pipeline import Curated, curate
 
 STATE_FILE = "last_run.json"
@@ -290,6 +291,16 @@ def search_run(
     return {"stats": stats, "output": folder, "pending": info}
 
 
+def trial_run(spark: SparkSession, cfg: Mapping, rows: int, scorer=None) -> list[dict]:
+    """Screen the first ``rows`` pending records, and store and write nothing: their DOI, title and judgement."""
+    keeper = RunState(spark, (cfg.get("paths") or {}).get("state_dir") or "state")
+    records, _ = keeper.load_pending()
+    some = ordering.head(records, [F.col(SEQ)], rows)
+    ai = replace(screening.ScreeningConfig.from_dict(cfg.get("ai_screening")), only_keep_passed=False)
+    screened = screening.screen(some, ai, scorer).orderBy(SEQ)
+    return [r.asDict() for r in screened.select("doi", "title", *AI_COLUMNS).collect()]
+
+
 def screen_run(
     spark: SparkSession, cfg: Mapping, scorer=None, *, resume: bool = False
 ) -> dict:
@@ -336,7 +347,8 @@ def import_library_run(
     )
     pattern = (cfg.get("output") or {}).get("filename_pattern", "new_dois_%Y-%m_%H%M%S.csv")
     flat = pattern.split("%")[0] + "*.csv"
-    fresh = history.not_known(found, history.dois_of_runs(spark, output_dir, flat))
+    named = {*RUN_FILE_NAMES, *((cfg.get("output") or {}).get("track_filenames") or {}).values()}
+    fresh = history.not_known(found, history.dois_of_runs(spark, output_dir, flat, names=named))
     candidates, new = found.count(), fresh.count()
     stats = {"candidates": candidates, "already_in_output": candidates - new, "imported": new, "output_csv": ""}
     if not new:
@@ -399,5 +411,5 @@ def preview(cfg: Mapping, tracks, window: tuple[date, date], terms: Mapping | No
 
 __all__ = [
     "RunState", "validate", "search_run", "screen_run", "import_library_run", "export_run",
-    "repair_run", "preview", "fetch_records", "curate_from_config", "output_columns", "TRACKS",
+    "repair_run", "trial_run", "preview", "fetch_records", "curate_from_config", "output_columns", "TRACKS",
 ]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,22 @@ def build_session(app: str = "papersieve", master: str | None = None, **conf) ->
         builder = builder.master(master)
     for key, value in {**DEFAULT_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand this package to the Python workers, which may start in another folder or on another machine."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="papersieve-"), "papersieve.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(package)))
+    spark.sparkContext.addPyFile(target)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import csv
 import fnmatch
-from collections.abc import Iterable, Sequence
+import io
+import re
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,6 +94,43 @@ def latest_run_file(spark: SparkSession, output_dir: str, pattern: str, combined
     return None
 
 
+def _header(path: str) -> list[str]:
+    """The first line of a CSV, or of the first part of a folder of CSV parts; none if it is empty."""
+    from pyarrow import fs
+
+    store, name = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+    if store.get_file_info(name).type == fs.FileType.Directory:
+        parts = [i for i in store.get_file_info(fs.FileSelector(name)) if i.size and not i.base_name.startswith(("_", "."))]
+        if not parts:
+            return []
+        name = min(i.path for i in parts)
+    with store.open_input_stream(name) as source:
+        return next(csv.reader(io.TextIOWrapper(source, "utf-8-sig", newline="")), [])
+
+
+def headers(spark: SparkSession, paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """The header of each file; the files are opened by tasks, and a line per file comes back."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_header(path) for path in batch["path"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["path"], pa.array(found, pa.list_(pa.string()))], ["path", "names"])
+
+    listed = spark.createDataFrame([(p,) for p in paths], "path string")
+    tasks = max(1, min(len(paths), 4 * spark.sparkContext.defaultParallelism))
+    rows = listed.repartition(tasks, "path").mapInArrow(read, "path string, names array<string>").collect()
+    return {r["path"]: tuple(r["names"]) for r in rows}
+
+
+def read_by_layout(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
+    """All files as one table for each order of columns that occurs, however many files there are."""
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for path, names in headers(spark, paths).items():
+        if names:
+            layouts.setdefault(names, []).append(path)
+    return [read_csv(spark, sorted(found)) for _, found in sorted(layouts.items())]
+
+
 def distinct_dois(table: DataFrame, preferred: str) -> DataFrame:
     name = doi_column(table.columns, preferred)
     return table.select(F.col(f"`{name}`").alias("doi")).filter(F.col("doi").isNotNull())

@@ -95,7 +95,7 @@ def parse_articles(table: DataFrame, raw: str = "raw", keep: tuple[str, ...] = (
     Mixed content and labelled abstract sections need a tree, which no built-in
     keeps whole, so batches of articles are parsed in Python. The DOI is
     taken from the article's own id list, never from its references. Articles
-    that are not well-formed are dropped.
+    that are not well-formed are dropped; ``malformed`` counts them.
     """
     import xml.etree.ElementTree as ET
 
@@ -153,13 +153,36 @@ def parse_articles(table: DataFrame, raw: str = "raw", keep: tuple[str, ...] = (
     return parsed.withColumn("source", F.lit("pubmed")).select(*keep, *BASE_COLUMNS)
 
 
+def malformed(table: DataFrame, raw: str = "raw") -> DataFrame:
+    """One row: articles of a table, and how many of them are not well-formed."""
+    import xml.etree.ElementTree as ET
+
+    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            broken = 0
+            for value in frame["raw"]:
+                try:
+                    ET.fromstring(value)
+                except (ET.ParseError, TypeError):
+                    broken += 1
+            yield pd.DataFrame({"articles": [len(frame)], "malformed": [broken]})
+
+    counted = table.select(F.col(raw).alias("raw")).mapInPandas(count, "articles long, malformed long")
+    zero = F.lit(0).cast("long")
+    return counted.agg(F.coalesce(F.sum("articles"), zero).alias("articles"), F.coalesce(F.sum("malformed"), zero).alias("malformed"))
+
+
+def article_texts(spark: SparkSession, path: str) -> DataFrame:
+    """The article elements (XML text, ``raw``) of landed files of any size."""
+    rows = spark.read.option("lineSep", ARTICLE_END).text(path)
+    body = F.regexp_extract("value", r"(?s)(<PubmedArticle[ >].*)$", 1)
+    return rows.select(F.concat(body, F.lit(ARTICLE_END)).alias("raw"), body.alias("_body")).filter(F.col("_body") != "").select("raw")
+
+
 def read_articles(spark: SparkSession, path: str) -> DataFrame:
     """Records of landed XML files of any size.
 
     The end tag serves as the line separator, so Spark splits large files and no
     task holds more than one article at a time.
     """
-    rows = spark.read.option("lineSep", ARTICLE_END).text(path)
-    body = F.regexp_extract("value", r"(?s)(<PubmedArticle[ >].*)$", 1)
-    articles = rows.select(F.concat(body, F.lit(ARTICLE_END)).alias("raw"), body.alias("_body"))
-    return parse_articles(articles.filter(F.col("_body") != "").select("raw"))
+    return parse_articles(article_texts(spark, path))

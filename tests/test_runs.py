@@ -198,3 +198,30 @@ def test_validation_and_preview(tmp_path):
 
     lines = runs.preview(cfg, ["hybrid"], (date(2024, 1, 1), date(2024, 2, 1)))
     assert lines[0] == "window 2024-01-01 .. 2024-02-01" and "hybrid" in lines[1]
+
+
+def test_many_earlier_files_are_a_few_scans(spark, tmp_path):
+    out = tmp_path / "out"
+    out.mkdir()
+    layouts = [["doi", "title"], ["title", "DOI", "note"], ["a", "b"], ["Doi"]]
+    for i in range(60):
+        names = layouts[i % 4]
+        cells = {"doi": f"10.5555/x{i}", "DOI": f"https://doi.org/10.5555/X{i}", "Doi": f"10.5555/x{i % 8}", "title": f'"a, ""b""\nline {i}"'}
+        bom = "\ufeff" if i % 3 == 0 else ""
+        (out / f"new_dois_{i}.csv").write_text(bom + ",".join(names) + "\n" + ",".join(cells.get(n, "z") for n in names) + "\n", encoding="utf-8")
+    spark.createDataFrame([("t", "10.5555/part")], "title string, doi string").write.option("header", True).csv(str(out / "new_dois_p.csv"))
+    (out / "new_dois_e.csv").write_text("")
+    found = history.dois_of_runs(spark, str(out), "new_dois_*.csv")
+    want = {f"10.5555/x{i}" for i in range(60) if i % 4 < 2} | {"10.5555/x3", "10.5555/x7", "10.5555/part"}
+    assert {r["doi"] for r in found.collect()} == want
+    # One scan for each order of columns with a DOI, with and without a byte order mark.
+    assert found._jdf.queryExecution().analyzed().toString().count("csv") <= 8
+
+
+def test_trial_screens_some_rows_and_stores_nothing(spark, tmp_path):
+    cfg = config(tmp_path)
+    runs.search_run(spark, cfg, records=spark.createDataFrame(ROWS, SCHEMA))
+    before = sorted(glob.glob(str(tmp_path / "**"), recursive=True))
+    got = runs.trial_run(spark, cfg, 2, judge)
+    assert len(got) == 2 and {g["ai_article_type"] for g in got} == {"research_article"}
+    assert sorted(glob.glob(str(tmp_path / "**"), recursive=True)) == before

@@ -28,6 +28,7 @@ def test_landed_xml(spark, tmp_path):
     (tmp_path / "a.xml").write_text(body, encoding="utf-8")
     got = {r["pmid"]: r for r in landed.read_articles(spark, str(tmp_path / "a.xml")).collect()}
     assert sorted(got) == ["1", "2", "3"]
+    assert tuple(landed.malformed(landed.article_texts(spark, str(tmp_path / "a.xml"))).first()) == (4, 1)
     one = got["1"]
     assert (one["doi"], one["title"], one["journal"], one["pub_date"]) == (
         "10.5555/x1", "Total E. coli synthesis", "J & K", "2024-Mar",

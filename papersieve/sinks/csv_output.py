@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import sanitize
 from ..operators.classify import resolved_track
-from ..operators.counters import count_by_domain
 from ..operators.filters import is_usable
 from ..schema import MINIMAL_OUTPUT, TRACKS, with_columns_default
-from ..session import work_path
 from ..sources.csv_files import BOM
 
 # File names of a run and of its key results.
@@ -39,15 +40,15 @@ SUMMARY_FILE = "关键结果汇总.json"
 TIME_FORMAT = "%Y-%m-%d %H:%M:%S"
 
 
-def output_table(records: DataFrame, columns: Sequence[str], fetched_at: str | None) -> DataFrame:
-    """Projection to the output columns: missing ones blank, all cells sanitised."""
+def output_table(records: DataFrame, columns: Sequence[str], fetched_at: str | None, keep: Sequence[str] = ()) -> DataFrame:
+    """Projection to the output columns: missing ones blank, all cells sanitised; ``keep`` stays as it is."""
     names = [c for c in columns if c != "fetched_at" or fetched_at is None]
     cells = [
         (sanitize(F.col(c)) if c in records.columns else F.lit("")).alias(c) for c in names
     ]
     if fetched_at is not None:
         cells.append(F.lit(fetched_at).alias("fetched_at"))
-    return records.select(*cells)
+    return records.select(*cells, *keep)
 
 
 def write_csv(table: DataFrame, path: str, bom: bool = True, mode: str = "errorifexists") -> None:
@@ -57,18 +58,7 @@ def write_csv(table: DataFrame, path: str, bom: bool = True, mode: str = "errori
     """
     first = table.columns[0]
     named = table.withColumnRenamed(first, BOM + first) if bom else table
-    (
-        named.write.mode(mode)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("emptyValue", "")
-        .option("nullValue", "")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("lineSep", "\n")
-        .csv(path)
-    )
+    _csv_options(named).mode(mode).csv(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -83,39 +73,74 @@ def run_dir(spark: SparkSession, output_dir: str, now: datetime, pattern: str =
     return f"{path}_{now.strftime('%H%M%S')}" if exists(spark, path) else path
 
 
+def _csv_options(table: DataFrame) -> DataFrameWriter:
+    return (
+        table.write.option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("emptyValue", "")
+        .option("nullValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .option("lineSep", "\n")
+    )
+
+
+def write_named(table: DataFrame, part: str, targets: Mapping[str, str], beside: str, needed: bool = False) -> bool:
+    """Write each row to the CSV folders that its array column ``part`` names, all in one pass over the table.
+
+    ``targets`` maps names to folders. The rows are written below a hidden folder beside the outputs, a folder per name; when
+    all of them are there, each is renamed to its target, so a run that dies leaves no half of a file. A name without rows gets a header alone. If
+    the table is empty, nothing is written, unless it is ``needed``; whether something was written comes back.
+    """
+    spark = table.sparkSession
+    hidden = f"{beside.rstrip('/')}/_writing-{uuid.uuid4().hex[:12]}"
+    cells = [c for c in table.columns if c != part]
+    named = [F.col(f"`{c}`").alias(BOM + c if i == 0 else c) for i, c in enumerate(cells)]
+    _csv_options(table.select(*named, F.explode(part).alias("_file"))).partitionBy("_file").csv(hidden)
+    jvm = spark.sparkContext._jvm
+    path = lambda name: jvm.org.apache.hadoop.fs.Path(name)
+    files = path(hidden).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = [status.getPath().getName() for status in files.listStatus(path(hidden))]
+    filled = {name for name in targets if f"_file={name}" in there}
+    written = needed or any(name.startswith("_file=") for name in there)
+    for name, target in targets.items() if written else ():
+        if name in filled:
+            files.mkdirs(path(target).getParent())
+            if not files.rename(path(f"{hidden}/_file={name}"), path(target)):
+                raise OSError(f"{target} cannot be put in place")
+        else:
+            line = io.StringIO()
+            csv.writer(line, lineterminator="\n").writerow(cells)
+            write_text(spark, f"{target}/part-00000.csv", BOM + line.getvalue())
+    files.delete(path(hidden), True)
+    return written
+
+
 def write_run(
     records: DataFrame,
     output_dir: str,
     cfg: Mapping | None = None,
     now: datetime | None = None,
 ) -> str | None:
-    """One CSV per track (empty tracks included), optionally all records in one table.
-
-    The records are stored once, partitioned by track; every file is then a
-    pruned scan of that table, and no task gathers a track.
-    """
+    """One CSV per track (empty tracks included), optionally all records in one table, in one pass over the records."""
     cfg, now = cfg or {}, now or datetime.now()
     spark = records.sparkSession
-    stored = work_path(spark, "run")
-    write_partitioned(records, stored)
-    layout = with_columns_default(records, ("track", "ai_category")).withColumn("bucket", F.lit(""))
-    table = spark.read.schema(layout.schema).parquet(stored)
-    if not cfg.get("save_empty_result", False) and table.isEmpty():
-        return None
     folder = run_dir(spark, output_dir, now, cfg.get("run_dir_pattern", "%Y-%m-%d"))
-    columns = list(cfg.get("columns") or MINIMAL_OUTPUT)
-    stamp = now.strftime(TIME_FORMAT)
     names = {**TRACK_FILES, **(cfg.get("track_filenames") or {})}
-    for track in TRACKS:
-        rows = table.filter(F.col("bucket") == track)
-        write_csv(output_table(rows, columns, stamp), f"{folder}/{names[track]}")
-    everything = output_table(table, columns, stamp)
+    targets = {track: f"{folder}/{names[track]}" for track in TRACKS}
+    extra = []
     if cfg.get("save_combined_in_run_dir", False):
-        write_csv(everything, f"{folder}/{cfg.get('combined_filename', 'all.csv')}")
+        targets["all"] = f"{folder}/{cfg.get('combined_filename', 'all.csv')}"
+        extra.append("all")
     if cfg.get("save_legacy_flat_file", False):
-        flat = now.strftime(cfg.get("filename_pattern", "new_dois_%Y-%m_%H%M%S.csv"))
-        write_csv(everything, f"{output_dir.rstrip('/')}/{flat}")
-    return folder
+        targets["flat"] = f"{output_dir.rstrip('/')}/{now.strftime(cfg.get('filename_pattern', 'new_dois_%Y-%m_%H%M%S.csv'))}"
+        extra.append("flat")
+    bucket = resolved_track()
+    files = F.array(bucket, *map(F.lit, extra)).alias("_files")
+    marked = with_columns_default(records, ("track", "ai_category")).select("*", files)
+    table = output_table(marked, list(cfg.get("columns") or MINIMAL_OUTPUT), now.strftime(TIME_FORMAT), keep=("_files",))
+    return folder if write_named(table, "_files", targets, output_dir, bool(cfg.get("save_empty_result", False))) else None
 
 
 def write_partitioned(records: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -149,24 +174,19 @@ def export_key_results(
 ) -> dict:
     """Usable records per track, all of them, and a summary with counts.
 
-    The input is read once: usable rows are stored by track, and every file is a pruned scan of that table.
+    The input is read once: all files are written and everything is counted in one pass.
     """
     spark = screened.sparkSession
     now = datetime.now()
     folder = f"{output_dir.rstrip('/')}/key_results/{label or now.strftime('%Y-%m-%d_%H%M%S')}"
-    seen, path = Observation("input"), work_path(spark, "key-results")
-    marked = screened.observe(seen, F.count(F.lit(1)).alias("rows")).filter(is_usable()).withColumn("_bucket", resolved_track())
-    marked.write.partitionBy("_bucket").parquet(path)
-    usable = spark.read.schema(marked.schema).parquet(path)
-    counts = {r["track"]: r["n"] for r in count_by_domain(usable, F.col("_bucket")).collect()}
+    seen, passing = Observation("input"), Observation("usable")
     columns = list(screened.columns)
-    files = {}
-    for track, name in KEY_FILES.items():
-        rows = usable.filter(F.col("_bucket") == track)
-        write_csv(output_table(rows, columns, None), f"{folder}/{name}")
-        files[track] = f"{folder}/{name}"
-    write_csv(output_table(usable, columns, None), f"{folder}/{KEY_ALL_FILE}")
-    files["all"] = f"{folder}/{KEY_ALL_FILE}"
+    usable = screened.observe(seen, F.count(F.lit(1)).alias("rows")).filter(is_usable()).withColumn("_bucket", resolved_track())
+    counted = [F.count_if(F.col("_bucket") == track).alias(track) for track in TRACKS]
+    usable = usable.observe(passing, *counted).withColumn("_files", F.array("_bucket", F.lit("all")))
+    files = {track: f"{folder}/{name}" for track, name in KEY_FILES.items()} | {"all": f"{folder}/{KEY_ALL_FILE}"}
+    write_named(output_table(usable, columns, None, keep=("_files",)), "_files", files, output_dir, needed=True)
+    counts = {track: passing.get[track] for track in TRACKS}
     summary = {
         "generated_at": now.isoformat(timespec="seconds"),
         "source_csv": source,

@@ -16,8 +16,8 @@ import os
 import re
 from array import array
 
-# Runs that a Python worker remembers before it starts anew; bounds its memory at about 80 MB.
-MEMO_RUNS = 400_000
+# Runs that a task remembers before it starts anew, and the longest of them; bounds its memory at about 60 MB.
+MEMO_RUNS, MEMO_LENGTH = 300_000, 64
 
 _OTHER_BLANK = re.compile(r"[^\S \n]")
 _ONE_WORD = re.compile(r"([ ]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|%$&*#=+]*)")
@@ -34,6 +34,21 @@ def _byte_letters() -> dict[int, str]:
     return table
 
 
+class _Memo(dict):
+    """The ids of runs; one that is not there is encoded when it is asked for."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, run: str) -> bytes:
+        ids = self.encode(run)
+        if len(run) <= MEMO_LENGTH:
+            if len(self) >= MEMO_RUNS:
+                self.clear()
+            self[run] = ids
+        return ids
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -45,9 +60,14 @@ class Encoder:
         self.lowers = self.tokenizer.normalizer is not None
         self.runs = re.compile(r"[^ \n]+" if self.lowers else r"[ \n]*[^ \n]+|[ \n]+").findall
         self.letters = _byte_letters()
-        self.memo: dict[str, bytes] = {}
+        self.memo = _Memo(self._run)
         self.pieces: dict[str, list[int]] = {}
 
+    def forget(self) -> None:
+        """Free what is remembered; workers outlive tasks."""
+        self.memo.clear()
+        self.pieces.clear()
+
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -63,6 +83,8 @@ class Encoder:
         ids = self._model_ids(letters.lower() if self.lowers else space + letters)
         if marks:
             if marks not in self.pieces:
+                if len(self.pieces) >= 10_000:
+                    self.pieces.clear()
                 self.pieces[marks] = self._model_ids(marks)
             ids = ids + self.pieces[marks]
         return array("I", ids).tobytes()
@@ -73,17 +95,7 @@ class Encoder:
             return b""
         if _OTHER_BLANK.search(text) or any(token in text for token in self.added):
             return self.whole(text)
-        if len(self.memo) > MEMO_RUNS:
-            self.memo.clear()
-            self.pieces.clear()
-        memo, runs = self.memo, self.runs(text)
-        try:
-            return b"".join(map(memo.__getitem__, runs))
-        except KeyError:
-            for run in set(runs):
-                if run not in memo:
-                    memo[run] = self._run(run)
-            return b"".join(map(memo.__getitem__, runs))
+        return b"".join(map(self.memo.__getitem__, self.runs(text)))
 
 
 @functools.lru_cache(maxsize=2)
@@ -92,6 +104,19 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def forgetting(path: str, run):
+    """A function over batches that frees the encoder's memory when its task ends."""
+
+    @functools.wraps(run)
+    def freed(batches):
+        try:
+            yield from run(batches)
+        finally:
+            encoder(path).forget()
+
+    return freed
+
+
 def public_tokenizer(name: str) -> str:
     """Where the installed file of a public tokenizer is."""
     import public_tokenizers

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .base import slices, tidy
-from .encoding import encoder
+from .encoding import encoder, forgetting
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -205,7 +205,7 @@ def tokenised_pieces(documents: DataFrame, tokenizer_path: str, capacity: int, e
             ]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(run), PIECES)
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(forgetting(tokenizer_path, run)), PIECES)
 
 
 def ranked(pieces: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .base import slices, tidy
-from .encoding import encoder
+from .encoding import encoder, forgetting
 
 MAGIC = b"PFORIDS1"
 BLOCK = 128
@@ -198,7 +198,7 @@ def write(documents: DataFrame, folder: str, tokenizer_path: str, end_id: int =
     spark = documents.sparkSession
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     ordered = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id").sortWithinPartitions("doc_id")
-    return ordered.mapInArrow(tidy(run), "shard string, docs long, ids long, path string")
+    return ordered.mapInArrow(tidy(forgetting(tokenizer_path, run)), "shard string, docs long, ids long, path string")
 
 
 def read(spark: SparkSession, shards: DataFrame) -> DataFrame:

@@ -47,7 +47,7 @@ COUNTED = 4_000_000
 # Counters of a sketch.
 BINS = 256
 # Parity bits of sets of up to so many features, as (features, bits); larger sets have the last number of bits.
-PARITY_BITS = ((600, 512), (2400, 2048), (1 << 62, 8192))
+PARITY_BITS = ((600, 512), (1 << 62, 2048))
 # Whole-set signatures that a task remembers.
 SEEN_SETS = 200_000
 

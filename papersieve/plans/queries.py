@@ -31,7 +31,7 @@ from ..operators import (
 from ..schema import SEQ, TRACKS, text
 from ..session import work_path
 from ..sinks import csv_output
-from ..sources import landed
+from ..sources import api, landed
 from ..sources.csv_files import read_csv
 from . import tables as T
 
@@ -672,7 +672,13 @@ def _daily(spark, sf):
 
 
 def segment_plan(spark, sf):
-    return ranges.plan_segments(_daily(spark, sf), limit=1200)
+    """The planner of article searches, over orders as results."""
+    spans = _daily(spark, sf).groupBy("query").agg(F.min("day").alias("first"), F.max("day").alias("last"))
+    plan = api.plan_of_counts(_daily(spark, sf), limit=1200).join(spans, "query")
+    whole = (F.col("segment_from") == F.col("first")) & (F.col("segment_to") == F.col("last"))
+    month = F.trunc("segment_from", "month") == F.trunc("segment_to", "month")
+    level = F.when(whole, F.lit("whole")).when(month, F.lit("month")).otherwise(F.lit("chunk"))
+    return plan.select("query", level.alias("level"), "segment_from", "segment_to", "n", (F.col("n") > 1200).alias("truncated"))
 
 
 # --- pipelines --------------------------------------------------------------------------------------

@@ -275,11 +275,12 @@ class ArticleReader(_SearchReader):
             low, high = todo.pop()
             segment = replace(whole, start=low, end=high, first=first)
             total = int(self._search(call, segment, 0, 0)["count"])
-            finer = split_range(low, high) if total > RESULT_LIMIT else []
+            most = int(self.option("result_limit", RESULT_LIMIT))
+            finer = split_range(low, high) if total > most else []
             if len(finer) > 1:
                 todo.extend(reversed(finer))
-            elif total > RESULT_LIMIT:
-                raise Incomplete(f"{whole.query} {low}: {total} results in one day, the service gives out {RESULT_LIMIT}")
+            elif total > most:
+                raise Incomplete(f"{whole.query} {low}: {total} results in one day, the service gives out {most}")
             elif total:
                 yield replace(segment, total=total)
                 first += total
@@ -497,6 +498,27 @@ class WorkSearch(DataSource):
         return _SearchStream(WorkReader, self.options)
 
 
+def plan_of_counts(daily: DataFrame, limit: int = RESULT_LIMIT) -> DataFrame:
+    """The plan ``(query, segment_from, segment_to, n)`` that the article planner makes of known counts per day ``(query, day, n)``.
+
+    It is the planner of a search, with the counts in place of the service; a search's days are a group as small as its window.
+    """
+
+    def plan(frame: pd.DataFrame) -> pd.DataFrame:
+        query, first, last = frame["query"].iloc[0], frame["day"].min(), frame["day"].max()
+
+        def call(url: str, params: dict, post: bool = False) -> str:
+            low, high = (date.fromisoformat(params[name].replace("/", "-")) for name in ("mindate", "maxdate"))
+            count = int(frame["n"][(frame["day"] >= low) & (frame["day"] <= high)].sum())
+            return json.dumps({"esearchresult": {"count": str(count)}})
+
+        reader = ArticleReader({"queries": json.dumps([query]), "date_from": str(first), "date_to": str(last), "result_limit": str(limit)})
+        found = reader.segments(call, SearchPartition(0, query, first, last))
+        return pd.DataFrame([(query, s.start, s.end, s.total) for s in found], columns=["query", "segment_from", "segment_to", "n"])
+
+    return daily.groupBy("query").applyInPandas(plan, "query string, segment_from date, segment_to date, n long")
+
+
 READERS = {"article_search": ArticleReader, "work_search": WorkReader}
 
 

@@ -11,6 +11,7 @@ and does the rest.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,7 +46,8 @@ class _OpenUnit:
         from pyarrow import fs
 
         self.unit, self.expected, self.rows, self.writer = unit, expected, 0, None
-        self.store, self.root = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else os.path.abspath(path))
+        place = re.sub(r"^file:/+", "file:///", path)
+        self.store, self.root = fs.FileSystem.from_uri(place if "://" in place else os.path.abspath(place))
         self.hidden = f"{self.root}/.{unit}-{os.getpid()}-{id(self)}"
 
     def write(self, batch: pa.RecordBatch) -> None:

@@ -16,8 +16,8 @@ import os
 import re
 from array import array
 
-# Runs that a task remembers before it starts anew, and the longest of them; bounds its memory at about 120 MB.
-MEMO_RUNS, MEMO_LENGTH = 600_000, 64
+# Runs that a Python worker remembers before it starts anew, and the longest of them; bounds its memory at about 80 MB.
+MEMO_RUNS, MEMO_LENGTH = 400_000, 64
 
 _OTHER_BLANK = re.compile(r"[^\S \n]")
 _ONE_WORD = re.compile(r"([ ]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|%$&*#=+]*)")

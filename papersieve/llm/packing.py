@@ -190,7 +190,7 @@ def cut_pieces(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]
         start, piece = start + length, piece + 1
 
 
-def tokenised_pieces(documents: DataFrame, tokenizer_path: str, capacity: int, end_id: int) -> DataFrame:
+def tokenised_pieces(documents: DataFrame, tokenizer_path: str, capacity: int, end_id: int, release: bool = False) -> DataFrame:
     schema = pa.schema(
         [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())]
     )
@@ -205,7 +205,8 @@ def tokenised_pieces(documents: DataFrame, tokenizer_path: str, capacity: int, e
             ]
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(tidy(forgetting(tokenizer_path, run)), PIECES)
+    run = tidy(forgetting(tokenizer_path, run) if release else run)
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, PIECES)
 
 
 def ranked(pieces: DataFrame) -> DataFrame:
@@ -223,13 +224,14 @@ def ranked(pieces: DataFrame) -> DataFrame:
     )
 
 
-def pack(documents: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0) -> DataFrame:
+def pack(documents: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, release: bool = False) -> DataFrame:
     """Pieces of all documents with their sequence and offset.
 
     The histogram on the driver has at most ``capacity`` entries; the slots that tasks get are the
-    planned groups, of which each length opens or splits at most four.
+    planned groups, of which each length opens or splits at most four. ``release``: tasks forget the runs they have encoded when they
+    end, which costs time and spares memory where other steps follow in the same workers.
     """
-    pieces = cut_lineage(tokenised_pieces(documents, tokenizer_path, capacity, end_id))
+    pieces = cut_lineage(tokenised_pieces(documents, tokenizer_path, capacity, end_id, release))
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     slots = plan(histogram, capacity)
     schema = pa.schema(

@@ -35,7 +35,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizer("byte_bpe_50k.json"), capacity=2048, end_id=0)
+    return packing.pack(docs, public_tokenizer("byte_bpe_50k.json"), capacity=2048, end_id=0, release=True)
 
 
 STAGES = [

@@ -83,6 +83,16 @@ def plan_segments(daily: DataFrame, limit: int = RESULT_LIMIT) -> DataFrame:
     )
 
 
+def split_months(start: date, end: date) -> list[tuple[date, date]]:
+    """The calendar months of a range, clipped to it."""
+    out, cursor = [], start
+    while cursor <= end:
+        following = date(cursor.year + cursor.month // 12, cursor.month % 12 + 1, 1)
+        out.append((cursor, min(end, following - timedelta(days=1))))
+        cursor = following
+    return out
+
+
 def split_range(start: date, end: date) -> list[tuple[date, date]]:
     """The next finer segments of a range that holds too many results.
 
@@ -95,12 +105,7 @@ def split_range(start: date, end: date) -> list[tuple[date, date]]:
             (max(start, date(y, 1, 1)), min(end, date(y + CHUNK_YEARS - 1, 12, 31))) for y in years
         ]
     if span >= MONTH_SPAN_DAYS and (start.year, start.month) != (end.year, end.month):
-        out, cursor = [], start
-        while cursor <= end:
-            following = date(cursor.year + cursor.month // 12, cursor.month % 12 + 1, 1)
-            out.append((cursor, min(end, following - timedelta(days=1))))
-            cursor = following
-        return out
+        return split_months(start, end)
     if span:
         middle = start + timedelta(days=span // 2)
         return [(start, middle), (middle + timedelta(days=1), end)]

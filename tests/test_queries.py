@@ -1,11 +1,13 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from check_oracle import compare
 from papersieve.operators import ranges
 from papersieve.plans import oracle, queries
+from papersieve.sources import api
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -65,3 +67,23 @@ def test_titles_cut_within_a_reference(spark, tmp_path, name):
     pages = spark.createDataFrame([(i + 1, f"u{i}", f"<html><title>{t}</title></html>") for i, t in enumerate(titles)], "page_id long, url string, html string")
     outcome = compare(spark, with_table(pages, "pages", tmp_path), name, entry.queries()[name], entry.oracle_sql()[name])
     assert outcome.startswith("ok"), outcome
+
+
+def test_segment_plan_with_months_over_the_limit(spark, tmp_path):
+    days = {"1992-05-07": 1500, "1993-02-03": 40, "1995-01-01": 700, "1995-12-31": 300, "1996-02-29": 5, "1998-01-20": 1300, "1998-01-31": 100, "1998-02-02": 1000}
+    orders = [
+        (priority, f"{day} 00:00:00")
+        for priority, part in (("1-URGENT", ""), ("2-HIGH", "199"), ("3-MEDIUM", "1995"), ("4-LOW", "1998"), ("5-ONE", "1992"))
+        for day, n in days.items() if day.startswith(part) for _ in range(n)
+    ]
+    frame = spark.createDataFrame([(i, p, d) for i, (p, d) in enumerate(orders)], "o_orderkey long, o_orderpriority string, o_orderdate string")
+    frame = frame.withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+    outcome = compare(spark, with_table(frame, "orders", tmp_path), "segment_plan", entry.queries()["segment_plan"], entry.oracle_sql()["segment_plan"])
+    assert outcome.startswith("ok"), outcome
+
+
+def test_months_over_the_limit_are_cut_for_a_read(spark):
+    daily = spark.createDataFrame([("q", f"2020-03-{d:02d}", 400) for d in range(1, 32)], "query string, day string, n long").withColumn("day", F.col("day").cast("date"))
+    plan = api.plan_of_counts(daily, 1200).collect()
+    assert sum(r["n"] for r in plan) == 31 * 400 and max(r["n"] for r in plan) <= 1200
+    assert [r["n"] for r in api.plan_of_counts(daily, 1200, finest="month").collect()] == [31 * 400]

@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import rows_where, slices, text_buffers, tidy
+from ..session import cut_lineage
+from .base import release_memory, rows_where, slices, text_buffers, tidy
 from .sampling import sample_by_class
 
 BUCKETS = 1 << 15
@@ -34,6 +35,9 @@ EPOCHS = 8
 REJECT = 0.001
 UNKNOWN = "und"
 
+# How features travel to the driver: a bucket is below 2^15.
+_BUCKET, _SHARE = np.dtype("<u2"), np.dtype("<f4")
+
 # Bytes of text times languages whose weights are looked up at once.
 STEP = 1 << 22
 _PLAIN = np.full(256, 0x20, np.uint8)
@@ -137,7 +141,7 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 
 def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Model:
-    """Fit on (language, buckets, shares)."""
+    """Fit on (language, buckets, shares). The arrays may be of narrow types; they are widened one text at a time."""
     languages = tuple(sorted({r[0] for r in rows}))
     if not languages:
         return Model((), np.zeros((BUCKETS, 0)), np.zeros(0), 0.0)
@@ -156,6 +160,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Mode
             step += 1
             if not len(buckets):
                 continue
+            shares = shares.astype(np.float64)
             mean = shares @ table[buckets]
             error = _softmax(mean @ out + bias)
             error[label[name]] -= 1
@@ -165,7 +170,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Mode
             table[buckets] -= (10 * rate) * np.outer(shares, back)
     weights = table @ out
     truth = np.array([label[r[0]] for r in kept])
-    z = np.array([(r[2] @ weights[r[1]] if len(r[1]) else 0) + bias for r in kept])
+    z = np.array([(r[2].astype(np.float64) @ weights[r[1]] if len(r[1]) else 0) + bias for r in kept])
     loss = lambda t: -np.log(_softmax(z / t)[np.arange(len(kept)), truth] + 1e-12).mean()
     heat = min((0.7, 1.0, 1.4, 2.0, 3.0), key=loss)
     best = _softmax(z / heat)
@@ -182,11 +187,16 @@ def fit(documents: DataFrame, text: str = "text", lang: str = "lang", key: str =
     def features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             made = [sparse(t) for t in frame["t"]]
-            yield pd.DataFrame({"k": frame["k"], "l": frame["l"], "b": [m[0] for m in made], "s": [m[1] for m in made]})
-
-    found = rows.mapInPandas(tidy(features), f"k {dict(rows.dtypes)['k']}, l string, b array<int>, s array<float>").toPandas()
-    found = found.sort_values(["l", "k"])
-    return train([(r.l, np.asarray(r.b, np.int64), np.asarray(r.s, np.float64)) for r in found.itertuples()])
+            b, shares = ([m[0].astype(_BUCKET).tobytes() for m in made], [m[1].astype(_SHARE).tobytes() for m in made])
+            yield pd.DataFrame({"k": frame["k"], "l": frame["l"], "b": b, "s": shares})
+
+    # Features come as bytes, task by task, and are read where they lie: the driver holds each once.
+    found = rows.mapInPandas(tidy(features), f"k {dict(rows.dtypes)['k']}, l string, b binary, s binary")
+    came = sorted(cut_lineage(found).toLocalIterator(), key=lambda r: (r["l"], r["k"]))
+    model = train([(r["l"], np.frombuffer(r["b"], _BUCKET), np.frombuffer(r["s"], _SHARE)) for r in came])
+    del came
+    release_memory()
+    return model
 
 
 def identify(documents: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

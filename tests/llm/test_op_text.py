@@ -299,3 +299,16 @@ def test_pipeline_stages_against_brute_force(spark):
     assert packing.encoder(own) and sum(r["length"] for r in found) == sum(
         len(packing.encoder(own).encode(text[i])) // 4 + 1 for i in before
     )
+
+
+def test_language_features_come_to_the_driver_task_by_task(spark, monkeypatch):
+    rows = [(i, text, lang) for i in range(6) for text, lang in ((f"the house of the king {i}", "en"), (f"das Haus und der Garten {i}", "de"))]
+    docs = spark.createDataFrame([(n, *row[1:]) for n, row in enumerate(rows)], "doc_id long, text string, lang string")
+
+    def gathered(self):
+        raise AssertionError("all features at once in the driver")
+
+    for name in ("toPandas", "toArrow"):
+        monkeypatch.setattr(type(docs), name, gathered)
+    model = language.fit(docs)
+    assert model.languages == ("de", "en")

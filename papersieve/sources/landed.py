@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..arrow import slices, tidy
 from ..functions.dates import join_date_parts
 from ..functions.text import html_unescape, strip
 from ..schema import BASE_COLUMNS
@@ -139,17 +140,19 @@ def parse_articles(table: DataFrame, raw: str = "raw", keep: tuple[str, ...] = (
 
     names = ["pmid", "doi", "title", "journal", "pub_date", "abstract", "publication_types"]
 
-    def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            parsed = pd.DataFrame([fields(v) for v in frame["_raw"]], columns=names, dtype="object")
-            out = pd.concat([frame[list(keep)].reset_index(drop=True), parsed], axis=1)
-            yield out[out["pmid"].notna()]
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "_raw"):
+            found = list(zip(*(fields(v.as_py()) for v in batch["_raw"])))
+            out = pa.RecordBatch.from_arrays(
+                [*(batch[c] for c in keep), *(pa.array(values, pa.string()) for values in found)], [*keep, *names]
+            )
+            yield out.filter(out["pmid"].is_valid())
 
     # A map over batches runs once per row; a UDF in a projection could be
-    # evaluated again for every filter on its result.
+    # evaluated again for every filter on its result. Slices bound what a task holds by bytes, whatever the rows of a batch.
     source = table.select(*keep, F.col(raw).alias("_raw"))
     kept = [f"{f.name} {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
-    parsed = source.mapInPandas(parse, ", ".join([*kept, ARTICLE_SCHEMA]))
+    parsed = source.mapInArrow(tidy(parse), ", ".join([*kept, ARTICLE_SCHEMA]))
     return parsed.withColumn("source", F.lit("pubmed")).select(*keep, *BASE_COLUMNS)
 
 
@@ -157,17 +160,17 @@ def malformed(table: DataFrame, raw: str = "raw") -> DataFrame:
     """One row: articles of a table, and how many of them are not well-formed."""
     import xml.etree.ElementTree as ET
 
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "raw"):
             broken = 0
-            for value in frame["raw"]:
+            for value in batch["raw"]:
                 try:
-                    ET.fromstring(value)
+                    ET.fromstring(value.as_py())
                 except (ET.ParseError, TypeError):
                     broken += 1
-            yield pd.DataFrame({"articles": [len(frame)], "malformed": [broken]})
+            yield pa.RecordBatch.from_pydict({"articles": [batch.num_rows], "malformed": [broken]})
 
-    counted = table.select(F.col(raw).alias("raw")).mapInPandas(count, "articles long, malformed long")
+    counted = table.select(F.col(raw).alias("raw")).mapInArrow(tidy(count), "articles long, malformed long")
     zero = F.lit(0).cast("long")
     return counted.agg(F.coalesce(F.sum("articles"), zero).alias("articles"), F.coalesce(F.sum("malformed"), zero).alias("malformed"))
 

@@ -346,3 +346,14 @@ def test_fetch_lands_and_resumes(spark, tmp_path):
     assert len(list((tmp_path / "state" / "landing").glob("article_search/*/attempt-*"))) == 1
     assert runs.fetch_records(spark, {"pubmed": {"use_keywords_from_code": False}, "crossref": {"enabled": False}},
                               ["hybrid"], "all", lambda _: (low, high)).count() == 0
+
+
+def test_articles_are_parsed_slice_by_slice(spark):
+    """What a task holds is bounded by bytes of text, not by the rows of a batch."""
+    body = "x" * 300_000
+    rows = [(i, f"<PubmedArticle><PMID>{i}</PMID><Abstract><AbstractText>{body}</AbstractText></Abstract></PubmedArticle>") for i in range(12)]
+    table = spark.createDataFrame([*rows, (12, None), (13, "<broken")], "k long, raw string").coalesce(1)
+    parsed = landed.parse_articles(table, keep=("k",))
+    assert "MapInArrow" in parsed._jdf.queryExecution().executedPlan().toString()
+    assert {(r["k"], r["pmid"], len(r["abstract"])) for r in parsed.collect()} == {(i, str(i), 300_000) for i in range(12)}
+    assert tuple(landed.malformed(table).first()) == (14, 2)

@@ -31,7 +31,7 @@ from .sampling import fold, outside_fold
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizer("byte_bpe_50k.json"), capacity=2048, end_id=0)
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizer("byte_bpe_50k.json"), capacity=2048, end_id=0, release=True)
 
 
 def _held_out(rows: DataFrame, folds: int, held: int) -> DataFrame:

@@ -158,3 +158,13 @@ def test_packing_of_documents(spark):
     check_packing([(r["sequence_id"], r["offset"], r["length"]) for r in found], [w[3] for w in want], 64)
     assert all(r["length"] == 64 for r in found if r["piece"] > 0)
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string"), BYTES).count() == 0
+
+
+def test_op1_frees_encoded_runs(spark, monkeypatch):
+    """Workers outlive tasks; what they remember is memory that later steps of the query lack."""
+    from papersieve.llm import queries as registered
+
+    asked = []
+    monkeypatch.setattr(registered.packing, "pack", lambda *args, **more: asked.append(more))
+    registered.op1_best_fit_packing(spark, "/root/testdata/sf0.001")
+    assert asked[0]["release"] is True

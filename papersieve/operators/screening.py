@@ -224,6 +224,9 @@ class ScorerDown(Exception):
     """Raised by a scorer that cannot answer any more: its group of batches is not landed, and a resumed run asks again."""
 
 
+# How long an answered group waits for others to be landed in the same file; a killed task loses no more than that and the request under way.
+LAND_SECONDS = 2.0
+
 REPLIES = "batch_id long, dois array<string>, signature string, attempt long, reply string"
 _REPLIES = pa.schema([
     ("batch_id", pa.int64()), ("dois", pa.list_(pa.field("element", pa.string()))), ("signature", pa.string()),
@@ -234,13 +237,13 @@ _REPLIES = pa.schema([
 def reply_sink(scorer: Scorer, prompts: Mapping[str, str] | None, workers: int, interval: float) -> type[units.UnitLanding]:
     """A sink that asks the scorer for each request and lands the replies group by group.
 
-    A reply is null where the scorer failed for a batch. All ``workers`` tasks together keep to one request in ``interval`` seconds: each
+    A reply is null where the scorer failed for a batch. Groups that are answered within ``LAND_SECONDS`` share a file. All ``workers`` tasks together keep to one request in ``interval`` seconds: each
     begins its requests ``workers`` intervals apart, shifted by its number.
     """
     prompt_of = {track: system_prompt(track, prompts) for track in (*TRACKS, "")}
 
     class ReplyWriter(units.UnitWriter):
-        next_request = None
+        seconds, next_request = LAND_SECONDS, None
 
         def pace(self) -> None:
             from pyspark import TaskContext
@@ -467,8 +470,13 @@ class JudgementStore:
         return f"{self.path}/replies/signature={signature}"
 
     def replies(self, signature: str) -> DataFrame:
-        """The replies that count: batch_id, dois, signature, attempt, reply."""
-        return units.read(self.spark, self.replies_path(signature), REPLIES).filter(F.col("attempt") >= self._begun(signature))
+        """The replies that count: batch_id, dois, signature, attempt, reply; one for each batch of an attempt.
+
+        A repeated task may have landed a batch twice; an answer counts before a failure.
+        """
+        found = units.read(self.spark, self.replies_path(signature), REPLIES).filter(F.col("attempt") >= self._begun(signature))
+        same = found.groupBy("attempt", "batch_id").agg(F.first("dois").alias("dois"), F.first("signature").alias("signature"), F.max("reply").alias("reply"))
+        return same.select(*units.names(REPLIES))
 
     def judgements(self, signature: str) -> DataFrame:
         good, _ = parse_replies(self.replies(signature))
@@ -528,6 +536,6 @@ def screen(
     latest = cut_lineage(latest)
     failures = None
     if cfg.keep_on_batch_error:
-        failures = store.failed(signature).select("doi").distinct().join(latest.select("doi"), "doi", "left_anti")
+        failures = cut_lineage(store.failed(signature).select("doi").distinct().join(latest.select("doi"), "doi", "left_anti"))
     merged = merge_judgements(records, latest, failures)
     return merged.filter(F.col("ai_pass") == "true") if cfg.only_keep_passed else merged

@@ -6,12 +6,17 @@ its own, written under a hidden name and renamed when all of its rows have come:
 replaces itself. A unit with an error or too few rows does not stop the others: each task tells in its commit message what it could not land,
 and the job's commit raises when all tasks are done. A job that dies leaves its finished units too; the next one asks ``landed`` for them
 and does the rest.
+
+A sink of many small units may let them share files (``UnitWriter.seconds``), so that files grow with the time that a job takes and not with
+its units. A file then holds whole units only; a unit that a repeated task writes again is there twice, which their reader has to tell.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import time
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,6 +26,8 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 _END = ".parquet"
 _CONTROL = ("unit", "unit_rows", "error")
+# Bytes of finished units that wait for a shared file at most.
+SHARED_BYTES = 8 << 20
 
 
 @dataclass
@@ -39,15 +46,19 @@ class UnitFailed(Exception):
     """Work on a unit cannot go on."""
 
 
+def _store(path: str):
+    from pyarrow import fs
+
+    place = re.sub(r"^file:/+", "file:///", path)
+    return fs.FileSystem.from_uri(place if "://" in place else os.path.abspath(place))
+
+
 class _OpenUnit:
     """The file of the unit that is being written."""
 
     def __init__(self, path: str, unit: str, expected: int):
-        from pyarrow import fs
-
         self.unit, self.expected, self.rows, self.writer = unit, expected, 0, None
-        place = re.sub(r"^file:/+", "file:///", path)
-        self.store, self.root = fs.FileSystem.from_uri(place if "://" in place else os.path.abspath(place))
+        self.store, self.root = _store(path)
         self.hidden = f"{self.root}/.{unit}-{os.getpid()}-{id(self)}"
 
     def write(self, batch: pa.RecordBatch) -> None:
@@ -74,9 +85,61 @@ class _OpenUnit:
         return error and f"{self.unit}: {error}"
 
 
+class _Shared:
+    """Finished units of a task that wait for their file, ``seconds`` at most."""
+
+    def __init__(self, path: str, seconds: float):
+        self.path, self.seconds, self.held, self.size, self.since = path, seconds, [], 0, time.monotonic()
+
+    def add(self, unit: str, batches: list[pa.RecordBatch]) -> None:
+        self.held.append((unit, batches))
+        self.size += sum(b.nbytes for b in batches)
+        self.land_due()
+
+    def land_due(self) -> None:
+        if self.size >= SHARED_BYTES or time.monotonic() - self.since >= self.seconds:
+            self.land()
+
+    def land(self) -> None:
+        """Put what waits into a file of its own."""
+        batches = [b for _, own in self.held for b in own]
+        if batches:
+            import pyarrow.parquet as pq
+
+            store, root = _store(self.path)
+            store.create_dir(root)
+            name = f"{self.held[0][0]}-{len(self.held)}-{uuid.uuid4().hex}{_END}"
+            with store.open_output_stream(f"{root}/.{name}") as out:
+                pq.write_table(pa.Table.from_batches(batches), out)
+            store.move(f"{root}/.{name}", f"{root}/{name}")
+        self.held, self.size, self.since = [], 0, time.monotonic()
+
+
+class _SharingUnit:
+    """A unit whose rows are kept until it is whole, then handed to the shared file."""
+
+    def __init__(self, shared: _Shared, unit: str, expected: int):
+        self.shared, self.unit, self.expected, self.batches = shared, unit, expected, []
+
+    def write(self, batch: pa.RecordBatch) -> None:
+        self.batches.append(batch)
+        self.shared.land_due()
+
+    def close(self, error: str | None) -> str | None:
+        rows = sum(b.num_rows for b in self.batches)
+        if error is None and rows != self.expected:
+            error = f"{rows} of {self.expected} rows"
+        if error is None:
+            self.shared.add(self.unit, self.batches)
+        return error and f"{self.unit}: {error}"
+
+
 class UnitWriter(DataSourceArrowWriter):
     """Lands rows as they come, or what ``work`` makes of them."""
 
+    # How long a finished unit may wait for others to share its file (None: each has a file of its own). Such units are held in memory.
+    seconds: float | None = None
+
     def __init__(self, path: str):
         self.path = path
 
@@ -85,6 +148,15 @@ class UnitWriter(DataSourceArrowWriter):
         yield rows
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> UnitsLanded:
+        if self.seconds is None:
+            return self._write(iterator, lambda name, count: _OpenUnit(self.path, name, count))
+        shared = _Shared(self.path, self.seconds)
+        try:
+            return self._write(iterator, lambda name, count: _SharingUnit(shared, name, count))
+        finally:
+            shared.land()
+
+    def _write(self, iterator: Iterator[pa.RecordBatch], begin) -> UnitsLanded:
         unit, error, done, failed = None, None, [], []
 
         def finish() -> None:
@@ -99,7 +171,7 @@ class UnitWriter(DataSourceArrowWriter):
             for a, b in zip(cuts, [*cuts[1:], len(names)]):
                 if unit is None or names[a] != unit.unit:
                     finish()
-                    unit, error = _OpenUnit(self.path, names[a], counts[a]), None
+                    unit, error = begin(names[a], counts[a]), None
                 error = error or next((e for e in errors[a:b] if e is not None), None)
                 try:
                     for made in self.work(data.slice(a, b - a)) if error is None else ():
@@ -151,6 +223,7 @@ def names(schema: str) -> list[str]:
 
 def read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The rows of all landed units."""
-    if not landed(spark, path):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)

@@ -147,6 +147,31 @@ def test_a_dying_scorer_keeps_finished_groups(spark, tmp_path):
     assert len(list(log.iterdir())) - asked == 2 and store.replies(signature).count() == 10
 
 
+@pytest.mark.parametrize("seconds, shared", [(3600.0, True), (0.0, False)])
+def test_quick_groups_share_files(spark, tmp_path, monkeypatch, seconds, shared):
+    monkeypatch.setattr(screening, "LAND_SECONDS", seconds)
+    rows, store = records(spark, 60), screening.JudgementStore(spark, str(tmp_path / "store"))
+    cfg = config(batches_per_group=1)
+
+    def judge(system, payload):
+        dois = [item["doi"] for item in json.loads(payload)]
+        if "10.5555/020" in dois:
+            raise screening.ScorerDown("out of quota")
+        return json.dumps([{"doi": d, "pass_filter": True} for d in dois])
+
+    with pytest.raises(Exception, match="1 units are missing: .*ScorerDown: out of quota"):
+        screening.screen(rows, cfg, judge, store=store).count()
+    signature = screening.table_signature(rows, screening.text("doi")).first()["signature"]
+    batches = -(-60 // cfg.batch_size)
+    files = [p for p in (tmp_path / "store" / "replies" / f"signature={signature}").iterdir() if p.suffix == ".parquet"]
+    # 4 tasks at most; a group that went wrong takes none of its file with it.
+    assert len(files) <= 4 if shared else len(files) == batches - 1
+    assert store.replies(signature).count() == batches - 1
+    # What a repeated task lands again counts once.
+    (files[0].parent / "again.parquet").write_bytes(files[0].read_bytes())
+    assert store.replies(signature).count() == batches - 1
+
+
 def test_tasks_share_the_request_rate(spark, tmp_path):
     log = tmp_path / "calls"
     log.mkdir()

@@ -2,7 +2,8 @@
 
 Both vocabularies split a text at white space before anything else, so a run of blanks with the
 word behind it has the same ids wherever it stands. Each run is encoded once and remembered;
-a text is then a join of remembered byte strings. A text with a blank other than
+a text is then a join of remembered byte strings. For a vocabulary that lower-cases, texts of Latin-1 characters are lower-cased first, which
+leaves fewer different runs; their lower case and normal form are the same everywhere. A text with a blank other than
 space and newline, where Python's and the tokenizer's ideas of white space could differ, is encoded whole,
 and so is a text that holds an added token of the file (``<|endoftext|>``), which gets that token's id.
 New runs that are one word of Latin letters with plain marks behind go straight to the
@@ -16,10 +17,12 @@ import os
 import re
 from array import array
 
-# Runs that a Python worker remembers before it starts anew, and the longest of them; bounds its memory at about 80 MB.
+# Runs that a Python worker remembers at most, and the longest of them; bounds its memory at about 80 MB.
 MEMO_RUNS, MEMO_LENGTH = 400_000, 64
 
 _OTHER_BLANK = re.compile(r"[^\S \n]")
+# The same among Latin-1 characters.
+_LATIN_BLANKS = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
 _ONE_WORD = re.compile(r"([ ]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?|%$&*#=+]*)")
 
 
@@ -34,20 +37,41 @@ def _byte_letters() -> dict[int, str]:
     return table
 
 
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class _Memo(dict):
-    """The ids of runs; one that is not there is encoded when it is asked for."""
+    """The ids of runs; one that is not there is encoded when it is asked for.
+
+    Runs come in two generations: when the newer is half of what is remembered, the older one goes, without the runs asked for meanwhile.
+    """
 
     def __init__(self, encode):
-        self.encode = encode
+        self.encode, self.older = encode, {}
 
     def __missing__(self, run: str) -> bytes:
-        ids = self.encode(run)
+        ids = self.older.get(run)
+        if ids is None:
+            ids = self.encode(run)
         if len(run) <= MEMO_LENGTH:
-            if len(self) >= MEMO_RUNS:
-                self.clear()
+            if len(self) >= MEMO_RUNS // 2:
+                self.older = dict(self)
+                super().clear()
             self[run] = ids
         return ids
 
+    def known(self, run: str) -> bytes | None:
+        return self.get(run) or self.older.get(run)
+
+    def clear(self) -> None:
+        self.older = {}
+        super().clear()
+
 
 class Encoder:
     def __init__(self, path: str):
@@ -58,10 +82,10 @@ class Encoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.lowers = self.tokenizer.normalizer is not None
-        self.runs = re.compile(r"[^ \n]+" if self.lowers else r"[ \n]*[^ \n]+|[ \n]+").findall
+        self.runs = str.split if self.lowers else re.compile(r"[ \n]*[^ \n]+|[ \n]+").findall
         self.letters = _byte_letters()
         self.memo = _Memo(self._run)
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def forget(self) -> None:
         """Free what is remembered; workers outlive tasks."""
@@ -71,30 +95,37 @@ class Encoder:
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _model_ids(self, piece: str) -> list[int]:
-        shown = piece.encode().decode("latin-1").translate(self.letters)
-        return [t.id for t in self.model.tokenize(shown)]
+    def _model_ids(self, piece: str) -> bytes:
+        shown = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def _run(self, run: str) -> bytes:
         word = _ONE_WORD.fullmatch(run)
         if word is None:
             return self.whole(run)
         space, letters, marks = word.groups()
-        ids = self._model_ids(letters.lower() if self.lowers else space + letters)
-        if marks:
-            if marks not in self.pieces:
-                if len(self.pieces) >= 10_000:
-                    self.pieces.clear()
-                self.pieces[marks] = self._model_ids(marks)
-            ids = ids + self.pieces[marks]
-        return array("I", ids).tobytes()
+        piece = letters.lower() if self.lowers else space + letters
+        if not marks:
+            return self._model_ids(piece)
+        if marks not in self.pieces:
+            if len(self.pieces) >= 10_000:
+                self.pieces.clear()
+            self.pieces[marks] = self._model_ids(marks)
+        return (self.memo.known(piece) or self._model_ids(piece)) + self.pieces[marks]
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a whole text (null: none)."""
         if not text:
             return b""
-        if _OTHER_BLANK.search(text) or any(token in text for token in self.added):
+        latin = _latin(text)
+        blank = any(map(text.__contains__, _LATIN_BLANKS)) if latin else _OTHER_BLANK.search(text)
+        if blank or any(token in text for token in self.added):
             return self.whole(text)
+        if self.lowers and latin:
+            lowered = text.lower()
+            # Only as it is spelled in the file is an added token one.
+            if not any(token in lowered for token in self.added):
+                text = lowered
         return b"".join(map(self.memo.__getitem__, self.runs(text)))
 
 

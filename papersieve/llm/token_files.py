@@ -241,7 +241,8 @@ def digest(tokens: DataFrame, first: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of documents read back."""
     crc = F.crc32("token_ids")
     rows = tokens.select("shard", "doc_id", "start_in_shard", "n_tokens", crc.alias("ids_crc32"))
-    return rows.join(first, "shard").select(
+    # One row for each file goes to the rows, never the rows to the files' table.
+    return rows.join(F.broadcast(first), "shard").select(
         "doc_id", (F.col("first") + F.col("start_in_shard")).alias("start"), "n_tokens", "ids_crc32"
     )
 

@@ -17,7 +17,7 @@ import os
 import re
 from array import array
 
-# Runs that a Python worker remembers at most, and the longest of them; bounds its memory at about 80 MB.
+# Runs that a Python worker remembers before it starts anew, and the longest of them; bounds its memory at about 80 MB.
 MEMO_RUNS, MEMO_LENGTH = 400_000, 64
 
 _OTHER_BLANK = re.compile(r"[^\S \n]")
@@ -46,32 +46,19 @@ def _latin(text: str) -> bool:
 
 
 class _Memo(dict):
-    """The ids of runs; one that is not there is encoded when it is asked for.
-
-    Runs come in two generations: when the newer is half of what is remembered, the older one goes, without the runs asked for meanwhile.
-    """
+    """The ids of runs; one that is not there is encoded when it is asked for."""
 
     def __init__(self, encode):
-        self.encode, self.older = encode, {}
+        self.encode = encode
 
     def __missing__(self, run: str) -> bytes:
-        ids = self.older.get(run)
-        if ids is None:
-            ids = self.encode(run)
+        ids = self.encode(run)
         if len(run) <= MEMO_LENGTH:
-            if len(self) >= MEMO_RUNS // 2:
-                self.older = dict(self)
-                super().clear()
+            if len(self) >= MEMO_RUNS:
+                self.clear()
             self[run] = ids
         return ids
 
-    def known(self, run: str) -> bytes | None:
-        return self.get(run) or self.older.get(run)
-
-    def clear(self) -> None:
-        self.older = {}
-        super().clear()
-
 
 class Encoder:
     def __init__(self, path: str):
@@ -111,7 +98,7 @@ class Encoder:
             if len(self.pieces) >= 10_000:
                 self.pieces.clear()
             self.pieces[marks] = self._model_ids(marks)
-        return (self.memo.known(piece) or self._model_ids(piece)) + self.pieces[marks]
+        return (self.memo.get(piece) or self._model_ids(piece)) + self.pieces[marks]
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a whole text (null: none)."""
